@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The warehouse this package rebuilds is batch only: every load is a full refresh or an append of
+delimited extracts, and no table, check or view involves streams, watermarks, windows over time or
+state. No streaming operator is provided, so none can drift from the batch semantics. An
+incremental feed can reuse the batch jobs unchanged from ``foreachBatch`` of a file-source stream.
+"""
