@@ -89,9 +89,10 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str,
               n_buckets: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``row_number() over (order by order_cols)`` as a BIGINT column, without one global task.
 
-    Rows are numbered inside range buckets; each bucket's offset is the number of rows in the
-    buckets before it, from a table with one row per bucket (broadcast: its size is the bucket
-    count, a small constant).
+    Rows are numbered inside range buckets (one shuffle, on the bucket). A bucket's offset is the
+    number of rows in the buckets before it, from per-bucket counts: a partial aggregate on the
+    map side, so only ``n_buckets`` rows per task cross the network, and a result of one row per
+    bucket that is broadcast (its size is the bucket count, a small constant).
     """
     spark = df.sparkSession
     n_rows = df.count()
@@ -104,7 +105,7 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str,
         return df.withColumn(key_name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     tagged = df.withColumn(_BUCKET, bucket_of(df, order_cols, cuts))
     numbered = tagged.withColumn("_tl_rn", F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*order)))
-    sizes = numbered.groupBy(_BUCKET).agg(F.max("_tl_rn").alias("_tl_n"))
+    sizes = tagged.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("_tl_n"))
     offsets = sizes.select(
         _BUCKET,
         F.coalesce(F.sum("_tl_n").over(Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
@@ -120,9 +121,11 @@ def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     """``lead(value_col) over (partition by group_cols order by order_cols)`` without hot groups.
 
     Range buckets are cut on ``group_cols + order_cols``, so a group that holds a third of all rows
-    is spread over a third of the buckets. Inside a (bucket, group) the window gives the next row;
-    the last row of each (bucket, group) takes the first value of the same group in the next
-    bucket that holds it, from a table with one row per (bucket, group).
+    is spread over a third of the buckets. Inside a (bucket, group) the window gives the next row.
+    A group can only continue into the next non-empty bucket at that bucket's first row, so the
+    last row of a (bucket, group) takes the value of the next bucket's head row when the head
+    belongs to the same group. The heads come from a map-side partial aggregate with one row per
+    bucket, broadcast to the windowed rows (no second shuffle of the data).
     """
     spark = df.sparkSession
     full = list(group_cols) + list(order_cols)
@@ -139,16 +142,17 @@ def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     w = Window.partitionBy(_BUCKET, *group_cols).orderBy(*order)
     inner = (tagged.withColumn(out_col, F.lead(value_col).over(w))
              .withColumn("_tl_last", F.lead(F.lit(1)).over(w).isNull()))
-    firsts = inner.groupBy(_BUCKET, *group_cols).agg(
-        F.min_by(F.col(value_col), F.struct(*[F.col(c) for c in order_cols])).alias("_tl_first"))
-    nexts = firsts.select(
-        _BUCKET, *group_cols,
-        F.lead("_tl_first").over(Window.partitionBy(*group_cols).orderBy(_BUCKET)).alias("_tl_next"))
-    nexts = nexts.select(*[F.col(c).alias(f"_tl_r_{c}") for c in [_BUCKET, *group_cols]], "_tl_next")
-    cond = None
-    for c in [_BUCKET, *group_cols]:
-        e = inner[c].eqNullSafe(nexts[f"_tl_r_{c}"])
-        cond = e if cond is None else cond & e
-    joined = inner.join(nexts, cond, "left")
-    return (joined.withColumn(out_col, F.when(F.col("_tl_last"), F.col("_tl_next")).otherwise(F.col(out_col)))
-            .drop(_BUCKET, "_tl_last", "_tl_next", *[f"_tl_r_{c}" for c in [_BUCKET, *group_cols]]))
+    head = F.min_by(F.struct(*[F.col(c) for c in group_cols], F.col(value_col).alias("_tl_v")),
+                    F.struct(*[F.col(c) for c in full]))
+    heads = tagged.groupBy(_BUCKET).agg(head.alias("_tl_head"))
+    following = heads.select(
+        F.col(_BUCKET).alias("_tl_b"),
+        F.lead("_tl_head").over(Window.orderBy(_BUCKET)).alias("_tl_next_head"))
+    joined = inner.join(F.broadcast(following), inner[_BUCKET] == following["_tl_b"], "left")
+    same_group = None
+    for c in group_cols:
+        e = F.col(c).eqNullSafe(F.col(f"_tl_next_head.{c}"))
+        same_group = e if same_group is None else same_group & e
+    carried = F.when(same_group, F.col("_tl_next_head._tl_v"))
+    return (joined.withColumn(out_col, F.when(F.col("_tl_last"), carried).otherwise(F.col(out_col)))
+            .drop(_BUCKET, "_tl_b", "_tl_last", "_tl_next_head"))
