@@ -47,15 +47,17 @@ class RunAudit:
         self.rows.append((self.run_id, layer, table, rows, bad, round(seconds, 3), status, message))
 
 
-def _write_observed(wh: Warehouse, audit: RunAudit, layer: str, table: str, df: DataFrame,
-                    bad: Column | None = None, audit_column: bool = False, drop: tuple[str, ...] = ()) -> None:
-    """Publish ``df`` while counting its rows and bad rows in the same job; ``drop`` lists
-    helper columns used only by ``bad`` (removed before the write)."""
+def _write_observed(wh: Warehouse, audit: RunAudit, layer: str, table: str,
+                    df: DataFrame | Callable[[], DataFrame], bad: Column | None = None,
+                    audit_column: bool = False, drop: tuple[str, ...] = ()) -> None:
+    """Publish ``df`` (or the frame ``df()`` builds) while counting its rows and bad rows in the
+    same job; ``drop`` lists helper columns used only by ``bad`` (removed before the write)."""
     obs = Observation(f"{layer}_{table}_{uuid.uuid4().hex[:8]}")
     bad_expr = F.count_if(F.coalesce(bad, F.lit(False))) if bad is not None else F.lit(0).cast("bigint")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), bad_expr.alias("bad_rows"))
     start = time.perf_counter()
     try:
+        frame = df() if callable(df) else df
+        observed = frame.observe(obs, F.count(F.lit(1)).alias("rows"), bad_expr.alias("bad_rows"))
         refresh(wh, layer, table, observed.drop(*drop), audit_column=audit_column)
     except Exception as exc:  # recorded, then raised: the run stops here
         audit.record(layer, table, None, None, time.perf_counter() - start, "failed", str(exc)[:500])
@@ -69,9 +71,10 @@ def load_bronze(wh: Warehouse, source_root: str, audit: RunAudit, tables=tuple(B
     Bad rows = rows that did not parse (kept with NULLs, raw text counted)."""
     spark = wh.spark
     for table in tables:
-        df = read_extract(spark, f"{source_root.rstrip('/')}/{SOURCE_FILES[table]}", BRONZE[table])
-        _write_observed(wh, audit, "bronze", table, df, bad=F.col(CORRUPT_COLUMN).isNotNull(),
-                        drop=(CORRUPT_COLUMN,))
+        path = f"{source_root.rstrip('/')}/{SOURCE_FILES[table]}"
+        _write_observed(wh, audit, "bronze", table,
+                        lambda p=path, t=table: read_extract(spark, p, BRONZE[t]),
+                        bad=F.col(CORRUPT_COLUMN).isNotNull(), drop=(CORRUPT_COLUMN,))
 
 
 def silver_frames(wh: Warehouse, as_of=None) -> dict[str, tuple[DataFrame, Column | None]]:
