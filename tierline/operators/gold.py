@@ -2,7 +2,7 @@
 
 Surrogate keys are ``row_number`` over the dimension's sort order, computed in range buckets
 (``dense_key``) instead of one global window task. Callers materialise the dimensions once (see
-``plans.pipeline``), so keys are stable between the dimension table and the fact that uses them.
+``plans.layers``), so keys are stable between the dimension table and the fact that uses them.
 """
 
 from __future__ import annotations
@@ -22,47 +22,52 @@ def integrated_gender(crm_gender: Column, erp_gender: Column) -> Column:
 
 def customers_joined(cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame) -> DataFrame:
     """Silver CRM customers left-joined to ERP customers and locations on ``cst_key = cid``,
-    renamed to the dimension's columns (no surrogate key yet)."""
-    ci = cust.alias("ci")
-    ca = erp_cust.select("cid", "bdate", "gen").alias("ca")
-    la = erp_loc.select("cid", "cntry").alias("la")
-    joined = (ci.join(ca, F.col("ci.cst_key") == F.col("ca.cid"), "left")
-                .join(la, F.col("ci.cst_key") == F.col("la.cid"), "left"))
+    renamed to the dimension's columns (no surrogate key yet).
+
+    Each ERP side is broadcast when it passes the size check, else joined by a salted shuffle
+    join, so NULL or hot customer keys do not pile up in one task.
+    """
+    ca = erp_cust.select(F.col("cid").alias("_tl_ca_cid"), F.col("bdate").alias("_tl_bdate"),
+                         F.col("gen").alias("_tl_gen"))
+    la = erp_loc.select(F.col("cid").alias("_tl_la_cid"), F.col("cntry").alias("_tl_cntry"))
+    joined = lookup_join(lookup_join(cust, ca, [("cst_key", "_tl_ca_cid")]), la, [("cst_key", "_tl_la_cid")])
     return joined.select(
-        F.col("ci.cst_id").alias("customer_id"),
-        F.col("ci.cst_key").alias("customer_number"),
-        F.col("ci.cst_firstname").alias("firstname"),
-        F.col("ci.cst_lastname").alias("lastname"),
-        F.col("la.cntry").alias("country"),
-        F.col("ci.cst_marital_status").alias("marital_status"),
-        integrated_gender(F.col("ci.cst_gndr"), F.col("ca.gen")).alias("gender"),
-        F.col("ca.bdate").alias("birthdate"),
-        F.col("ci.cst_create_date").alias("create_date"))
+        F.col("cst_id").alias("customer_id"),
+        F.col("cst_key").alias("customer_number"),
+        F.col("cst_firstname").alias("firstname"),
+        F.col("cst_lastname").alias("lastname"),
+        F.col("_tl_cntry").alias("country"),
+        F.col("cst_marital_status").alias("marital_status"),
+        integrated_gender(F.col("cst_gndr"), F.col("_tl_gen")).alias("gender"),
+        F.col("_tl_bdate").alias("birthdate"),
+        F.col("cst_create_date").alias("create_date"))
 
 
 def products_joined(prd: DataFrame, cat: DataFrame) -> DataFrame:
     """Current products (no end date) left-joined to categories on ``cat_id = id``."""
-    pn = prd.filter(F.col("prd_end_dt").isNull()).alias("pn")
-    pc = cat.select("id", "cat", "subcat", "maintenance").alias("pc")
-    joined = pn.join(pc, F.col("pn.cat_id") == F.col("pc.id"), "left")
+    pn = prd.filter(F.col("prd_end_dt").isNull())
+    pc = cat.select(F.col("id").alias("_tl_id"), F.col("cat").alias("_tl_cat"),
+                    F.col("subcat").alias("_tl_subcat"), F.col("maintenance").alias("_tl_maint"))
+    joined = lookup_join(pn, pc, [("cat_id", "_tl_id")])
     return joined.select(
-        F.col("pn.prd_id").alias("product_id"),
-        F.col("pn.prd_key").alias("product_number"),
-        F.col("pn.prd_nm").alias("product_name"),
-        F.col("pn.cat_id").alias("category_id"),
-        F.col("pc.cat").alias("category"),
-        F.col("pc.subcat").alias("subcategory"),
-        F.col("pc.maintenance").alias("maintenance"),
-        F.col("pn.prd_cost").alias("cost"),
-        F.col("pn.prd_line").alias("product_line"),
-        F.col("pn.prd_start_dt").alias("start_dt"))
+        F.col("prd_id").alias("product_id"),
+        F.col("prd_key").alias("product_number"),
+        F.col("prd_nm").alias("product_name"),
+        F.col("cat_id").alias("category_id"),
+        F.col("_tl_cat").alias("category"),
+        F.col("_tl_subcat").alias("subcategory"),
+        F.col("_tl_maint").alias("maintenance"),
+        F.col("prd_cost").alias("cost"),
+        F.col("prd_line").alias("product_line"),
+        F.col("prd_start_dt").alias("start_dt"))
 
 
 CUSTOMER_ORDER = ["customer_id"]
 PRODUCT_ORDER = ["start_dt", "product_number"]
 
 
-def _with_key(df: DataFrame, order: list[str], key: str, n_buckets: int | None) -> DataFrame:
+def with_surrogate_key(df: DataFrame, order: list[str], key: str, n_buckets: int | None = None) -> DataFrame:
+    """``key`` = 1..n in ``order`` (then all other columns), as the first column."""
     # Sort order of the key, then every other column as a tie-break, so the numbering is a
     # function of the data (stable when a lost task is recomputed) and buckets stay even.
     full = order + [c for c in df.columns if c not in order]
@@ -73,12 +78,12 @@ def _with_key(df: DataFrame, order: list[str], key: str, n_buckets: int | None)
 def dim_customers(cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame,
                   n_buckets: int | None = None) -> DataFrame:
     """G1: customer dimension with ``customer_key`` = row number by ``customer_id``."""
-    return _with_key(customers_joined(cust, erp_cust, erp_loc), CUSTOMER_ORDER, "customer_key", n_buckets)
+    return with_surrogate_key(customers_joined(cust, erp_cust, erp_loc), CUSTOMER_ORDER, "customer_key", n_buckets)
 
 
 def dim_products(prd: DataFrame, cat: DataFrame, n_buckets: int | None = None) -> DataFrame:
     """Current-product dimension with ``product_key`` by (start date, product number)."""
-    return _with_key(products_joined(prd, cat), PRODUCT_ORDER, "product_key", n_buckets)
+    return with_surrogate_key(products_joined(prd, cat), PRODUCT_ORDER, "product_key", n_buckets)
 
 
 def fact_sales(sales: DataFrame, dim_prod: DataFrame, dim_cust: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Data-quality checks Q1-Q15. Each returns the offending rows; an empty result is a pass.
 
-Row-level predicates are also available as named rules (``RULES``) so that all checks on one
+Row-level predicates are also available as named rules (``bronze_rules``) so that all checks on one
 table are counted in a single aggregate pass (``rule_counts``) instead of one scan per check.
 Group checks (duplicates, fan-out) aggregate with map-side partial counts, so a hot key costs one
 row per map task in the shuffle.
@@ -149,14 +149,12 @@ def location_orphans(erp_loc: DataFrame, cust: DataFrame) -> DataFrame:
 
 def gender_matrix(cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame) -> DataFrame:
     """Q13: distinct (CRM gender, ERP gender, integrated gender) after the dimension's joins."""
-    ci = cust.alias("ci")
-    ca = erp_cust.select("cid", "gen").alias("ca")
-    la = erp_loc.select("cid").alias("la")
-    joined = (ci.join(ca, F.col("ci.cst_key") == F.col("ca.cid"), "left")
-                .join(la, F.col("ci.cst_key") == F.col("la.cid"), "left"))
+    ca = erp_cust.select(F.col("cid").alias("_tl_ca_cid"), F.col("gen").alias("_tl_gen"))
+    la = erp_loc.select(F.col("cid").alias("_tl_la_cid"))
+    joined = lookup_join(lookup_join(cust, ca, [("cst_key", "_tl_ca_cid")]), la, [("cst_key", "_tl_la_cid")])
     return joined.select(
-        F.col("ci.cst_gndr").alias("cst_gndr"), F.col("ca.gen").alias("gen"),
-        integrated_gender(F.col("ci.cst_gndr"), F.col("ca.gen")).alias("new_gen")).distinct()
+        F.col("cst_gndr"), F.col("_tl_gen").alias("gen"),
+        integrated_gender(F.col("cst_gndr"), F.col("_tl_gen")).alias("new_gen")).distinct()
 
 
 def fk_integrity(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame) -> DataFrame:

@@ -116,7 +116,7 @@ def load_gold(wh: Warehouse, audit: RunAudit) -> None:
         # Cut the lineage: the key step reads the joined rows several times (count, sample, number).
         wh.publish("gold", f"_stage_{table}", joined)
         staged = wh.read("gold", f"_stage_{table}")
-        _write_observed(wh, audit, "gold", table, gold._with_key(staged, order, key, None))
+        _write_observed(wh, audit, "gold", table, gold.with_surrogate_key(staged, order, key))
     fact = gold.fact_sales(_silver(wh, "crm_sales_details"), wh.read("gold", "dim_products"),
                            wh.read("gold", "dim_customers"))
     _write_observed(wh, audit, "gold", "fact_sales", fact,
