@@ -98,3 +98,17 @@ def test_failed_layer_is_recorded_and_raised(spark):
         run_all(wh, sources)
     rows = spark.table(f"{wh.db('audit')}.load_audit").collect()
     assert [r["status"] for r in rows] == ["failed"]
+
+
+def test_typed_tables_enforce_fifty_characters(spark):
+    wh = _wh(spark)
+    ok = spark.createDataFrame([("AW1", "x" * 50)], BRONZE["erp_loc_a101"])
+    refresh(wh, "bronze", "erp_loc_a101", ok, schema=BRONZE["erp_loc_a101"])
+    too_long = spark.createDataFrame([("AW2", "y" * 51)], BRONZE["erp_loc_a101"])
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|exceeds"):
+        refresh(wh, "bronze", "erp_loc_a101", too_long, schema=BRONZE["erp_loc_a101"])
+    assert [r["cid"] for r in wh.read("bronze", "erp_loc_a101").collect()] == ["AW1"]
+    assert wh.versions("bronze", "erp_loc_a101") == [1]       # the failed version was dropped
+    silver_t = refresh(wh, "silver", "erp_loc_a101", ok, audit_column=True, schema=SILVER["erp_loc_a101"])
+    row = spark.table(silver_t).first()
+    assert row["dwh_create_date"] is not None

@@ -9,6 +9,7 @@ readable (a truncate-then-load or an in-place overwrite would leave an empty or
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +20,17 @@ LAYERS = ("bronze", "silver", "gold")
 _VERSION = re.compile(r"^(?P<name>.+)__v(?P<n>\d+)$")
 
 
+def _insert_by_name(spark: SparkSession, target: str, df: DataFrame) -> None:
+    """``INSERT INTO target (df's columns) SELECT ...``: missing columns take their defaults."""
+    view = f"_tl_src_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(view)
+    try:
+        cols = ", ".join(f"`{c}`" for c in df.columns)
+        spark.sql(f"INSERT INTO {target} ({cols}) SELECT {cols} FROM `{view}`")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 class Warehouse:
     """Namespaces ``{prefix}bronze``, ``{prefix}silver``, ``{prefix}gold`` (and ``{prefix}audit``)
     whose tables live under ``root`` (default: ``<spark.checkpoint.dir>/warehouse``)."""
@@ -72,17 +84,32 @@ class Warehouse:
                 out.append(int(m.group("n")))
         return sorted(out)
 
-    def publish(self, layer: str, table: str, df: DataFrame) -> str:
-        """Write ``df`` as the next version of ``table`` and repoint the view ``layer.table``."""
+    def publish(self, layer: str, table: str, df: DataFrame, schema=None, with_audit: bool = False) -> str:
+        """Write ``df`` as the next version of ``table`` and repoint the view ``layer.table``.
+
+        With ``schema`` the version is first created as a typed table (``VARCHAR(50)`` strings,
+        optional defaulted audit column) and filled by ``INSERT INTO t (cols) SELECT``, so types,
+        string limits and defaults are enforced by the table. A failed write drops its own version
+        and leaves the view on the previous one.
+        """
         self.ensure_namespace(layer)
         existing = self.versions(layer, table)
         version = (existing[-1] + 1) if existing else 1
         physical = f"{table}__v{version:04d}"
-        df.write.format("parquet").mode("errorifexists").saveAsTable(f"{self.db(layer)}.{physical}")
-        self.publish_view(layer, table, f"SELECT * FROM {self.name(layer, physical)}")
+        target = self.name(layer, physical)
+        try:
+            if schema is None:
+                df.write.format("parquet").mode("errorifexists").saveAsTable(f"{self.db(layer)}.{physical}")
+            else:
+                self.spark.sql(table_ddl(target, schema, with_audit=with_audit))
+                _insert_by_name(self.spark, target, df)
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {target}")
+            raise
+        self.publish_view(layer, table, f"SELECT * FROM {target}")
         for old in existing[: max(0, len(existing) + 1 - self.keep_versions)]:
             self.drop_table(layer, f"{table}__v{old:04d}")
-        return self.name(layer, physical)
+        return target
 
     def publish_view(self, layer: str, view: str, select_sql: str) -> str:
         self.ensure_namespace(layer)

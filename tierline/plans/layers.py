@@ -22,7 +22,7 @@ from tierline.operators import gold, silver
 from tierline.plans.catalog import Warehouse
 from tierline.plans.sinks import refresh
 from tierline.sources.delimited import CORRUPT_COLUMN, read_extract
-from tierline.sources.schemas import BRONZE, SOURCE_FILES
+from tierline.sources.schemas import BRONZE, SILVER, SOURCE_FILES
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -49,7 +49,7 @@ class RunAudit:
 
 def _write_observed(wh: Warehouse, audit: RunAudit, layer: str, table: str,
                     df: DataFrame | Callable[[], DataFrame], bad: Column | None = None,
-                    audit_column: bool = False, drop: tuple[str, ...] = ()) -> None:
+                    audit_column: bool = False, drop: tuple[str, ...] = (), schema=None) -> None:
     """Publish ``df`` (or the frame ``df()`` builds) while counting its rows and bad rows in the
     same job; ``drop`` lists helper columns used only by ``bad`` (removed before the write)."""
     obs = Observation(f"{layer}_{table}_{uuid.uuid4().hex[:8]}")
@@ -58,7 +58,7 @@ def _write_observed(wh: Warehouse, audit: RunAudit, layer: str, table: str,
     try:
         frame = df() if callable(df) else df
         observed = frame.observe(obs, F.count(F.lit(1)).alias("rows"), bad_expr.alias("bad_rows"))
-        refresh(wh, layer, table, observed.drop(*drop), audit_column=audit_column)
+        refresh(wh, layer, table, observed.drop(*drop), audit_column=audit_column, schema=schema)
     except Exception as exc:  # recorded, then raised: the run stops here
         audit.record(layer, table, None, None, time.perf_counter() - start, "failed", str(exc)[:500])
         raise
@@ -74,7 +74,7 @@ def load_bronze(wh: Warehouse, source_root: str, audit: RunAudit, tables=tuple(B
         path = f"{source_root.rstrip('/')}/{SOURCE_FILES[table]}"
         _write_observed(wh, audit, "bronze", table,
                         lambda p=path, t=table: read_extract(spark, p, BRONZE[t]),
-                        bad=F.col(CORRUPT_COLUMN).isNotNull(), drop=(CORRUPT_COLUMN,))
+                        bad=F.col(CORRUPT_COLUMN).isNotNull(), drop=(CORRUPT_COLUMN,), schema=BRONZE[table])
 
 
 def silver_frames(wh: Warehouse, as_of=None) -> dict[str, tuple[DataFrame, Column | None]]:
@@ -97,7 +97,8 @@ def load_silver(wh: Warehouse, audit: RunAudit, as_of=None) -> None:
     """O2: T1-T6 over the published bronze tables, each published to silver with its audit column."""
     for table, (df, bad) in silver_frames(wh, as_of).items():
         drop = ("_tl_bad",) if "_tl_bad" in df.columns else ()
-        _write_observed(wh, audit, "silver", table, df, bad=bad, audit_column=True, drop=drop)
+        _write_observed(wh, audit, "silver", table, df, bad=bad, audit_column=True, drop=drop,
+                        schema=SILVER[table])
 
 
 def _silver(wh: Warehouse, table: str) -> DataFrame:

@@ -3,20 +3,24 @@ conditional delete (S9)."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tierline.plans.catalog import Warehouse
+from tierline.plans.catalog import Warehouse, _insert_by_name
 from tierline.sources.schemas import AUDIT_COLUMN
 
 
-def refresh(wh: Warehouse, layer: str, table: str, df: DataFrame, audit_column: bool = False) -> str:
+def refresh(wh: Warehouse, layer: str, table: str, df: DataFrame, audit_column: bool = False,
+            schema: T.StructType | None = None) -> str:
     """Replace the contents of ``layer.table`` with ``df`` (new version, then view repoint).
 
-    With ``audit_column`` the rows get ``dwh_create_date = current_timestamp()``.
+    With ``schema`` the version is a typed table (S5: ``VARCHAR(50)`` strings; with
+    ``audit_column`` a ``dwh_create_date DEFAULT current_timestamp()`` column filled by default, S4).
+    Without it, ``audit_column`` adds ``dwh_create_date = current_timestamp()`` to the rows.
     """
+    if schema is not None:
+        return wh.publish(layer, table, df.select(*schema.fieldNames()), schema=schema, with_audit=audit_column)
     if audit_column:
         df = df.withColumn(AUDIT_COLUMN, F.current_timestamp())
     return wh.publish(layer, table, df)
@@ -25,13 +29,7 @@ def refresh(wh: Warehouse, layer: str, table: str, df: DataFrame, audit_column:
 def append(wh: Warehouse, layer: str, table: str, df: DataFrame) -> None:
     """S3: ``INSERT INTO layer.table (df's columns) SELECT ...``; columns not given (such as the
     silver audit column) take their declared defaults."""
-    view = f"_tl_src_{uuid.uuid4().hex[:12]}"
-    df.createOrReplaceTempView(view)
-    try:
-        cols = ", ".join(f"`{c}`" for c in df.columns)
-        wh.spark.sql(f"INSERT INTO {wh.name(layer, table)} ({cols}) SELECT {cols} FROM `{view}`")
-    finally:
-        wh.spark.catalog.dropTempView(view)
+    _insert_by_name(wh.spark, wh.name(layer, table), df)
 
 
 def delete_where(wh: Warehouse, layer: str, table: str, predicate: Column) -> str:
