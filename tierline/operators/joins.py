@@ -17,6 +17,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
@@ -27,8 +28,27 @@ SEED = 4242
 _SALT = "_tl_salt"
 
 
+def _type_width(dt: T.DataType) -> int:
+    """Rough in-memory width of a value, in bytes (strings and binaries count 20)."""
+    if isinstance(dt, T.StructType):
+        return sum(_type_width(f.dataType) for f in dt.fields)
+    if isinstance(dt, (T.ArrayType, T.MapType)):
+        return 100
+    if isinstance(dt, (T.StringType, T.BinaryType)):
+        return 20
+    if isinstance(dt, (T.BooleanType, T.ByteType)):
+        return 1
+    if isinstance(dt, (T.ShortType,)):
+        return 2
+    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(dt, T.DecimalType):
+        return 8 if dt.precision <= 18 else 16
+    return 8
+
+
 def _row_width(df: DataFrame) -> int:
-    return int(df._jdf.schema().defaultSize()) + 8
+    return _type_width(df.schema) + 8
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,

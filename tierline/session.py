@@ -40,16 +40,29 @@ def shared_dir(spark: SparkSession) -> str:
     a machine-local folder. Only when the setting is absent (local tests) is a folder created and
     registered as the checkpoint directory.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return str(current.get()).rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session without a local SparkContext
+        sc = None
+    if sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+        if configured:
+            return configured.rstrip("/")
+        current = sc._jsc.sc().getCheckpointDir()
+        if current.isDefined():
+            return str(current.get()).rstrip("/")
     local = tempfile.mkdtemp(prefix="tierline-ckpt-")
-    sc.setCheckpointDir(local)
-    return str(sc._jsc.sc().getCheckpointDir().get()).rstrip("/")
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return str(sc._jsc.sc().getCheckpointDir().get()).rstrip("/")
+    try:
+        spark.conf.set("spark.checkpoint.dir", local)
+    except Exception:  # static on some deployments; the folder is still used for this run
+        pass
+    return local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
