@@ -103,7 +103,7 @@ def salted_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
     rkeys = [rk for _, rk in pairs]
     if hot is None:
         hot = hot_keys(left, lkeys)
-    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts))
+    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
     any_null = None
     for k in lkeys:
         e = F.col(k).isNull()
