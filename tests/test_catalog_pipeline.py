@@ -97,7 +97,9 @@ def test_failed_layer_is_recorded_and_raised(spark):
     with pytest.raises(Exception):
         run_all(wh, sources)
     rows = spark.table(f"{wh.db('audit')}.load_audit").collect()
-    assert [r["status"] for r in rows] == ["failed"]
+    # Every bronze table of the layer is attempted and recorded; no later layer runs.
+    assert {r["layer"] for r in rows} == {"bronze"} and len(rows) == 6
+    assert all(r["status"] == "failed" and r["message"] for r in rows)
 
 
 def test_typed_tables_enforce_fifty_characters(spark):

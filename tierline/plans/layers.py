@@ -11,6 +11,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -24,6 +25,9 @@ from tierline.plans.sinks import refresh
 from tierline.sources.delimited import CORRUPT_COLUMN, read_extract
 from tierline.sources.schemas import BRONZE, SILVER, SOURCE_FILES
 
+# Independent tables of one layer are submitted concurrently by this many driver threads.
+LOAD_THREADS = 6
+
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
     T.StructField("layer", T.StringType()),
@@ -66,15 +70,34 @@ def _write_observed(wh: Warehouse, audit: RunAudit, layer: str, table: str,
     audit.record(layer, table, int(metrics["rows"]), int(metrics["bad_rows"]), time.perf_counter() - start)
 
 
-def load_bronze(wh: Warehouse, source_root: str, audit: RunAudit, tables=tuple(BRONZE)) -> None:
+def run_concurrently(steps: list[Callable[[], None]], max_workers: int = LOAD_THREADS) -> None:
+    """Submit independent table jobs from driver threads (each job is still distributed), wait
+    for all of them, then raise the first failure. Tables of one layer do not depend on each
+    other, so small tables no longer wait for big ones and the cluster stays busy."""
+    if max_workers <= 1 or len(steps) <= 1:
+        for step in steps:
+            step()
+        return
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(steps))) as pool:
+        futures = [pool.submit(step) for step in steps]
+    errors = [f.exception() for f in futures if f.exception() is not None]
+    if errors:
+        raise errors[0]
+
+
+def load_bronze(wh: Warehouse, source_root: str, audit: RunAudit, tables=tuple(BRONZE),
+                max_workers: int = LOAD_THREADS) -> None:
     """O1: each extract read with its fixed schema and published as a bronze table (full refresh).
     Bad rows = rows that did not parse (kept with NULLs, raw text counted)."""
     spark = wh.spark
-    for table in tables:
+
+    def step(table: str) -> Callable[[], None]:
         path = f"{source_root.rstrip('/')}/{SOURCE_FILES[table]}"
-        _write_observed(wh, audit, "bronze", table,
-                        lambda p=path, t=table: read_extract(spark, p, BRONZE[t]),
-                        bad=F.col(CORRUPT_COLUMN).isNotNull(), drop=(CORRUPT_COLUMN,), schema=BRONZE[table])
+        return lambda: _write_observed(wh, audit, "bronze", table, lambda: read_extract(spark, path, BRONZE[table]),
+                                       bad=F.col(CORRUPT_COLUMN).isNotNull(), drop=(CORRUPT_COLUMN,),
+                                       schema=BRONZE[table])
+
+    run_concurrently([step(t) for t in tables], max_workers)
 
 
 def silver_frames(wh: Warehouse, as_of=None) -> dict[str, tuple[DataFrame, Column | None]]:
@@ -93,31 +116,36 @@ def silver_frames(wh: Warehouse, as_of=None) -> dict[str, tuple[DataFrame, Colum
     }
 
 
-def load_silver(wh: Warehouse, audit: RunAudit, as_of=None) -> None:
+def load_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int = LOAD_THREADS) -> None:
     """O2: T1-T6 over the published bronze tables, each published to silver with its audit column."""
-    for table, (df, bad) in silver_frames(wh, as_of).items():
+    def step(table: str, df: DataFrame, bad: Column | None) -> Callable[[], None]:
         drop = ("_tl_bad",) if "_tl_bad" in df.columns else ()
-        _write_observed(wh, audit, "silver", table, df, bad=bad, audit_column=True, drop=drop,
-                        schema=SILVER[table])
+        return lambda: _write_observed(wh, audit, "silver", table, df, bad=bad, audit_column=True, drop=drop,
+                                       schema=SILVER[table])
+
+    run_concurrently([step(t, df, bad) for t, (df, bad) in silver_frames(wh, as_of).items()], max_workers)
 
 
 def _silver(wh: Warehouse, table: str) -> DataFrame:
     return wh.read("silver", table).drop("dwh_create_date")
 
 
-def load_gold(wh: Warehouse, audit: RunAudit) -> None:
+def load_gold(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS) -> None:
     """O3: dimensions first (joined rows staged to a table, then keyed), then the fact over the
     published dimensions, so surrogate keys are computed once and shared."""
     cust = gold.customers_joined(_silver(wh, "crm_cust_info"), _silver(wh, "erp_cust_az12"),
                                  _silver(wh, "erp_loc_a101"))
     prod = gold.products_joined(_silver(wh, "crm_prd_info"), _silver(wh, "erp_px_cat_g1v2"))
-    for table, joined, order, key in (
-            ("dim_customers", cust, gold.CUSTOMER_ORDER, "customer_key"),
-            ("dim_products", prod, gold.PRODUCT_ORDER, "product_key")):
-        # Cut the lineage: the key step reads the joined rows several times (count, sample, number).
-        wh.publish("gold", f"_stage_{table}", joined)
-        staged = wh.read("gold", f"_stage_{table}")
-        _write_observed(wh, audit, "gold", table, gold.with_surrogate_key(staged, order, key))
+    def dimension(table: str, joined: DataFrame, order: list[str], key: str) -> Callable[[], None]:
+        def run() -> None:
+            # Cut the lineage: the key step reads the joined rows several times (count, sample, number).
+            wh.publish("gold", f"_stage_{table}", joined)
+            staged = wh.read("gold", f"_stage_{table}")
+            _write_observed(wh, audit, "gold", table, lambda: gold.with_surrogate_key(staged, order, key))
+        return run
+
+    run_concurrently([dimension("dim_customers", cust, gold.CUSTOMER_ORDER, "customer_key"),
+                      dimension("dim_products", prod, gold.PRODUCT_ORDER, "product_key")], max_workers)
     fact = gold.fact_sales(_silver(wh, "crm_sales_details"), wh.read("gold", "dim_products"),
                            wh.read("gold", "dim_customers"))
     _write_observed(wh, audit, "gold", "fact_sales", fact,

@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from tierline.functions import codes
 from tierline.functions.expressions import day_before
 from tierline.operators import gold, quality, silver
+from tierline.operators.joins import lookup_join
 from tierline.operators.ranged import dense_key, lead_in_group
 from tierline.plans.catalog import Warehouse
-from tierline.plans.layers import run_all
+from tierline.plans.layers import run_all, run_concurrently
 from tierline.plans.sinks import append, delete_where, refresh
 from tierline.session import scratch_path
 from tierline.sources.delimited import read_extract, write_extract
@@ -126,13 +127,13 @@ def q_fact_sales(spark, sf):
 
 def q_sales_star(spark, sf):
     """The fact joined back to both dimensions: revenue lines with product and customer context."""
-    fact = q_fact_sales(spark, sf)
-    dp = _dim_products(spark, sf).select("product_key", "product_name", "category", "product_line")
-    dc = _dim_customers(spark, sf).select("customer_key", "country", "gender")
-    return (fact.join(F.broadcast(dp), "product_key", "left")
-                .join(dc, "customer_key", "left")
-                .select("order_number", "order_date", "product_name", "category", "product_line",
-                        "country", "gender", "quantity", "price", "sales_amount"))
+    dim_prod, dim_cust = _dim_products(spark, sf), _dim_customers(spark, sf)
+    fact = gold.fact_sales(s_sales(spark, sf), dim_prod, dim_cust)
+    dp = dim_prod.select(F.col("product_key").alias("_tl_pk"), "product_name", "category", "product_line")
+    dc = dim_cust.select(F.col("customer_key").alias("_tl_ck"), "country", "gender")
+    star = lookup_join(lookup_join(fact, dp, [("product_key", "_tl_pk")]), dc, [("customer_key", "_tl_ck")])
+    return star.select("order_number", "order_date", "product_name", "category", "product_line",
+                       "country", "gender", "quantity", "price", "sales_amount")
 
 
 # ---- native driver tables ----------------------------------------------------------------------
@@ -343,8 +344,8 @@ def q_catalog_views(spark, sf):
 
 def stage_extracts(spark, sf, root: str) -> str:
     """Write the six dirty bronze frames as delimited extracts in the source folder layout."""
-    for name, rel in SOURCE_FILES.items():
-        write_extract(_bronze(spark, sf, name), f"{root}/{rel}")
+    run_concurrently([lambda n=name, r=rel: write_extract(_bronze(spark, sf, n), f"{root}/{r}")
+                      for name, rel in SOURCE_FILES.items()])
     return root
 
 
