@@ -7,7 +7,7 @@ partitioned by the raw product key and the derived price divides the raw sales a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +18,10 @@ from tierline.functions.expressions import (
 from tierline.operators.ranged import lead_in_group
 
 
+SILVER_COLUMNS_T1 = ("cst_id", "cst_key", "cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr",
+                     "cst_create_date")
+
+
 def latest_per_key(df: DataFrame, key: str | Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
     """Keep one row per ``key``: the first by ``newest_first`` (e.g. ``[desc(date), desc(seq)]``).
 
@@ -36,30 +40,37 @@ def _tiebreak(df: DataFrame, used: Sequence[str], tiebreak: Sequence[str] | None
     return [c for c in df.columns if c not in used]
 
 
-def clean_crm_customers(df: DataFrame, drop_null_ids: bool = True,
-                        tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """Newest row per ``cst_id``, trimmed names, marital status and gender as words.
+def clean_crm_customers(df: DataFrame, drop_null_ids: bool = True, tiebreak: Sequence[str] | None = None,
+                        key: str = "cst_id", created: str = "cst_create_date",
+                        names: Sequence[str] = ("cst_firstname", "cst_lastname"),
+                        coded: Mapping[str, Mapping[str, str]] | None = None,
+                        keep: Sequence[str] | None = SILVER_COLUMNS_T1) -> DataFrame:
+    """Newest row per ``key``, trimmed ``names``, coded columns as words.
 
     ``drop_null_ids=False`` is the append variant, which keeps one row for the NULL id group.
     Equal newest dates are broken by ``tiebreak`` (descending; default: all other columns) so the
-    result does not depend on shuffle order.
+    result does not depend on shuffle order. ``coded`` maps a column to its code map (default:
+    marital status and gender). ``keep`` lists the output columns (None: all input columns).
     """
+    coded = coded if coded is not None else {"cst_marital_status": codes.MARITAL_STATUS,
+                                             "cst_gndr": codes.CRM_GENDER}
     if drop_null_ids:
-        df = df.filter(F.col("cst_id").isNotNull())
-    tb = _tiebreak(df, ["cst_id", "cst_create_date"], tiebreak)
-    latest = latest_per_key(
-        df, "cst_id", [F.col("cst_create_date").desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tb]])
-    return latest.select(
-        "cst_id", "cst_key",
-        F.trim("cst_firstname").alias("cst_firstname"),
-        F.trim("cst_lastname").alias("cst_lastname"),
-        map_code("cst_marital_status", codes.MARITAL_STATUS).alias("cst_marital_status"),
-        map_code("cst_gndr", codes.CRM_GENDER).alias("cst_gndr"),
-        "cst_create_date")
-
-
-def clean_crm_products(df: DataFrame, tiebreak: Sequence[str] = ("prd_id",),
-                       n_buckets: int | None = None) -> DataFrame:
+        df = df.filter(F.col(key).isNotNull())
+    tb = _tiebreak(df, [key, created], tiebreak)
+    latest = latest_per_key(df, key, [F.col(created).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tb]])
+
+    def out(c: str) -> Column:
+        if c in names:
+            return F.trim(c).alias(c)
+        if c in coded:
+            return map_code(c, coded[c]).alias(c)
+        return F.col(c)
+
+    return latest.select(*[out(c) for c in (keep if keep is not None else df.columns)])
+
+
+def clean_crm_products(df: DataFrame, tiebreak: Sequence[str] = ("prd_id",), n_buckets: int | None = None,
+                       line_codes: Mapping[str, str] = codes.PRODUCT_LINE) -> DataFrame:
     """Category id and product number from the key, cost 0 when missing, line as a word,
     dates as DATE, and the history end = the day before the next start of the same raw key.
 
@@ -73,7 +84,7 @@ def clean_crm_products(df: DataFrame, tiebreak: Sequence[str] = ("prd_id",),
         remainder_from("prd_key", codes.PRODUCT_NUMBER_START).alias("prd_key"),
         "prd_nm",
         F.coalesce(F.col("prd_cost"), F.lit(0)).alias("prd_cost"),
-        map_code("prd_line", codes.PRODUCT_LINE).alias("prd_line"),
+        map_code("prd_line", line_codes).alias("prd_line"),
         F.to_date("prd_start_dt").alias("prd_start_dt"),
         day_before("_tl_next_start").alias("prd_end_dt"))
 
@@ -109,20 +120,21 @@ def clean_crm_sales(df: DataFrame, order_dt: str = "sls_order_dt", ship_dt: str
     return df.select(*out)
 
 
-def clean_erp_customers(df: DataFrame, as_of: str | Column | None = None) -> DataFrame:
-    """T4: strip the ``NAS`` id prefix, birth dates after ``as_of`` (default today) -> NULL,
-    gender words."""
+def clean_erp_customers(df: DataFrame, as_of: str | Column | None = None,
+                        gender_codes: Mapping[str, str] = codes.ERP_GENDER,
+                        id_prefix: str = codes.ERP_ID_PREFIX) -> DataFrame:
+    """T4: strip the id prefix, birth dates after ``as_of`` (default today) -> NULL, gender words."""
     now = F.current_date() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date"))
     return df.select(
-        strip_prefix("cid", codes.ERP_ID_PREFIX).alias("cid"),
+        strip_prefix("cid", id_prefix).alias("cid"),
         F.when(F.col("bdate") > now, F.lit(None).cast("date")).otherwise(F.col("bdate")).alias("bdate"),
-        map_code("gen", codes.ERP_GENDER).alias("gen"))
+        map_code("gen", gender_codes).alias("gen"))
 
 
-def clean_erp_locations(df: DataFrame) -> DataFrame:
+def clean_erp_locations(df: DataFrame, country_codes: Mapping[str, str] = codes.COUNTRY) -> DataFrame:
     """T5: remove '-' from the id; country codes to names, blank or NULL -> 'n/a', else trimmed."""
     cntry = F.trim("cntry")
-    named = map_code("cntry", codes.COUNTRY, default=None, normalize=F.trim)
+    named = map_code("cntry", country_codes, default=None, normalize=F.trim)
     return df.select(
         F.replace(F.col("cid"), F.lit(codes.LOCATION_ID_SEPARATOR), F.lit("")).alias("cid"),
         F.when(named.isNotNull(), named)
