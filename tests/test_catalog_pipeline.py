@@ -114,3 +114,23 @@ def test_typed_tables_enforce_fifty_characters(spark):
     silver_t = refresh(wh, "silver", "erp_loc_a101", ok, audit_column=True, schema=SILVER["erp_loc_a101"])
     row = spark.table(silver_t).first()
     assert row["dwh_create_date"] is not None
+
+
+def test_append_silver_twice_doubles_rows_and_keeps_null_group(spark):
+    from tierline.plans.layers import RunAudit, append_silver, load_bronze
+
+    sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "src"))
+    wh = _wh(spark)
+    wh.ensure_layers(("bronze", "silver", "gold", "work"))
+    audit = RunAudit()
+    load_bronze(wh, sources, audit)
+    append_silver(wh, audit)
+    append_silver(wh, audit)
+    cust = wh.read("silver", "crm_cust_info_appended")
+    ids = wh.read("bronze", "crm_cust_info").select("cst_id").distinct().count()   # NULL counts as one group
+    assert cust.count() == 2 * ids
+    assert cust.filter(F.col("cst_id").isNull()).count() == 2
+    assert cust.filter(F.col("dwh_create_date").isNull()).count() == 0
+    sales = wh.read("silver", "crm_sales_details_appended").count()
+    assert sales == 2 * wh.read("bronze", "crm_sales_details").count()
+    assert all(r[6] == "ok" for r in audit.rows)

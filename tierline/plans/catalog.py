@@ -121,4 +121,4 @@ class Warehouse:
         return self.spark.table(f"{self.db(layer)}.{table}")
 
     def exists(self, layer: str, table: str) -> bool:
-        return self.spark.catalog.tableExists(table, self.db(layer))
+        return self.spark.catalog.tableExists(f"{self.db(layer)}.{table}")

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from tierline.functions.expressions import bad_int_date
 from tierline.operators import gold, silver
 from tierline.plans.catalog import Warehouse
-from tierline.plans.sinks import refresh
+from tierline.plans.sinks import append, refresh
 from tierline.sources.delimited import CORRUPT_COLUMN, read_extract
 from tierline.sources.schemas import BRONZE, SILVER, SOURCE_FILES
 
@@ -126,6 +126,33 @@ def load_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int = L
     run_concurrently([step(t, df, bad) for t, (df, bad) in silver_frames(wh, as_of).items()], max_workers)
 
 
+def append_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int = LOAD_THREADS) -> None:
+    """S3 for all six tables: the cleaned bronze rows are appended by column name to typed silver
+    tables (created when missing, ``dwh_create_date`` filled by its default). Customers use the
+    append variant of T1, which keeps one row for the NULL id group."""
+    frames = silver_frames(wh, as_of)
+    b_cust = wh.read("bronze", "crm_cust_info")
+    frames["crm_cust_info"] = (silver.clean_crm_customers(b_cust, drop_null_ids=False), None)
+
+    def step(table: str, df: DataFrame) -> Callable[[], None]:
+        def run() -> None:
+            start = time.perf_counter()
+            target = f"{table}_appended"
+            try:
+                if not wh.exists("silver", target):
+                    wh.create_table("silver", target, SILVER[table], with_audit=True, replace=False)
+                obs = Observation(f"append_{table}_{uuid.uuid4().hex[:8]}")
+                rows = df.select(*SILVER[table].fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows"))
+                append(wh, "silver", target, rows)
+            except Exception as exc:
+                audit.record("silver", target, None, None, time.perf_counter() - start, "failed", str(exc)[:500])
+                raise
+            audit.record("silver", target, int(obs.get["rows"]), 0, time.perf_counter() - start)
+        return run
+
+    run_concurrently([step(t, df) for t, (df, _) in frames.items()], max_workers)
+
+
 def _silver(wh: Warehouse, table: str) -> DataFrame:
     return wh.read("silver", table).drop("dwh_create_date")
 
@@ -139,8 +166,8 @@ def load_gold(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS) -
     def dimension(table: str, joined: DataFrame, order: list[str], key: str) -> Callable[[], None]:
         def run() -> None:
             # Cut the lineage: the key step reads the joined rows several times (count, sample, number).
-            wh.publish("gold", f"_stage_{table}", joined)
-            staged = wh.read("gold", f"_stage_{table}")
+            wh.publish("work", f"stage_{table}", joined)
+            staged = wh.read("work", f"stage_{table}")
             _write_observed(wh, audit, "gold", table, lambda: gold.with_surrogate_key(staged, order, key))
         return run
 
@@ -167,7 +194,7 @@ def run_all(wh: Warehouse, source_root: str, as_of=None,
     """Bronze -> silver -> gold; the audit is written even when a layer fails, then the error
     is raised."""
     audit = RunAudit()
-    wh.ensure_layers()
+    wh.ensure_layers(("bronze", "silver", "gold", "work"))
     try:
         load_bronze(wh, source_root, audit)
         if on_layer_done:
