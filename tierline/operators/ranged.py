@@ -4,7 +4,7 @@
 table (or a whole group) into one task. Here the total order is cut into contiguous ranges:
 
 1. count the input and take a bounded random sample of the order columns;
-2. let Spark sort the sample and keep every m-th row as a cut (a literal);
+2. let Spark rank the sample and return the first row of each equal slice as a cut (a literal);
 3. ``bucket`` = number of cuts below the row's order key, found by binary search over the cuts
    (a pure function of the key, so recomputing a lost task gives the same bucket);
 4. number / look ahead inside each bucket, then stitch buckets with a table that has one row per
@@ -24,10 +24,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_BUCKET = 2_000_000
-SAMPLE_PER_BUCKET = 64
+SAMPLE_PER_BUCKET = 256
+MAX_SAMPLE_ROWS = 1_000_000
 SEED = 20240607
 
 _BUCKET = "_tl_bucket"
+_PLACE = "_tl_place"
 
 
 def _default_buckets(spark, n_rows: int, rows_per_bucket: int) -> int:
@@ -39,28 +41,34 @@ def sample_cuts(df: DataFrame, order_cols: Sequence[str], n_buckets: int,
                 n_rows: int | None = None, seed: int = SEED) -> list[tuple]:
     """Up to ``n_buckets - 1`` distinct cut keys splitting ``order_cols`` into similar ranges.
 
-    Only a bounded sample (about ``SAMPLE_PER_BUCKET`` rows per bucket) reaches the driver, as
-    strings so that literal types follow the columns exactly (session time zone included).
+    A Bernoulli sample of about ``SAMPLE_PER_BUCKET`` rows per bucket (at most
+    ``MAX_SAMPLE_ROWS``) is ranked by Spark; the first row of each of ``n_buckets`` equal slices of
+    that ranking is a cut. Only the cuts reach the driver, as strings, so literal types follow the
+    columns exactly (session time zone included).
     """
     if n_buckets <= 1:
         return []
     n_rows = df.count() if n_rows is None else n_rows
     if n_rows == 0:
         return []
-    want = n_buckets * SAMPLE_PER_BUCKET
-    frac = min(1.0, 2.0 * want / n_rows)
+    want = min(n_buckets * SAMPLE_PER_BUCKET, MAX_SAMPLE_ROWS)
+    frac = min(1.0, want / n_rows)
     sample = df.select(*order_cols)
     if frac < 1.0:
         sample = sample.sample(withReplacement=False, fraction=frac, seed=seed)
-    rows = (sample.orderBy(F.rand(seed)).limit(want)
-            .orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-            .select(*[F.col(c).cast("string").alias(c) for c in order_cols])
-            .collect())
-    if len(rows) < 2:
-        return []
+    # The sample is bounded (about ``want`` rows), so ranking it in one partition is cheap.
+    ranked = sample.select(
+        *order_cols,
+        F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])).alias("_tl_r"),
+        F.count(F.lit(1)).over(Window.partitionBy()).alias("_tl_m"))
+    r, m = F.col("_tl_r"), F.col("_tl_m")
+    slice_of = lambda x: F.call_function("div", x * n_buckets, m)
+    first_of_slice = (r >= 2) & (slice_of(r - 1) > slice_of(r - 2))
+    rows = (ranked.filter(first_of_slice).orderBy("_tl_r")
+            .select(*[F.col(c).cast("string").alias(c) for c in order_cols]).collect())
     cuts: list[tuple] = []
-    for i in range(1, n_buckets):
-        cut = tuple(rows[(i * len(rows)) // n_buckets])
+    for row in rows:
+        cut = tuple(row)
         if not cuts or cuts[-1] != cut:
             cuts.append(cut)
     return cuts
@@ -85,6 +93,32 @@ def bucket_of(df: DataFrame, order_cols: Sequence[str], cuts: Sequence[tuple]) -
     return search(0, len(lits))
 
 
+_ALIGNED: dict[int, list[int]] = {}
+
+
+def aligned_ids(spark, n: int) -> list[int]:
+    """For each partition index ``i`` of ``n``, an INT whose hash partition (``pmod(hash(v), n)``,
+    what ``repartition(n, col)`` uses) is ``i``. Found once per ``n`` by a small probe job."""
+    if n not in _ALIGNED:
+        probe = spark.range(0, 64 * n).select(F.col("id").cast("int").alias("v"))
+        rows = (probe.groupBy(F.pmod(F.hash("v"), F.lit(n)).alias("p"))
+                .agg(F.min("v").alias("v")).collect())
+        found = {r["p"]: r["v"] for r in rows}
+        _ALIGNED[n] = [found.get(i, i) for i in range(n)]
+    return _ALIGNED[n]
+
+
+def _place_buckets(tagged: DataFrame, n: int) -> DataFrame:
+    """Shuffle so that bucket ``b`` (0..n-1) is exactly partition ``b``: one bucket per task.
+
+    Plain hash partitioning on the bucket number would put several buckets into some tasks and
+    none into others; with range buckets of equal size that doubles or triples the slowest task.
+    """
+    ids = aligned_ids(tagged.sparkSession, n)
+    placed = tagged.withColumn(_PLACE, F.element_at(F.array(*[F.lit(v) for v in ids]), F.col(_BUCKET) + 1))
+    return placed.repartition(n, _PLACE)
+
+
 def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str,
               n_buckets: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``row_number() over (order by order_cols)`` as a BIGINT column, without one global task.
@@ -104,7 +138,8 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str,
         # One bucket: the input has at most ``rows_per_bucket`` rows (counted above).
         return df.withColumn(key_name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     tagged = df.withColumn(_BUCKET, bucket_of(df, order_cols, cuts))
-    numbered = tagged.withColumn("_tl_rn", F.row_number().over(Window.partitionBy(_BUCKET).orderBy(*order)))
+    placed = _place_buckets(tagged, len(cuts) + 1)
+    numbered = placed.withColumn("_tl_rn", F.row_number().over(Window.partitionBy(_PLACE).orderBy(*order)))
     sizes = tagged.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("_tl_n"))
     offsets = sizes.select(
         _BUCKET,
@@ -112,7 +147,7 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str,
                    F.lit(0)).alias("_tl_offset"))
     return (numbered.join(F.broadcast(offsets), _BUCKET)
             .withColumn(key_name, (F.col("_tl_offset") + F.col("_tl_rn")).cast("bigint"))
-            .drop(_BUCKET, "_tl_rn", "_tl_offset"))
+            .drop(_BUCKET, _PLACE, "_tl_rn", "_tl_offset"))
 
 
 def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
@@ -139,8 +174,9 @@ def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
         w = Window.partitionBy(*group_cols).orderBy(*order)
         return df.withColumn(out_col, F.lead(value_col).over(w))
     tagged = df.withColumn(_BUCKET, bucket_of(df, full, cuts))
-    w = Window.partitionBy(_BUCKET, *group_cols).orderBy(*order)
-    inner = (tagged.withColumn(out_col, F.lead(value_col).over(w))
+    # One bucket per task; the window's (bucket, group) partitions need no further exchange.
+    w = Window.partitionBy(_PLACE, *group_cols).orderBy(*order)
+    inner = (_place_buckets(tagged, len(cuts) + 1).withColumn(out_col, F.lead(value_col).over(w))
              .withColumn("_tl_last", F.lead(F.lit(1)).over(w).isNull()))
     head = F.min_by(F.struct(*[F.col(c) for c in group_cols], F.col(value_col).alias("_tl_v")),
                     F.struct(*[F.col(c) for c in full]))
@@ -155,4 +191,4 @@ def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
         same_group = e if same_group is None else same_group & e
     carried = F.when(same_group, F.col("_tl_next_head._tl_v"))
     return (joined.withColumn(out_col, F.when(F.col("_tl_last"), carried).otherwise(F.col(out_col)))
-            .drop(_BUCKET, "_tl_b", "_tl_last", "_tl_next_head"))
+            .drop(_BUCKET, _PLACE, "_tl_b", "_tl_last", "_tl_next_head"))
