@@ -3,7 +3,8 @@
 * A side is broadcast only after counting it against a row and byte bound.
 * Otherwise the join shuffles on (key, salt). Keys that hold at least ``hot_share`` of the big
   side's rows (found in a bounded sample, so at most ``1 / hot_share`` of them) get their big-side
-  rows spread over ``salts`` partitions and their small-side rows copied once per salt. NULL keys,
+  rows spread over ``salts`` values (default: 4 per shuffle partition) and their small-side rows
+  copied once per salt. NULL keys,
   which never match, are spread the same way, so a third of the rows being NULL does not land in
   one task either. Every row is kept; nothing is sampled away.
 * ``NOT IN (subquery)`` is null-aware: an empty subquery keeps every row, a NULL in it keeps none,
@@ -24,6 +25,7 @@ BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 HOT_SHARE = 0.01
 HOT_SAMPLE_ROWS = 50_000
 SEED = 4242
+SALTS_PER_PARTITION = 4
 
 _SALT = "_tl_salt"
 
@@ -98,7 +100,9 @@ def salted_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
     ``how`` is ``left``, ``inner`` or ``left_anti``. Output columns: ``left``'s then ``right``'s.
     """
     spark = left.sparkSession
-    salts = salts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # More salts than partitions: (key, salt) pairs are placed by hash, and 4 salts per partition
+    # even out the collisions (only hot keys' small-side rows are copied, at most ~100 keys).
+    salts = salts or SALTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     lkeys = [lk for lk, _ in pairs]
     rkeys = [rk for _, rk in pairs]
     if hot is None:

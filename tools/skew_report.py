@@ -61,7 +61,7 @@ def main() -> None:
     run("key: range buckets", dense_key(orders, ["o_orderdate", "o_orderkey"], "k", n_buckets=16))
     run("latest per key: window rn=1", latest_per_key(orders, "o_custkey", [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]))
     run("join: plain shuffle join", orders.join(customers, orders["o_custkey"] == customers["c_custkey"], "left"))
-    run("join: salted shuffle join", joins.salted_join(orders, customers, [("o_custkey", "c_custkey")], "left", salts=16))
+    run("join: salted shuffle join", joins.salted_join(orders, customers, [("o_custkey", "c_custkey")], "left"))
     spark.stop()
 
     stage_group: dict[int, str] = {}
