@@ -82,3 +82,20 @@ def test_not_in_sql_semantics(spark, skewed):
         for max_rows in (1_000_000, 5):  # broadcast path and salted shuffle path
             got = joins.not_in(skewed, "k", right, "rk", max_rows=max_rows).select("id")
             assert sorted(got.collect()) == sorted(expect.collect()), (name, max_rows)
+
+
+def test_buckets_are_balanced_under_a_hot_key(skewed):
+    cuts = sample_cuts(skewed, ["k", "id"], 6)
+    sizes = [r["count"] for r in skewed.groupBy(bucket_of(skewed, ["k", "id"], cuts).alias("b")).count().collect()]
+    mean = sum(sizes) / len(sizes)
+    assert len(sizes) == len(cuts) + 1 and max(sizes) <= 1.5 * mean
+
+
+def test_placement_ids_hit_every_partition_once(spark):
+    from tierline.operators.ranged import aligned_ids
+
+    for n in (1, 7, 16):
+        ids = aligned_ids(spark, n)
+        got = spark.createDataFrame([(v,) for v in ids], "v int").select(
+            F.pmod(F.hash("v"), F.lit(n)).alias("p")).collect()
+        assert [r["p"] for r in got] == list(range(n))
