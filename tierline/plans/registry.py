@@ -76,6 +76,14 @@ def _dim_products(spark, sf):
     return gold.dim_products(s_prd(spark, sf), s_cat(spark, sf))
 
 
+def _materialised(spark, df, tag):
+    """Write ``df`` once to a fresh Parquet folder under the shared checkpoint folder and read it
+    back: later size checks and joins read the files instead of recomputing the plan."""
+    path = scratch_path(spark, f"stage-{tag}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def _as_dates(df, cols):
     return df.select(*[F.to_date(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -122,12 +130,16 @@ def q_dim_products(spark, sf):
 
 
 def q_fact_sales(spark, sf):
-    return gold.fact_sales(s_sales(spark, sf), _dim_products(spark, sf), _dim_customers(spark, sf))
+    # As in the layer jobs, each dimension is materialised once and shared by the checks and joins.
+    dim_prod = _materialised(spark, _dim_products(spark, sf), "dim-products")
+    dim_cust = _materialised(spark, _dim_customers(spark, sf), "dim-customers")
+    return gold.fact_sales(s_sales(spark, sf), dim_prod, dim_cust)
 
 
 def q_sales_star(spark, sf):
     """The fact joined back to both dimensions: revenue lines with product and customer context."""
-    dim_prod, dim_cust = _dim_products(spark, sf), _dim_customers(spark, sf)
+    dim_prod = _materialised(spark, _dim_products(spark, sf), "dim-products")
+    dim_cust = _materialised(spark, _dim_customers(spark, sf), "dim-customers")
     fact = gold.fact_sales(s_sales(spark, sf), dim_prod, dim_cust)
     dp = dim_prod.select(F.col("product_key").alias("_tl_pk"), "product_name", "category", "product_line")
     dc = dim_cust.select(F.col("customer_key").alias("_tl_ck"), "country", "gender")
@@ -284,8 +296,8 @@ def q_dq_product_fanout(spark, sf):
 
 def q_dq_fk_integrity(spark, sf):
     cust = _seeded_customers(spark, sf)
-    dc = _dim_customers(spark, sf, cust)
-    dp = _dim_products(spark, sf)
+    dc = _materialised(spark, _dim_customers(spark, sf, cust), "dim-customers")
+    dp = _materialised(spark, _dim_products(spark, sf), "dim-products")
     fact = gold.fact_sales(s_sales(spark, sf), dp, dc)
     return quality.fk_integrity(fact, dc, dp)
 
