@@ -97,7 +97,8 @@ def salted_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
                 salts: int | None = None, hot: DataFrame | None = None) -> DataFrame:
     """Shuffle join of ``left`` (big, maybe skewed) with ``right`` on ``pairs`` (left, right keys).
 
-    ``how`` is ``left``, ``inner`` or ``left_anti``. Output columns: ``left``'s then ``right``'s.
+    ``how`` is ``left``, ``inner`` or ``left_anti``. Output columns: ``left``'s then ``right``'s
+    (right-side names must not repeat left-side names). ``hot`` overrides the sampled hot keys.
     """
     spark = left.sparkSession
     # More salts than partitions: (key, salt) pairs are placed by hash, and 4 salts per partition
@@ -114,8 +115,8 @@ def salted_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
         any_null = e if any_null is None else any_null | e
 
     hot_l = hot.withColumn("_tl_hot", F.lit(True))
-    tagged = left.join(F.broadcast(hot_l), on=lkeys, how="left") if hot.columns else left
-    # Join on names keeps left's columns in order after the keys; restore the original order.
+    tagged = left.join(F.broadcast(hot_l), on=lkeys, how="left")
+    # Join on names puts the keys first; restore left's column order.
     tagged = tagged.select(*left.columns, F.coalesce(F.col("_tl_hot"), F.lit(False)).alias("_tl_hot"))
     salted_left = tagged.withColumn(
         _SALT, F.when(F.col("_tl_hot") | any_null, row_hash).otherwise(F.lit(0))).drop("_tl_hot")
