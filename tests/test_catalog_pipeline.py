@@ -134,3 +134,34 @@ def test_append_silver_twice_doubles_rows_and_keeps_null_group(spark):
     sales = wh.read("silver", "crm_sales_details_appended").count()
     assert sales == 2 * wh.read("bronze", "crm_sales_details").count()
     assert all(r[6] == "ok" for r in audit.rows)
+
+
+def test_scale_conf_sizes_partitions():
+    from tierline.session import scale_conf
+
+    small = scale_conf(10 * 1024 ** 2)
+    big = scale_conf(100 * 1024 ** 4)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(big["spark.sql.shuffle.partitions"]) == 65536
+    assert int(scale_conf(1024 ** 4)["spark.sql.shuffle.partitions"]) == 4096
+
+
+def test_cli_run_and_quality(spark):
+    from tierline.__main__ import main
+
+    sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "cli-src"))
+    root = scratch_path(spark, "cli-wh")
+    from tierline.session import scale_conf
+
+    keys = list(scale_conf(0))
+    saved = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        assert main(["run", "--sources", sources, "--warehouse", root, "--prefix", "cli_"]) == 0
+        assert main(["quality", "--warehouse", root, "--prefix", "cli_", "--as-of", "2026-01-01"]) == 0
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert spark.table("cli_gold.fact_sales").count() == spark.table("cli_bronze.crm_sales_details").count()

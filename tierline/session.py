@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -68,3 +69,42 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared folder, for one run."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+# Target bytes per task for scans and shuffles: small enough to sort and hash in executor memory
+# without heavy spilling, large enough that task overhead stays small.
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 65536
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = TARGET_PARTITION_BYTES,
+               min_partitions: int = 200) -> dict[str, str]:
+    """Runtime settings sized to the input volume: shuffle partitions of about
+    ``target_partition_bytes`` (AQE coalesces small ones and splits skewed join partitions),
+    scan splits of the same size."""
+    parts = max(min_partitions, min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes / target_partition_bytes)))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, **kwargs) -> dict[str, str]:
+    conf = scale_conf(input_bytes, **kwargs)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (any Hadoop file system), 0 if it does not exist."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return 0
+    return int(fs.getContentSummary(hpath).getLength())
