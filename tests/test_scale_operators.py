@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tierline.operators import joins
-from tierline.operators.ranged import bucket_of, dense_key, lead_in_group, sample_cuts
+from tierline.operators.ranged import dense_key, lead_in_group, sample_cuts, with_bucket
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,7 @@ def skewed(spark):
 def test_cuts_split_a_hot_key_when_order_is_total(skewed):
     cuts = sample_cuts(skewed, ["k", "id"], 6)
     assert len(cuts) >= 4
-    tagged = skewed.withColumn("b", bucket_of(skewed, ["k", "id"], cuts))
+    tagged = with_bucket(skewed, ["k", "id"], cuts, "b")
     hot_buckets = tagged.filter("k = 7").select("b").distinct().count()
     assert hot_buckets >= 2
     # Buckets are ranges: ordering by (bucket) never contradicts ordering by the key.
@@ -86,7 +86,7 @@ def test_not_in_sql_semantics(spark, skewed):
 
 def test_buckets_are_balanced_under_a_hot_key(skewed):
     cuts = sample_cuts(skewed, ["k", "id"], 6)
-    sizes = [r["count"] for r in skewed.groupBy(bucket_of(skewed, ["k", "id"], cuts).alias("b")).count().collect()]
+    sizes = [r["count"] for r in with_bucket(skewed, ["k", "id"], cuts, "b").groupBy("b").count().collect()]
     mean = sum(sizes) / len(sizes)
     assert len(sizes) == len(cuts) + 1 and max(sizes) <= 1.5 * mean
 
@@ -99,3 +99,16 @@ def test_placement_ids_hit_every_partition_once(spark):
         got = spark.createDataFrame([(v,) for v in ids], "v int").select(
             F.pmod(F.hash("v"), F.lit(n)).alias("p")).collect()
         assert [r["p"] for r in got] == list(range(n))
+
+
+def test_many_cuts_stay_compiled_and_exact(spark):
+    # Thousands of cuts: the stepwise search must agree with a direct count of cuts below the key.
+    df = spark.range(0, 20000).select((F.col("id") * 7919 % 20000).alias("k"),
+                                      F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 5).alias("v"))
+    cuts = sample_cuts(df, ["v", "k"], 3000)
+    assert len(cuts) > 1000
+    got = with_bucket(df, ["v", "k"], cuts, "b")
+    lits = spark.createDataFrame([(None if c[0] is None else int(c[0]), int(c[1])) for c in cuts], "cv long, ck long")
+    expect = (df.join(lits, F.struct("v", "k") > F.struct(F.col("cv").alias("v"), F.col("ck").alias("k")), "left")
+                .groupBy("v", "k").agg(F.count("ck").alias("b")))
+    assert sorted(got.select("v", "k", "b").collect(), key=repr) == sorted(expect.collect(), key=repr)

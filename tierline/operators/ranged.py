@@ -5,8 +5,8 @@ table (or a whole group) into one task. Here the total order is cut into contigu
 
 1. count the input and take a bounded random sample of the order columns;
 2. let Spark rank the sample and return the first row of each equal slice as a cut (a literal);
-3. ``bucket`` = number of cuts below the row's order key, found by binary search over the cuts
-   (a pure function of the key, so recomputing a lost task gives the same bucket);
+3. ``bucket`` = number of cuts below the row's order key, found by a stepwise binary search over
+   the cuts (a pure function of the key, so recomputing a lost task gives the same bucket);
 4. number / look ahead inside each bucket, then stitch buckets with a table that has one row per
    bucket (keys) or per (bucket, group) pair (``lead``).
 
@@ -17,11 +17,13 @@ and the source system's.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROWS_PER_BUCKET = 2_000_000
 SAMPLE_PER_BUCKET = 256
@@ -62,7 +64,7 @@ def sample_cuts(df: DataFrame, order_cols: Sequence[str], n_buckets: int,
         F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])).alias("_tl_r"),
         F.count(F.lit(1)).over(Window.partitionBy()).alias("_tl_m"))
     r, m = F.col("_tl_r"), F.col("_tl_m")
-    slice_of = lambda x: F.call_function("div", x * n_buckets, m)
+    slice_of = lambda x: F.call_function("div", x.cast("bigint") * n_buckets, m)
     first_of_slice = (r >= 2) & (slice_of(r - 1) > slice_of(r - 2))
     rows = (ranked.filter(first_of_slice).orderBy("_tl_r")
             .select(*[F.col(c).cast("string").alias(c) for c in order_cols]).collect())
@@ -74,23 +76,35 @@ def sample_cuts(df: DataFrame, order_cols: Sequence[str], n_buckets: int,
     return cuts
 
 
-def bucket_of(df: DataFrame, order_cols: Sequence[str], cuts: Sequence[tuple]) -> Column:
-    """Number of cuts strictly below ``struct(order_cols)`` (0..len(cuts)), by binary search.
+def with_bucket(df: DataFrame, order_cols: Sequence[str], cuts: Sequence[tuple], name: str = "_tl_bucket") -> DataFrame:
+    """Add ``name`` = number of cuts strictly below ``struct(order_cols)`` (0..len(cuts)).
 
-    Struct comparison orders NULL fields first, so NULLs land in the lowest buckets, as they sort.
+    A branch-free binary search: the cuts are one constant array, and each of
+    ``ceil(log2(len(cuts) + 1))`` projections advances the position by a power of two when the
+    key is above the cut there. Generated code stays O(log n) however many buckets there are (a
+    CASE tree over n literals outgrows the JVM method limit and falls back to interpreted
+    evaluation). Struct comparison orders NULL fields first, so NULLs land in the lowest buckets,
+    as they sort.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     key = F.struct(*[F.col(c) for c in order_cols])
-    lits = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order_cols, cut)])
-            for cut in cuts]
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key > lits[mid], search(mid + 1, hi)).otherwise(search(lo, mid))
-
-    return search(0, len(lits))
+    # One JSON string literal (cuts as strings), parsed and cast to the key's types: Spark folds it
+    # into a single constant, and the plan stays small however many cuts there are.
+    as_text = T.ArrayType(T.StructType([T.StructField(c, T.StringType(), True) for c in order_cols]))
+    typed = T.ArrayType(T.StructType([T.StructField(c, types[c], True) for c in order_cols]))
+    payload = json.dumps([dict(zip(order_cols, cut)) for cut in cuts])
+    table = F.from_json(F.lit(payload), as_text).cast(typed)
+    out = df.withColumn(name, F.lit(0))
+    step = 1
+    while step * 2 <= len(cuts):
+        step *= 2
+    while step >= 1:
+        probe = F.col(name) + F.lit(step)
+        # Out-of-range probes read NULL (try_element_at), the comparison is then not true.
+        above = key > F.try_element_at(table, probe)
+        out = out.withColumn(name, F.when(above, probe).otherwise(F.col(name)))
+        step //= 2
+    return out
 
 
 _ALIGNED: dict[int, list[int]] = {}
@@ -137,7 +151,7 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str,
     if not cuts:
         # One bucket: the input has at most ``rows_per_bucket`` rows (counted above).
         return df.withColumn(key_name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    tagged = df.withColumn(_BUCKET, bucket_of(df, order_cols, cuts))
+    tagged = with_bucket(df, order_cols, cuts, _BUCKET)
     placed = _place_buckets(tagged, len(cuts) + 1)
     numbered = placed.withColumn("_tl_rn", F.row_number().over(Window.partitionBy(_PLACE).orderBy(*order)))
     sizes = tagged.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("_tl_n"))
@@ -173,7 +187,7 @@ def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
         # One bucket: the input has at most ``rows_per_bucket`` rows (counted above).
         w = Window.partitionBy(*group_cols).orderBy(*order)
         return df.withColumn(out_col, F.lead(value_col).over(w))
-    tagged = df.withColumn(_BUCKET, bucket_of(df, full, cuts))
+    tagged = with_bucket(df, full, cuts, _BUCKET)
     # One bucket per task; the window's (bucket, group) partitions need no further exchange.
     w = Window.partitionBy(_PLACE, *group_cols).orderBy(*order)
     inner = (_place_buckets(tagged, len(cuts) + 1).withColumn(out_col, F.lead(value_col).over(w))
