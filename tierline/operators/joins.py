@@ -3,8 +3,8 @@
 * A side is broadcast only after counting it against a row and byte bound.
 * Otherwise the join shuffles on (key, salt). Keys that hold at least ``hot_share`` of the big
   side's rows (found in a bounded sample, so at most ``1 / hot_share`` of them) get their big-side
-  rows spread over ``salts`` values (default: 4 per shuffle partition) and their small-side rows
-  copied once per salt. NULL keys,
+  rows spread over salt values in proportion to their share (up to 4 per shuffle partition for a
+  key holding all rows) and their small-side rows copied once per salt of that key. NULL keys,
   which never match, are spread the same way, so a third of the rows being NULL does not land in
   one task either. Every row is kept; nothing is sampled away.
 * ``NOT IN (subquery)`` is null-aware: an empty subquery keeps every row, a NULL in it keeps none,
@@ -25,7 +25,7 @@ BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 HOT_SHARE = 0.01
 HOT_SAMPLE_ROWS = 50_000
 SEED = 4242
-SALTS_PER_PARTITION = 4
+SALTS_PER_PARTITION = 8
 
 _SALT = "_tl_salt"
 
@@ -67,7 +67,8 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
 
 def hot_keys(df: DataFrame, keys: Sequence[str], n_rows: int | None = None,
              share: float = HOT_SHARE, sample_rows: int = HOT_SAMPLE_ROWS, seed: int = SEED) -> DataFrame:
-    """Non-null key values that hold at least ``share`` of the rows, judged on a sample.
+    """Non-null key values that hold at least ``share`` of the rows, judged on a sample, with their
+    sampled share of the rows (``_tl_share``).
 
     The result has at most about ``1 / share`` rows (their sample counts cannot add up to more than
     the sample), is computed once and brought back as a small local frame, so every later use sees
@@ -79,8 +80,10 @@ def hot_keys(df: DataFrame, keys: Sequence[str], n_rows: int | None = None,
     frac = min(1.0, sample_rows / max(n_rows, 1))
     if frac < 1.0:
         sample = sample.sample(withReplacement=False, fraction=frac, seed=seed)
-    threshold = max(2.0, share * frac * n_rows)
-    counts = sample.groupBy(*keys).count().filter(F.col("count") >= threshold).select(*keys)
+    expected = max(frac * n_rows, 1.0)
+    threshold = max(2.0, share * expected)
+    counts = (sample.groupBy(*keys).count().filter(F.col("count") >= threshold)
+              .select(*keys, (F.col("count") / F.lit(expected)).alias("_tl_share")))
     rows = counts.collect()
     return spark.createDataFrame(rows, schema=counts.schema)
 
@@ -101,8 +104,8 @@ def salted_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
     (right-side names must not repeat left-side names). ``hot`` overrides the sampled hot keys.
     """
     spark = left.sparkSession
-    # More salts than partitions: (key, salt) pairs are placed by hash, and 4 salts per partition
-    # even out the collisions (only hot keys' small-side rows are copied, at most ~100 keys).
+    # A key holding all rows would get 8 salts per partition: (key, salt) pairs are placed by
+    # hash, and several salts per partition even out the collisions.
     salts = salts or SALTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     lkeys = [lk for lk, _ in pairs]
     rkeys = [rk for _, rk in pairs]
@@ -114,20 +117,25 @@ def salted_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
         e = F.col(k).isNull()
         any_null = e if any_null is None else any_null | e
 
-    hot_l = hot.withColumn("_tl_hot", F.lit(True))
+    # Each hot key gets salts in proportion to its share: the hottest key spreads widest, and the
+    # copies of small-side rows add up to at most ~``salts`` whatever the number of hot keys.
+    if "_tl_share" not in hot.columns:
+        hot = hot.withColumn("_tl_share", F.lit(1.0))
+    key_salts = F.greatest(F.lit(1), F.ceil(F.col("_tl_share") * F.lit(salts)).cast("int"))
+    hot_l = hot.select(*lkeys, key_salts.alias("_tl_n"))
     tagged = left.join(F.broadcast(hot_l), on=lkeys, how="left")
     # Join on names puts the keys first; restore left's column order.
-    tagged = tagged.select(*left.columns, F.coalesce(F.col("_tl_hot"), F.lit(False)).alias("_tl_hot"))
+    tagged = tagged.select(*left.columns, "_tl_n")
+    # Hot rows spread over their key's salts; NULL keys (never matched) over all salts; others 0.
     salted_left = tagged.withColumn(
-        _SALT, F.when(F.col("_tl_hot") | any_null, row_hash).otherwise(F.lit(0))).drop("_tl_hot")
+        _SALT, F.when(F.col("_tl_n").isNotNull(), F.pmod(row_hash, F.col("_tl_n")))
+                .when(any_null, row_hash).otherwise(F.lit(0))).drop("_tl_n")
 
-    hot_r = hot.select(*[F.col(lk).alias(rk) for lk, rk in pairs]).withColumn("_tl_hot", F.lit(True))
-    rtag = right.join(F.broadcast(hot_r), on=rkeys, how="left").select(
-        *right.columns, F.coalesce(F.col("_tl_hot"), F.lit(False)).alias("_tl_hot"))
+    hot_r = hot.select(*[F.col(lk).alias(rk) for lk, rk in pairs], key_salts.alias("_tl_n"))
+    rtag = right.join(F.broadcast(hot_r), on=rkeys, how="left").select(*right.columns, "_tl_n")
     salted_right = rtag.withColumn(
-        _SALT, F.explode(F.when(F.col("_tl_hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                         .otherwise(F.array(F.lit(0))))).drop("_tl_hot")
-    salted_right = salted_right.withColumnRenamed(_SALT, "_tl_rsalt")
+        "_tl_rsalt", F.explode(F.when(F.col("_tl_n").isNotNull(), F.sequence(F.lit(0), F.col("_tl_n") - 1))
+                               .otherwise(F.array(F.lit(0))))).drop("_tl_n")
 
     cond = _on(salted_left, salted_right, pairs) & (salted_left[_SALT] == salted_right["_tl_rsalt"])
     out = salted_left.join(salted_right, cond, how)

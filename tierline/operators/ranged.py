@@ -129,7 +129,9 @@ def _place_buckets(tagged: DataFrame, n: int) -> DataFrame:
     none into others; with range buckets of equal size that doubles or triples the slowest task.
     """
     ids = aligned_ids(tagged.sparkSession, n)
-    placed = tagged.withColumn(_PLACE, F.element_at(F.array(*[F.lit(v) for v in ids]), F.col(_BUCKET) + 1))
+    # One folded constant, however many buckets (a literal per bucket would bloat the plan).
+    table = F.split(F.lit(",".join(str(v) for v in ids)), ",").cast("array<int>")
+    placed = tagged.withColumn(_PLACE, F.element_at(table, F.col(_BUCKET) + 1))
     return placed.repartition(n, _PLACE)
 
 
