@@ -7,8 +7,8 @@ table (or a whole group) into one task. Here the total order is cut into contigu
 2. let Spark rank the sample and return the first row of each equal slice as a cut (a literal);
 3. ``bucket`` = number of cuts below the row's order key, found by a stepwise binary search over
    the cuts (a pure function of the key, so recomputing a lost task gives the same bucket);
-4. number / look ahead inside each bucket, then stitch buckets with a table that has one row per
-   bucket (keys) or per (bucket, group) pair (``lead``).
+4. place each bucket in its own partition, number / look ahead inside it, then stitch buckets
+   with a broadcast table of one row per bucket (row offsets for keys, head rows for ``lead``).
 
 Order columns must form a total order (append a unique tie-break), otherwise one key value that
 holds many rows stays in one bucket. Ordering is ascending with NULLs first, like Spark's default
