@@ -165,3 +165,13 @@ def test_cli_run_and_quality(spark):
             else:
                 spark.conf.set(k, v)
     assert spark.table("cli_gold.fact_sales").count() == spark.table("cli_bronze.crm_sales_details").count()
+
+
+def test_partitioned_publish_prunes_files(spark):
+    wh = _wh(spark)
+    df = spark.range(0, 100).select(F.col("id"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 5).cast("int")).alias("order_date"))
+    refresh(wh, "gold", "fact", df, partition_by=("order_date",))
+    filtered = wh.read("gold", "fact").filter(F.col("order_date") == F.lit("2020-01-03").cast("date"))
+    assert filtered.count() == 20
+    plan = filtered._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_date" in plan and "2020-01-03" in plan

@@ -84,13 +84,15 @@ class Warehouse:
                 out.append(int(m.group("n")))
         return sorted(out)
 
-    def publish(self, layer: str, table: str, df: DataFrame, schema=None, with_audit: bool = False) -> str:
+    def publish(self, layer: str, table: str, df: DataFrame, schema=None, with_audit: bool = False,
+                partition_by: tuple[str, ...] = ()) -> str:
         """Write ``df`` as the next version of ``table`` and repoint the view ``layer.table``.
 
         With ``schema`` the version is first created as a typed table (``VARCHAR(50)`` strings,
         optional defaulted audit column) and filled by ``INSERT INTO t (cols) SELECT``, so types,
         string limits and defaults are enforced by the table. A failed write drops its own version
-        and leaves the view on the previous one.
+        and leaves the view on the previous one. ``partition_by`` (untyped path) writes one folder
+        per value, so filters on those columns prune files.
         """
         self.ensure_namespace(layer)
         existing = self.versions(layer, table)
@@ -99,7 +101,10 @@ class Warehouse:
         target = self.name(layer, physical)
         try:
             if schema is None:
-                df.write.format("parquet").mode("errorifexists").saveAsTable(f"{self.db(layer)}.{physical}")
+                writer = df.write.format("parquet").mode("errorifexists")
+                if partition_by:
+                    writer = writer.partitionBy(*partition_by)
+                writer.saveAsTable(f"{self.db(layer)}.{physical}")
             else:
                 self.spark.sql(table_ddl(target, schema, with_audit=with_audit))
                 _insert_by_name(self.spark, target, df)

@@ -53,7 +53,8 @@ class RunAudit:
 
 def _write_observed(wh: Warehouse, audit: RunAudit, layer: str, table: str,
                     df: DataFrame | Callable[[], DataFrame], bad: Column | None = None,
-                    audit_column: bool = False, drop: tuple[str, ...] = (), schema=None) -> None:
+                    audit_column: bool = False, drop: tuple[str, ...] = (), schema=None,
+                    partition_by: tuple[str, ...] = ()) -> None:
     """Publish ``df`` (or the frame ``df()`` builds) while counting its rows and bad rows in the
     same job; ``drop`` lists helper columns used only by ``bad`` (removed before the write)."""
     obs = Observation(f"{layer}_{table}_{uuid.uuid4().hex[:8]}")
@@ -62,7 +63,8 @@ def _write_observed(wh: Warehouse, audit: RunAudit, layer: str, table: str,
     try:
         frame = df() if callable(df) else df
         observed = frame.observe(obs, F.count(F.lit(1)).alias("rows"), bad_expr.alias("bad_rows"))
-        refresh(wh, layer, table, observed.drop(*drop), audit_column=audit_column, schema=schema)
+        refresh(wh, layer, table, observed.drop(*drop), audit_column=audit_column, schema=schema,
+                partition_by=partition_by)
     except Exception as exc:  # recorded, then raised: the run stops here
         audit.record(layer, table, None, None, time.perf_counter() - start, "failed", str(exc)[:500])
         raise
@@ -157,9 +159,11 @@ def _silver(wh: Warehouse, table: str) -> DataFrame:
     return wh.read("silver", table).drop("dwh_create_date")
 
 
-def load_gold(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS) -> None:
+def load_gold(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS,
+              fact_partition_by: tuple[str, ...] = ()) -> None:
     """O3: dimensions first (joined rows staged to a table, then keyed), then the fact over the
-    published dimensions, so surrogate keys are computed once and shared."""
+    published dimensions, so surrogate keys are computed once and shared. ``fact_partition_by``
+    (e.g. ``("order_date",)``) writes the fact in one folder per value for partition pruning."""
     cust = gold.customers_joined(_silver(wh, "crm_cust_info"), _silver(wh, "erp_cust_az12"),
                                  _silver(wh, "erp_loc_a101"))
     prod = gold.products_joined(_silver(wh, "crm_prd_info"), _silver(wh, "erp_px_cat_g1v2"))
@@ -176,7 +180,8 @@ def load_gold(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS) -
     fact = gold.fact_sales(_silver(wh, "crm_sales_details"), wh.read("gold", "dim_products"),
                            wh.read("gold", "dim_customers"))
     _write_observed(wh, audit, "gold", "fact_sales", fact,
-                    bad=F.col("product_key").isNull() | F.col("customer_key").isNull())
+                    bad=F.col("product_key").isNull() | F.col("customer_key").isNull(),
+                    partition_by=tuple(fact_partition_by))
 
 
 def write_audit(wh: Warehouse, audit: RunAudit) -> DataFrame:
@@ -190,7 +195,8 @@ def write_audit(wh: Warehouse, audit: RunAudit) -> DataFrame:
 
 
 def run_all(wh: Warehouse, source_root: str, as_of=None,
-            on_layer_done: Callable[[str], None] | None = None) -> DataFrame:
+            on_layer_done: Callable[[str], None] | None = None,
+            fact_partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Bronze -> silver -> gold; the audit is written even when a layer fails, then the error
     is raised."""
     audit = RunAudit()
@@ -202,7 +208,7 @@ def run_all(wh: Warehouse, source_root: str, as_of=None,
         load_silver(wh, audit, as_of=as_of)
         if on_layer_done:
             on_layer_done("silver")
-        load_gold(wh, audit)
+        load_gold(wh, audit, fact_partition_by=fact_partition_by)
         if on_layer_done:
             on_layer_done("gold")
     finally:

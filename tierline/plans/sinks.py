@@ -12,7 +12,7 @@ from tierline.sources.schemas import AUDIT_COLUMN
 
 
 def refresh(wh: Warehouse, layer: str, table: str, df: DataFrame, audit_column: bool = False,
-            schema: T.StructType | None = None) -> str:
+            schema: T.StructType | None = None, partition_by: tuple[str, ...] = ()) -> str:
     """Replace the contents of ``layer.table`` with ``df`` (new version, then view repoint).
 
     With ``schema`` the version is a typed table (S5: ``VARCHAR(50)`` strings; with
@@ -23,7 +23,7 @@ def refresh(wh: Warehouse, layer: str, table: str, df: DataFrame, audit_column:
         return wh.publish(layer, table, df.select(*schema.fieldNames()), schema=schema, with_audit=audit_column)
     if audit_column:
         df = df.withColumn(AUDIT_COLUMN, F.current_timestamp())
-    return wh.publish(layer, table, df)
+    return wh.publish(layer, table, df, partition_by=partition_by)
 
 
 def append(wh: Warehouse, layer: str, table: str, df: DataFrame) -> None:
