@@ -85,14 +85,15 @@ class Warehouse:
         return sorted(out)
 
     def publish(self, layer: str, table: str, df: DataFrame, schema=None, with_audit: bool = False,
-                partition_by: tuple[str, ...] = ()) -> str:
+                partition_by: tuple[str, ...] = (), analyze: bool = False) -> str:
         """Write ``df`` as the next version of ``table`` and repoint the view ``layer.table``.
 
         With ``schema`` the version is first created as a typed table (``VARCHAR(50)`` strings,
         optional defaulted audit column) and filled by ``INSERT INTO t (cols) SELECT``, so types,
         string limits and defaults are enforced by the table. A failed write drops its own version
         and leaves the view on the previous one. ``partition_by`` (untyped path) writes one folder
-        per value, so filters on those columns prune files.
+        per value, so filters on those columns prune files. ``analyze`` records row count and size
+        in the catalog (``ANALYZE TABLE``), so later plans over the table know its exact size.
         """
         self.ensure_namespace(layer)
         existing = self.versions(layer, table)
@@ -108,6 +109,8 @@ class Warehouse:
             else:
                 self.spark.sql(table_ddl(target, schema, with_audit=with_audit))
                 _insert_by_name(self.spark, target, df)
+            if analyze:
+                self.spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS")
         except Exception:
             self.spark.sql(f"DROP TABLE IF EXISTS {target}")
             raise

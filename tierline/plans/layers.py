@@ -54,7 +54,7 @@ class RunAudit:
 def _write_observed(wh: Warehouse, audit: RunAudit, layer: str, table: str,
                     df: DataFrame | Callable[[], DataFrame], bad: Column | None = None,
                     audit_column: bool = False, drop: tuple[str, ...] = (), schema=None,
-                    partition_by: tuple[str, ...] = ()) -> None:
+                    partition_by: tuple[str, ...] = (), analyze: bool = False) -> None:
     """Publish ``df`` (or the frame ``df()`` builds) while counting its rows and bad rows in the
     same job; ``drop`` lists helper columns used only by ``bad`` (removed before the write)."""
     obs = Observation(f"{layer}_{table}_{uuid.uuid4().hex[:8]}")
@@ -64,7 +64,7 @@ def _write_observed(wh: Warehouse, audit: RunAudit, layer: str, table: str,
         frame = df() if callable(df) else df
         observed = frame.observe(obs, F.count(F.lit(1)).alias("rows"), bad_expr.alias("bad_rows"))
         refresh(wh, layer, table, observed.drop(*drop), audit_column=audit_column, schema=schema,
-                partition_by=partition_by)
+                partition_by=partition_by, analyze=analyze)
     except Exception as exc:  # recorded, then raised: the run stops here
         audit.record(layer, table, None, None, time.perf_counter() - start, "failed", str(exc)[:500])
         raise
@@ -172,7 +172,9 @@ def load_gold(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS,
             # Cut the lineage: the key step reads the joined rows several times (count, sample, number).
             wh.publish("work", f"stage_{table}", joined)
             staged = wh.read("work", f"stage_{table}")
-            _write_observed(wh, audit, "gold", table, lambda: gold.with_surrogate_key(staged, order, key))
+            # Dimensions get catalog statistics: exact sizes for every later plan that joins them.
+            _write_observed(wh, audit, "gold", table, lambda: gold.with_surrogate_key(staged, order, key),
+                            analyze=True)
         return run
 
     run_concurrently([dimension("dim_customers", cust, gold.CUSTOMER_ORDER, "customer_key"),

@@ -12,7 +12,8 @@ from tierline.sources.schemas import AUDIT_COLUMN
 
 
 def refresh(wh: Warehouse, layer: str, table: str, df: DataFrame, audit_column: bool = False,
-            schema: T.StructType | None = None, partition_by: tuple[str, ...] = ()) -> str:
+            schema: T.StructType | None = None, partition_by: tuple[str, ...] = (),
+            analyze: bool = False) -> str:
     """Replace the contents of ``layer.table`` with ``df`` (new version, then view repoint).
 
     With ``schema`` the version is a typed table (S5: ``VARCHAR(50)`` strings; with
@@ -20,10 +21,11 @@ def refresh(wh: Warehouse, layer: str, table: str, df: DataFrame, audit_column:
     Without it, ``audit_column`` adds ``dwh_create_date = current_timestamp()`` to the rows.
     """
     if schema is not None:
-        return wh.publish(layer, table, df.select(*schema.fieldNames()), schema=schema, with_audit=audit_column)
+        return wh.publish(layer, table, df.select(*schema.fieldNames()), schema=schema, with_audit=audit_column,
+                          analyze=analyze)
     if audit_column:
         df = df.withColumn(AUDIT_COLUMN, F.current_timestamp())
-    return wh.publish(layer, table, df, partition_by=partition_by)
+    return wh.publish(layer, table, df, partition_by=partition_by, analyze=analyze)
 
 
 def append(wh: Warehouse, layer: str, table: str, df: DataFrame) -> None:
