@@ -159,7 +159,8 @@ def test_cli_run_and_quality(spark):
     keys = list(scale_conf(0))
     saved = {k: spark.conf.get(k, None) for k in keys}
     try:
-        assert main(["run", "--sources", sources, "--warehouse", root, "--prefix", "cli_"]) == 0
+        assert main(["run", "--sources", sources, "--warehouse", root, "--prefix", "cli_",
+                     "--partition-fact-by", "order_date"]) == 0
         assert main(["quality", "--warehouse", root, "--prefix", "cli_", "--as-of", "2026-01-01"]) == 0
     finally:
         for k, v in saved.items():
@@ -168,6 +169,8 @@ def test_cli_run_and_quality(spark):
             else:
                 spark.conf.set(k, v)
     assert spark.table("cli_gold.fact_sales").count() == spark.table("cli_bronze.crm_sales_details").count()
+    one_day = spark.table("cli_gold.fact_sales").filter(F.col("order_date") == F.lit("1995-03-15").cast("date"))
+    assert "PartitionFilters: [isnotnull(order_date" in one_day._jdf.queryExecution().executedPlan().toString()
 
 
 def test_partitioned_publish_prunes_files(spark):

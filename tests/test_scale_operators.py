@@ -112,3 +112,21 @@ def test_many_cuts_stay_compiled_and_exact(spark):
     expect = (df.join(lits, F.struct("v", "k") > F.struct(F.col("cv").alias("v"), F.col("ck").alias("k")), "left")
                 .groupBy("v", "k").agg(F.count("ck").alias("b")))
     assert sorted(got.select("v", "k", "b").collect(), key=repr) == sorted(expect.collect(), key=repr)
+
+
+def test_salted_inner_join_and_explicit_hot_keys(spark, skewed):
+    dim = spark.range(0, 60).select(F.col("id").cast("int").alias("dk"), (F.col("id") % 7).alias("p"))
+    plain = skewed.join(dim, skewed["k"] == dim["dk"], "inner").select("id", "p")
+    hot = spark.createDataFrame([(7, 0.34), (3, 0.02)], "k int, _tl_share double")
+    salted = joins.salted_join(skewed, dim, [("k", "dk")], "inner", salts=10, hot=hot).select("id", "p")
+    assert sorted(salted.collect()) == sorted(plain.collect())
+
+
+def test_shuffle_partitions_parsing(spark):
+    from tierline.session import shuffle_partitions
+
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert shuffle_partitions(spark) == int(saved)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)

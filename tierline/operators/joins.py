@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.session import shuffle_partitions
+
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 HOT_SHARE = 0.01
@@ -106,7 +108,7 @@ def salted_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
     spark = left.sparkSession
     # A key holding all rows would get 8 salts per partition: (key, salt) pairs are placed by
     # hash, and several salts per partition even out the collisions.
-    salts = salts or SALTS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    salts = salts or SALTS_PER_PARTITION * shuffle_partitions(spark)
     lkeys = [lk for lk, _ in pairs]
     rkeys = [rk for _, rk in pairs]
     if hot is None:

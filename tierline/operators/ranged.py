@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.session import shuffle_partitions
+
 ROWS_PER_BUCKET = 2_000_000
 SAMPLE_PER_BUCKET = 256
 MAX_SAMPLE_ROWS = 1_000_000
@@ -35,7 +37,7 @@ _PLACE = "_tl_place"
 
 
 def _default_buckets(spark, n_rows: int, rows_per_bucket: int) -> int:
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cap = shuffle_partitions(spark)
     return max(1, min(cap * 4, math.ceil(n_rows / rows_per_bucket)))
 
 

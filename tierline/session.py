@@ -108,3 +108,16 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     if not fs.exists(hpath):
         return 0
     return int(fs.getContentSummary(hpath).getLength())
+
+
+def shuffle_partitions(spark: SparkSession, default: int = 200) -> int:
+    """``spark.sql.shuffle.partitions`` as a number (some deployments allow a non-numeric value
+    such as ``auto``; then the default parallelism, else ``default``)."""
+    value = spark.conf.get("spark.sql.shuffle.partitions", str(default))
+    try:
+        return int(value)
+    except ValueError:
+        try:
+            return int(spark.sparkContext.defaultParallelism)
+        except Exception:  # no local SparkContext
+            return default
