@@ -130,3 +130,15 @@ def test_shuffle_partitions_parsing(spark):
         assert shuffle_partitions(spark) == int(saved)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", saved)
+
+
+def test_each_bucket_is_one_partition(spark, skewed):
+    from tierline.operators.ranged import _place_buckets
+
+    cuts = sample_cuts(skewed, ["k", "id"], 6)
+    placed = _place_buckets(with_bucket(skewed, ["k", "id"], cuts, "_tl_bucket"), len(cuts) + 1)
+    per_partition = (placed.select(F.spark_partition_id().alias("pid"), "_tl_bucket").distinct()
+                     .groupBy("pid").agg(F.count(F.lit(1)).alias("n_buckets"), F.min("_tl_bucket").alias("b")))
+    rows = per_partition.collect()
+    assert all(r["n_buckets"] == 1 for r in rows)
+    assert sorted(r["pid"] for r in rows) == sorted(r["b"] for r in rows)

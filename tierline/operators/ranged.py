@@ -114,7 +114,11 @@ _ALIGNED: dict[int, list[int]] = {}
 
 def aligned_ids(spark, n: int) -> list[int]:
     """For each partition index ``i`` of ``n``, an INT whose hash partition (``pmod(hash(v), n)``,
-    what ``repartition(n, col)`` uses) is ``i``. Found once per ``n`` by a small probe job."""
+    what ``repartition(n, col)`` uses) is ``i``. Found once per ``n`` by a small probe job.
+
+    Only placement depends on this: were the partitioning hash ever different, every bucket would
+    still be whole in one partition (results unchanged), just no longer one bucket per task.
+    """
     if n not in _ALIGNED:
         probe = spark.range(0, 64 * n).select(F.col("id").cast("int").alias("v"))
         rows = (probe.groupBy(F.pmod(F.hash("v"), F.lit(n)).alias("p"))
