@@ -36,9 +36,10 @@ _BUCKET = "_tl_bucket"
 _PLACE = "_tl_place"
 
 
-def _default_buckets(spark, n_rows: int, rows_per_bucket: int) -> int:
+def _default_buckets(spark, n_rows: int, rows_per_bucket: int | None) -> int:
     cap = shuffle_partitions(spark)
-    return max(1, min(cap * 4, math.ceil(n_rows / rows_per_bucket)))
+    per = rows_per_bucket if rows_per_bucket is not None else ROWS_PER_BUCKET
+    return max(1, min(cap * 4, math.ceil(n_rows / per)))
 
 
 def sample_cuts(df: DataFrame, order_cols: Sequence[str], n_buckets: int,
@@ -142,7 +143,7 @@ def _place_buckets(tagged: DataFrame, n: int) -> DataFrame:
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str,
-              n_buckets: int | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+              n_buckets: int | None = None, rows_per_bucket: int | None = None) -> DataFrame:
     """``row_number() over (order by order_cols)`` as a BIGINT column, without one global task.
 
     Rows are numbered inside range buckets (one shuffle, on the bucket). A bucket's offset is the
@@ -157,7 +158,8 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str,
     cuts = sample_cuts(df, order_cols, n_buckets, n_rows)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     if not cuts:
-        # One bucket: the input has at most ``rows_per_bucket`` rows (counted above).
+        # One bucket: the input has at most ``rows_per_bucket`` rows (counted above), or the
+        # caller asked for one.
         return df.withColumn(key_name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     tagged = with_bucket(df, order_cols, cuts, _BUCKET)
     placed = _place_buckets(tagged, len(cuts) + 1)
@@ -174,7 +176,7 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str,
 
 def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                   value_col: str, out_col: str, n_buckets: int | None = None,
-                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                  rows_per_bucket: int | None = None) -> DataFrame:
     """``lead(value_col) over (partition by group_cols order by order_cols)`` without hot groups.
 
     Range buckets are cut on ``group_cols + order_cols``, so a group that holds a third of all rows
@@ -192,7 +194,8 @@ def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     cuts = sample_cuts(df, full, n_buckets, n_rows)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
     if not cuts:
-        # One bucket: the input has at most ``rows_per_bucket`` rows (counted above).
+        # One bucket: the input has at most ``rows_per_bucket`` rows (counted above), or the
+        # caller asked for one.
         w = Window.partitionBy(*group_cols).orderBy(*order)
         return df.withColumn(out_col, F.lead(value_col).over(w))
     tagged = with_bucket(df, full, cuts, _BUCKET)
