@@ -31,3 +31,20 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[:3] == ["order_number", "order_date", "product_name"]
+
+
+TIME_SENSITIVE = ["silver_crm_prd_info", "silver_crm_sales_details", "bronze_refresh_twice", "dq_nulls",
+                  "dq_date_order", "order_validity_ranges", "latest_order_per_customer", "surrogate_key_bucketed"]
+
+
+def test_results_do_not_depend_on_session_time_zone_or_partitions(spark, con):
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        for key in TIME_SENSITIVE:
+            ok, msg = compare(entry.queries()[key](spark, SF_SMOKE), con, entry.oracle_sql()[key])
+            assert ok, (key, msg)
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
