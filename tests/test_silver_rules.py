@@ -129,3 +129,24 @@ def test_t5_locations(spark):
 def test_t6_categories_copied(spark):
     df = spark.createDataFrame([("AC_HE", "Accessories", "Helmets", "Yes")], BRONZE["erp_px_cat_g1v2"])
     assert silver.clean_erp_categories(df).collect() == df.collect()
+
+
+def test_int_to_date_arithmetic_equals_string_parsing(spark):
+    from tierline.functions.expressions import bad_int_date, int_to_date
+
+    edge = [0, 1, -1, 32154, 20101229, 20101332, 20230229, 20240229, 20240230, 20241131, 20241231,
+            19000101, 99991231, 10000101, 9999999, 100000000, -1234567, -9999999, 20100001, 20100100,
+            None]
+    df = spark.range(0, 20000).select(
+        (F.lit(19000000) + F.col("id") * 7_001 % 1_300_000 + (F.col("id") % 13) * 100).cast("int").alias("x"))
+    df = df.unionByName(spark.createDataFrame([(v,) for v in edge], "x int"))
+    text = F.col("x").cast("string")
+    by_string = F.when((F.col("x") == 0) | (F.length(text) != 8), F.lit(None).cast("date")) \
+        .otherwise(F.try_to_date(text, "yyyyMMdd"))
+    bad_by_string = (F.col("x") != 0) & (F.length(text) == 8) & F.try_to_date(text, "yyyyMMdd").isNull()
+    diff = df.filter(~int_to_date("x").eqNullSafe(by_string)
+                     | ~bad_int_date("x").eqNullSafe(bad_by_string)).collect()
+    assert diff == []
+    got = {r["x"]: r["d"] for r in spark.createDataFrame([(v,) for v in edge], "x int")
+           .select("x", int_to_date("x").alias("d")).collect()}
+    assert got[20240229] == D(2024, 2, 29) and got[20230229] is None and got[20101229] == D(2010, 12, 29)

@@ -41,20 +41,26 @@ def map_code(c: str | Column, mapping: Mapping[str, str], default: str | Column
 def int_to_date(c: str | Column) -> Column:
     """An integer ``yyyymmdd`` as a DATE; 0, a length other than 8, or no such day -> NULL.
 
-    The source system fails the whole load on an 8-digit value that is not a date; here the row
-    keeps a NULL and the load audit counts it (``bad_int_date``).
+    Pure integer arithmetic (no string formatting or parsing): year, month and day are split off
+    with ``div`` / ``%``, the month and day are checked against the calendar (``last_day``), and
+    only then is the date built. The source system fails the whole load on an 8-digit value that
+    is not a date; here the row keeps a NULL and the load audit counts it (``bad_int_date``).
     """
     c = col_(c)
-    text = c.cast("string")
-    return F.when((c == 0) | (F.length(text) != 8), F.lit(None).cast("date")) \
-        .otherwise(F.try_to_date(text, "yyyyMMdd"))
+    year = F.call_function("div", c, F.lit(10000)).cast("int")
+    month = (F.call_function("div", c, F.lit(100)) % 100).cast("int")
+    day = (c % 100).cast("int")
+    eight_digits = (c >= 10_000_000) & (c <= 99_999_999)
+    first = F.when(eight_digits & (month >= 1) & (month <= 12) & (day >= 1),
+                   F.make_date(year, month, F.lit(1)))
+    return F.when(day <= F.dayofmonth(F.last_day(first)), F.date_add(first, day - 1))
 
 
 def bad_int_date(c: str | Column) -> Column:
-    """True where an integer date is present, well-formed (non-zero, 8 characters) but no day."""
+    """True where an integer date is present, 8 characters long, but no calendar day."""
     c = col_(c)
-    text = c.cast("string")
-    return (c != 0) & (F.length(text) == 8) & F.try_to_date(text, "yyyyMMdd").isNull()
+    eight_chars = ((c >= 10_000_000) & (c <= 99_999_999)) | ((c >= -9_999_999) & (c <= -1_000_000))
+    return eight_chars & int_to_date(c).isNull()
 
 
 def strip_prefix(c: str | Column, prefix: str) -> Column:
