@@ -83,3 +83,15 @@ def test_summary_counts_every_rule_in_one_row_per_rule(spark):
     bronze = {"crm_prd_info": spark.createDataFrame(PRD_SAMPLE, BRONZE["crm_prd_info"])}
     got = {r["check_name"]: r["n_bad"] for r in quality.quality_summary(bronze).collect()}
     assert got == {"null_cost": 1, "null_line": 0, "negative_or_null_cost": 1, "end_before_start": 2}
+
+
+def test_cheap_predicates_match_their_definitions(spark):
+    from tierline.functions.expressions import has_eight_digits, has_outer_spaces
+
+    df = spark.createDataFrame([(v,) for v in [0, 1, -1, 9999999, 10000000, 99999999, 100000000, -999999,
+                                               -1000000, -9999999, -10000000, None]], "x int")
+    diff = df.filter(~has_eight_digits("x").eqNullSafe(F.length(F.col("x").cast("string")) == 8)).collect()
+    assert diff == []
+    s = spark.createDataFrame([(v,) for v in ["a", " a", "a ", " ", "", "a b", None, "\ta"]], "s string")
+    diff = s.filter(~has_outer_spaces("s").eqNullSafe(F.col("s") != F.trim("s"))).collect()
+    assert diff == []

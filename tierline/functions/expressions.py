@@ -58,9 +58,7 @@ def int_to_date(c: str | Column) -> Column:
 
 def bad_int_date(c: str | Column) -> Column:
     """True where an integer date is present, 8 characters long, but no calendar day."""
-    c = col_(c)
-    eight_chars = ((c >= 10_000_000) & (c <= 99_999_999)) | ((c >= -9_999_999) & (c <= -1_000_000))
-    return eight_chars & int_to_date(c).isNull()
+    return has_eight_digits(c) & int_to_date(c).isNull()
 
 
 def strip_prefix(c: str | Column, prefix: str) -> Column:
@@ -80,7 +78,14 @@ def day_before(c: str | Column) -> Column:
 
 
 def has_outer_spaces(c: str | Column) -> Column:
-    """True where ``c`` differs from its trimmed form (leading or trailing spaces)."""
+    """True where ``c`` differs from its trimmed form, i.e. starts or ends with a space (tested
+    without building the trimmed copy)."""
+    c = col_(c)
+    return c.startswith(" ") | c.endswith(" ")
+
+
+def has_eight_digits(c: str | Column) -> Column:
+    """True where the integer ``c`` prints as exactly 8 characters (sign included), by range."""
     c = col_(c)
-    return c != F.trim(c)
+    return ((c >= 10_000_000) & (c <= 99_999_999)) | ((c >= -9_999_999) & (c <= -1_000_000))
 

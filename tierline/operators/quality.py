@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions import codes
-from tierline.functions.expressions import has_outer_spaces, map_code
+from tierline.functions.expressions import has_eight_digits, has_outer_spaces, map_code
 from tierline.operators.gold import customers_joined, integrated_gender, products_joined
 from tierline.operators.joins import lookup_join, not_in
 from tierline.operators.silver import repaired_price, repaired_sales
@@ -71,8 +71,9 @@ def out_of_order(pairs: Sequence[tuple[str, str]]) -> Column:
 
 
 def invalid_int_date(c: str, lo: int = codes.INT_DATE_MIN, hi: int = codes.INT_DATE_MAX) -> Column:
+    """Not positive, not 8 characters long, or outside ``lo..hi`` (length tested by range)."""
     x = F.col(c)
-    return (x <= 0) | (F.length(x.cast("string")) != 8) | (x > hi) | (x < lo)
+    return (x <= 0) | ~has_eight_digits(x) | (x > hi) | (x < lo)
 
 
 def birthdate_out_of_range(c: str, as_of: str | Column | None = None,
