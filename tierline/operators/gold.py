@@ -86,16 +86,18 @@ def dim_products(prd: DataFrame, cat: DataFrame, n_buckets: int | None = None) -
     return with_surrogate_key(products_joined(prd, cat), PRODUCT_ORDER, "product_key", n_buckets)
 
 
-def fact_sales(sales: DataFrame, dim_prod: DataFrame, dim_cust: DataFrame) -> DataFrame:
+def fact_sales(sales: DataFrame, dim_prod: DataFrame, dim_cust: DataFrame,
+               prod_rows: int | None = None, cust_rows: int | None = None) -> DataFrame:
     """Sales with surrogate keys looked up on the natural keys; unmatched -> NULL key, row kept.
 
     Each dimension is broadcast when it passes the size check, otherwise joined by a salted
-    shuffle join (hot and NULL natural keys spread over many tasks).
+    shuffle join (hot and NULL natural keys spread over many tasks). ``prod_rows`` / ``cust_rows``
+    are exact dimension sizes when already known (then no count is run).
     """
     prod = dim_prod.select(F.col("product_number").alias("_tl_pn"), F.col("product_key"))
     cust = dim_cust.select(F.col("customer_id").alias("_tl_cid"), F.col("customer_key"))
-    with_prod = lookup_join(sales, prod, [("sls_prd_key", "_tl_pn")], "left")
-    with_both = lookup_join(with_prod, cust, [("sls_cust_id", "_tl_cid")], "left")
+    with_prod = lookup_join(sales, prod, [("sls_prd_key", "_tl_pn")], "left", right_rows=prod_rows)
+    with_both = lookup_join(with_prod, cust, [("sls_cust_id", "_tl_cid")], "left", right_rows=cust_rows)
     return with_both.select(
         F.col("sls_ord_num").alias("order_number"),
         F.col("product_key"),

@@ -56,12 +56,13 @@ def _row_width(df: DataFrame) -> int:
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame | None:
+                      max_bytes: int = BROADCAST_MAX_BYTES, known_rows: int | None = None) -> DataFrame | None:
     """``broadcast(df)`` if it has at most ``max_rows`` rows and fits ``max_bytes``, else None.
 
-    The count stops early: at most ``max_rows + 1`` rows are counted per check.
+    The count stops early: at most ``max_rows + 1`` rows are counted per check. ``known_rows`` is
+    an exact row count the caller already has (e.g. observed when the table was written).
     """
-    n = df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
     if n <= max_rows and n * _row_width(df) <= max_bytes:
         return F.broadcast(df)
     return None
@@ -145,10 +146,10 @@ def salted_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
 
 
 def lookup_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                max_rows: int = BROADCAST_MAX_ROWS, right_rows: int | None = None) -> DataFrame:
     """Join a big ``left`` to a lookup ``right``: broadcast when ``right`` is checked small,
-    salted shuffle join otherwise."""
-    small = checked_broadcast(right, max_rows=max_rows)
+    salted shuffle join otherwise. ``right_rows``: exact row count of ``right`` if known."""
+    small = checked_broadcast(right, max_rows=max_rows, known_rows=right_rows)
     if small is not None:
         return left.join(small, _on(left, right, pairs), how)
     return salted_join(left, right, pairs, how)
@@ -157,12 +158,14 @@ def lookup_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
 def not_in(left: DataFrame, left_col: str, right: DataFrame, right_col: str,
            max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows of ``left`` where ``left_col NOT IN (SELECT right_col FROM right)``, SQL semantics."""
+    # One pass: rows, NULLs and distinct keys (the exact size of the anti join's lookup side).
     stats = right.agg(F.count(F.lit(1)).alias("n"),
-                      F.count_if(F.col(right_col).isNull()).alias("n_null")).first()
+                      F.count_if(F.col(right_col).isNull()).alias("n_null"),
+                      F.count_distinct(F.col(right_col)).alias("n_keys")).first()
     if stats["n"] == 0:
         return left
     if stats["n_null"] > 0:
         return left.filter(F.lit(False))
     keys = right.select(F.col(right_col).alias("_tl_key")).distinct()
     return lookup_join(left.filter(F.col(left_col).isNotNull()), keys, [(left_col, "_tl_key")],
-                       "left_anti", max_rows=max_rows)
+                       "left_anti", max_rows=max_rows, right_rows=int(stats["n_keys"]))
