@@ -66,12 +66,13 @@ CUSTOMER_ORDER = ["customer_id"]
 PRODUCT_ORDER = ["start_dt", "product_number"]
 
 
-def with_surrogate_key(df: DataFrame, order: list[str], key: str, n_buckets: int | None = None) -> DataFrame:
+def with_surrogate_key(df: DataFrame, order: list[str], key: str, n_buckets: int | None = None,
+                       n_rows: int | None = None) -> DataFrame:
     """``key`` = 1..n in ``order`` (then all other columns), as the first column."""
     # Sort order of the key, then every other column as a tie-break, so the numbering is a
     # function of the data (stable when a lost task is recomputed) and buckets stay even.
     full = order + [c for c in df.columns if c not in order]
-    keyed = dense_key(df, full, key, n_buckets=n_buckets)
+    keyed = dense_key(df, full, key, n_buckets=n_buckets, n_rows=n_rows)
     return keyed.select(key, *df.columns)
 
 

@@ -143,16 +143,18 @@ def _place_buckets(tagged: DataFrame, n: int) -> DataFrame:
 
 
 def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str,
-              n_buckets: int | None = None, rows_per_bucket: int | None = None) -> DataFrame:
+              n_buckets: int | None = None, rows_per_bucket: int | None = None,
+              n_rows: int | None = None) -> DataFrame:
     """``row_number() over (order by order_cols)`` as a BIGINT column, without one global task.
 
     Rows are numbered inside range buckets (one shuffle, on the bucket). A bucket's offset is the
     number of rows in the buckets before it, from per-bucket counts: a partial aggregate on the
     map side, so only ``n_buckets`` rows per task cross the network, and a result of one row per
-    bucket that is broadcast (its size is the bucket count, a small constant).
+    bucket that is broadcast (its size is the bucket count, a small constant). ``n_rows`` is the
+    exact row count when the caller already has it (otherwise counted here).
     """
     spark = df.sparkSession
-    n_rows = df.count()
+    n_rows = df.count() if n_rows is None else n_rows
     if n_buckets is None:
         n_buckets = _default_buckets(spark, n_rows, rows_per_bucket)
     cuts = sample_cuts(df, order_cols, n_buckets, n_rows)
@@ -176,7 +178,7 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str,
 
 def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                   value_col: str, out_col: str, n_buckets: int | None = None,
-                  rows_per_bucket: int | None = None) -> DataFrame:
+                  rows_per_bucket: int | None = None, n_rows: int | None = None) -> DataFrame:
     """``lead(value_col) over (partition by group_cols order by order_cols)`` without hot groups.
 
     Range buckets are cut on ``group_cols + order_cols``, so a group that holds a third of all rows
@@ -184,11 +186,12 @@ def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     A group can only continue into the next non-empty bucket at that bucket's first row, so the
     last row of a (bucket, group) takes the value of the next bucket's head row when the head
     belongs to the same group. The heads come from a map-side partial aggregate with one row per
-    bucket, broadcast to the windowed rows (no second shuffle of the data).
+    bucket, broadcast to the windowed rows (no second shuffle of the data). ``n_rows`` as in
+    ``dense_key``.
     """
     spark = df.sparkSession
     full = list(group_cols) + list(order_cols)
-    n_rows = df.count()
+    n_rows = df.count() if n_rows is None else n_rows
     if n_buckets is None:
         n_buckets = _default_buckets(spark, n_rows, rows_per_bucket)
     cuts = sample_cuts(df, full, n_buckets, n_rows)

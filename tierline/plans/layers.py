@@ -102,15 +102,23 @@ def load_bronze(wh: Warehouse, source_root: str, audit: RunAudit, tables=tuple(B
     run_concurrently([step(t) for t in tables], max_workers)
 
 
-def silver_frames(wh: Warehouse, as_of=None) -> dict[str, tuple[DataFrame, Column | None]]:
-    """T1-T6 over the published bronze tables: (frame, bad-row predicate) per silver table."""
+def _observed_rows(audit: RunAudit | None, layer: str) -> dict[str, int]:
+    if audit is None:
+        return {}
+    return {r[2]: r[3] for r in audit.rows if r[1] == layer and r[6] == "ok" and r[3] is not None}
+
+
+def silver_frames(wh: Warehouse, as_of=None, audit: RunAudit | None = None) -> dict[str, tuple[DataFrame, Column | None]]:
+    """T1-T6 over the published bronze tables: (frame, bad-row predicate) per silver table.
+    Row counts observed by the bronze writes (``audit``) spare the product history a count."""
     b = {t: wh.read("bronze", t) for t in BRONZE}
+    bronze_rows = _observed_rows(audit, "bronze")
     # Sales: bad rows are 8-digit integer dates that are no calendar day (kept as NULL, R11).
     flagged = b["crm_sales_details"].withColumn(
         "_tl_bad", bad_int_date("sls_order_dt") | bad_int_date("sls_ship_dt") | bad_int_date("sls_due_dt"))
     return {
         "crm_cust_info": (silver.clean_crm_customers(b["crm_cust_info"]), None),
-        "crm_prd_info": (silver.clean_crm_products(b["crm_prd_info"]), None),
+        "crm_prd_info": (silver.clean_crm_products(b["crm_prd_info"], n_rows=bronze_rows.get("crm_prd_info")), None),
         "crm_sales_details": (silver.clean_crm_sales(flagged), F.col("_tl_bad")),
         "erp_cust_az12": (silver.clean_erp_customers(b["erp_cust_az12"], as_of=as_of), None),
         "erp_loc_a101": (silver.clean_erp_locations(b["erp_loc_a101"]), None),
@@ -125,7 +133,7 @@ def load_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int = L
         return lambda: _write_observed(wh, audit, "silver", table, df, bad=bad, audit_column=True, drop=drop,
                                        schema=SILVER[table])
 
-    run_concurrently([step(t, df, bad) for t, (df, bad) in silver_frames(wh, as_of).items()], max_workers)
+    run_concurrently([step(t, df, bad) for t, (df, bad) in silver_frames(wh, as_of, audit).items()], max_workers)
 
 
 def append_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int = LOAD_THREADS) -> None:
@@ -170,17 +178,19 @@ def load_gold(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS,
     def dimension(table: str, joined: DataFrame, order: list[str], key: str) -> Callable[[], None]:
         def run() -> None:
             # Cut the lineage: the key step reads the joined rows several times (count, sample, number).
-            wh.publish("work", f"stage_{table}", joined)
+            staging = Observation(f"stage_{table}_{uuid.uuid4().hex[:8]}")
+            wh.publish("work", f"stage_{table}", joined.observe(staging, F.count(F.lit(1)).alias("rows")))
             staged = wh.read("work", f"stage_{table}")
+            n_rows = int(staging.get["rows"])
             # Dimensions get catalog statistics: exact sizes for every later plan that joins them.
-            _write_observed(wh, audit, "gold", table, lambda: gold.with_surrogate_key(staged, order, key),
-                            analyze=True)
+            _write_observed(wh, audit, "gold", table,
+                            lambda: gold.with_surrogate_key(staged, order, key, n_rows=n_rows), analyze=True)
         return run
 
     run_concurrently([dimension("dim_customers", cust, gold.CUSTOMER_ORDER, "customer_key"),
                       dimension("dim_products", prod, gold.PRODUCT_ORDER, "product_key")], max_workers)
     # The dimension writes observed their exact row counts: no second count for the size check.
-    rows = {r[2]: r[3] for r in audit.rows if r[1] == "gold" and r[6] == "ok"}
+    rows = _observed_rows(audit, "gold")
     fact = gold.fact_sales(_silver(wh, "crm_sales_details"), wh.read("gold", "dim_products"),
                            wh.read("gold", "dim_customers"), prod_rows=rows.get("dim_products"),
                            cust_rows=rows.get("dim_customers"))
