@@ -274,7 +274,9 @@ def q_dq_orphans_not_in(spark, sf):
 
 def q_dq_orphans_not_in_null(spark, sf):
     cust = _seeded_customers(spark, sf).select("cst_key")
-    with_null = cust.unionByName(cust.limit(1).select(F.lit(None).cast("string").alias("cst_key")))
+    # The seeded defect: one NULL key (a global aggregate yields exactly one row).
+    null_row = cust.agg(F.max(F.lit(None).cast("string")).alias("cst_key"))
+    with_null = cust.unionByName(null_row)
     return quality.location_orphans(_bronze(spark, sf, "erp_loc_a101"), with_null)
 
 
