@@ -142,3 +142,9 @@ def test_each_bucket_is_one_partition(spark, skewed):
     rows = per_partition.collect()
     assert all(r["n_buckets"] == 1 for r in rows)
     assert sorted(r["pid"] for r in rows) == sorted(r["b"] for r in rows)
+
+
+def test_global_lead_without_groups(skewed):
+    expect = skewed.withColumn("nx", F.lead("v").over(Window.orderBy(F.col("v").asc_nulls_first(), "id")))
+    got = lead_in_group(skewed, [], ["v", "id"], "v", "nx", n_buckets=5)
+    assert sorted(got.select("id", "nx").collect()) == sorted(expect.select("id", "nx").collect())

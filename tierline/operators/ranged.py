@@ -213,10 +213,9 @@ def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
         F.col(_BUCKET).alias("_tl_b"),
         F.lead("_tl_head").over(Window.orderBy(_BUCKET)).alias("_tl_next_head"))
     joined = inner.join(F.broadcast(following), inner[_BUCKET] == following["_tl_b"], "left")
-    same_group = None
+    same_group = F.lit(True)  # no group columns: one global order, every head continues it
     for c in group_cols:
-        e = F.col(c).eqNullSafe(F.col(f"_tl_next_head.{c}"))
-        same_group = e if same_group is None else same_group & e
+        same_group = same_group & F.col(c).eqNullSafe(F.col(f"_tl_next_head.{c}"))
     carried = F.when(same_group, F.col("_tl_next_head._tl_v"))
     return (joined.withColumn(out_col, F.when(F.col("_tl_last"), carried).otherwise(F.col(out_col)))
             .drop(_BUCKET, _PLACE, "_tl_b", "_tl_last", "_tl_next_head"))
