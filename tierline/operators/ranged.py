@@ -87,7 +87,8 @@ def with_bucket(df: DataFrame, order_cols: Sequence[str], cuts: Sequence[tuple],
     key is above the cut there. Generated code stays O(log n) however many buckets there are (a
     CASE tree over n literals outgrows the JVM method limit and falls back to interpreted
     evaluation). Struct comparison orders NULL fields first, so NULLs land in the lowest buckets,
-    as they sort.
+    as they sort. Order columns are scalars (numbers, strings, dates, timestamps, booleans,
+    decimals): cut values travel as their string form, which round-trips for these types.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     key = F.struct(*[F.col(c) for c in order_cols])
