@@ -148,3 +148,26 @@ def test_global_lead_without_groups(skewed):
     expect = skewed.withColumn("nx", F.lead("v").over(Window.orderBy(F.col("v").asc_nulls_first(), "id")))
     got = lead_in_group(skewed, [], ["v", "id"], "v", "nx", n_buckets=5)
     assert sorted(got.select("id", "nx").collect()) == sorted(expect.select("id", "nx").collect())
+
+
+def test_bucket_search_over_mixed_types_matches_brute_force(spark):
+    saved = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.range(0, 600).select(
+            F.when(F.col("id") % 11 == 0, None).otherwise(
+                F.timestamp_seconds(F.lit(1_600_000_000) + (F.col("id") % 37) * 86_399 + F.col("id") / 1000)).alias("ts"),
+            F.date_add(F.lit("1999-12-30").cast("date"), (F.col("id") % 5).cast("int")).alias("d"),
+            F.when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("é-"), (F.col("id") % 13).cast("string"))).alias("s"),
+            (F.col("id") / 7.0).alias("x"))
+        cols = ["ts", "d", "s", "x"]
+        cuts = sample_cuts(df, cols, 12)
+        assert len(cuts) >= 8
+        got = with_bucket(df, cols, cuts, "b").select(*cols, "b")
+        cut_df = spark.createDataFrame([tuple(c) for c in cuts], "ts string, d string, s string, x string").select(
+            *[F.col(c).cast(t).alias(f"c_{c}") for c, t in zip(cols, ["timestamp", "date", "string", "double"])])
+        below = F.struct(*[F.col(c) for c in cols]) > F.struct(*[F.col(f"c_{c}").alias(c) for c in cols])
+        expect = (df.join(cut_df, below, "left").groupBy(*cols).agg(F.count("c_d").alias("b")))
+        assert sorted(got.collect(), key=repr) == sorted(expect.collect(), key=repr)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", saved)
