@@ -199,3 +199,20 @@ def test_pipeline_bucketed_paths_give_the_same_gold(spark, monkeypatch):
     a = plain.read("silver", "crm_prd_info").drop("dwh_create_date").collect()
     b = bucketed.read("silver", "crm_prd_info").drop("dwh_create_date").collect()
     assert sorted(a, key=repr) == sorted(b, key=repr)
+
+
+def test_failure_while_building_a_frame_is_audited(spark, monkeypatch):
+    from tierline.operators import silver
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("planning failed")
+
+    sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "src"))
+    wh = _wh(spark)
+    monkeypatch.setattr(silver, "clean_crm_products", broken)
+    with pytest.raises(RuntimeError, match="planning failed"):
+        run_all(wh, sources)
+    rows = {(r["layer"], r["table_name"]): r for r in spark.table(f"{wh.db('audit')}.load_audit").collect()}
+    assert rows[("silver", "crm_prd_info")]["status"] == "failed"
+    assert rows[("silver", "crm_sales_details")]["status"] == "ok"      # the rest of the layer ran
+    assert not any(layer == "gold" for layer, _ in rows)                # no later layer

@@ -108,43 +108,54 @@ def _observed_rows(audit: RunAudit | None, layer: str) -> dict[str, int]:
     return {r[2]: r[3] for r in audit.rows if r[1] == layer and r[6] == "ok" and r[3] is not None}
 
 
-def silver_frames(wh: Warehouse, as_of=None, audit: RunAudit | None = None) -> dict[str, tuple[DataFrame, Column | None]]:
-    """T1-T6 over the published bronze tables: (frame, bad-row predicate) per silver table.
-    Row counts observed by the bronze writes (``audit``) spare the product history a count."""
-    b = {t: wh.read("bronze", t) for t in BRONZE}
+def silver_frames(wh: Warehouse, as_of=None, audit: RunAudit | None = None,
+                  drop_null_ids: bool = True) -> dict[str, tuple[Callable[[], DataFrame], Column | None]]:
+    """T1-T6 over the published bronze tables: (frame builder, bad-row predicate) per silver table.
+
+    Builders run inside each table's audited step, so a failure while planning (e.g. the product
+    history's sampling) is recorded like a failed write. Row counts observed by the bronze writes
+    (``audit``) spare the product history a count. ``drop_null_ids=False`` is T1's append variant.
+    """
+    def bronze(t: str) -> DataFrame:
+        return wh.read("bronze", t)
+
     bronze_rows = _observed_rows(audit, "bronze")
-    # Sales: bad rows are 8-digit integer dates that are no calendar day (kept as NULL, R11).
-    flagged = b["crm_sales_details"].withColumn(
-        "_tl_bad", bad_int_date("sls_order_dt") | bad_int_date("sls_ship_dt") | bad_int_date("sls_due_dt"))
+
+    def sales() -> DataFrame:
+        # Bad rows: 8-digit integer dates that are no calendar day (kept as NULL, R11).
+        flagged = bronze("crm_sales_details").withColumn(
+            "_tl_bad", bad_int_date("sls_order_dt") | bad_int_date("sls_ship_dt") | bad_int_date("sls_due_dt"))
+        return silver.clean_crm_sales(flagged)
+
     return {
-        "crm_cust_info": (silver.clean_crm_customers(b["crm_cust_info"]), None),
-        "crm_prd_info": (silver.clean_crm_products(b["crm_prd_info"], n_rows=bronze_rows.get("crm_prd_info")), None),
-        "crm_sales_details": (silver.clean_crm_sales(flagged), F.col("_tl_bad")),
-        "erp_cust_az12": (silver.clean_erp_customers(b["erp_cust_az12"], as_of=as_of), None),
-        "erp_loc_a101": (silver.clean_erp_locations(b["erp_loc_a101"]), None),
-        "erp_px_cat_g1v2": (silver.clean_erp_categories(b["erp_px_cat_g1v2"]), None),
+        "crm_cust_info": (lambda: silver.clean_crm_customers(bronze("crm_cust_info"), drop_null_ids=drop_null_ids),
+                          None),
+        "crm_prd_info": (lambda: silver.clean_crm_products(bronze("crm_prd_info"),
+                                                           n_rows=bronze_rows.get("crm_prd_info")), None),
+        "crm_sales_details": (sales, F.col("_tl_bad")),
+        "erp_cust_az12": (lambda: silver.clean_erp_customers(bronze("erp_cust_az12"), as_of=as_of), None),
+        "erp_loc_a101": (lambda: silver.clean_erp_locations(bronze("erp_loc_a101")), None),
+        "erp_px_cat_g1v2": (lambda: silver.clean_erp_categories(bronze("erp_px_cat_g1v2")), None),
     }
 
 
 def load_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int = LOAD_THREADS) -> None:
     """O2: T1-T6 over the published bronze tables, each published to silver with its audit column."""
-    def step(table: str, df: DataFrame, bad: Column | None) -> Callable[[], None]:
-        drop = ("_tl_bad",) if "_tl_bad" in df.columns else ()
-        return lambda: _write_observed(wh, audit, "silver", table, df, bad=bad, audit_column=True, drop=drop,
+    def step(table: str, build: Callable[[], DataFrame], bad: Column | None) -> Callable[[], None]:
+        drop = ("_tl_bad",) if table == "crm_sales_details" else ()
+        return lambda: _write_observed(wh, audit, "silver", table, build, bad=bad, audit_column=True, drop=drop,
                                        schema=SILVER[table])
 
-    run_concurrently([step(t, df, bad) for t, (df, bad) in silver_frames(wh, as_of, audit).items()], max_workers)
+    run_concurrently([step(t, b, bad) for t, (b, bad) in silver_frames(wh, as_of, audit).items()], max_workers)
 
 
 def append_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int = LOAD_THREADS) -> None:
     """S3 for all six tables: the cleaned bronze rows are appended by column name to typed silver
     tables (created when missing, ``dwh_create_date`` filled by its default). Customers use the
     append variant of T1, which keeps one row for the NULL id group."""
-    frames = silver_frames(wh, as_of)
-    b_cust = wh.read("bronze", "crm_cust_info")
-    frames["crm_cust_info"] = (silver.clean_crm_customers(b_cust, drop_null_ids=False), None)
+    frames = silver_frames(wh, as_of, drop_null_ids=False)
 
-    def step(table: str, df: DataFrame) -> Callable[[], None]:
+    def step(table: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
         def run() -> None:
             start = time.perf_counter()
             target = f"{table}_appended"
@@ -152,7 +163,7 @@ def append_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int =
                 if not wh.exists("silver", target):
                     wh.create_table("silver", target, SILVER[table], with_audit=True, replace=False)
                 obs = Observation(f"append_{table}_{uuid.uuid4().hex[:8]}")
-                rows = df.select(*SILVER[table].fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows"))
+                rows = build().select(*SILVER[table].fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows"))
                 append(wh, "silver", target, rows)
             except Exception as exc:
                 audit.record("silver", target, None, None, time.perf_counter() - start, "failed", str(exc)[:500])
@@ -160,7 +171,7 @@ def append_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int =
             audit.record("silver", target, int(obs.get["rows"]), 0, time.perf_counter() - start)
         return run
 
-    run_concurrently([step(t, df) for t, (df, _) in frames.items()], max_workers)
+    run_concurrently([step(t, b) for t, (b, _) in frames.items()], max_workers)
 
 
 def _silver(wh: Warehouse, table: str) -> DataFrame:
@@ -172,28 +183,32 @@ def load_gold(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS,
     """O3: dimensions first (joined rows staged to a table, then keyed), then the fact over the
     published dimensions, so surrogate keys are computed once and shared. ``fact_partition_by``
     (e.g. ``("order_date",)``) writes the fact in one folder per value for partition pruning."""
-    cust = gold.customers_joined(_silver(wh, "crm_cust_info"), _silver(wh, "erp_cust_az12"),
-                                 _silver(wh, "erp_loc_a101"))
-    prod = gold.products_joined(_silver(wh, "crm_prd_info"), _silver(wh, "erp_px_cat_g1v2"))
-    def dimension(table: str, joined: DataFrame, order: list[str], key: str) -> Callable[[], None]:
-        def run() -> None:
-            # Cut the lineage: the key step reads the joined rows several times (count, sample, number).
+    def dimension(table: str, build: Callable[[], DataFrame], order: list[str], key: str) -> Callable[[], None]:
+        def frame() -> DataFrame:
+            # Cut the lineage: the key step reads the joined rows several times (sample, number).
             staging = Observation(f"stage_{table}_{uuid.uuid4().hex[:8]}")
-            wh.publish("work", f"stage_{table}", joined.observe(staging, F.count(F.lit(1)).alias("rows")))
+            wh.publish("work", f"stage_{table}", build().observe(staging, F.count(F.lit(1)).alias("rows")))
             staged = wh.read("work", f"stage_{table}")
-            n_rows = int(staging.get["rows"])
-            # Dimensions get catalog statistics: exact sizes for every later plan that joins them.
-            _write_observed(wh, audit, "gold", table,
-                            lambda: gold.with_surrogate_key(staged, order, key, n_rows=n_rows), analyze=True)
-        return run
+            return gold.with_surrogate_key(staged, order, key, n_rows=int(staging.get["rows"]))
+        # Dimensions get catalog statistics: exact sizes for every later plan that joins them.
+        return lambda: _write_observed(wh, audit, "gold", table, frame, analyze=True)
+
+    run_concurrently([
+        dimension("dim_customers", lambda: gold.customers_joined(
+            _silver(wh, "crm_cust_info"), _silver(wh, "erp_cust_az12"), _silver(wh, "erp_loc_a101")),
+            gold.CUSTOMER_ORDER, "customer_key"),
+        dimension("dim_products", lambda: gold.products_joined(
+            _silver(wh, "crm_prd_info"), _silver(wh, "erp_px_cat_g1v2")),
+            gold.PRODUCT_ORDER, "product_key"),
+    ], max_workers)
+
+    def fact() -> DataFrame:
+        # The dimension writes observed their exact row counts: no second count for the size check.
+        rows = _observed_rows(audit, "gold")
+        return gold.fact_sales(_silver(wh, "crm_sales_details"), wh.read("gold", "dim_products"),
+                               wh.read("gold", "dim_customers"), prod_rows=rows.get("dim_products"),
+                               cust_rows=rows.get("dim_customers"))
 
-    run_concurrently([dimension("dim_customers", cust, gold.CUSTOMER_ORDER, "customer_key"),
-                      dimension("dim_products", prod, gold.PRODUCT_ORDER, "product_key")], max_workers)
-    # The dimension writes observed their exact row counts: no second count for the size check.
-    rows = _observed_rows(audit, "gold")
-    fact = gold.fact_sales(_silver(wh, "crm_sales_details"), wh.read("gold", "dim_products"),
-                           wh.read("gold", "dim_customers"), prod_rows=rows.get("dim_products"),
-                           cust_rows=rows.get("dim_customers"))
     _write_observed(wh, audit, "gold", "fact_sales", fact,
                     bad=F.col("product_key").isNull() | F.col("customer_key").isNull(),
                     partition_by=tuple(fact_partition_by))
