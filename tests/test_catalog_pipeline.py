@@ -214,5 +214,5 @@ def test_failure_while_building_a_frame_is_audited(spark, monkeypatch):
         run_all(wh, sources)
     rows = {(r["layer"], r["table_name"]): r for r in spark.table(f"{wh.db('audit')}.load_audit").collect()}
     assert rows[("silver", "crm_prd_info")]["status"] == "failed"
-    assert rows[("silver", "crm_sales_details")]["status"] == "ok"      # the rest of the layer ran
+    assert rows[("silver", "crm_sales_details")]["status"] == "ok", rows[("silver", "crm_sales_details")]["message"]
     assert not any(layer == "gold" for layer, _ in rows)                # no later layer

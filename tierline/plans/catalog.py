@@ -78,7 +78,9 @@ class Warehouse:
     # ---- S8 / S2 ----
     def versions(self, layer: str, table: str) -> list[int]:
         out = []
-        for t in self.spark.catalog.listTables(self.db(layer)):
+        # The name pattern keeps the listing to this table's versions: a plain listing also walks
+        # every temporary view, which concurrent loads create and drop while it runs.
+        for t in self.spark.catalog.listTables(self.db(layer), pattern=f"{table}__v*"):
             m = _VERSION.match(t.name)
             if m and m.group("name") == table and t.tableType != "VIEW" and not t.isTemporary:
                 out.append(int(m.group("n")))
