@@ -84,6 +84,20 @@ def _materialised(spark, df, tag):
     return spark.read.parquet(path)
 
 
+def _materialised_dims(spark, sf, cust=None):
+    """Both dimensions written once, concurrently (they are independent)."""
+    out = {}
+
+    def product() -> None:
+        out["prod"] = _materialised(spark, _dim_products(spark, sf), "dim-products")
+
+    def customer() -> None:
+        out["cust"] = _materialised(spark, _dim_customers(spark, sf, cust), "dim-customers")
+
+    run_concurrently([product, customer])
+    return out["prod"], out["cust"]
+
+
 def _as_dates(df, cols):
     return df.select(*[F.to_date(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -131,15 +145,13 @@ def q_dim_products(spark, sf):
 
 def q_fact_sales(spark, sf):
     # As in the layer jobs, each dimension is materialised once and shared by the checks and joins.
-    dim_prod = _materialised(spark, _dim_products(spark, sf), "dim-products")
-    dim_cust = _materialised(spark, _dim_customers(spark, sf), "dim-customers")
+    dim_prod, dim_cust = _materialised_dims(spark, sf)
     return gold.fact_sales(s_sales(spark, sf), dim_prod, dim_cust)
 
 
 def q_sales_star(spark, sf):
     """The fact joined back to both dimensions: revenue lines with product and customer context."""
-    dim_prod = _materialised(spark, _dim_products(spark, sf), "dim-products")
-    dim_cust = _materialised(spark, _dim_customers(spark, sf), "dim-customers")
+    dim_prod, dim_cust = _materialised_dims(spark, sf)
     fact = gold.fact_sales(s_sales(spark, sf), dim_prod, dim_cust)
     dp = dim_prod.select(F.col("product_key").alias("_tl_pk"), "product_name", "category", "product_line")
     dc = dim_cust.select(F.col("customer_key").alias("_tl_ck"), "country", "gender")
@@ -297,9 +309,7 @@ def q_dq_product_fanout(spark, sf):
 
 
 def q_dq_fk_integrity(spark, sf):
-    cust = _seeded_customers(spark, sf)
-    dc = _materialised(spark, _dim_customers(spark, sf, cust), "dim-customers")
-    dp = _materialised(spark, _dim_products(spark, sf), "dim-products")
+    dp, dc = _materialised_dims(spark, sf, cust=_seeded_customers(spark, sf))
     fact = gold.fact_sales(s_sales(spark, sf), dp, dc)
     return quality.fk_integrity(fact, dc, dp)
 
