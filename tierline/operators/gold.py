@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.codes import UNKNOWN
-from tierline.operators.joins import lookup_join
+from tierline.operators.joins import bounded_counts, lookup_join
 from tierline.operators.ranged import dense_key
 
 
@@ -30,7 +30,9 @@ def customers_joined(cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame) -
     ca = erp_cust.select(F.col("cid").alias("_tl_ca_cid"), F.col("bdate").alias("_tl_bdate"),
                          F.col("gen").alias("_tl_gen"))
     la = erp_loc.select(F.col("cid").alias("_tl_la_cid"), F.col("cntry").alias("_tl_cntry"))
-    joined = lookup_join(lookup_join(cust, ca, [("cst_key", "_tl_ca_cid")]), la, [("cst_key", "_tl_la_cid")])
+    n_ca, n_la = bounded_counts([ca, la])      # both size checks at once
+    joined = lookup_join(lookup_join(cust, ca, [("cst_key", "_tl_ca_cid")], right_rows=n_ca),
+                         la, [("cst_key", "_tl_la_cid")], right_rows=n_la)
     return joined.select(
         F.col("cst_id").alias("customer_id"),
         F.col("cst_key").alias("customer_number"),

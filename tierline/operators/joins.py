@@ -14,13 +14,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.session import shuffle_partitions
+from tierline.session import run_concurrently, shuffle_partitions
 
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
@@ -68,6 +68,19 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return None
 
 
+def bounded_counts(frames: Sequence[DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> list[int]:
+    """``limit(max_rows + 1).count()`` of independent frames, run concurrently."""
+    out = [0] * len(frames)
+
+    def count(i: int, df: DataFrame) -> Callable[[], None]:
+        def run() -> None:
+            out[i] = df.limit(max_rows + 1).count()
+        return run
+
+    run_concurrently([count(i, df) for i, df in enumerate(frames)])
+    return out
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], n_rows: int | None = None,
              share: float = HOT_SHARE, sample_rows: int = HOT_SAMPLE_ROWS, seed: int = SEED) -> DataFrame:
     """Non-null key values that hold at least ``share`` of the rows, judged on a sample, with their

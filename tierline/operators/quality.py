@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tierline.functions import codes
 from tierline.functions.expressions import has_eight_digits, has_outer_spaces, map_code
 from tierline.operators.gold import customers_joined, integrated_gender, products_joined
-from tierline.operators.joins import lookup_join, not_in
+from tierline.operators.joins import bounded_counts, lookup_join, not_in
 from tierline.operators.silver import repaired_price, repaired_sales
 
 
@@ -152,7 +152,9 @@ def gender_matrix(cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame) -> D
     """Q13: distinct (CRM gender, ERP gender, integrated gender) after the dimension's joins."""
     ca = erp_cust.select(F.col("cid").alias("_tl_ca_cid"), F.col("gen").alias("_tl_gen"))
     la = erp_loc.select(F.col("cid").alias("_tl_la_cid"))
-    joined = lookup_join(lookup_join(cust, ca, [("cst_key", "_tl_ca_cid")]), la, [("cst_key", "_tl_la_cid")])
+    n_ca, n_la = bounded_counts([ca, la])
+    joined = lookup_join(lookup_join(cust, ca, [("cst_key", "_tl_ca_cid")], right_rows=n_ca),
+                         la, [("cst_key", "_tl_la_cid")], right_rows=n_la)
     return joined.select(
         F.col("cst_gndr"), F.col("_tl_gen").alias("gen"),
         integrated_gender(F.col("cst_gndr"), F.col("_tl_gen")).alias("new_gen")).distinct()

@@ -11,7 +11,6 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -22,11 +21,14 @@ from tierline.functions.expressions import bad_int_date
 from tierline.operators import gold, silver
 from tierline.plans.catalog import Warehouse
 from tierline.plans.sinks import append, refresh
+from tierline.session import run_concurrently
 from tierline.sources.delimited import CORRUPT_COLUMN, read_extract
 from tierline.sources.schemas import BRONZE, SILVER, SOURCE_FILES
 
 # Independent tables of one layer are submitted concurrently by this many driver threads.
 LOAD_THREADS = 6
+__all__ = ["run_all", "load_bronze", "load_silver", "load_gold", "append_silver", "write_audit",
+           "run_concurrently", "RunAudit"]
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -72,21 +74,6 @@ def _write_observed(wh: Warehouse, audit: RunAudit, layer: str, table: str,
     audit.record(layer, table, int(metrics["rows"]), int(metrics["bad_rows"]), time.perf_counter() - start)
 
 
-def run_concurrently(steps: list[Callable[[], None]], max_workers: int = LOAD_THREADS) -> None:
-    """Submit independent table jobs from driver threads (each job is still distributed), wait
-    for all of them, then raise the first failure. Tables of one layer do not depend on each
-    other, so small tables no longer wait for big ones and the cluster stays busy."""
-    if max_workers <= 1 or len(steps) <= 1:
-        for step in steps:
-            step()
-        return
-    with ThreadPoolExecutor(max_workers=min(max_workers, len(steps))) as pool:
-        futures = [pool.submit(step) for step in steps]
-    errors = [f.exception() for f in futures if f.exception() is not None]
-    if errors:
-        raise errors[0]
-
-
 def load_bronze(wh: Warehouse, source_root: str, audit: RunAudit, tables=tuple(BRONZE),
                 max_workers: int = LOAD_THREADS) -> None:
     """O1: each extract read with its fixed schema and published as a bronze table (full refresh).

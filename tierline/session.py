@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import os
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 import tempfile
 import uuid
 
@@ -121,3 +123,18 @@ def shuffle_partitions(spark: SparkSession, default: int = 200) -> int:
             return int(spark.sparkContext.defaultParallelism)
         except Exception:  # no local SparkContext
             return default
+
+
+def run_concurrently(steps: list[Callable[[], None]], max_workers: int = 6) -> None:
+    """Submit independent table jobs from driver threads (each job is still distributed), wait
+    for all of them, then raise the first failure. Tables of one layer do not depend on each
+    other, so small tables no longer wait for big ones and the cluster stays busy."""
+    if max_workers <= 1 or len(steps) <= 1:
+        for step in steps:
+            step()
+        return
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(steps))) as pool:
+        futures = [pool.submit(step) for step in steps]
+    errors = [f.exception() for f in futures if f.exception() is not None]
+    if errors:
+        raise errors[0]
