@@ -21,7 +21,7 @@ from tierline.operators import gold, quality, silver
 from tierline.operators.joins import lookup_join
 from tierline.operators.ranged import dense_key, lead_in_group
 from tierline.plans.catalog import Warehouse
-from tierline.plans.layers import run_all, run_concurrently
+from tierline.plans.layers import RunAudit, append_silver, load_bronze, run_all, run_concurrently
 from tierline.plans.sinks import append, delete_where, refresh
 from tierline.session import scratch_path
 from tierline.sources.delimited import read_extract, write_extract
@@ -373,6 +373,24 @@ def stage_extracts(spark, sf, root: str) -> str:
     return root
 
 
+def q_silver_append_all(spark, sf):
+    """S3 for all six tables: bronze loaded from staged extracts, then the six append variants run
+    twice; rows per appended table."""
+    sources = stage_extracts(spark, sf, scratch_path(spark, "sources"))
+    wh = _wh(spark, "append-all")
+    wh.ensure_layers()
+    audit = RunAudit()
+    load_bronze(wh, sources, audit)
+    append_silver(wh, audit)
+    append_silver(wh, audit)
+    parts = [wh.read("silver", f"{t}_appended").agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(t).alias("table_name"), "rows") for t in SILVER]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def q_load_audit(spark, sf):
     sources = stage_extracts(spark, sf, scratch_path(spark, "sources"))
     wh = _wh(spark, "run")
@@ -423,5 +441,6 @@ QUERIES: dict[str, Query] = {
     "silver_append_default": q_silver_append_default,
     "delete_null_keys": q_delete_null_keys,
     "catalog_views": q_catalog_views,
+    "silver_append_all": q_silver_append_all,
     "load_audit": q_load_audit,
 }
