@@ -216,3 +216,14 @@ def test_failure_while_building_a_frame_is_audited(spark, monkeypatch):
     assert rows[("silver", "crm_prd_info")]["status"] == "failed"
     assert rows[("silver", "crm_sales_details")]["status"] == "ok", rows[("silver", "crm_sales_details")]["message"]
     assert not any(layer == "gold" for layer, _ in rows)                # no later layer
+
+
+def test_verify_records_post_load_checks(spark):
+    sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "src"))
+    wh = _wh(spark)
+    audit = {(r["layer"], r["table_name"]): r for r in run_all(wh, sources, verify=True).collect()}
+    checks = {t: r for (layer, t), r in audit.items() if layer == "check"}
+    assert set(checks) == {"silver_customer_duplicates", "customer_fanout", "product_fanout",
+                           "fact_without_dimension"}
+    assert all(r["rows"] == 0 and r["status"] == "ok" for r in checks.values())
+    assert audit[("gold", "fact_sales")]["bad_rows"] == checks["fact_without_dimension"]["rows"]

@@ -30,6 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--as-of", help="date for future-birth-date checks (default: today)")
     run.add_argument("--no-sizing", action="store_true", help="keep the session's partition settings")
     run.add_argument("--partition-fact-by", default="", help="comma-separated fact columns, e.g. order_date")
+    run.add_argument("--verify", action="store_true", help="count the post-load checks into the audit")
     q = sub.add_parser("quality", help="count every data-quality rule on the published bronze tables")
     q.add_argument("--warehouse")
     q.add_argument("--prefix", default="")
@@ -42,7 +43,7 @@ def main(argv: list[str] | None = None) -> int:
         if not args.no_sizing:
             apply_scale_conf(spark, path_bytes(spark, args.sources))
         parts = tuple(c for c in args.partition_fact_by.split(",") if c)
-        audit = run_all(wh, args.sources, as_of=args.as_of, fact_partition_by=parts)
+        audit = run_all(wh, args.sources, as_of=args.as_of, fact_partition_by=parts, verify=args.verify)
         audit.orderBy("layer", "table_name").show(100, truncate=False)
     else:
         bronze = {t: wh.read("bronze", t) for t in BRONZE if wh.exists("bronze", t)}

@@ -27,7 +27,7 @@ from tierline.sources.schemas import BRONZE, SILVER, SOURCE_FILES
 
 # Independent tables of one layer are submitted concurrently by this many driver threads.
 LOAD_THREADS = 6
-__all__ = ["run_all", "load_bronze", "load_silver", "load_gold", "append_silver", "write_audit",
+__all__ = ["run_all", "load_bronze", "load_silver", "load_gold", "append_silver", "verify_load", "write_audit",
            "run_concurrently", "RunAudit"]
 
 AUDIT_SCHEMA = T.StructType([
@@ -201,6 +201,32 @@ def load_gold(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS,
                     partition_by=tuple(fact_partition_by))
 
 
+def verify_load(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS) -> None:
+    """The source system's post-load checks, counted and recorded as audit rows (layer
+    ``check``, rows = offending rows, status ``ok`` or ``warn``): duplicate customer ids in
+    silver (Q1), customers and current products repeated by the dimension joins (Q12, Q14), and
+    fact rows without a dimension row (Q15). Informational: nothing is raised."""
+    from tierline.operators import quality
+
+    checks = {
+        "silver_customer_duplicates": lambda: quality.duplicate_keys(_silver(wh, "crm_cust_info"), "cst_id"),
+        "customer_fanout": lambda: quality.customer_fanout(
+            _silver(wh, "crm_cust_info"), _silver(wh, "erp_cust_az12"), _silver(wh, "erp_loc_a101")),
+        "product_fanout": lambda: quality.product_fanout(_silver(wh, "crm_prd_info"), _silver(wh, "erp_px_cat_g1v2")),
+        "fact_without_dimension": lambda: quality.fk_integrity(
+            wh.read("gold", "fact_sales"), wh.read("gold", "dim_customers"), wh.read("gold", "dim_products")),
+    }
+
+    def step(name: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
+        def run() -> None:
+            start = time.perf_counter()
+            n = build().count()
+            audit.record("check", name, n, n, time.perf_counter() - start, "ok" if n == 0 else "warn")
+        return run
+
+    run_concurrently([step(n, b) for n, b in checks.items()], max_workers)
+
+
 def write_audit(wh: Warehouse, audit: RunAudit) -> DataFrame:
     """Append the run's audit rows to ``audit.load_audit`` and return them."""
     spark = wh.spark
@@ -213,7 +239,7 @@ def write_audit(wh: Warehouse, audit: RunAudit) -> DataFrame:
 
 def run_all(wh: Warehouse, source_root: str, as_of=None,
             on_layer_done: Callable[[str], None] | None = None,
-            fact_partition_by: tuple[str, ...] = ()) -> DataFrame:
+            fact_partition_by: tuple[str, ...] = (), verify: bool = False) -> DataFrame:
     """Bronze -> silver -> gold; the audit is written even when a layer fails, then the error
     is raised."""
     audit = RunAudit()
@@ -228,6 +254,8 @@ def run_all(wh: Warehouse, source_root: str, as_of=None,
         load_gold(wh, audit, fact_partition_by=fact_partition_by)
         if on_layer_done:
             on_layer_done("gold")
+        if verify:
+            verify_load(wh, audit)
     finally:
         result = write_audit(wh, audit)
     return result
