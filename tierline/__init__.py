@@ -9,8 +9,13 @@ Layout
 ``plans``      catalog (namespaces, tables, views), sinks (refresh / append / delete) and the
                layer pipeline with its load audit
 ``streaming``  nothing: the warehouse is batch only (see its module docstring)
+
+Entry points: ``Warehouse`` (catalog), ``run_all`` (bronze -> silver -> gold with audit), and
+``python -m tierline`` on the command line.
 """
 
+from tierline.plans.catalog import Warehouse
+from tierline.plans.layers import run_all
 from tierline.session import build_session, shared_dir
 
-__all__ = ["build_session", "shared_dir"]
+__all__ = ["Warehouse", "build_session", "run_all", "shared_dir"]
