@@ -227,3 +227,25 @@ def test_verify_records_post_load_checks(spark):
                            "fact_without_dimension"}
     assert all(r["rows"] == 0 and r["status"] == "ok" for r in checks.values())
     assert audit[("gold", "fact_sales")]["bad_rows"] == checks["fact_without_dimension"]["rows"]
+
+
+def test_shared_dir_reads_the_session_setting(tmp_path):
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+
+    target = tmp_path / "shared-ckpt"
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "from tierline.session import shared_dir, scratch_path\n"
+        "spark = (SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false')\n"
+        "         .config('spark.checkpoint.dir', %r).getOrCreate())\n"
+        "print('DIR', shared_dir(spark)); print('SCRATCH', scratch_path(spark, 'x'))\n"
+    ) % (ROOT, f"file://{target}")
+    proc = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    lines = dict(line.split(" ", 1) for line in proc.stdout.splitlines() if line.startswith(("DIR", "SCRATCH")))
+    assert lines["DIR"] == f"file://{target}"
+    assert lines["SCRATCH"].startswith(f"file://{target}/x-")
