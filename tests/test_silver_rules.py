@@ -150,3 +150,14 @@ def test_int_to_date_arithmetic_equals_string_parsing(spark):
     got = {r["x"]: r["d"] for r in spark.createDataFrame([(v,) for v in edge], "x int")
            .select("x", int_to_date("x").alias("d")).collect()}
     assert got[20240229] == D(2024, 2, 29) and got[20230229] is None and got[20101229] == D(2010, 12, 29)
+
+
+def test_t3_overflow_raises_like_the_source(spark):
+    import pytest
+
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        pytest.skip("overflow is only raised in ANSI mode")
+    df = spark.createDataFrame([("SO1", "P1", 1, 20200101, 20200101, 20200101, 5, 100_000, 100_000)],
+                               BRONZE["crm_sales_details"])
+    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW|overflow"):
+        silver.clean_crm_sales(df).collect()
