@@ -89,7 +89,7 @@ def test_full_run_audit(spark):
                                                 F.countDistinct("customer_key"), F.count(F.lit(1))).first()
     assert keys[0] == 1 and keys[1] == keys[2] == keys[3]
     assert wh.read("silver", "crm_prd_info").filter(F.col("dwh_create_date").isNull()).count() == 0
-    physical = f"{wh.db('gold')}.dim_customers__v{wh.versions('gold', 'dim_customers')[-1]:04d}"
+    physical = f"{wh.db('gold')}.{wh._physical_versions('gold', 'dim_customers')[-1][1]}"
     stats = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {physical}").collect() if r[0] == "Statistics"]
     assert stats and f"{keys[3]} rows" in stats[0][1]
 

@@ -1,7 +1,7 @@
 """Catalog objects: layer namespaces (S7), drop-if-exists (S6), typed tables (S5), published views
 (S8) and whole-table reads (S10).
 
-A published name is a view over a versioned Parquet table (``name__v0003``). A refresh writes the
+A published name is a view over a versioned Parquet table (``name__v0003_<run>``). A refresh writes the
 next version in full and only then repoints the view, so a failed load leaves the previous data
 readable (a truncate-then-load or an in-place overwrite would leave an empty or broken table).
 """
@@ -17,7 +17,7 @@ from tierline.session import shared_dir
 from tierline.sources.schemas import table_ddl
 
 LAYERS = ("bronze", "silver", "gold")
-_VERSION = re.compile(r"^(?P<name>.+)__v(?P<n>\d+)$")
+_VERSION = re.compile(r"^(?P<name>.+)__v(?P<n>\d+)(_[0-9a-f]+)?$")
 
 
 def _insert_by_name(spark: SparkSession, target: str, df: DataFrame) -> None:
@@ -76,16 +76,20 @@ class Warehouse:
         return self.name(layer, table)
 
     # ---- S8 / S2 ----
-    def versions(self, layer: str, table: str) -> list[int]:
+    def _physical_versions(self, layer: str, table: str) -> list[tuple[int, str]]:
         out = []
         # The name pattern keeps the listing to this table's versions: a plain listing also walks
         # every temporary view, which concurrent loads create and drop while it runs.
         for t in self.spark.catalog.listTables(self.db(layer), pattern=f"{table}__v*"):
             m = _VERSION.match(t.name)
             if m and m.group("name") == table and t.tableType != "VIEW" and not t.isTemporary:
-                out.append(int(m.group("n")))
+                out.append((int(m.group("n")), t.name))
         return sorted(out)
 
+    def versions(self, layer: str, table: str) -> list[int]:
+        """Version numbers of ``table`` that exist as tables, oldest first."""
+        return [n for n, _ in self._physical_versions(layer, table)]
+
     def publish(self, layer: str, table: str, df: DataFrame, schema=None, with_audit: bool = False,
                 partition_by: tuple[str, ...] = (), analyze: bool = False) -> str:
         """Write ``df`` as the next version of ``table`` and repoint the view ``layer.table``.
@@ -98,9 +102,10 @@ class Warehouse:
         in the catalog (``ANALYZE TABLE``), so later plans over the table know its exact size.
         """
         self.ensure_namespace(layer)
-        existing = self.versions(layer, table)
-        version = (existing[-1] + 1) if existing else 1
-        physical = f"{table}__v{version:04d}"
+        existing = self._physical_versions(layer, table)
+        version = (existing[-1][0] + 1) if existing else 1
+        # A run suffix: folders left by a run that died mid-write can never block this name.
+        physical = f"{table}__v{version:04d}_{uuid.uuid4().hex[:6]}"
         target = self.name(layer, physical)
         try:
             if schema is None:
@@ -117,8 +122,8 @@ class Warehouse:
             self.spark.sql(f"DROP TABLE IF EXISTS {target}")
             raise
         self.publish_view(layer, table, f"SELECT * FROM {target}")
-        for old in existing[: max(0, len(existing) + 1 - self.keep_versions)]:
-            self.drop_table(layer, f"{table}__v{old:04d}")
+        for _, old in existing[: max(0, len(existing) + 1 - self.keep_versions)]:
+            self.drop_table(layer, old)
         return target
 
     def publish_view(self, layer: str, view: str, select_sql: str) -> str:
