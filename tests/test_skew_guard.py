@@ -33,3 +33,4 @@ def test_skew_aware_operators_stay_balanced():
     assert ratio["key: range buckets"] < 1.5 and tasks["key: range buckets"] > 1
     assert ratio["latest per key: window rn=1"] < 1.5
     assert ratio["join: salted shuffle join"] < 2.5
+    assert ratio["not in: plain anti join"] > 3 and ratio["not in: exact, salted"] < 2.5

@@ -62,6 +62,9 @@ def main() -> None:
     run("latest per key: window rn=1", latest_per_key(orders, "o_custkey", [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]))
     run("join: plain shuffle join", orders.join(customers, orders["o_custkey"] == customers["c_custkey"], "left"))
     run("join: salted shuffle join", joins.salted_join(orders, customers, [("o_custkey", "c_custkey")], "left"))
+    evens = customers.filter(F.col("c_custkey") % 2 == 0)
+    run("not in: plain anti join", orders.join(evens, orders["o_custkey"] == evens["c_custkey"], "left_anti"))
+    run("not in: exact, salted", joins.not_in(orders, "o_custkey", evens, "c_custkey", max_rows=10))
     spark.stop()
 
     stage_group: dict[int, str] = {}
