@@ -41,12 +41,21 @@ def _key(row):
     return tuple((x is None, "" if x is None else str(type(x).__name__), "" if x is None else x) for x in row)
 
 
+# Spark type -> DuckDB type name, for the types the registered queries return.
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE", "double": "DOUBLE",
+          "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 def compare(spark_df, con, sql: str) -> tuple[bool, str]:
     s_cols = list(spark_df.columns)
     rel = con.sql(sql)
     d_cols = list(rel.columns)
     if sorted(s_cols) != sorted(d_cols):
         return False, f"columns differ: spark={s_cols} oracle={d_cols}"
+    d_types = {c: str(t) for c, t in zip(d_cols, rel.types)}
+    type_diff = {c: (t, d_types[c]) for c, t in spark_df.dtypes if _TYPES.get(t, t) != d_types[c]}
+    if type_diff:
+        return False, f"column types differ (spark, oracle): {type_diff}"
     order = sorted(s_cols)
     s_rows = [tuple(_norm(r[c]) for c in order) for r in spark_df.collect()]
     d_idx = [d_cols.index(c) for c in order]
