@@ -249,3 +249,17 @@ def test_shared_dir_reads_the_session_setting(tmp_path):
     lines = dict(line.split(" ", 1) for line in proc.stdout.splitlines() if line.startswith(("DIR", "SCRATCH")))
     assert lines["DIR"] == f"file://{target}"
     assert lines["SCRATCH"].startswith(f"file://{target}/x-")
+
+
+def test_namespaces_and_drop_if_exists(spark):
+    wh = _wh(spark)
+    wh.ensure_layers()
+    assert {f"{wh.prefix}{layer}" for layer in ("bronze", "silver", "gold")} <= {d.name for d in spark.catalog.listDatabases()}
+    wh.drop_table("bronze", "missing")          # S6: dropping what is not there is not an error
+    wh.drop_view("gold", "missing")
+    refresh(wh, "gold", "v", spark.range(3))
+    assert wh.exists("gold", "v")
+    wh.drop_view("gold", "v")
+    assert not wh.exists("gold", "v")
+    wh.drop_layer("gold")
+    assert f"{wh.prefix}gold" not in {d.name for d in spark.catalog.listDatabases()}
