@@ -263,3 +263,11 @@ def test_namespaces_and_drop_if_exists(spark):
     assert not wh.exists("gold", "v")
     wh.drop_layer("gold")
     assert f"{wh.prefix}gold" not in {d.name for d in spark.catalog.listDatabases()}
+
+
+def test_extract_writer_refuses_unrepresentable_values(spark):
+    from tierline.sources.delimited import write_extract
+
+    bad = spark.createDataFrame([("AC_BR", "Bikes, racks", "x", "Yes")], BRONZE["erp_px_cat_g1v2"])
+    with pytest.raises(ValueError, match="cannot represent"):
+        write_extract(bad, scratch_path(spark, "bad-extract"))

@@ -8,7 +8,9 @@ instead of failing (or silently dropping them).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,13 +48,21 @@ def read_extract(spark: SparkSession, path: str, schema: T.StructType,
 def write_extract(df: DataFrame, path: str) -> None:
     """Write ``df`` as extract part files in the same format (used to stage test sources).
 
-    Values are written verbatim: no quoting, no trimming, NULL and '' both as an empty field.
+    Values are written verbatim: no quoting, no trimming, NULL and '' both as an empty field. The
+    format cannot hold a separator or line break inside a value; such values are counted while
+    writing and raise ``ValueError`` afterwards instead of shifting columns silently.
     """
     out = df.select([
         F.date_format(F.col(f.name), "yyyy-MM-dd HH:mm:ss").alias(f.name)
         if isinstance(f.dataType, T.TimestampType) else F.col(f.name)
         for f in df.schema.fields
     ])
+    texts = [F.col(f.name) for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    obs = Observation(f"extract_{uuid.uuid4().hex[:8]}")
+    unsafe = F.lit(False)
+    for c in texts:
+        unsafe = unsafe | F.coalesce(c.contains(",") | c.contains("\n") | c.contains("\r"), F.lit(False))
+    out = out.observe(obs, F.count_if(unsafe).alias("unsafe"))
     (out.write.mode("overwrite")
         .option("header", "true").option("sep", ",")
         .option("quote", "").option("escapeQuotes", "false")
@@ -60,3 +70,6 @@ def write_extract(df: DataFrame, path: str) -> None:
         .option("nullValue", "").option("emptyValue", "")
         .option("dateFormat", "yyyy-MM-dd")
         .csv(path))
+    if obs.get["unsafe"]:
+        raise ValueError(f"{obs.get['unsafe']} rows hold a ',' or a line break, which the unquoted "
+                         f"extract format cannot represent: {path}")
