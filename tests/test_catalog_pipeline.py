@@ -271,3 +271,17 @@ def test_extract_writer_refuses_unrepresentable_values(spark):
     bad = spark.createDataFrame([("AC_BR", "Bikes, racks", "x", "Yes")], BRONZE["erp_px_cat_g1v2"])
     with pytest.raises(ValueError, match="cannot represent"):
         write_extract(bad, scratch_path(spark, "bad-extract"))
+
+
+def test_bronze_load_counts_rows_with_extra_or_missing_fields(spark):
+    from tierline.plans.layers import RunAudit, load_bronze
+    from tierline.sources.schemas import SOURCE_FILES
+
+    root = scratch_path(spark, "ragged-src")
+    _write_text(f"{root}/{SOURCE_FILES['erp_loc_a101']}", "CID,CNTRY\nAW-1,Germany\nAW-2,United,States\nAW-3\n")
+    wh = _wh(spark)
+    audit = RunAudit()
+    load_bronze(wh, root, audit, tables=("erp_loc_a101",))
+    (_, layer, table, rows, bad, _, status, _), = audit.rows
+    assert (layer, table, rows, bad, status) == ("bronze", "erp_loc_a101", 3, 2, "ok")
+    assert wh.read("bronze", "erp_loc_a101").count() == 3      # bad rows are kept, with NULLs
