@@ -110,40 +110,49 @@ def _wh(spark, tag):
 # ---- silver (T1-T6) ----------------------------------------------------------------------------
 
 def q_silver_crm_cust_info(spark, sf):
+    """T1 on the dirty customer frame (tie-break: source sequence)."""
     return s_cust(spark, sf)
 
 
 def q_silver_crm_prd_info(spark, sf):
+    """T2 on the dirty product frame."""
     return s_prd(spark, sf)
 
 
 def q_silver_crm_sales_details(spark, sf):
+    """T3 on the dirty sales frame."""
     return s_sales(spark, sf)
 
 
 def q_silver_erp_cust_az12(spark, sf):
+    """T4 with ``as_of`` fixed at 2026-01-01."""
     return s_az(spark, sf)
 
 
 def q_silver_erp_loc_a101(spark, sf):
+    """T5."""
     return s_loc(spark, sf)
 
 
 def q_silver_erp_px_cat_g1v2(spark, sf):
+    """T6."""
     return s_cat(spark, sf)
 
 
 # ---- gold (G1-G4) ------------------------------------------------------------------------------
 
 def q_dim_customers(spark, sf):
+    """G1 + G4: customer dimension."""
     return _dim_customers(spark, sf)
 
 
 def q_dim_products(spark, sf):
+    """G2 + G4: current-product dimension."""
     return _dim_products(spark, sf)
 
 
 def q_fact_sales(spark, sf):
+    """Sales fact with surrogate keys."""
     # As in the layer jobs, each dimension is materialised once and shared by the checks and joins.
     dim_prod, dim_cust = _materialised_dims(spark, sf)
     return gold.fact_sales(s_sales(spark, sf), dim_prod, dim_cust)
@@ -163,6 +172,7 @@ def q_sales_star(spark, sf):
 # ---- native driver tables ----------------------------------------------------------------------
 
 def q_latest_order_per_customer(spark, sf):
+    """T1's window on native orders: newest order per customer."""
     orders = read_table(spark, sf, "orders")
     latest = silver.latest_per_key(orders, "o_custkey",
                                    [F.col("o_orderdate").desc_nulls_last(), F.col("o_orderkey").desc()])
@@ -171,6 +181,7 @@ def q_latest_order_per_customer(spark, sf):
 
 
 def q_order_validity_ranges(spark, sf):
+    """T2's ``lead`` on native orders, range-bucketed (8 buckets)."""
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     nxt = lead_in_group(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate",
                         "next_orderdate", n_buckets=TEST_BUCKETS)
@@ -179,6 +190,7 @@ def q_order_validity_ranges(spark, sf):
 
 
 def q_surrogate_key_bucketed(spark, sf):
+    """G4's scalable form on native orders (8 buckets)."""
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     keyed = dense_key(orders, ["o_orderdate", "o_orderkey"], "order_key", n_buckets=TEST_BUCKETS)
     return keyed.select("order_key", "o_orderkey")
@@ -195,6 +207,7 @@ def _native_sales(spark, sf):
 
 
 def q_sales_reconcile(spark, sf):
+    """T3's sales and price rules on native line items."""
     s = _native_sales(spark, sf)
     q, p, a = F.col("sls_quantity"), F.col("sls_price"), F.col("sls_sales")
     return s.select("l_orderkey", "l_linenumber",
@@ -205,43 +218,53 @@ def q_sales_reconcile(spark, sf):
 # ---- data quality (Q1-Q15) ---------------------------------------------------------------------
 
 def q_dq_duplicate_keys(spark, sf):
+    """Q1 on native line items (order, line number)."""
     return quality.duplicate_keys(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 def q_dq_null_or_duplicate_id(spark, sf):
+    """Q1 with its NULL branch on the dirty customers."""
     return quality.duplicate_keys(_bronze(spark, sf, "crm_cust_info"), "cst_id")
 
 
 def q_dq_nulls(spark, sf):
+    """Q2: product rows with a NULL cost or line."""
     rows = quality.null_rows(_bronze(spark, sf, "crm_prd_info"), ["prd_cost", "prd_line"])
     return _as_dates(rows, {"prd_start_dt", "prd_end_dt"})
 
 
 def q_dq_spaces(spark, sf):
+    """Q3: names with leading or trailing spaces."""
     return quality.spaced_rows(_bronze(spark, sf, "crm_cust_info"), ["cst_firstname", "cst_lastname"])
 
 
 def q_dq_domain(spark, sf):
+    """Q4: distinct silver countries, sorted."""
     return quality.domain(s_loc(spark, sf), "cntry")
 
 
 def q_dq_domain_product_line(spark, sf):
+    """Q4: distinct raw product lines."""
     return quality.domain(_bronze(spark, sf, "crm_prd_info"), "prd_line")
 
 
 def q_dq_domain_categories(spark, sf):
+    """Q4: distinct (category, subcategory, maintenance)."""
     return quality.domain(_bronze(spark, sf, "erp_px_cat_g1v2"), ["cat", "subcat", "maintenance"])
 
 
 def q_dq_negative(spark, sf):
+    """Q5 on native customer balances."""
     return quality.negative_rows(read_table(spark, sf, "customer"), "c_acctbal", keep=["c_custkey"])
 
 
 def q_dq_negative_cost(spark, sf):
+    """Q5 on product costs."""
     return quality.negative_rows(_bronze(spark, sf, "crm_prd_info"), "prd_cost", keep=["prd_id"])
 
 
 def q_dq_date_order(spark, sf):
+    """Q6 on native data: line items shipped before their order date."""
     li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     joined = li.join(o, li["l_orderkey"] == o["o_orderkey"])
@@ -251,28 +274,34 @@ def q_dq_date_order(spark, sf):
 
 
 def q_dq_date_order_products(spark, sf):
+    """Q6: product end before start."""
     bad = quality.date_order_rows(_bronze(spark, sf, "crm_prd_info"), [("prd_start_dt", "prd_end_dt")])
     return _as_dates(bad, {"prd_start_dt", "prd_end_dt"})
 
 
 def q_dq_date_order_sales(spark, sf):
+    """Q6: order date after ship or due date (integer dates)."""
     return quality.date_order_rows(_bronze(spark, sf, "crm_sales_details"),
                                    [("sls_order_dt", "sls_ship_dt"), ("sls_order_dt", "sls_due_dt")])
 
 
 def q_dq_int_dates(spark, sf):
+    """Q7: invalid integer order dates."""
     return quality.int_date_rows(_bronze(spark, sf, "crm_sales_details"), "sls_order_dt")
 
 
 def q_dq_sales_consistency(spark, sf):
+    """Q8: inconsistent sales with proposed repairs."""
     return quality.sales_consistency(_bronze(spark, sf, "crm_sales_details"))
 
 
 def q_dq_birthdate_range(spark, sf):
+    """Q9: implausible birth dates."""
     return quality.birthdate_rows(_bronze(spark, sf, "erp_cust_az12"), as_of=FIXED_AS_OF)
 
 
 def q_dq_gender_map(spark, sf):
+    """Q10: raw gender code -> word."""
     return quality.code_preview(_bronze(spark, sf, "erp_cust_az12"), "gen", codes.ERP_GENDER)
 
 
@@ -281,10 +310,12 @@ def _seeded_customers(spark, sf):
 
 
 def q_dq_orphans_not_in(spark, sf):
+    """Q11 with the seeded defect (customers with id % 10 = 0 removed)."""
     return quality.location_orphans(_bronze(spark, sf, "erp_loc_a101"), _seeded_customers(spark, sf))
 
 
 def q_dq_orphans_not_in_null(spark, sf):
+    """A NULL in the subquery empties the result."""
     cust = _seeded_customers(spark, sf).select("cst_key")
     # The seeded defect: one NULL key (a global aggregate yields exactly one row).
     null_row = cust.agg(F.max(F.lit(None).cast("string")).alias("cst_key"))
@@ -293,28 +324,33 @@ def q_dq_orphans_not_in_null(spark, sf):
 
 
 def q_dq_customer_fanout(spark, sf):
+    """Q12 with the seeded defect (duplicated location ids)."""
     loc = s_loc(spark, sf)
     seeded = loc.unionByName(loc.filter(F.col("cid").endswith("00")))
     return quality.customer_fanout(s_cust(spark, sf), s_az(spark, sf), seeded)
 
 
 def q_dq_gender_matrix(spark, sf):
+    """Q13: CRM gender x ERP gender -> integrated gender."""
     return quality.gender_matrix(s_cust(spark, sf), s_az(spark, sf), s_loc(spark, sf))
 
 
 def q_dq_product_fanout(spark, sf):
+    """Q14 with the seeded defect (duplicated category)."""
     cat = s_cat(spark, sf)
     seeded = cat.unionByName(cat.filter(F.col("id") == "AC_HE"))
     return quality.product_fanout(s_prd(spark, sf), seeded)
 
 
 def q_dq_fk_integrity(spark, sf):
+    """Q15 with the seeded defect (customers missing from the dimension)."""
     dp, dc = _materialised_dims(spark, sf, cust=_seeded_customers(spark, sf))
     fact = gold.fact_sales(s_sales(spark, sf), dp, dc)
     return quality.fk_integrity(fact, dc, dp)
 
 
 def q_dq_summary_one_pass(spark, sf):
+    """Q2 Q3 Q5 Q6 Q7 Q8 Q9 counted in one pass per bronze table."""
     bronze = {t: _bronze(spark, sf, t) for t in ("crm_cust_info", "crm_prd_info", "crm_sales_details",
                                                  "erp_cust_az12")}
     return quality.quality_summary(bronze, as_of=FIXED_AS_OF)
@@ -323,12 +359,14 @@ def q_dq_summary_one_pass(spark, sf):
 # ---- sources, sinks, catalog, pipeline (S1-S10, O1-O5) ----------------------------------------
 
 def q_bronze_csv_load(spark, sf):
+    """S1 + S5: write the customer frame as an extract, read it back by position."""
     path = scratch_path(spark, "extract-cust")
     write_extract(_bronze(spark, sf, "crm_cust_info"), path)
     return read_extract(spark, path, BRONZE["crm_cust_info"], keep_corrupt=False)
 
 
 def q_bronze_refresh_twice(spark, sf):
+    """Refreshing twice leaves the rows of one load."""
     path = scratch_path(spark, "extract-prd")
     write_extract(_bronze(spark, sf, "crm_prd_info"), path)
     wh = _wh(spark, "refresh")
@@ -338,6 +376,7 @@ def q_bronze_refresh_twice(spark, sf):
 
 
 def q_silver_append_default(spark, sf):
+    """S3 + S4: append by column name; the audit column takes its default."""
     wh = _wh(spark, "append")
     wh.create_table("silver", "crm_cust_info", SILVER["crm_cust_info"], with_audit=True)
     append(wh, "silver", "crm_cust_info", s_cust(spark, sf, drop_null_ids=False))
@@ -346,6 +385,7 @@ def q_silver_append_default(spark, sf):
 
 
 def q_delete_null_keys(spark, sf):
+    """Delete NULL ids by publishing the kept rows as the next version."""
     wh = _wh(spark, "delete")
     refresh(wh, "bronze", "crm_cust_info", _bronze(spark, sf, "crm_cust_info"))
     delete_where(wh, "bronze", "crm_cust_info", F.col("cst_id").isNull())
@@ -353,6 +393,7 @@ def q_delete_null_keys(spark, sf):
 
 
 def q_catalog_views(spark, sf):
+    """Namespaces, drop-if-exists, published view read back."""
     wh = _wh(spark, "catalog")
     wh.ensure_layers()
     for name in ("crm_prd_info", "erp_px_cat_g1v2"):
@@ -392,6 +433,7 @@ def q_silver_append_all(spark, sf):
 
 
 def q_load_audit(spark, sf):
+    """Full run through staged extracts; rows per layer and table."""
     sources = stage_extracts(spark, sf, scratch_path(spark, "sources"))
     wh = _wh(spark, "run")
     audit = run_all(wh, sources)
