@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierline.functions.codes import UNKNOWN
-from tierline.operators.joins import bounded_counts, lookup_join
+from tierline.operators.joins import (
+    BROADCAST_MAX_ROWS, ROW_ID, fits_broadcast, hot_keys, lookup_join, with_row_id)
 from tierline.operators.ranged import dense_key
+from tierline.staging import Stats, measure_all, stage
 
 
 def integrated_gender(crm_gender: Column, erp_gender: Column) -> Column:
@@ -30,9 +32,9 @@ def customers_joined(cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame) -
     ca = erp_cust.select(F.col("cid").alias("_tl_ca_cid"), F.col("bdate").alias("_tl_bdate"),
                          F.col("gen").alias("_tl_gen"))
     la = erp_loc.select(F.col("cid").alias("_tl_la_cid"), F.col("cntry").alias("_tl_cntry"))
-    n_ca, n_la = bounded_counts([ca, la])      # both size checks at once
-    joined = lookup_join(lookup_join(cust, ca, [("cst_key", "_tl_ca_cid")], right_rows=n_ca),
-                         la, [("cst_key", "_tl_la_cid")], right_rows=n_la)
+    size_ca, size_la = measure_all([ca, la])      # both size checks at once
+    joined = lookup_join(lookup_join(cust, ca, [("cst_key", "_tl_ca_cid")], stats=size_ca),
+                         la, [("cst_key", "_tl_la_cid")], stats=size_la)
     return joined.select(
         F.col("cst_id").alias("customer_id"),
         F.col("cst_key").alias("customer_number"),
@@ -64,44 +66,58 @@ def products_joined(prd: DataFrame, cat: DataFrame) -> DataFrame:
         F.col("prd_start_dt").alias("start_dt"))
 
 
-CUSTOMER_ORDER = ["customer_id"]
-PRODUCT_ORDER = ["start_dt", "product_number"]
+# Sort order of each key, and the column that makes it unique.
+CUSTOMER_ORDER, CUSTOMER_ID = ["customer_id"], []
+PRODUCT_ORDER, PRODUCT_ID = ["start_dt", "product_number"], ["product_id"]
 
 
-def with_surrogate_key(df: DataFrame, order: list[str], key: str, n_buckets: int | None = None,
-                       n_rows: int | None = None) -> DataFrame:
-    """``key`` = 1..n in ``order`` (then all other columns), as the first column."""
-    # Sort order of the key, then every other column as a tie-break, so the numbering is a
-    # function of the data (stable when a lost task is recomputed) and buckets stay even.
-    full = order + [c for c in df.columns if c not in order]
-    keyed = dense_key(df, full, key, n_buckets=n_buckets, n_rows=n_rows)
+def with_surrogate_key(df: DataFrame, order: list[str], unique: list[str], key: str, n_rows: int | None = None,
+                       rows_per_bucket: int | None = None) -> DataFrame:
+    """``key`` = 1..n in ``order``, then ``unique``, then all other columns, as the first column.
+
+    Buckets are cut on the sort order and the unique id alone; the other columns only break ties
+    inside a bucket, so the numbering is a function of the data (stable when a lost task is recomputed).
+    """
+    ranges = order + unique
+    keyed = dense_key(df, ranges, key, n_rows=n_rows, rows_per_bucket=rows_per_bucket,
+                      tie_cols=[c for c in df.columns if c not in ranges])
     return keyed.select(key, *df.columns)
 
 
 def dim_customers(cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame,
-                  n_buckets: int | None = None) -> DataFrame:
-    """G1: customer dimension with ``customer_key`` = row number by ``customer_id``."""
-    return with_surrogate_key(customers_joined(cust, erp_cust, erp_loc), CUSTOMER_ORDER, "customer_key", n_buckets)
+                  rows_per_bucket: int | None = None) -> DataFrame:
+    """G1: customer dimension with ``customer_key`` = row number by ``customer_id``. The joined rows are
+    written once; counting and numbering read that table."""
+    joined = stage(customers_joined(cust, erp_cust, erp_loc), "dim-customers")
+    return with_surrogate_key(joined.df, CUSTOMER_ORDER, CUSTOMER_ID, "customer_key", joined.stats.rows, rows_per_bucket)
 
 
-def dim_products(prd: DataFrame, cat: DataFrame, n_buckets: int | None = None) -> DataFrame:
+def dim_products(prd: DataFrame, cat: DataFrame, rows_per_bucket: int | None = None) -> DataFrame:
     """Current-product dimension with ``product_key`` by (start date, product number)."""
-    return with_surrogate_key(products_joined(prd, cat), PRODUCT_ORDER, "product_key", n_buckets)
+    joined = stage(products_joined(prd, cat), "dim-products")
+    return with_surrogate_key(joined.df, PRODUCT_ORDER, PRODUCT_ID, "product_key", joined.stats.rows, rows_per_bucket)
 
 
-def fact_sales(sales: DataFrame, dim_prod: DataFrame, dim_cust: DataFrame,
-               prod_rows: int | None = None, cust_rows: int | None = None) -> DataFrame:
+def fact_sales(sales: DataFrame, dim_prod: DataFrame, dim_cust: DataFrame, prod_stats: Stats | None = None,
+               cust_stats: Stats | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Sales with surrogate keys looked up on the natural keys; unmatched -> NULL key, row kept.
 
-    Each dimension is broadcast when it passes the size check, otherwise joined by a salted
-    shuffle join (hot and NULL natural keys spread over many tasks). ``prod_rows`` / ``cust_rows``
-    are exact dimension sizes when already known (then no count is run).
+    Each dimension's lookup columns are broadcast when their measured size (or ``prod_stats`` /
+    ``cust_stats``, when known) fits, otherwise joined by a salted shuffle join. For that the sales are
+    numbered and their hot keys counted once, on the base rows, before either join.
     """
     prod = dim_prod.select(F.col("product_number").alias("_tl_pn"), F.col("product_key"))
     cust = dim_cust.select(F.col("customer_id").alias("_tl_cid"), F.col("customer_key"))
-    with_prod = lookup_join(sales, prod, [("sls_prd_key", "_tl_pn")], "left", right_rows=prod_rows)
-    with_both = lookup_join(with_prod, cust, [("sls_cust_id", "_tl_cid")], "left", right_rows=cust_rows)
-    return with_both.select(
+    if prod_stats is None or cust_stats is None:
+        prod_stats, cust_stats = measure_all([prod, cust])
+    lookups = [(prod, ("sls_prd_key", "_tl_pn"), prod_stats), (cust, ("sls_cust_id", "_tl_cid"), cust_stats)]
+    salted = [not fits_broadcast(stats, max_rows) for _, _, stats in lookups]
+    base = with_row_id(sales) if any(salted) else sales
+    hot = [hot_keys(base, [pair[0]]) if s else None for (_, pair, _), s in zip(lookups, salted)]
+    out = base
+    for (side, pair, stats), keys in zip(lookups, hot):
+        out = lookup_join(out, side, [pair], "left", max_rows=max_rows, stats=stats, hot=keys)
+    return out.drop(ROW_ID).select(
         F.col("sls_ord_num").alias("order_number"),
         F.col("product_key"),
         F.col("customer_key"),

@@ -1,12 +1,11 @@
 """Joins that hold up under skew: checked broadcasts, salted shuffle joins, exact ``NOT IN``.
 
-* A side is broadcast only after counting it against a row and byte bound.
-* Otherwise the join shuffles on (key, salt). Keys that hold at least ``hot_share`` of the big
-  side's rows (found in a bounded sample, so at most ``1 / hot_share`` of them) get their big-side
-  rows spread over salt values in proportion to their share (up to 4 per shuffle partition for a
-  key holding all rows) and their small-side rows copied once per salt of that key. NULL keys,
-  which never match, are spread the same way, so a third of the rows being NULL does not land in
-  one task either. Every row is kept; nothing is sampled away.
+* A side is broadcast only when its measured rows and bytes are within the bounds.
+* Otherwise the join shuffles on (key, salt). Keys that hold more than half a shuffle partition's
+  fair share of the big side's rows (exact counts; at most two per partition) get their big-side rows
+  spread over salts in proportion to their count, and their small-side rows copied once per salt of
+  that key. NULL keys, which never match, are spread the same way. The salt is a row number, so equal
+  rows get different salts. Every row is kept; nothing is sampled away.
 * ``NOT IN (subquery)`` is null-aware: an empty subquery keeps every row, a NULL in it keeps none,
   otherwise it is an anti join of the non-null keys (Spark alone would plan a nested-loop join once
   the subquery is too large to broadcast).
@@ -14,94 +13,62 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tierline.session import run_concurrently, shuffle_partitions
+from tierline.session import shuffle_partitions
+from tierline.staging import Stats, measure, stage
 
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-HOT_SHARE = 0.01
-HOT_SAMPLE_ROWS = 50_000
-SEED = 4242
 SALTS_PER_PARTITION = 8
+ROW_ID = "_tl_row"
 
 _SALT = "_tl_salt"
 
 
-def _type_width(dt: T.DataType) -> int:
-    """Rough in-memory width of a value, in bytes (strings and binaries count 20)."""
-    if isinstance(dt, T.StructType):
-        return sum(_type_width(f.dataType) for f in dt.fields)
-    if isinstance(dt, (T.ArrayType, T.MapType)):
-        return 100
-    if isinstance(dt, (T.StringType, T.BinaryType)):
-        return 20
-    if isinstance(dt, (T.BooleanType, T.ByteType)):
-        return 1
-    if isinstance(dt, (T.ShortType,)):
-        return 2
-    if isinstance(dt, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(dt, T.DecimalType):
-        return 8 if dt.precision <= 18 else 16
-    return 8
-
-
-def _row_width(df: DataFrame) -> int:
-    return _type_width(df.schema) + 8
+def fits_broadcast(stats: Stats, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    return stats.rows <= max_rows and stats.bytes <= max_bytes
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                      max_bytes: int = BROADCAST_MAX_BYTES, known_rows: int | None = None) -> DataFrame | None:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows and fits ``max_bytes``, else None.
-
-    The count stops early: at most ``max_rows + 1`` rows are counted per check. ``known_rows`` is
-    an exact row count the caller already has (e.g. observed when the table was written).
-    """
-    n = known_rows if known_rows is not None else df.limit(max_rows + 1).count()
-    if n <= max_rows and n * _row_width(df) <= max_bytes:
-        return F.broadcast(df)
-    return None
+                      max_bytes: int = BROADCAST_MAX_BYTES, stats: Stats | None = None) -> DataFrame | None:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows and ``max_bytes`` measured bytes, else
+    None. ``stats``: its size when the caller already has it."""
+    return F.broadcast(df) if fits_broadcast(stats or measure(df), max_rows, max_bytes) else None
 
 
-def bounded_counts(frames: Sequence[DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> list[int]:
-    """``limit(max_rows + 1).count()`` of independent frames, run concurrently."""
-    out = [0] * len(frames)
+def with_row_id(df: DataFrame) -> DataFrame:
+    """``df`` with a row number in ``ROW_ID`` (unique, increasing inside a task's rows).
 
-    def count(i: int, df: DataFrame) -> Callable[[], None]:
-        def run() -> None:
-            out[i] = df.limit(max_rows + 1).count()
-        return run
-
-    run_concurrently([count(i, df) for i, df in enumerate(frames)])
-    return out
+    A recomputed task must give its rows the same numbers, so rows that come out of a shuffle (in
+    no fixed order) are written and reread first; rows of a scan are numbered as they are.
+    """
+    if re.search(r"(?<!Broadcast)Exchange", df._jdf.queryExecution().executedPlan().toString()):
+        df = stage(df, "rows").df
+    return df.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], n_rows: int | None = None,
-             share: float = HOT_SHARE, sample_rows: int = HOT_SAMPLE_ROWS, seed: int = SEED) -> DataFrame:
-    """Non-null key values that hold at least ``share`` of the rows, judged on a sample, with their
-    sampled share of the rows (``_tl_share``).
+def hot_keys(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+    """Non-null key values that hold more than half of a shuffle partition's fair share of the rows,
+    with their number of salts (``_tl_n``).
 
-    The result has at most about ``1 / share`` rows (their sample counts cannot add up to more than
-    the sample), is computed once and brought back as a small local frame, so every later use sees
-    the same set.
+    Exact counts, combined before the shuffle. At most ``2 * partitions`` keys can qualify, so the
+    result is bounded by that; it is brought back once as a small local frame, so every later use
+    sees the same set.
     """
     spark = df.sparkSession
-    n_rows = df.count() if n_rows is None else n_rows
-    sample = df.select(*keys).dropna()
-    frac = min(1.0, sample_rows / max(n_rows, 1))
-    if frac < 1.0:
-        sample = sample.sample(withReplacement=False, fraction=frac, seed=seed)
-    expected = max(frac * n_rows, 1.0)
-    threshold = max(2.0, share * expected)
-    counts = (sample.groupBy(*keys).count().filter(F.col("count") >= threshold)
-              .select(*keys, (F.col("count") / F.lit(expected)).alias("_tl_share")))
-    rows = counts.collect()
-    return spark.createDataFrame(rows, schema=counts.schema)
+    partitions = partitions or shuffle_partitions(spark)
+    counts = stage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tl_c")), "key-counts").df
+    total = int(counts.agg(F.sum("_tl_c")).first()[0] or 0)
+    share = max(total / partitions, 1.0)
+    hot = counts.dropna(subset=list(keys)).filter(F.col("_tl_c") > F.lit(max(share / 2, 1.0)))
+    salts = F.ceil(F.col("_tl_c") * F.lit(SALTS_PER_PARTITION / share)).cast("int")
+    hot = hot.select(*keys, F.greatest(F.lit(1), salts).alias("_tl_n"))
+    return spark.createDataFrame(hot.collect(), schema=hot.schema)
 
 
 def _on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -113,72 +80,60 @@ def _on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) ->
 
 
 def salted_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "left",
-                salts: int | None = None, hot: DataFrame | None = None) -> DataFrame:
+                hot: DataFrame | None = None) -> DataFrame:
     """Shuffle join of ``left`` (big, maybe skewed) with ``right`` on ``pairs`` (left, right keys).
 
     ``how`` is ``left``, ``inner`` or ``left_anti``. Output columns: ``left``'s then ``right``'s
-    (right-side names must not repeat left-side names). ``hot`` overrides the sampled hot keys.
+    (right-side names must not repeat left-side names). ``hot`` (keys and ``_tl_n`` salts each)
+    overrides the counted hot keys. ``left`` may bring a ``ROW_ID`` of its base rows; it stays.
     """
-    spark = left.sparkSession
-    # A key holding all rows would get 8 salts per partition: (key, salt) pairs are placed by
-    # hash, and several salts per partition even out the collisions.
-    salts = salts or SALTS_PER_PARTITION * shuffle_partitions(spark)
     lkeys = [lk for lk, _ in pairs]
     rkeys = [rk for _, rk in pairs]
     if hot is None:
         hot = hot_keys(left, lkeys)
-    row_hash = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int")
-    any_null = None
+    columns = left.columns
+    if ROW_ID not in columns:
+        left = with_row_id(left)
+    any_null = F.lit(False)
     for k in lkeys:
-        e = F.col(k).isNull()
-        any_null = e if any_null is None else any_null | e
-
-    # Each hot key gets salts in proportion to its share: the hottest key spreads widest, and the
-    # copies of small-side rows add up to at most ~``salts`` whatever the number of hot keys.
-    if "_tl_share" not in hot.columns:
-        hot = hot.withColumn("_tl_share", F.lit(1.0))
-    key_salts = F.greatest(F.lit(1), F.ceil(F.col("_tl_share") * F.lit(salts)).cast("int"))
-    hot_l = hot.select(*lkeys, key_salts.alias("_tl_n"))
-    tagged = left.join(F.broadcast(hot_l), on=lkeys, how="left")
-    # Join on names puts the keys first; restore left's column order.
-    tagged = tagged.select(*left.columns, "_tl_n")
-    # Hot rows spread over their key's salts; NULL keys (never matched) over all salts; others 0.
-    salted_left = tagged.withColumn(
-        _SALT, F.when(F.col("_tl_n").isNotNull(), F.pmod(row_hash, F.col("_tl_n")))
-                .when(any_null, row_hash).otherwise(F.lit(0))).drop("_tl_n")
-
-    hot_r = hot.select(*[F.col(lk).alias(rk) for lk, rk in pairs], key_salts.alias("_tl_n"))
+        any_null = any_null | F.col(k).isNull()
+    null_salts = F.lit(SALTS_PER_PARTITION * shuffle_partitions(left.sparkSession))
+    tagged = left.join(F.broadcast(hot.select(*lkeys, "_tl_n")), on=lkeys, how="left")
+    row = F.xxhash64(F.col(ROW_ID))
+    salt = (F.when(F.col("_tl_n").isNotNull(), F.pmod(row, F.col("_tl_n")))
+            .when(any_null, F.pmod(row, null_salts)).otherwise(F.lit(0)).cast("int"))
+    salted_left = tagged.select(*columns, salt.alias(_SALT))
+
+    hot_r = hot.select(*[F.col(lk).alias(rk) for lk, rk in pairs], "_tl_n")
     rtag = right.join(F.broadcast(hot_r), on=rkeys, how="left").select(*right.columns, "_tl_n")
     salted_right = rtag.withColumn(
         "_tl_rsalt", F.explode(F.when(F.col("_tl_n").isNotNull(), F.sequence(F.lit(0), F.col("_tl_n") - 1))
                                .otherwise(F.array(F.lit(0))))).drop("_tl_n")
 
     cond = _on(salted_left, salted_right, pairs) & (salted_left[_SALT] == salted_right["_tl_rsalt"])
-    out = salted_left.join(salted_right, cond, how)
-    return out.drop(_SALT, "_tl_rsalt")
+    return salted_left.join(salted_right.hint("merge"), cond, how).drop(_SALT, "_tl_rsalt")
 
 
 def lookup_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS, right_rows: int | None = None) -> DataFrame:
+                max_rows: int = BROADCAST_MAX_ROWS, stats: Stats | None = None,
+                hot: DataFrame | None = None) -> DataFrame:
     """Join a big ``left`` to a lookup ``right``: broadcast when ``right`` is checked small,
-    salted shuffle join otherwise. ``right_rows``: exact row count of ``right`` if known."""
-    small = checked_broadcast(right, max_rows=max_rows, known_rows=right_rows)
+    salted shuffle join otherwise. ``stats``: size of ``right`` if known."""
+    small = checked_broadcast(right, max_rows=max_rows, stats=stats)
     if small is not None:
         return left.join(small, _on(left, right, pairs), how)
-    return salted_join(left, right, pairs, how)
+    return salted_join(left, right, pairs, how, hot=hot)
 
 
 def not_in(left: DataFrame, left_col: str, right: DataFrame, right_col: str,
            max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of ``left`` where ``left_col NOT IN (SELECT right_col FROM right)``, SQL semantics."""
-    # One pass: rows, NULLs and distinct keys (the exact size of the anti join's lookup side).
-    stats = right.agg(F.count(F.lit(1)).alias("n"),
-                      F.count_if(F.col(right_col).isNull()).alias("n_null"),
-                      F.count_distinct(F.col(right_col)).alias("n_keys")).first()
-    if stats["n"] == 0:
+    """Rows of ``left`` where ``left_col NOT IN (SELECT right_col FROM right)``, SQL semantics.
+
+    The subquery is evaluated once: its distinct keys are written with their size."""
+    keys = stage(right.select(F.col(right_col).alias("_tl_key")).distinct(), "not-in-keys")
+    if keys.stats.rows == 0:
         return left
-    if stats["n_null"] > 0:
+    if not keys.df.filter(F.col("_tl_key").isNull()).isEmpty():
         return left.filter(F.lit(False))
-    keys = right.select(F.col(right_col).alias("_tl_key")).distinct()
-    return lookup_join(left.filter(F.col(left_col).isNotNull()), keys, [(left_col, "_tl_key")],
-                       "left_anti", max_rows=max_rows, right_rows=int(stats["n_keys"]))
+    return lookup_join(left.filter(F.col(left_col).isNotNull()), keys.df, [(left_col, "_tl_key")],
+                       "left_anti", max_rows=max_rows, stats=keys.stats)

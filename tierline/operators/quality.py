@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from tierline.functions import codes
 from tierline.functions.expressions import has_eight_digits, has_outer_spaces, map_code
 from tierline.operators.gold import customers_joined, integrated_gender, products_joined
-from tierline.operators.joins import bounded_counts, lookup_join, not_in
+from tierline.operators.joins import BROADCAST_MAX_ROWS, lookup_join, not_in
 from tierline.operators.silver import repaired_price, repaired_sales
+from tierline.staging import measure_all, stage
 
 
 def _any(preds: Sequence[Column]) -> Column:
@@ -88,8 +89,8 @@ def null_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def spaced_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Q3: values of ``cols`` that have leading or trailing spaces."""
-    return df.filter(has_spaces(cols)).select(*cols)
+    """Q3: whole rows in which any of ``cols`` has leading or trailing spaces."""
+    return df.filter(has_spaces(cols))
 
 
 def domain(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
@@ -113,6 +114,11 @@ def int_date_rows(df: DataFrame, c: str) -> DataFrame:
     return df.filter(invalid_int_date(c)).select(F.nullif(F.col(c), F.lit(0)).alias(c))
 
 
+def inconsistent_sales(sales: str = "sls_sales", quantity: str = "sls_quantity", price: str = "sls_price") -> Column:
+    """sales != quantity x price, multiplied as BIGINT: one overflowing row must not end the check."""
+    return F.col(sales).cast("bigint") != F.col(quantity).cast("bigint") * F.col(price).cast("bigint")
+
+
 def sales_consistency(df: DataFrame, sales: str = "sls_sales", quantity: str = "sls_quantity",
                       price: str = "sls_price") -> DataFrame:
     """Q8: distinct (sales, quantity, price) with sales != quantity x price, and their repairs.
@@ -120,9 +126,9 @@ def sales_consistency(df: DataFrame, sales: str = "sls_sales", quantity: str = "
     Rows with a NULL in the comparison are not reported (the comparison is unknown).
     """
     s, q, p = F.col(sales), F.col(quantity), F.col(price)
-    return (df.filter(s != q * p)
+    return (df.filter(inconsistent_sales(sales, quantity, price))
               .select(s.alias(sales), q.alias(quantity), p.alias(price),
-                      repaired_sales(s, q, p).alias(f"{sales}_new"),
+                      repaired_sales(s, q.cast("bigint"), p.cast("bigint")).alias(f"{sales}_new"),
                       repaired_price(s, q, p).alias(f"{price}_new"))
               .distinct())
 
@@ -139,22 +145,22 @@ def code_preview(df: DataFrame, c: str, mapping: Mapping[str, str]) -> DataFrame
 
 # ---- Q11, Q13, Q15: cross-table checks -----------------------------------------------------
 
-def location_orphans(erp_loc: DataFrame, cust: DataFrame) -> DataFrame:
+def location_orphans(erp_loc: DataFrame, cust: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Q11: location ids (with '-' removed) that are ``NOT IN`` the silver customer keys.
 
     SQL semantics: a NULL customer key makes the answer empty; no customers keeps every row.
     """
     cleaned = erp_loc.select(F.replace(F.col("cid"), F.lit("-"), F.lit("")).alias("cid"), "cntry")
-    return not_in(cleaned, "cid", cust, "cst_key")
+    return not_in(cleaned, "cid", cust, "cst_key", max_rows=max_rows)
 
 
 def gender_matrix(cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame) -> DataFrame:
     """Q13: distinct (CRM gender, ERP gender, integrated gender) after the dimension's joins."""
     ca = erp_cust.select(F.col("cid").alias("_tl_ca_cid"), F.col("gen").alias("_tl_gen"))
     la = erp_loc.select(F.col("cid").alias("_tl_la_cid"))
-    n_ca, n_la = bounded_counts([ca, la])
-    joined = lookup_join(lookup_join(cust, ca, [("cst_key", "_tl_ca_cid")], right_rows=n_ca),
-                         la, [("cst_key", "_tl_la_cid")], right_rows=n_la)
+    size_ca, size_la = measure_all([ca, la])
+    joined = lookup_join(lookup_join(cust, ca, [("cst_key", "_tl_ca_cid")], stats=size_ca),
+                         la, [("cst_key", "_tl_la_cid")], stats=size_la)
     return joined.select(
         F.col("cst_gndr"), F.col("_tl_gen").alias("gen"),
         integrated_gender(F.col("cst_gndr"), F.col("_tl_gen")).alias("new_gen")).distinct()
@@ -163,13 +169,20 @@ def gender_matrix(cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame) -> D
 def fk_integrity(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame) -> DataFrame:
     """Q15: fact rows whose product or customer key finds no dimension row.
 
-    Output: the fact's columns, then the dimensions' columns prefixed ``cust_`` and ``prod_``.
+    Output: the fact's columns, then the dimensions' columns prefixed ``cust_`` and ``prod_``. Only the
+    dimensions' keys meet the whole fact; the violators are written, and the wide columns are
+    attached to those rows alone.
     """
+    ck = dim_cust.select(F.col("customer_key").alias("_tl_ck"))
+    pk = dim_prod.select(F.col("product_key").alias("_tl_pk"))
+    size_c, size_p = measure_all([ck, pk])
+    found = lookup_join(lookup_join(fact, ck, [("customer_key", "_tl_ck")], stats=size_c),
+                        pk, [("product_key", "_tl_pk")], stats=size_p)
+    bad = stage(found.filter(F.col("_tl_ck").isNull() | F.col("_tl_pk").isNull()).select(*fact.columns), "fk-violators").df
     c = dim_cust.select(*[F.col(x).alias(f"cust_{x}") for x in dim_cust.columns])
     p = dim_prod.select(*[F.col(x).alias(f"prod_{x}") for x in dim_prod.columns])
-    with_c = lookup_join(fact, c, [("customer_key", "cust_customer_key")], "left")
-    with_p = lookup_join(with_c, p, [("product_key", "prod_product_key")], "left")
-    return with_p.filter(F.col("prod_product_key").isNull() | F.col("cust_customer_key").isNull())
+    with_c = lookup_join(bad, c, [("customer_key", "cust_customer_key")], "left")
+    return lookup_join(with_c, p, [("product_key", "prod_product_key")], "left")
 
 
 # ---- one pass per table --------------------------------------------------------------------
@@ -187,12 +200,16 @@ def bronze_rules(as_of: str | Column | None = None) -> dict[str, dict[str, Colum
             "null_line": is_null(["prd_line"]),
             "negative_or_null_cost": negative_or_null("prd_cost"),
             "end_before_start": out_of_order([("prd_start_dt", "prd_end_dt")]),
+            "spaces_name": has_spaces(["prd_nm"]),
+        },
+        "erp_px_cat_g1v2": {
+            "spaces": has_spaces(["cat", "subcat", "maintenance"]),
         },
         "crm_sales_details": {
             "invalid_order_date": invalid_int_date("sls_order_dt"),
             "order_after_ship_or_due": out_of_order([("sls_order_dt", "sls_ship_dt"),
                                                      ("sls_order_dt", "sls_due_dt")]),
-            "inconsistent_sales": F.col("sls_sales") != F.col("sls_quantity") * F.col("sls_price"),
+            "inconsistent_sales": inconsistent_sales(),
         },
         "erp_cust_az12": {
             "birthdate_out_of_range": birthdate_out_of_range("bdate", as_of),

@@ -1,222 +1,115 @@
 """Range buckets: global ordering work without a single-partition window.
 
 ``row_number() over (order by k)`` and ``lead(v) over (partition by g order by k)`` put a whole
-table (or a whole group) into one task. Here the total order is cut into contiguous ranges:
-
-1. count the input and take a bounded random sample of the order columns;
-2. let Spark rank the sample and return the first row of each equal slice as a cut (a literal);
-3. ``bucket`` = number of cuts below the row's order key, found by a stepwise binary search over
-   the cuts (a pure function of the key, so recomputing a lost task gives the same bucket);
-4. place each bucket in its own partition, number / look ahead inside it, then stitch buckets
-   with a broadcast table of one row per bucket (row offsets for keys, head rows for ``lead``).
-
-Order columns must form a total order (append a unique tie-break), otherwise one key value that
-holds many rows stays in one bucket. Ordering is ascending with NULLs first, like Spark's default
-and the source system's.
+table (or a whole group) into one task. Here Spark's range partitioning cuts the total order into
+contiguous ranges of about ``rows_per_bucket`` rows, however many that takes:
+
+1. ``repartitionByRange`` on the order columns, sorted inside each partition, and every row tagged
+   with its partition (the bucket) and its place in it;
+2. the tagged rows are written once below ``spark.checkpoint.dir``, so buckets and places are fixed
+   and a lost task is recomputed from files;
+3. buckets are stitched by a table of one row per bucket (row offsets for keys, head rows for
+   ``lead``). No cut points pass the driver and no literals enter the plan.
+
+Range columns must be (nearly) unique, otherwise one value that holds many rows stays in one bucket.
+Ordering is ascending with NULLs first, like Spark's default and the source system's.
 """
 
 from __future__ import annotations
 
-import json
 import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tierline.session import shuffle_partitions
+from tierline.session import scratch_path
 
 ROWS_PER_BUCKET = 2_000_000
-SAMPLE_PER_BUCKET = 256
-MAX_SAMPLE_ROWS = 1_000_000
-SEED = 20240607
 
-_BUCKET = "_tl_bucket"
-_PLACE = "_tl_place"
+RUNS_PER_BUCKET = 32
 
+_ID, _BUCKET, _PLACE, _RUN = "_tl_id", "_tl_bucket", "_tl_place", "_tl_run"
+_PLACE_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
-def _default_buckets(spark, n_rows: int, rows_per_bucket: int | None) -> int:
-    cap = shuffle_partitions(spark)
-    per = rows_per_bucket if rows_per_bucket is not None else ROWS_PER_BUCKET
-    return max(1, min(cap * 4, math.ceil(n_rows / per)))
 
+def bucket_count(n_rows: int, rows_per_bucket: int | None = None) -> int:
+    """Buckets of at most about ``rows_per_bucket`` rows; grows with the rows, without a cap."""
+    return max(1, math.ceil(n_rows / (rows_per_bucket or ROWS_PER_BUCKET)))
 
-def sample_cuts(df: DataFrame, order_cols: Sequence[str], n_buckets: int,
-                n_rows: int | None = None, seed: int = SEED) -> list[tuple]:
-    """Up to ``n_buckets - 1`` distinct cut keys splitting ``order_cols`` into similar ranges.
 
-    A Bernoulli sample of about ``SAMPLE_PER_BUCKET`` rows per bucket (at most
-    ``MAX_SAMPLE_ROWS``) is ranked by Spark; the first row of each of ``n_buckets`` equal slices of
-    that ranking is a cut. Only the cuts reach the driver, as strings, so literal types follow the
-    columns exactly (session time zone included).
-    """
-    if n_buckets <= 1:
-        return []
-    n_rows = df.count() if n_rows is None else n_rows
-    if n_rows == 0:
-        return []
-    want = min(n_buckets * SAMPLE_PER_BUCKET, MAX_SAMPLE_ROWS)
-    frac = min(1.0, want / n_rows)
-    sample = df.select(*order_cols)
-    if frac < 1.0:
-        sample = sample.sample(withReplacement=False, fraction=frac, seed=seed)
-    # The sample is bounded (about ``want`` rows), so ranking it in one partition is cheap.
-    ranked = sample.select(
-        *order_cols,
-        F.row_number().over(Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])).alias("_tl_r"),
-        F.count(F.lit(1)).over(Window.partitionBy()).alias("_tl_m"))
-    r, m = F.col("_tl_r"), F.col("_tl_m")
-    slice_of = lambda x: F.call_function("div", x.cast("bigint") * n_buckets, m)
-    first_of_slice = (r >= 2) & (slice_of(r - 1) > slice_of(r - 2))
-    rows = (ranked.filter(first_of_slice).orderBy("_tl_r")
-            .select(*[F.col(c).cast("string").alias(c) for c in order_cols]).collect())
-    cuts: list[tuple] = []
-    for row in rows:
-        cut = tuple(row)
-        if not cuts or cuts[-1] != cut:
-            cuts.append(cut)
-    return cuts
-
-
-def with_bucket(df: DataFrame, order_cols: Sequence[str], cuts: Sequence[tuple], name: str = "_tl_bucket") -> DataFrame:
-    """Add ``name`` = number of cuts strictly below ``struct(order_cols)`` (0..len(cuts)).
-
-    A branch-free binary search: the cuts are one constant array, and each of
-    ``ceil(log2(len(cuts) + 1))`` projections advances the position by a power of two when the
-    key is above the cut there. Generated code stays O(log n) however many buckets there are (a
-    CASE tree over n literals outgrows the JVM method limit and falls back to interpreted
-    evaluation). Struct comparison orders NULL fields first, so NULLs land in the lowest buckets,
-    as they sort. Order columns are scalars (numbers, strings, dates, timestamps, booleans,
-    decimals): cut values travel as their string form, which round-trips for these types.
-    """
-    types = {f.name: f.dataType for f in df.schema.fields}
-    key = F.struct(*[F.col(c) for c in order_cols])
-    # One JSON string literal (cuts as strings), parsed and cast to the key's types: Spark folds it
-    # into a single constant, and the plan stays small however many cuts there are.
-    as_text = T.ArrayType(T.StructType([T.StructField(c, T.StringType(), True) for c in order_cols]))
-    typed = T.ArrayType(T.StructType([T.StructField(c, types[c], True) for c in order_cols]))
-    payload = json.dumps([dict(zip(order_cols, cut)) for cut in cuts])
-    table = F.from_json(F.lit(payload), as_text).cast(typed)
-    out = df.withColumn(name, F.lit(0))
-    step = 1
-    while step * 2 <= len(cuts):
-        step *= 2
-    while step >= 1:
-        probe = F.col(name) + F.lit(step)
-        # Out-of-range probes read NULL (try_element_at), the comparison is then not true.
-        above = key > F.try_element_at(table, probe)
-        out = out.withColumn(name, F.when(above, probe).otherwise(F.col(name)))
-        step //= 2
-    return out
-
-
-_ALIGNED: dict[int, list[int]] = {}
-
-
-def aligned_ids(spark, n: int) -> list[int]:
-    """For each partition index ``i`` of ``n``, an INT whose hash partition (``pmod(hash(v), n)``,
-    what ``repartition(n, col)`` uses) is ``i``. Found once per ``n`` by a small probe job.
-
-    Only placement depends on this: were the partitioning hash ever different, every bucket would
-    still be whole in one partition (results unchanged), just no longer one bucket per task.
-    """
-    if n not in _ALIGNED:
-        probe = spark.range(0, 64 * n).select(F.col("id").cast("int").alias("v"))
-        rows = (probe.groupBy(F.pmod(F.hash("v"), F.lit(n)).alias("p"))
-                .agg(F.min("v").alias("v")).collect())
-        found = {r["p"]: r["v"] for r in rows}
-        _ALIGNED[n] = [found.get(i, i) for i in range(n)]
-    return _ALIGNED[n]
-
-
-def _place_buckets(tagged: DataFrame, n: int) -> DataFrame:
-    """Shuffle so that bucket ``b`` (0..n-1) is exactly partition ``b``: one bucket per task.
-
-    Plain hash partitioning on the bucket number would put several buckets into some tasks and
-    none into others; with range buckets of equal size that doubles or triples the slowest task.
-    """
-    ids = aligned_ids(tagged.sparkSession, n)
-    # One folded constant, however many buckets (a literal per bucket would bloat the plan).
-    table = F.split(F.lit(",".join(str(v) for v in ids)), ",").cast("array<int>")
-    placed = tagged.withColumn(_PLACE, F.element_at(table, F.col(_BUCKET) + 1))
-    return placed.repartition(n, _PLACE)
-
-
-def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str,
-              n_buckets: int | None = None, rows_per_bucket: int | None = None,
-              n_rows: int | None = None) -> DataFrame:
-    """``row_number() over (order by order_cols)`` as a BIGINT column, without one global task.
-
-    Rows are numbered inside range buckets (one shuffle, on the bucket). A bucket's offset is the
-    number of rows in the buckets before it, from per-bucket counts: a partial aggregate on the
-    map side, so only ``n_buckets`` rows per task cross the network, and a result of one row per
-    bucket that is broadcast (its size is the bucket count, a small constant). ``n_rows`` is the
-    exact row count when the caller already has it (otherwise counted here).
-    """
+def ranged(df: DataFrame, range_cols: Sequence[str], tie_cols: Sequence[str], n_buckets: int) -> DataFrame:
+    """``df`` written in order of ``range_cols`` then ``tie_cols`` with ``_tl_bucket`` and ``_tl_place``
+    (from 0). Only ``range_cols`` are sampled for the cuts; ``tie_cols`` order rows in a bucket."""
+    keys = [F.col(c).asc_nulls_first() for c in range_cols]
+    ties = [F.col(c).asc_nulls_first() for c in tie_cols]
     spark = df.sparkSession
+    path = scratch_path(spark, "ranged")
+    placed = (df.repartitionByRange(n_buckets, *keys).sortWithinPartitions(*keys, *ties)
+              .withColumn(_ID, F.monotonically_increasing_id()))
+    placed.write.parquet(path)
+    back = spark.read.schema(placed.schema).parquet(path)
+    return back.select(*df.columns, F.shiftright(_ID, _PLACE_BITS).alias(_BUCKET),
+                       F.col(_ID).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias(_PLACE))
+
+
+def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str, rows_per_bucket: int | None = None,
+              n_rows: int | None = None, tie_cols: Sequence[str] = ()) -> DataFrame:
+    """``row_number() over (order by order_cols, tie_cols)`` as a BIGINT column, without one global task.
+
+    One shuffle of the rows. A bucket's offset is the number of rows in the buckets before it, from
+    counts that combine before the shuffle; the offsets, one row per bucket, are broadcast (a few
+    bytes for every ``rows_per_bucket`` rows). ``n_rows`` is the exact row count when the caller
+    already has it (otherwise counted here).
+    """
     n_rows = df.count() if n_rows is None else n_rows
-    if n_buckets is None:
-        n_buckets = _default_buckets(spark, n_rows, rows_per_bucket)
-    cuts = sample_cuts(df, order_cols, n_buckets, n_rows)
-    order = [F.col(c).asc_nulls_first() for c in order_cols]
-    if not cuts:
-        # One bucket: the input has at most ``rows_per_bucket`` rows (counted above), or the
-        # caller asked for one.
+    n_buckets = bucket_count(n_rows, rows_per_bucket)
+    if n_buckets == 1:  # the whole table is one bucket
+        order = [F.col(c).asc_nulls_first() for c in (*order_cols, *tie_cols)]
         return df.withColumn(key_name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    tagged = with_bucket(df, order_cols, cuts, _BUCKET)
-    placed = _place_buckets(tagged, len(cuts) + 1)
-    numbered = placed.withColumn("_tl_rn", F.row_number().over(Window.partitionBy(_PLACE).orderBy(*order)))
-    sizes = tagged.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("_tl_n"))
-    offsets = sizes.select(
-        _BUCKET,
-        F.coalesce(F.sum("_tl_n").over(Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_tl_offset"))
-    return (numbered.join(F.broadcast(offsets), _BUCKET)
-            .withColumn(key_name, (F.col("_tl_offset") + F.col("_tl_rn")).cast("bigint"))
-            .drop(_BUCKET, _PLACE, "_tl_rn", "_tl_offset"))
+    placed = ranged(df, order_cols, tie_cols, n_buckets)
+    sizes = placed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("_tl_n"))
+    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(_BUCKET, F.coalesce(F.sum("_tl_n").over(before), F.lit(0)).alias("_tl_offset"))
+    return (placed.join(F.broadcast(offsets), _BUCKET)
+            .withColumn(key_name, (F.col("_tl_offset") + F.col(_PLACE) + 1).cast("bigint"))
+            .select(*df.columns, key_name))
 
 
 def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                  value_col: str, out_col: str, n_buckets: int | None = None,
-                  rows_per_bucket: int | None = None, n_rows: int | None = None) -> DataFrame:
+                  value_col: str, out_col: str, rows_per_bucket: int | None = None,
+                  n_rows: int | None = None) -> DataFrame:
     """``lead(value_col) over (partition by group_cols order by order_cols)`` without hot groups.
 
-    Range buckets are cut on ``group_cols + order_cols``, so a group that holds a third of all rows
-    is spread over a third of the buckets. Inside a (bucket, group) the window gives the next row.
-    A group can only continue into the next non-empty bucket at that bucket's first row, so the
-    last row of a (bucket, group) takes the value of the next bucket's head row when the head
-    belongs to the same group. The heads come from a map-side partial aggregate with one row per
-    bucket, broadcast to the windowed rows (no second shuffle of the data). ``n_rows`` as in
+    Ranges are cut on ``group_cols + order_cols``, so a group that holds a third of all rows is
+    spread over a third of the buckets, and each bucket into runs of its rows. Inside a (run, group) the
+    window gives the next row. A group can only continue into the next run at that run's first row, so
+    the last row of a (run, group) takes the value of the next run's head when the head belongs to the
+    same group. The heads, one row per ``rows_per_bucket / 32`` rows, are broadcast. ``n_rows`` as in
     ``dense_key``.
     """
-    spark = df.sparkSession
     full = list(group_cols) + list(order_cols)
     n_rows = df.count() if n_rows is None else n_rows
-    if n_buckets is None:
-        n_buckets = _default_buckets(spark, n_rows, rows_per_bucket)
-    cuts = sample_cuts(df, full, n_buckets, n_rows)
+    n_buckets = bucket_count(n_rows, rows_per_bucket)
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    if not cuts:
-        # One bucket: the input has at most ``rows_per_bucket`` rows (counted above), or the
-        # caller asked for one.
+    if n_buckets == 1:
         w = Window.partitionBy(*group_cols).orderBy(*order)
         return df.withColumn(out_col, F.lead(value_col).over(w))
-    tagged = with_bucket(df, full, cuts, _BUCKET)
-    # One bucket per task; the window's (bucket, group) partitions need no further exchange.
-    w = Window.partitionBy(_PLACE, *group_cols).orderBy(*order)
-    inner = (_place_buckets(tagged, len(cuts) + 1).withColumn(out_col, F.lead(value_col).over(w))
+    # Runs of a bucket's rows: small enough that hashing them to tasks comes out even.
+    size = max(1, math.ceil((rows_per_bucket or ROWS_PER_BUCKET) / RUNS_PER_BUCKET))
+    placed = ranged(df, full, (), n_buckets).withColumn(_RUN, F.floor(F.col(_PLACE) / size))
+    w = Window.partitionBy(_BUCKET, _RUN, *group_cols).orderBy(_PLACE)
+    inner = (placed.withColumn(out_col, F.lead(value_col).over(w))
              .withColumn("_tl_last", F.lead(F.lit(1)).over(w).isNull()))
-    head = F.min_by(F.struct(*[F.col(c) for c in group_cols], F.col(value_col).alias("_tl_v")),
-                    F.struct(*[F.col(c) for c in full]))
-    heads = tagged.groupBy(_BUCKET).agg(head.alias("_tl_head"))
-    following = heads.select(
-        F.col(_BUCKET).alias("_tl_b"),
-        F.lead("_tl_head").over(Window.orderBy(_BUCKET)).alias("_tl_next_head"))
-    joined = inner.join(F.broadcast(following), inner[_BUCKET] == following["_tl_b"], "left")
+    heads = placed.filter(F.col(_PLACE) % size == 0).select(
+        _BUCKET, _RUN, F.struct(*[F.col(c) for c in group_cols], F.col(value_col).alias("_tl_v")).alias("_tl_head"))
+    following = heads.select(F.col(_BUCKET).alias("_tl_b"), F.col(_RUN).alias("_tl_r"),
+                             F.lead("_tl_head").over(Window.orderBy(_BUCKET, _RUN)).alias("_tl_next_head"))
+    joined = inner.join(F.broadcast(following), (inner[_BUCKET] == following["_tl_b"])
+                        & (inner[_RUN] == following["_tl_r"]), "left")
     same_group = F.lit(True)  # no group columns: one global order, every head continues it
     for c in group_cols:
         same_group = same_group & F.col(c).eqNullSafe(F.col(f"_tl_next_head.{c}"))
     carried = F.when(same_group, F.col("_tl_next_head._tl_v"))
     return (joined.withColumn(out_col, F.when(F.col("_tl_last"), carried).otherwise(F.col(out_col)))
-            .drop(_BUCKET, _PLACE, "_tl_b", "_tl_last", "_tl_next_head"))
+            .select(*df.columns, out_col))

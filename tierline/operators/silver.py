@@ -69,7 +69,7 @@ def clean_crm_customers(df: DataFrame, drop_null_ids: bool = True, tiebreak: Seq
     return latest.select(*[out(c) for c in (keep if keep is not None else df.columns)])
 
 
-def clean_crm_products(df: DataFrame, tiebreak: Sequence[str] = ("prd_id",), n_buckets: int | None = None,
+def clean_crm_products(df: DataFrame, tiebreak: Sequence[str] = ("prd_id",), rows_per_bucket: int | None = None,
                        line_codes: Mapping[str, str] = codes.PRODUCT_LINE, n_rows: int | None = None) -> DataFrame:
     """Category id and product number from the key, cost 0 when missing, line as a word,
     dates as DATE, and the history end = the day before the next start of the same raw key.
@@ -77,7 +77,7 @@ def clean_crm_products(df: DataFrame, tiebreak: Sequence[str] = ("prd_id",), n_b
     The source's own end date is ignored. ``lead`` runs in range buckets (no hot key task).
     """
     with_next = lead_in_group(df, ["prd_key"], ["prd_start_dt", *tiebreak], "prd_start_dt",
-                              "_tl_next_start", n_buckets=n_buckets, n_rows=n_rows)
+                              "_tl_next_start", rows_per_bucket=rows_per_bucket, n_rows=n_rows)
     return with_next.select(
         "prd_id",
         F.replace(F.col("prd_key").substr(1, codes.CATEGORY_ID_LENGTH), F.lit("-"), F.lit("_")).alias("cat_id"),

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import math
 import os
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -36,12 +37,18 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def is_local(master: str | None) -> bool:
+    """``local`` and ``local[n]`` run in one process and share its disk; all else is a cluster
+    (``local-cluster`` too: its executors are processes of their own)."""
+    return master is None or master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     Job outputs that must outlive a task (lineage cuts, scratch tables of a run) go here, never to
-    a machine-local folder. Only when the setting is absent (local tests) is a folder created and
-    registered as the checkpoint directory.
+    a machine-local folder. When the setting is absent, a local session (one process) gets a fresh
+    folder; on a cluster this raises, because executors would write to their own disks.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -49,34 +56,66 @@ def shared_dir(spark: SparkSession) -> str:
     try:
         sc = spark.sparkContext
     except Exception:  # a remote session without a local SparkContext
-        sc = None
-    if sc is not None:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
-        if configured:
-            return configured.rstrip("/")
-        current = sc._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return str(current.get()).rstrip("/")
-    local = tempfile.mkdtemp(prefix="tierline-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(local)
-        return str(sc._jsc.sc().getCheckpointDir().get()).rstrip("/")
-    try:
-        spark.conf.set("spark.checkpoint.dir", local)
-    except Exception:  # static on some deployments; the folder is still used for this run
-        pass
-    return local
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share") from None
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured.rstrip("/")
+    current = sc._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return str(current.get()).rstrip("/")
+    if not is_local(sc.master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set and the master is {sc.master}: "
+                           "name a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tierline-ckpt-"))
+    return str(sc._jsc.sc().getCheckpointDir().get()).rstrip("/")
+
+
+# Scratch of this process, by application: folders and database prefixes to remove.
+_scratch: dict[str, list[tuple[str, str]]] = {}
+
+
+def register_scratch(spark: SparkSession, kind: str, name: str) -> None:
+    """Remember a scratch ``path`` or ``database`` for ``remove_scratch``."""
+    app = spark.sparkContext.applicationId
+    if app not in _scratch:
+        _scratch[app] = []
+        atexit.register(_remove_at_exit, spark, app)
+    _scratch[app].append((kind, name))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared folder, for one run."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    register_scratch(spark, "path", path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders and databases this process made in this application; call it when no
+    frame that reads them is needed any more. It also runs when the process ends. Returns how many."""
+    items = _scratch.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for kind, name in items:
+        if kind == "database":
+            spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+    for kind, name in items:
+        if kind == "path":
+            path = jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+    return len(items)
+
+
+def _remove_at_exit(spark: SparkSession, app: str) -> None:
+    try:
+        if app in _scratch and spark.sparkContext.applicationId == app:
+            remove_scratch(spark)
+    except Exception:  # the session is gone already; nothing left to ask
+        pass
 
 
 # Target bytes per task for scans and shuffles: small enough to sort and hash in executor memory
 # without heavy spilling, large enough that task overhead stays small.
 TARGET_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 65536
 
 
 def scale_conf(input_bytes: int, target_partition_bytes: int = TARGET_PARTITION_BYTES,
@@ -84,7 +123,7 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = TARGET_PARTITION_
     """Runtime settings sized to the input volume: shuffle partitions of about
     ``target_partition_bytes`` (AQE coalesces small ones and splits skewed join partitions),
     scan splits of the same size."""
-    parts = max(min_partitions, min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes / target_partition_bytes)))
+    parts = max(min_partitions, math.ceil(input_bytes / target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -95,9 +134,13 @@ def scale_conf(input_bytes: int, target_partition_bytes: int = TARGET_PARTITION_
     }
 
 
-def apply_scale_conf(spark: SparkSession, input_bytes: int, **kwargs) -> dict[str, str]:
+def apply_scale_conf(spark: SparkSession, input_bytes: int, saved: dict[str, str | None] | None = None,
+                     **kwargs) -> dict[str, str]:
+    """Set ``scale_conf``'s settings; ``saved`` receives the values before."""
     conf = scale_conf(input_bytes, **kwargs)
     for key, value in conf.items():
+        if saved is not None:
+            saved[key] = spark.conf.get(key, None)
         spark.conf.set(key, value)
     return conf
 
