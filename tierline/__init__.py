@@ -8,7 +8,8 @@ Layout
                range-bucketed keys and ``lead``, skew-aware joins
 ``plans``      catalog (namespaces, tables, views), sinks (refresh / append / delete) and the
                layer pipeline with its load audit
-``streaming``  nothing: the warehouse is batch only (see its module docstring)
+``staging``    written intermediate tables with measured sizes
+``llm``        operators of a training-data pipeline (optional: nothing else imports it)
 
 Entry points: ``Warehouse`` (catalog), ``run_all`` (bronze -> silver -> gold with audit), and
 ``python -m tierline`` on the command line.

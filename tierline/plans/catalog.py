@@ -3,15 +3,18 @@
 
 A published name is a view over a versioned Parquet table (``name__v0003_<run>``). A refresh writes the
 next version in full and only then repoints the view, so a failed load leaves the previous data
-readable (a truncate-then-load or an in-place overwrite would leave an empty or broken table).
+readable (a truncate-then-load or an in-place overwrite would leave an empty or broken table). Created,
+refreshed and appended tables are all of this one kind, so every operation works on every name.
 """
 
 from __future__ import annotations
 
 import re
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.session import shared_dir
 from tierline.sources.schemas import table_ddl
@@ -31,6 +34,23 @@ def _insert_by_name(spark: SparkSession, target: str, df: DataFrame) -> None:
         spark.catalog.dropTempView(view)
 
 
+FILES_PER_VALUE = 8
+MAX_PARTITION_VALUES = 10_000
+
+
+def _spread(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Rows of one partition value in at most ``FILES_PER_VALUE`` files: without this every task writes
+    a file for every value it meets. A hot value (such as all NULL dates) is spread by the salt."""
+    if not partition_by:
+        return df
+    values = df.agg(F.approx_count_distinct(F.struct(*partition_by))).first()[0]
+    if values > MAX_PARTITION_VALUES:
+        warnings.warn(f"partitioning by {', '.join(partition_by)} makes about {values} folders; a coarser "
+                      "column (such as the month) prunes nearly as well", stacklevel=3)
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(FILES_PER_VALUE))
+    return df.repartition(*partition_by, salt)
+
+
 class Warehouse:
     """Namespaces ``{prefix}bronze``, ``{prefix}silver``, ``{prefix}gold`` (and ``{prefix}audit``)
     whose tables live under ``root`` (default: ``<spark.checkpoint.dir>/warehouse``)."""
@@ -57,7 +77,15 @@ class Warehouse:
             self.ensure_namespace(layer)
 
     def drop_table(self, layer: str, table: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+        """Drop-if-exists of a published name: its view and every version behind it."""
+        if not self.spark.catalog.databaseExists(self.db(layer)):
+            return
+        self.drop_view(layer, table)
+        for _, physical in self._physical_versions(layer, table):
+            self._drop_physical(layer, physical)
+
+    def _drop_physical(self, layer: str, physical: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, physical)}")
 
     def drop_view(self, layer: str, view: str) -> None:
         self.spark.sql(f"DROP VIEW IF EXISTS {self.name(layer, view)}")
@@ -67,14 +95,36 @@ class Warehouse:
 
     # ---- S5 ----
     def create_table(self, layer: str, table: str, schema, with_audit: bool = False, replace: bool = True) -> str:
-        """Drop-if-exists, then create a typed Parquet table (``VARCHAR(50)`` strings; silver tables
-        get ``dwh_create_date DEFAULT current_timestamp()``)."""
+        """Drop-if-exists, then publish an empty typed table (``VARCHAR(50)`` strings; silver tables
+        get ``dwh_create_date DEFAULT current_timestamp()``) under the same kind of name that
+        ``publish`` makes."""
         self.ensure_namespace(layer)
         if replace:
             self.drop_table(layer, table)
-        self.spark.sql(table_ddl(self.name(layer, table), schema, with_audit=with_audit))
+        target = self._next_version(layer, table)
+        self.spark.sql(table_ddl(target, schema, with_audit=with_audit))
+        self.publish_view(layer, table, f"SELECT * FROM {target}")
         return self.name(layer, table)
 
+    def current(self, layer: str, table: str) -> str:
+        """The versioned table behind a published name."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}").collect()
+        text = next(r[1] for r in rows if r[0] == "View Text")
+        return text.removeprefix("SELECT * FROM ")
+
+    def append(self, layer: str, table: str, df: DataFrame) -> None:
+        """``INSERT INTO`` the version behind the published name, by column name. The files of the insert
+        become visible when its job commits; running readers keep the files they listed, and a
+        failed insert leaves the table as it was."""
+        _insert_by_name(self.spark, self.current(layer, table), df)
+        self.spark.catalog.refreshTable(self.name(layer, table))
+
+    def _next_version(self, layer: str, table: str) -> str:
+        existing = self._physical_versions(layer, table)
+        version = (existing[-1][0] + 1) if existing else 1
+        # A run suffix: folders left by a run that died mid-write can never block this name.
+        return self.name(layer, f"{table}__v{version:04d}_{uuid.uuid4().hex[:6]}")
+
     # ---- S8 / S2 ----
     def _physical_versions(self, layer: str, table: str) -> list[tuple[int, str]]:
         out = []
@@ -91,28 +141,29 @@ class Warehouse:
         return [n for n, _ in self._physical_versions(layer, table)]
 
     def publish(self, layer: str, table: str, df: DataFrame, schema=None, with_audit: bool = False,
-                partition_by: tuple[str, ...] = (), analyze: bool = False) -> str:
+                partition_by: tuple[str, ...] = (), analyze: bool = False, like: str | None = None) -> str:
         """Write ``df`` as the next version of ``table`` and repoint the view ``layer.table``.
 
         With ``schema`` the version is first created as a typed table (``VARCHAR(50)`` strings,
         optional defaulted audit column) and filled by ``INSERT INTO t (cols) SELECT``, so types,
-        string limits and defaults are enforced by the table. A failed write drops its own version
+        string limits and defaults are enforced by the table; ``like`` names a version whose
+        definition is taken over instead. A failed write drops its own version
         and leaves the view on the previous one. ``partition_by`` (untyped path) writes one folder
         per value, so filters on those columns prune files. ``analyze`` records row count and size
         in the catalog (``ANALYZE TABLE``), so later plans over the table know its exact size.
         """
         self.ensure_namespace(layer)
         existing = self._physical_versions(layer, table)
-        version = (existing[-1][0] + 1) if existing else 1
-        # A run suffix: folders left by a run that died mid-write can never block this name.
-        physical = f"{table}__v{version:04d}_{uuid.uuid4().hex[:6]}"
-        target = self.name(layer, physical)
+        target = self._next_version(layer, table)
         try:
-            if schema is None:
-                writer = df.write.format("parquet").mode("errorifexists")
+            if like is not None:
+                self.spark.sql(f"CREATE TABLE {target} LIKE {like} USING parquet")
+                _insert_by_name(self.spark, target, df)
+            elif schema is None:
+                writer = _spread(df, partition_by).write.format("parquet").mode("errorifexists")
                 if partition_by:
                     writer = writer.partitionBy(*partition_by)
-                writer.saveAsTable(f"{self.db(layer)}.{physical}")
+                writer.saveAsTable(target)
             else:
                 self.spark.sql(table_ddl(target, schema, with_audit=with_audit))
                 _insert_by_name(self.spark, target, df)
@@ -123,7 +174,7 @@ class Warehouse:
             raise
         self.publish_view(layer, table, f"SELECT * FROM {target}")
         for _, old in existing[: max(0, len(existing) + 1 - self.keep_versions)]:
-            self.drop_table(layer, old)
+            self._drop_physical(layer, old)
         return target
 
     def publish_view(self, layer: str, view: str, select_sql: str) -> str:

@@ -2,8 +2,9 @@
 
 Every table write is observed (``DataFrame.observe``): rows written and bad rows are metrics of
 the same job that writes, so auditing costs no extra scan. A run appends one audit row per table
-to ``audit.load_audit`` (run id, layer, table, rows, bad rows, seconds, status). A failure is
-recorded and raised at once; no layer continues after an error.
+and one per layer (table ``(layer)``: its totals and its wall time, since tables of a layer load
+concurrently) to ``audit.load_audit`` (run id, layer, table, rows, bad rows, seconds, status). A failure
+is recorded and raised at once; no layer continues after an error.
 """
 
 from __future__ import annotations
@@ -19,16 +20,22 @@ from pyspark.sql import types as T
 
 from tierline.functions.expressions import bad_int_date
 from tierline.operators import gold, silver
+from tierline.operators.ranged import bucket_count
 from tierline.plans.catalog import Warehouse
 from tierline.plans.sinks import append, refresh
-from tierline.session import run_concurrently
+from tierline.session import apply_scale_conf, path_bytes, run_concurrently, shuffle_partitions
 from tierline.sources.delimited import CORRUPT_COLUMN, read_extract
-from tierline.sources.schemas import BRONZE, SILVER, SOURCE_FILES
+from tierline.sources.schemas import BRONZE, SILVER, SOURCE_FILES, STRING_LIMIT
+from tierline.staging import Stats, stage
 
 # Independent tables of one layer are submitted concurrently by this many driver threads.
 LOAD_THREADS = 6
-__all__ = ["run_all", "load_bronze", "load_silver", "load_gold", "append_silver", "verify_load", "write_audit",
-           "run_concurrently", "RunAudit"]
+LAYER_TOTAL = "(layer)"
+# A lookup row of a dimension: a natural key of at most STRING_LIMIT characters (4 bytes each), a
+# surrogate key and overhead.
+LOOKUP_ROW_BYTES = 4 * STRING_LIMIT + 40
+__all__ = ["run_all", "run_layers", "load_bronze", "load_silver", "load_gold", "append_silver", "verify_load",
+           "write_audit", "run_concurrently", "RunAudit"]
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -68,7 +75,7 @@ def _write_observed(wh: Warehouse, audit: RunAudit, layer: str, table: str,
         refresh(wh, layer, table, observed.drop(*drop), audit_column=audit_column, schema=schema,
                 partition_by=partition_by, analyze=analyze)
     except Exception as exc:  # recorded, then raised: the run stops here
-        audit.record(layer, table, None, None, time.perf_counter() - start, "failed", str(exc)[:500])
+        audit.record(layer, table, None, None, time.perf_counter() - start, "failed", str(exc))
         raise
     metrics = obs.get
     audit.record(layer, table, int(metrics["rows"]), int(metrics["bad_rows"]), time.perf_counter() - start)
@@ -137,25 +144,24 @@ def load_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int = L
 
 
 def append_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int = LOAD_THREADS) -> None:
-    """S3 for all six tables: the cleaned bronze rows are appended by column name to typed silver
-    tables (created when missing, ``dwh_create_date`` filled by its default). Customers use the
-    append variant of T1, which keeps one row for the NULL id group."""
+    """S3 for all six tables: the cleaned bronze rows are appended by column name to the silver tables
+    that ``load_silver`` fills and gold reads (created when missing, ``dwh_create_date`` filled by its
+    default). Customers use the append variant of T1, which keeps one row for the NULL id group."""
     frames = silver_frames(wh, as_of, drop_null_ids=False)
 
     def step(table: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
         def run() -> None:
             start = time.perf_counter()
-            target = f"{table}_appended"
             try:
-                if not wh.exists("silver", target):
-                    wh.create_table("silver", target, SILVER[table], with_audit=True, replace=False)
+                if not wh.exists("silver", table):
+                    wh.create_table("silver", table, SILVER[table], with_audit=True, replace=False)
                 obs = Observation(f"append_{table}_{uuid.uuid4().hex[:8]}")
                 rows = build().select(*SILVER[table].fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows"))
-                append(wh, "silver", target, rows)
+                append(wh, "silver", table, rows)
             except Exception as exc:
-                audit.record("silver", target, None, None, time.perf_counter() - start, "failed", str(exc)[:500])
+                audit.record("append", table, None, None, time.perf_counter() - start, "failed", str(exc))
                 raise
-            audit.record("silver", target, int(obs.get["rows"]), 0, time.perf_counter() - start)
+            audit.record("append", table, int(obs.get["rows"]), 0, time.perf_counter() - start)
         return run
 
     run_concurrently([step(t, b) for t, (b, _) in frames.items()], max_workers)
@@ -167,34 +173,38 @@ def _silver(wh: Warehouse, table: str) -> DataFrame:
 
 def load_gold(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS,
               fact_partition_by: tuple[str, ...] = ()) -> None:
-    """O3: dimensions first (joined rows staged to a table, then keyed), then the fact over the
-    published dimensions, so surrogate keys are computed once and shared. ``fact_partition_by``
-    (e.g. ``("order_date",)``) writes the fact in one folder per value for partition pruning."""
-    def dimension(table: str, build: Callable[[], DataFrame], order: list[str], key: str) -> Callable[[], None]:
+    """O3: dimensions first, then the fact over the published dimensions, so surrogate keys are
+    computed once and shared. Row counts that the writes observed size the buckets and the lookups, so
+    nothing is counted again. ``fact_partition_by`` (e.g. ``("order_date",)``) writes the fact in
+    one folder per value for partition pruning."""
+    silver_rows = _observed_rows(audit, "silver")
+
+    def dimension(table: str, source: str, build: Callable[[], DataFrame], order: list[str], unique: list[str],
+                  key: str) -> Callable[[], None]:
         def frame() -> DataFrame:
-            # Cut the lineage: the key step reads the joined rows several times (sample, number).
-            staging = Observation(f"stage_{table}_{uuid.uuid4().hex[:8]}")
-            wh.publish("work", f"stage_{table}", build().observe(staging, F.count(F.lit(1)).alias("rows")))
-            staged = wh.read("work", f"stage_{table}")
-            return gold.with_surrogate_key(staged, order, key, n_rows=int(staging.get["rows"]))
+            rows = silver_rows.get(source)
+            if rows is not None and bucket_count(rows) == 1:
+                return gold.with_surrogate_key(build(), order, unique, key, n_rows=rows)
+            joined = stage(build(), table)  # cut the lineage: the key step reads the joined rows twice
+            return gold.with_surrogate_key(joined.df, order, unique, key, n_rows=joined.stats.rows)
         # Dimensions get catalog statistics: exact sizes for every later plan that joins them.
         return lambda: _write_observed(wh, audit, "gold", table, frame, analyze=True)
 
     run_concurrently([
-        dimension("dim_customers", lambda: gold.customers_joined(
+        dimension("dim_customers", "crm_cust_info", lambda: gold.customers_joined(
             _silver(wh, "crm_cust_info"), _silver(wh, "erp_cust_az12"), _silver(wh, "erp_loc_a101")),
-            gold.CUSTOMER_ORDER, "customer_key"),
-        dimension("dim_products", lambda: gold.products_joined(
+            gold.CUSTOMER_ORDER, gold.CUSTOMER_ID, "customer_key"),
+        dimension("dim_products", "crm_prd_info", lambda: gold.products_joined(
             _silver(wh, "crm_prd_info"), _silver(wh, "erp_px_cat_g1v2")),
-            gold.PRODUCT_ORDER, "product_key"),
+            gold.PRODUCT_ORDER, gold.PRODUCT_ID, "product_key"),
     ], max_workers)
 
     def fact() -> DataFrame:
-        # The dimension writes observed their exact row counts: no second count for the size check.
-        rows = _observed_rows(audit, "gold")
+        # The dimension writes observed their exact row counts, and table strings have a limit.
+        sizes = {t: Stats(n, n * LOOKUP_ROW_BYTES) for t, n in _observed_rows(audit, "gold").items()}
         return gold.fact_sales(_silver(wh, "crm_sales_details"), wh.read("gold", "dim_products"),
-                               wh.read("gold", "dim_customers"), prod_rows=rows.get("dim_products"),
-                               cust_rows=rows.get("dim_customers"))
+                               wh.read("gold", "dim_customers"), prod_stats=sizes["dim_products"],
+                               cust_stats=sizes["dim_customers"])
 
     _write_observed(wh, audit, "gold", "fact_sales", fact,
                     bad=F.col("product_key").isNull() | F.col("customer_key").isNull(),
@@ -237,25 +247,53 @@ def write_audit(wh: Warehouse, audit: RunAudit) -> DataFrame:
     return spark.table(target).filter(F.col("run_id") == audit.run_id)
 
 
-def run_all(wh: Warehouse, source_root: str, as_of=None,
-            on_layer_done: Callable[[str], None] | None = None,
-            fact_partition_by: tuple[str, ...] = (), verify: bool = False) -> DataFrame:
-    """Bronze -> silver -> gold; the audit is written even when a layer fails, then the error
-    is raised."""
+def run_layers(wh: Warehouse, layers: tuple[str, ...], source_root: str | None = None, as_of=None,
+               on_layer_done: Callable[[str], None] | None = None, fact_partition_by: tuple[str, ...] = (),
+               sizing: bool = True) -> DataFrame:
+    """The named steps in order (``bronze``, ``silver``, ``gold``, ``append``, ``check``), each with its own
+    audit row. The audit is written even when a step fails, then the error is raised. With
+    ``sizing`` shuffle and scan partitions follow the size of the extracts during the run (never
+    fewer than the session's own)."""
+    spark = wh.spark
     audit = RunAudit()
-    wh.ensure_layers(("bronze", "silver", "gold", "work"))
+    steps = {
+        "bronze": lambda: load_bronze(wh, source_root, audit),
+        "silver": lambda: load_silver(wh, audit, as_of=as_of),
+        "append": lambda: append_silver(wh, audit, as_of=as_of),
+        "gold": lambda: load_gold(wh, audit, fact_partition_by=fact_partition_by),
+        "check": lambda: verify_load(wh, audit),
+    }
+    wh.ensure_layers(("bronze", "silver", "gold"))
+    saved: dict[str, str | None] = {}
+    if sizing and source_root is not None:
+        conf = apply_scale_conf(spark, path_bytes(spark, source_root), saved=saved,
+                                min_partitions=shuffle_partitions(spark))
+        assert set(conf) == set(saved)
     try:
-        load_bronze(wh, source_root, audit)
-        if on_layer_done:
-            on_layer_done("bronze")
-        load_silver(wh, audit, as_of=as_of)
-        if on_layer_done:
-            on_layer_done("silver")
-        load_gold(wh, audit, fact_partition_by=fact_partition_by)
-        if on_layer_done:
-            on_layer_done("gold")
-        if verify:
-            verify_load(wh, audit)
+        for layer in layers:
+            before, start, status = len(audit.rows), time.perf_counter(), "failed"
+            try:
+                steps[layer]()
+                status = "ok"
+            finally:
+                done = audit.rows[before:]
+                audit.record(layer, LAYER_TOTAL, sum(r[3] or 0 for r in done), sum(r[4] or 0 for r in done),
+                             time.perf_counter() - start, status)
+            if on_layer_done:
+                on_layer_done(layer)
     finally:
+        for key, value in saved.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
         result = write_audit(wh, audit)
     return result
+
+
+def run_all(wh: Warehouse, source_root: str, as_of=None,
+            on_layer_done: Callable[[str], None] | None = None,
+            fact_partition_by: tuple[str, ...] = (), verify: bool = False, sizing: bool = True) -> DataFrame:
+    """Bronze -> silver -> gold (and with ``verify`` the post-load checks)."""
+    return run_layers(wh, ("bronze", "silver", "gold") + (("check",) if verify else ()), source_root, as_of,
+                      on_layer_done, fact_partition_by, sizing)

@@ -21,15 +21,17 @@ from tierline.operators import gold, quality, silver
 from tierline.operators.joins import lookup_join
 from tierline.operators.ranged import dense_key, lead_in_group
 from tierline.plans.catalog import Warehouse
-from tierline.plans.layers import RunAudit, append_silver, load_bronze, run_all, run_concurrently
+from tierline.plans.layers import run_all, run_concurrently, run_layers
 from tierline.plans.sinks import append, delete_where, refresh
-from tierline.session import scratch_path
+from tierline.session import register_scratch, scratch_path
 from tierline.sources.delimited import read_extract, write_extract
 from tierline.sources.fixtures import FIXED_AS_OF, fixture, read_table
 from tierline.sources.schemas import BRONZE, SILVER, SOURCE_FILES
+from tierline.staging import Staged, stage
 
-# Buckets used by the keys that exercise the range-bucketed forms explicitly.
-TEST_BUCKETS = 8
+# Rows per bucket for the keys that exercise the range-bucketed forms on small tables: the number of
+# buckets grows with the rows.
+SMALL_BUCKET = 4_000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,43 +70,43 @@ def s_cat(spark, sf):
     return silver.clean_erp_categories(_bronze(spark, sf, "erp_px_cat_g1v2"))
 
 
-def _dim_customers(spark, sf, cust=None):
-    return gold.dim_customers(cust if cust is not None else s_cust(spark, sf), s_az(spark, sf), s_loc(spark, sf))
+def _dim_customers(spark, sf, cust=None, rows_per_bucket=None):
+    return gold.dim_customers(cust if cust is not None else s_cust(spark, sf), s_az(spark, sf), s_loc(spark, sf),
+                              rows_per_bucket)
 
 
-def _dim_products(spark, sf):
-    return gold.dim_products(s_prd(spark, sf), s_cat(spark, sf))
+def _dim_products(spark, sf, rows_per_bucket=None):
+    return gold.dim_products(s_prd(spark, sf), s_cat(spark, sf), rows_per_bucket)
 
 
-def _materialised(spark, df, tag):
-    """Write ``df`` once to a fresh Parquet folder under the shared checkpoint folder and read it
-    back: later size checks and joins read the files instead of recomputing the plan."""
-    path = scratch_path(spark, f"stage-{tag}")
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
-
-
-def _materialised_dims(spark, sf, cust=None):
-    """Both dimensions written once, concurrently (they are independent)."""
+def _staged_dims(spark, sf, cust=None) -> tuple[Staged, Staged]:
+    """Both dimensions (product, customer) written once, concurrently, with their sizes: later size
+    checks and joins read the files instead of recomputing the plans."""
     out = {}
 
     def product() -> None:
-        out["prod"] = _materialised(spark, _dim_products(spark, sf), "dim-products")
+        out["prod"] = stage(_dim_products(spark, sf), "dim-products")
 
     def customer() -> None:
-        out["cust"] = _materialised(spark, _dim_customers(spark, sf, cust), "dim-customers")
+        out["cust"] = stage(_dim_customers(spark, sf, cust), "dim-customers")
 
     run_concurrently([product, customer])
     return out["prod"], out["cust"]
 
 
+def _fact(spark, sf, prod: Staged, cust: Staged, **kwargs):
+    return gold.fact_sales(s_sales(spark, sf), prod.df, cust.df, prod_stats=prod.stats, cust_stats=cust.stats, **kwargs)
+
+
 def _as_dates(df, cols):
     return df.select(*[F.to_date(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def _wh(spark, tag):
-    root = scratch_path(spark, f"wh-{tag}")
-    return Warehouse(spark, root=root, prefix=f"tl{uuid.uuid4().hex[:8]}_")
+    wh = Warehouse(spark, root=scratch_path(spark, f"wh-{tag}"), prefix=f"tl{uuid.uuid4().hex[:8]}_")
+    for layer in ("bronze", "silver", "gold", "audit"):
+        register_scratch(spark, "database", wh.db(layer))
+    return wh
 
 
 # ---- silver (T1-T6) ----------------------------------------------------------------------------
@@ -151,20 +153,34 @@ def q_dim_products(spark, sf):
     return _dim_products(spark, sf)
 
 
+def q_dim_customers_bucketed(spark, sf):
+    """G1 + G4 in range buckets, as for a dimension too large for one task."""
+    return _dim_customers(spark, sf, rows_per_bucket=SMALL_BUCKET // 40)
+
+
+def q_dim_products_bucketed(spark, sf):
+    """G2 + G4 in range buckets."""
+    return _dim_products(spark, sf, rows_per_bucket=SMALL_BUCKET // 40)
+
+
 def q_fact_sales(spark, sf):
     """Sales fact with surrogate keys."""
-    # As in the layer jobs, each dimension is materialised once and shared by the checks and joins.
-    dim_prod, dim_cust = _materialised_dims(spark, sf)
-    return gold.fact_sales(s_sales(spark, sf), dim_prod, dim_cust)
+    return _fact(spark, sf, *_staged_dims(spark, sf))
+
+
+def q_fact_sales_salted(spark, sf):
+    """G3 by salted shuffle joins, as for dimensions too large to broadcast."""
+    return _fact(spark, sf, *_staged_dims(spark, sf), max_rows=0)
 
 
 def q_sales_star(spark, sf):
     """The fact joined back to both dimensions: revenue lines with product and customer context."""
-    dim_prod, dim_cust = _materialised_dims(spark, sf)
-    fact = gold.fact_sales(s_sales(spark, sf), dim_prod, dim_cust)
-    dp = dim_prod.select(F.col("product_key").alias("_tl_pk"), "product_name", "category", "product_line")
-    dc = dim_cust.select(F.col("customer_key").alias("_tl_ck"), "country", "gender")
-    star = lookup_join(lookup_join(fact, dp, [("product_key", "_tl_pk")]), dc, [("customer_key", "_tl_ck")])
+    prod, cust = _staged_dims(spark, sf)
+    fact = _fact(spark, sf, prod, cust)
+    dp = prod.df.select(F.col("product_key").alias("_tl_pk"), "product_name", "category", "product_line")
+    dc = cust.df.select(F.col("customer_key").alias("_tl_ck"), "country", "gender")
+    star = lookup_join(lookup_join(fact, dp, [("product_key", "_tl_pk")], stats=prod.stats),
+                       dc, [("customer_key", "_tl_ck")], stats=cust.stats)
     return star.select("order_number", "order_date", "product_name", "category", "product_line",
                        "country", "gender", "quantity", "price", "sales_amount")
 
@@ -181,18 +197,18 @@ def q_latest_order_per_customer(spark, sf):
 
 
 def q_order_validity_ranges(spark, sf):
-    """T2's ``lead`` on native orders, range-bucketed (8 buckets)."""
+    """T2's ``lead`` on native orders, range-bucketed."""
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     nxt = lead_in_group(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate",
-                        "next_orderdate", n_buckets=TEST_BUCKETS)
+                        "next_orderdate", rows_per_bucket=SMALL_BUCKET)
     return nxt.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("valid_from"),
                       day_before("next_orderdate").alias("valid_to"))
 
 
 def q_surrogate_key_bucketed(spark, sf):
-    """G4's scalable form on native orders (8 buckets)."""
+    """G4's scalable form on native orders."""
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    keyed = dense_key(orders, ["o_orderdate", "o_orderkey"], "order_key", n_buckets=TEST_BUCKETS)
+    keyed = dense_key(orders, ["o_orderdate", "o_orderkey"], "order_key", rows_per_bucket=SMALL_BUCKET)
     return keyed.select("order_key", "o_orderkey")
 
 
@@ -234,10 +250,21 @@ def q_dq_nulls(spark, sf):
 
 
 def q_dq_spaces(spark, sf):
-    """Q3: names with leading or trailing spaces."""
+    """Q3: customer rows whose names have leading or trailing spaces."""
     return quality.spaced_rows(_bronze(spark, sf, "crm_cust_info"), ["cst_firstname", "cst_lastname"])
 
 
+def q_dq_spaces_product_name(spark, sf):
+    """Q3: product rows whose name has leading or trailing spaces."""
+    rows = quality.spaced_rows(_bronze(spark, sf, "crm_prd_info"), ["prd_nm"])
+    return _as_dates(rows, {"prd_start_dt", "prd_end_dt"})
+
+
+def q_dq_spaces_categories(spark, sf):
+    """Q3: category rows with such spaces in any of three columns."""
+    return quality.spaced_rows(_bronze(spark, sf, "erp_px_cat_g1v2"), ["cat", "subcat", "maintenance"])
+
+
 def q_dq_domain(spark, sf):
     """Q4: distinct silver countries, sorted."""
     return quality.domain(s_loc(spark, sf), "cntry")
@@ -306,14 +333,23 @@ def q_dq_gender_map(spark, sf):
 
 
 def _seeded_customers(spark, sf):
-    return s_cust(spark, sf).filter(F.col("cst_id") % 10 != 0)
+    """All customers; the seeded defect gives a tenth of them an id and key that nothing refers to."""
+    moved = F.col("cst_id") % 10 == 0
+    return (s_cust(spark, sf)
+            .withColumn("cst_key", F.when(moved, F.concat(F.lit("ZZ"), F.col("cst_key").substr(3, 50))).otherwise(F.col("cst_key")))
+            .withColumn("cst_id", F.when(moved, -F.col("cst_id") - 1).otherwise(F.col("cst_id"))))
 
 
 def q_dq_orphans_not_in(spark, sf):
-    """Q11 with the seeded defect (customers with id % 10 = 0 removed)."""
+    """Q11 with the seeded defect."""
     return quality.location_orphans(_bronze(spark, sf, "erp_loc_a101"), _seeded_customers(spark, sf))
 
 
+def q_dq_orphans_not_in_salted(spark, sf):
+    """Q11 by a salted shuffle join, as for a subquery too large to broadcast."""
+    return quality.location_orphans(_bronze(spark, sf, "erp_loc_a101"), _seeded_customers(spark, sf), max_rows=0)
+
+
 def q_dq_orphans_not_in_null(spark, sf):
     """A NULL in the subquery empties the result."""
     cust = _seeded_customers(spark, sf).select("cst_key")
@@ -336,23 +372,22 @@ def q_dq_gender_matrix(spark, sf):
 
 
 def q_dq_product_fanout(spark, sf):
-    """Q14 with the seeded defect (duplicated category)."""
+    """Q14 with the seeded defect (duplicated categories)."""
     cat = s_cat(spark, sf)
-    seeded = cat.unionByName(cat.filter(F.col("id") == "AC_HE"))
+    seeded = cat.unionByName(cat.filter(F.col("id").endswith("0")))
     return quality.product_fanout(s_prd(spark, sf), seeded)
 
 
 def q_dq_fk_integrity(spark, sf):
-    """Q15 with the seeded defect (customers missing from the dimension)."""
-    dp, dc = _materialised_dims(spark, sf, cust=_seeded_customers(spark, sf))
-    fact = gold.fact_sales(s_sales(spark, sf), dp, dc)
-    return quality.fk_integrity(fact, dc, dp)
+    """Q15 with the seeded defect (customers that the sales don't refer to)."""
+    dp, dc = _staged_dims(spark, sf, cust=_seeded_customers(spark, sf))
+    return quality.fk_integrity(_fact(spark, sf, dp, dc), dc.df, dp.df)
 
 
 def q_dq_summary_one_pass(spark, sf):
     """Q2 Q3 Q5 Q6 Q7 Q8 Q9 counted in one pass per bronze table."""
     bronze = {t: _bronze(spark, sf, t) for t in ("crm_cust_info", "crm_prd_info", "crm_sales_details",
-                                                 "erp_cust_az12")}
+                                                 "erp_cust_az12", "erp_px_cat_g1v2")}
     return quality.quality_summary(bronze, as_of=FIXED_AS_OF)
 
 
@@ -393,38 +428,54 @@ def q_delete_null_keys(spark, sf):
 
 
 def q_catalog_views(spark, sf):
-    """Namespaces, drop-if-exists, published view read back."""
+    """Namespaces, drop-if-exists of published tables, published view read back."""
     wh = _wh(spark, "catalog")
     wh.ensure_layers()
-    for name in ("crm_prd_info", "erp_px_cat_g1v2"):
-        wh.drop_table("silver", name)
-    refresh(wh, "silver", "crm_prd_info", s_prd(spark, sf), audit_column=True)
-    refresh(wh, "silver", "erp_px_cat_g1v2", s_cat(spark, sf), audit_column=True)
-    wh.drop_view("gold", "dim_products")
-    dim = gold.dim_products(wh.read("silver", "crm_prd_info").drop("dwh_create_date"),
-                            wh.read("silver", "erp_px_cat_g1v2").drop("dwh_create_date"))
-    refresh(wh, "gold", "dim_products", dim)
+    for _ in range(2):  # the second round drops and re-creates what the first published
+        for name in ("crm_prd_info", "erp_px_cat_g1v2"):
+            wh.drop_table("silver", name)
+            wh.create_table("silver", name, SILVER[name], with_audit=True)
+        append(wh, "silver", "crm_prd_info", s_prd(spark, sf))
+        append(wh, "silver", "erp_px_cat_g1v2", s_cat(spark, sf))
+        wh.drop_view("gold", "dim_products")
+        dim = gold.dim_products(wh.read("silver", "crm_prd_info").drop("dwh_create_date"),
+                                wh.read("silver", "erp_px_cat_g1v2").drop("dwh_create_date"))
+        refresh(wh, "gold", "dim_products", dim)
     return wh.read("gold", "dim_products")
 
 
+# Sales rows staged with an unreadable quantity: every customer id with this remainder of 50.
+BAD_QUANTITY = 3
+
+
 def stage_extracts(spark, sf, root: str) -> str:
-    """Write the six dirty bronze frames as delimited extracts in the source folder layout."""
-    run_concurrently([lambda n=name, r=rel: write_extract(_bronze(spark, sf, n), f"{root}/{r}")
+    """Write the six dirty bronze frames as delimited extracts in the source folder layout; some sales
+    rows hold text where a number belongs."""
+    def extract(name: str):
+        df = _bronze(spark, sf, name)
+        if name == "crm_sales_details":
+            bad = F.col("sls_cust_id") % 50 == BAD_QUANTITY
+            text = F.when(bad, F.lit("n/a")).otherwise(F.col("sls_quantity").cast("string"))
+            df = df.withColumn("sls_quantity", text)
+        return df
+
+    run_concurrently([lambda n=name, r=rel: write_extract(extract(n), f"{root}/{r}")
                       for name, rel in SOURCE_FILES.items()])
     return root
 
 
-def q_silver_append_all(spark, sf):
-    """S3 for all six tables: bronze loaded from staged extracts, then the six append variants run
-    twice; rows per appended table."""
+def _pipeline(spark, sf, layers):
+    """The named layer steps over staged extracts: the warehouse and its audit rows."""
+    wh = _wh(spark, "run")
     sources = stage_extracts(spark, sf, scratch_path(spark, "sources"))
-    wh = _wh(spark, "append-all")
-    wh.ensure_layers()
-    audit = RunAudit()
-    load_bronze(wh, sources, audit)
-    append_silver(wh, audit)
-    append_silver(wh, audit)
-    parts = [wh.read("silver", f"{t}_appended").agg(F.count(F.lit(1)).alias("rows"))
+    return wh, run_layers(wh, layers, sources, as_of=FIXED_AS_OF)
+
+
+def q_silver_append_all(spark, sf):
+    """S3 for all six tables: silver loaded, then the six append variants into the same tables; rows
+    per table."""
+    wh, _ = _pipeline(spark, sf, ("bronze", "silver", "append"))
+    parts = [wh.read("silver", t).agg(F.count(F.lit(1)).alias("rows"))
              .select(F.lit(t).alias("table_name"), "rows") for t in SILVER]
     out = parts[0]
     for p in parts[1:]:
@@ -432,12 +483,33 @@ def q_silver_append_all(spark, sf):
     return out
 
 
+def q_silver_append_gold(spark, sf):
+    """S3 into the tables gold reads: load silver, append, rebuild gold; the customer dimension with the
+    appended rows."""
+    wh, _ = _pipeline(spark, sf, ("bronze", "silver", "append", "gold"))
+    return wh.read("gold", "dim_customers")
+
+
+def q_pipeline_dim_customers(spark, sf):
+    """What a full run publishes as ``gold.dim_customers``."""
+    return _pipeline(spark, sf, ("bronze", "silver", "gold"))[0].read("gold", "dim_customers")
+
+
+def q_pipeline_dim_products(spark, sf):
+    """What a full run publishes as ``gold.dim_products``."""
+    return _pipeline(spark, sf, ("bronze", "silver", "gold"))[0].read("gold", "dim_products")
+
+
+def q_pipeline_fact_sales(spark, sf):
+    """What a full run publishes as ``gold.fact_sales``."""
+    return _pipeline(spark, sf, ("bronze", "silver", "gold"))[0].read("gold", "fact_sales")
+
+
 def q_load_audit(spark, sf):
-    """Full run through staged extracts; rows per layer and table."""
+    """Full run through staged extracts; rows, bad rows and status per layer and table."""
     sources = stage_extracts(spark, sf, scratch_path(spark, "sources"))
-    wh = _wh(spark, "run")
-    audit = run_all(wh, sources)
-    return audit.select("layer", "table_name", "rows")
+    audit = run_all(_wh(spark, "run"), sources, as_of=FIXED_AS_OF)
+    return audit.select("layer", "table_name", "rows", "bad_rows", "status")
 
 
 QUERIES: dict[str, Query] = {
@@ -449,7 +521,10 @@ QUERIES: dict[str, Query] = {
     "silver_erp_px_cat_g1v2": q_silver_erp_px_cat_g1v2,
     "dim_customers": q_dim_customers,
     "dim_products": q_dim_products,
+    "dim_customers_bucketed": q_dim_customers_bucketed,
+    "dim_products_bucketed": q_dim_products_bucketed,
     "fact_sales": q_fact_sales,
+    "fact_sales_salted": q_fact_sales_salted,
     "sales_star": q_sales_star,
     "latest_order_per_customer": q_latest_order_per_customer,
     "order_validity_ranges": q_order_validity_ranges,
@@ -459,6 +534,8 @@ QUERIES: dict[str, Query] = {
     "dq_null_or_duplicate_id": q_dq_null_or_duplicate_id,
     "dq_nulls": q_dq_nulls,
     "dq_spaces": q_dq_spaces,
+    "dq_spaces_product_name": q_dq_spaces_product_name,
+    "dq_spaces_categories": q_dq_spaces_categories,
     "dq_domain": q_dq_domain,
     "dq_domain_product_line": q_dq_domain_product_line,
     "dq_domain_categories": q_dq_domain_categories,
@@ -472,6 +549,7 @@ QUERIES: dict[str, Query] = {
     "dq_birthdate_range": q_dq_birthdate_range,
     "dq_gender_map": q_dq_gender_map,
     "dq_orphans_not_in": q_dq_orphans_not_in,
+    "dq_orphans_not_in_salted": q_dq_orphans_not_in_salted,
     "dq_orphans_not_in_null": q_dq_orphans_not_in_null,
     "dq_customer_fanout": q_dq_customer_fanout,
     "dq_gender_matrix": q_dq_gender_matrix,
@@ -484,5 +562,9 @@ QUERIES: dict[str, Query] = {
     "delete_null_keys": q_delete_null_keys,
     "catalog_views": q_catalog_views,
     "silver_append_all": q_silver_append_all,
+    "silver_append_gold": q_silver_append_gold,
+    "pipeline_dim_customers": q_pipeline_dim_customers,
+    "pipeline_dim_products": q_pipeline_dim_products,
+    "pipeline_fact_sales": q_pipeline_fact_sales,
     "load_audit": q_load_audit,
 }

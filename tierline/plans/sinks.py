@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierline.plans.catalog import Warehouse, _insert_by_name
+from tierline.plans.catalog import Warehouse
 from tierline.sources.schemas import AUDIT_COLUMN
 
 
@@ -31,15 +31,14 @@ def refresh(wh: Warehouse, layer: str, table: str, df: DataFrame, audit_column:
 def append(wh: Warehouse, layer: str, table: str, df: DataFrame) -> None:
     """S3: ``INSERT INTO layer.table (df's columns) SELECT ...``; columns not given (such as the
     silver audit column) take their declared defaults."""
-    _insert_by_name(wh.spark, wh.name(layer, table), df)
+    wh.append(layer, table, df)
 
 
 def delete_where(wh: Warehouse, layer: str, table: str, predicate: Column) -> str:
     """Remove the rows of the published ``layer.table`` for which ``predicate`` is TRUE.
 
     Parquet tables have no row-level DELETE and a table cannot be overwritten while it is read,
-    so the kept rows become the next version and the view is repointed.
+    so the kept rows become the next version, of the same definition, and the view is repointed.
     """
-    current = wh.read(layer, table)
-    kept = current.filter(~F.coalesce(predicate, F.lit(False)))
-    return wh.publish(layer, table, kept)
+    kept = wh.read(layer, table).filter(~F.coalesce(predicate, F.lit(False)))
+    return wh.publish(layer, table, kept, like=wh.current(layer, table))
