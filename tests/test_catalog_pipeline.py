@@ -77,14 +77,53 @@ def test_append_fills_audit_default_and_delete_where(spark):
     assert [r["cid"] for r in wh.read("bronze", "loc").collect()] == ["AW1"]
 
 
+def test_every_operation_works_on_every_published_name(spark):
+    wh = _wh(spark)
+    schema = SILVER["erp_loc_a101"]
+    rows = spark.createDataFrame([("AW1", "Germany"), ("AW2", None)], schema)
+    refresh(wh, "silver", "t", rows, audit_column=True, schema=schema)      # published ...
+    append(wh, "silver", "t", rows)                                         # ... appended to by name
+    assert wh.read("silver", "t").count() == 4
+    delete_where(wh, "silver", "t", F.col("cntry").isNull())
+    append(wh, "silver", "t", rows.limit(1))                                # defaults survive the delete
+    out = wh.read("silver", "t")
+    assert out.count() == 3 and out.filter(F.col("dwh_create_date").isNull()).count() == 0
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|exceeds"):     # so do the string limits
+        append(wh, "silver", "t", spark.createDataFrame([("y" * 51, None)], schema))
+    assert wh.read("silver", "t").count() == 3                              # a failed append adds nothing
+    wh.create_table("silver", "t", schema, with_audit=True)                 # drop and re-create
+    assert wh.read("silver", "t").count() == 0
+    append(wh, "silver", "t", rows)
+    delete_where(wh, "silver", "t", F.col("cid") == "AW1")                  # created, then deleted from
+    refresh(wh, "silver", "t", rows, audit_column=True, schema=schema)
+    assert wh.read("silver", "t").count() == 2
+    wh.drop_table("silver", "t")
+    assert not wh.exists("silver", "t") and wh.versions("silver", "t") == []
+
+
+def test_a_running_reader_keeps_its_files_during_an_append(spark):
+    wh = _wh(spark)
+    refresh(wh, "silver", "t", spark.range(100))
+    before = wh.read("silver", "t")
+    assert before.count() == 100
+    append(wh, "silver", "t", spark.range(50))
+    assert wh.read("silver", "t").count() == 150
+
+
 def test_full_run_audit(spark):
     sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "src"))
     wh = _wh(spark)
     audit = {(r["layer"], r["table_name"]): r for r in run_all(wh, sources).collect()}
+    totals = {layer: audit.pop((layer, "(layer)")) for layer in ("bronze", "silver", "gold")}
+    for layer, total in totals.items():
+        tables = [r for (name, _), r in audit.items() if name == layer]
+        assert total["rows"] == sum(r["rows"] for r in tables) and total["status"] == "ok"
+        assert total["seconds"] >= max(r["seconds"] for r in tables)        # wall time of the layer
     assert len(audit) == 15 and all(r["status"] == "ok" for r in audit.values())
     assert audit[("bronze", "crm_sales_details")]["rows"] == audit[("gold", "fact_sales")]["rows"]
     assert audit[("silver", "crm_cust_info")]["rows"] == audit[("gold", "dim_customers")]["rows"]
     assert audit[("bronze", "crm_cust_info")]["bad_rows"] == 0
+    assert audit[("bronze", "crm_sales_details")]["bad_rows"] > 0           # staged unreadable quantities
     keys = wh.read("gold", "dim_customers").agg(F.min("customer_key"), F.max("customer_key"),
                                                 F.countDistinct("customer_key"), F.count(F.lit(1))).first()
     assert keys[0] == 1 and keys[1] == keys[2] == keys[3]
@@ -101,8 +140,9 @@ def test_failed_layer_is_recorded_and_raised(spark):
         run_all(wh, sources)
     rows = spark.table(f"{wh.db('audit')}.load_audit").collect()
     # Every bronze table of the layer is attempted and recorded; no later layer runs.
-    assert {r["layer"] for r in rows} == {"bronze"} and len(rows) == 6
-    assert all(r["status"] == "failed" and r["message"] for r in rows)
+    assert {r["layer"] for r in rows} == {"bronze"} and len(rows) == 7
+    assert all(r["status"] == "failed" for r in rows)
+    assert all(r["message"] for r in rows if r["table_name"] != "(layer)")
 
 
 def test_typed_tables_enforce_fifty_characters(spark):
@@ -119,24 +159,33 @@ def test_typed_tables_enforce_fifty_characters(spark):
     assert row["dwh_create_date"] is not None
 
 
-def test_append_silver_twice_doubles_rows_and_keeps_null_group(spark):
-    from tierline.plans.layers import RunAudit, append_silver, load_bronze
+def test_append_silver_reaches_gold(spark):
+    from tierline.plans.layers import run_layers
 
     sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "src"))
     wh = _wh(spark)
-    wh.ensure_layers(("bronze", "silver", "gold", "work"))
-    audit = RunAudit()
-    load_bronze(wh, sources, audit)
-    append_silver(wh, audit)
-    append_silver(wh, audit)
-    cust = wh.read("silver", "crm_cust_info_appended")
+    audit = run_layers(wh, ("bronze", "silver", "append"), sources).collect()
+    assert {r["layer"] for r in audit} == {"bronze", "silver", "append"}
+    assert all(r["status"] == "ok" for r in audit)
+    cust = wh.read("silver", "crm_cust_info")
     ids = wh.read("bronze", "crm_cust_info").select("cst_id").distinct().count()   # NULL counts as one group
-    assert cust.count() == 2 * ids
-    assert cust.filter(F.col("cst_id").isNull()).count() == 2
+    assert cust.count() == 2 * ids - 1                                             # the load drops NULL ids
+    assert cust.filter(F.col("cst_id").isNull()).count() == 1
     assert cust.filter(F.col("dwh_create_date").isNull()).count() == 0
-    sales = wh.read("silver", "crm_sales_details_appended").count()
+    sales = wh.read("silver", "crm_sales_details").count()
     assert sales == 2 * wh.read("bronze", "crm_sales_details").count()
-    assert all(r[6] == "ok" for r in audit.rows)
+    run_layers(wh, ("gold",))
+    assert wh.read("gold", "fact_sales").count() >= sales
+    assert wh.read("gold", "dim_customers").filter("customer_id is null").count() > 0
+
+
+def test_append_creates_missing_tables(spark):
+    from tierline.plans.layers import run_layers
+
+    sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "src"))
+    wh = _wh(spark)
+    run_layers(wh, ("bronze", "append"), sources)
+    assert wh.read("silver", "erp_loc_a101").count() == wh.read("bronze", "erp_loc_a101").count()
 
 
 def test_scale_conf_sizes_partitions():
@@ -145,34 +194,42 @@ def test_scale_conf_sizes_partitions():
     small = scale_conf(10 * 1024 ** 2)
     big = scale_conf(100 * 1024 ** 4)
     assert small["spark.sql.shuffle.partitions"] == "200"
-    assert int(big["spark.sql.shuffle.partitions"]) == 65536
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600       # 256 MB a task, without a cap
     assert int(scale_conf(1024 ** 4)["spark.sql.shuffle.partitions"]) == 4096
 
 
-def test_cli_run_and_quality(spark):
+def test_cli_run_and_quality(spark, capsys):
     from tierline.__main__ import main
 
     sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "cli-src"))
     root = scratch_path(spark, "cli-wh")
-    from tierline.session import scale_conf
-
-    keys = list(scale_conf(0))
-    saved = {k: spark.conf.get(k, None) for k in keys}
-    try:
-        assert main(["run", "--sources", sources, "--warehouse", root, "--prefix", "cli_",
-                     "--partition-fact-by", "order_date"]) == 0
-        assert main(["quality", "--warehouse", root, "--prefix", "cli_", "--as-of", "2026-01-01"]) == 0
-    finally:
-        for k, v in saved.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    common = ["--warehouse", root, "--prefix", "cli_"]
+    assert main(["run", "--sources", sources, *common, "--partition-fact-by", "order_date", "--verify"]) == 0
+    assert main(["quality", *common, "--as-of", "2026-01-01"]) == 0
+    out = capsys.readouterr().out
+    assert "fact_without_dimension" in out and "spaces_name" in out and out.count("(layer)") == 4
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before          # sizing is for the run alone
     assert spark.table("cli_gold.fact_sales").count() == spark.table("cli_bronze.crm_sales_details").count()
     one_day = spark.table("cli_gold.fact_sales").filter(F.col("order_date") == F.lit("1995-03-15").cast("date"))
     assert "PartitionFilters: [isnotnull(order_date" in one_day._jdf.queryExecution().executedPlan().toString()
 
 
+def test_cli_steps_write_their_own_audit(spark, capsys):
+    from tierline.__main__ import main
+
+    sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "cli-src"))
+    root = scratch_path(spark, "cli-wh")
+    common = ["--warehouse", root, "--prefix", "step_"]
+    for command in (["load-bronze", "--sources", sources], ["load-silver"], ["append"], ["load-gold"]):
+        assert main([*command, *common]) == 0
+    audit = spark.table("step_audit.load_audit").collect()
+    assert len({r["run_id"] for r in audit}) == 4
+    assert {r["layer"] for r in audit if r["table_name"] == "(layer)"} == {"bronze", "silver", "append", "gold"}
+    assert all(r["status"] == "ok" and r["seconds"] is not None for r in audit)
+    assert "load" not in capsys.readouterr().err
+
+
 def test_partitioned_publish_prunes_files(spark):
     wh = _wh(spark)
     df = spark.range(0, 100).select(F.col("id"), F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 5).cast("int")).alias("order_date"))
@@ -183,6 +240,58 @@ def test_partitioned_publish_prunes_files(spark):
     assert "PartitionFilters: [isnotnull(order_date" in plan and "2020-01-03" in plan
 
 
+def test_partitioned_publish_bounds_the_files(spark):
+    from tierline.plans.catalog import FILES_PER_VALUE
+
+    wh = _wh(spark)
+    days = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 40).cast("int"))
+    df = spark.range(0, 20_000, 1, 64).select("id", F.when(F.col("id") % 3 != 0, days).alias("d"))   # a third NULL
+    refresh(wh, "gold", "fact", df, partition_by=("d",))
+    files = wh.read("gold", "fact").inputFiles()
+    assert wh.read("gold", "fact").count() == 20_000 and len(files) <= 41 * FILES_PER_VALUE
+
+
+def test_many_partition_values_warn(spark, monkeypatch):
+    from tierline.plans import catalog
+
+    monkeypatch.setattr(catalog, "MAX_PARTITION_VALUES", 3)
+    with pytest.warns(UserWarning, match="folders"):
+        refresh(_wh(spark), "gold", "fact", spark.range(10).select("id", (F.col("id") % 9).alias("d")), partition_by=("d",))
+
+
+def test_scratch_is_removed(spark):
+    from tierline import session
+    from tierline.session import register_scratch, remove_scratch
+
+    app = spark.sparkContext.applicationId
+    others = session._scratch.pop(app, [])           # of other tests
+    try:
+        path = scratch_path(spark, "gone")
+        spark.range(3).write.parquet(path)
+        wh = Warehouse(spark, root=path + "/wh", prefix=f"g{uuid.uuid4().hex[:6]}_")
+        register_scratch(spark, "database", wh.db("gold"))
+        refresh(wh, "gold", "t", spark.range(3))
+        assert remove_scratch(spark) == 2
+        assert not os.path.exists(path.removeprefix("file:")) and wh.db("gold") not in {
+            d.name for d in spark.catalog.listDatabases()}
+    finally:
+        session._scratch[app] = others
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    import types
+
+    from tierline.session import is_local, shared_dir
+
+    assert is_local("local[8]") and is_local("local") and not is_local("local-cluster[2,1,512]") and not is_local("yarn")
+    conf = types.SimpleNamespace(get=lambda *a: None)
+    scala = types.SimpleNamespace(getCheckpointDir=lambda: types.SimpleNamespace(isDefined=lambda: False))
+    sc = types.SimpleNamespace(getConf=lambda: conf, master="spark://host:7077",
+                               _jsc=types.SimpleNamespace(sc=lambda: scala))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(types.SimpleNamespace(conf=conf, sparkContext=sc))
+
+
 def test_pipeline_bucketed_paths_give_the_same_gold(spark, monkeypatch):
     from tierline.operators import ranged
 
@@ -222,7 +331,7 @@ def test_verify_records_post_load_checks(spark):
     sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "src"))
     wh = _wh(spark)
     audit = {(r["layer"], r["table_name"]): r for r in run_all(wh, sources, verify=True).collect()}
-    checks = {t: r for (layer, t), r in audit.items() if layer == "check"}
+    checks = {t: r for (layer, t), r in audit.items() if layer == "check" and t != "(layer)"}
     assert set(checks) == {"silver_customer_duplicates", "customer_fanout", "product_fanout",
                            "fact_without_dimension"}
     assert all(r["rows"] == 0 and r["status"] == "ok" for r in checks.values())

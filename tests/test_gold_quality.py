@@ -82,7 +82,8 @@ def test_gender_preview_uses_upper_case_words(spark):
 def test_summary_counts_every_rule_in_one_row_per_rule(spark):
     bronze = {"crm_prd_info": spark.createDataFrame(PRD_SAMPLE, BRONZE["crm_prd_info"])}
     got = {r["check_name"]: r["n_bad"] for r in quality.quality_summary(bronze).collect()}
-    assert got == {"null_cost": 1, "null_line": 0, "negative_or_null_cost": 1, "end_before_start": 2}
+    assert got == {"null_cost": 1, "null_line": 0, "negative_or_null_cost": 1, "end_before_start": 2,
+                   "spaces_name": 0}
 
 
 def test_cheap_predicates_match_their_definitions(spark):

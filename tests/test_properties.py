@@ -46,7 +46,7 @@ prd_rows = st.lists(st.tuples(st.sampled_from(["AC-HE-A", "BI-MB-B", "CL-SO-A",
 @given(prd_rows, st.integers(1, 5))
 def test_t2_end_not_before_start_when_starts_differ(spark, data, buckets):
     df = spark.createDataFrame([(i, k, "n", 1, "M", s, None) for i, (k, s) in enumerate(data)], BRONZE["crm_prd_info"])
-    out = silver.clean_crm_products(df, n_buckets=buckets).collect()
+    out = silver.clean_crm_products(df, rows_per_bucket=buckets).collect()
     for r in out:
         if r["prd_end_dt"] is not None and r["prd_start_dt"] is not None:
             nxt = r["prd_end_dt"] + dt.timedelta(days=1)
@@ -62,10 +62,10 @@ def test_t2_end_not_before_start_when_starts_differ(spark, data, buckets):
 def test_ranged_forms_equal_plain_windows(spark, data, buckets):
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(data)], "id int, g int, v int")
     expect_key = df.withColumn("k", F.row_number().over(Window.orderBy(F.col("g").asc_nulls_first(), "v", "id")).cast("bigint"))
-    got_key = dense_key(df, ["g", "v", "id"], "k", n_buckets=buckets)
+    got_key = dense_key(df, ["g", "v", "id"], "k", rows_per_bucket=buckets)
     assert sorted(got_key.collect(), key=repr) == sorted(expect_key.collect(), key=repr)
     expect_lead = df.withColumn("n", F.lead("v").over(Window.partitionBy("g").orderBy("v", "id")))
-    got_lead = lead_in_group(df, ["g"], ["v", "id"], "v", "n", n_buckets=buckets)
+    got_lead = lead_in_group(df, ["g"], ["v", "id"], "v", "n", rows_per_bucket=buckets)
     assert sorted(got_lead.collect(), key=repr) == sorted(expect_lead.collect(), key=repr)
 
 

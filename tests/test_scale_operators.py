@@ -7,7 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tierline.operators import joins
-from tierline.operators.ranged import dense_key, lead_in_group, sample_cuts, with_bucket
+from tierline.operators.ranged import bucket_count, dense_key, lead_in_group, ranged
+from tierline.staging import measure, stage
 
 
 @pytest.fixture(scope="module")
@@ -20,46 +21,43 @@ def skewed(spark):
         F.when(F.col("id") % 11 == 0, F.lit(None)).otherwise(F.col("id") % 13).alias("v"))
 
 
-def test_cuts_split_a_hot_key_when_order_is_total(skewed):
-    cuts = sample_cuts(skewed, ["k", "id"], 6)
-    assert len(cuts) >= 4
-    tagged = with_bucket(skewed, ["k", "id"], cuts, "b")
-    hot_buckets = tagged.filter("k = 7").select("b").distinct().count()
-    assert hot_buckets >= 2
-    # Buckets are ranges: ordering by (bucket) never contradicts ordering by the key.
+def test_ranges_split_a_hot_key_when_order_is_total(skewed):
+    tagged = ranged(skewed, ["k", "id"], [], 6)
+    assert tagged.filter("k = 7").select("_tl_bucket").distinct().count() >= 2
+    # Buckets are ranges: ordering by (bucket, place) never contradicts ordering by the key.
     w = Window.orderBy(F.col("k").asc_nulls_first(), "id")
-    seq = tagged.withColumn("prev_b", F.lag("b").over(w)).filter("prev_b > b").count()
-    assert seq == 0
+    seq = tagged.withColumn("prev", F.lag(F.struct("_tl_bucket", "_tl_place")).over(w))
+    assert seq.filter(F.col("prev") > F.struct("_tl_bucket", "_tl_place")).count() == 0
 
 
 def test_dense_key_equals_global_row_number(skewed):
     expect = skewed.withColumn("rk", F.row_number().over(
         Window.orderBy(F.col("k").asc_nulls_first(), "id")).cast("bigint"))
-    got = dense_key(skewed, ["k", "id"], "rk", n_buckets=7)
+    got = dense_key(skewed, ["k", "id"], "rk", rows_per_bucket=450)
     assert sorted(got.select("id", "rk").collect()) == sorted(expect.select("id", "rk").collect())
 
 
 def test_lead_in_group_equals_window(skewed):
     w = Window.partitionBy("k").orderBy(F.col("v").asc_nulls_first(), "id")
     expect = skewed.withColumn("nx", F.lead("v").over(w))
-    for n in (1, 5, 9):
-        got = lead_in_group(skewed, ["k"], ["v", "id"], "v", "nx", n_buckets=n)
+    for n in (10_000, 600, 333):
+        got = lead_in_group(skewed, ["k"], ["v", "id"], "v", "nx", rows_per_bucket=n)
         assert sorted(got.select("id", "nx").collect()) == sorted(expect.select("id", "nx").collect())
 
 
 def test_salted_join_equals_plain_join(spark, skewed):
     dim = spark.range(0, 100).select(F.col("id").cast("int").alias("dk"), (F.col("id") * 10).alias("payload"))
     plain = skewed.join(dim, skewed["k"] == dim["dk"], "left").select("id", "payload")
-    salted = joins.salted_join(skewed, dim, [("k", "dk")], "left", salts=5).select("id", "payload")
+    salted = joins.salted_join(skewed, dim, [("k", "dk")], "left").select("id", "payload")
     assert sorted(salted.collect()) == sorted(plain.collect())
-    hot = joins.hot_keys(skewed, ["k"])
+    hot = joins.hot_keys(skewed, ["k"], partitions=8)
     assert [r["k"] for r in hot.collect()] == [7]
 
 
 def test_salted_anti_join(spark, skewed):
     right = spark.range(0, 50).select(F.col("id").cast("int").alias("rk"))
     plain = skewed.join(right, skewed["k"] == right["rk"], "left_anti").select("id")
-    salted = joins.salted_join(skewed, right, [("k", "rk")], "left_anti", salts=4).select("id")
+    salted = joins.salted_join(skewed, right, [("k", "rk")], "left_anti").select("id")
     assert sorted(salted.collect()) == sorted(plain.collect())
 
 
@@ -69,6 +67,49 @@ def test_checked_broadcast_bound(spark):
     assert joins.checked_broadcast(small, max_rows=9) is None
 
 
+def test_broadcast_bytes_are_measured(spark):
+    wide = spark.range(100).select(F.repeat(F.lit("x"), 2000).alias("s"))
+    assert measure(wide).bytes > 200_000
+    assert joins.checked_broadcast(wide, max_bytes=150_000) is None
+    nested = spark.range(10).select(F.array_repeat(F.lit("abcdefgh"), 500).alias("a"))
+    assert measure(nested).bytes > 40_000
+    assert stage(spark.range(7), "t").stats.rows == 7 and measure(spark.range(0)).rows == 0
+
+
+def test_the_size_check_sends_one_row_a_task(spark):
+    import inspect
+
+    from tierline import staging
+
+    assert "limit(" not in inspect.getsource(staging) + inspect.getsource(joins)
+
+
+def test_hot_key_threshold_follows_the_partitions(spark):
+    rows = spark.range(0, 20_000).select(F.when(F.col("id") % 111 == 0, -1).otherwise(F.col("id")).alias("k"))
+    assert joins.hot_keys(rows, ["k"], partitions=8).count() == 0            # 0.9% of an eighth
+    assert [r["k"] for r in joins.hot_keys(rows, ["k"], partitions=400).collect()] == [-1]
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark):
+    from collections import Counter
+
+    # A third of the rows are one repeated row.
+    path = stage(spark.range(0, 90_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.lit("same").alias("p")), "dup").df
+    keys = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[0], "false")
+        spark.conf.set(keys[1], "16")
+        right = spark.range(-1, 10).select(F.col("id").alias("rk"))
+        joined = joins.salted_join(path, right, [("k", "rk")], "left")
+        sizes = Counter(r[0] for r in joined.select(F.spark_partition_id()).collect())
+        assert sum(sizes.values()) == 90_000 and max(sizes.values()) < 2 * 90_000 / 16
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+
+
 def test_not_in_sql_semantics(spark, skewed):
     skewed.createOrReplaceTempView("l_t")
     cases = {
@@ -85,40 +126,19 @@ def test_not_in_sql_semantics(spark, skewed):
 
 
 def test_buckets_are_balanced_under_a_hot_key(skewed):
-    cuts = sample_cuts(skewed, ["k", "id"], 6)
-    sizes = [r["count"] for r in with_bucket(skewed, ["k", "id"], cuts, "b").groupBy("b").count().collect()]
-    mean = sum(sizes) / len(sizes)
-    assert len(sizes) == len(cuts) + 1 and max(sizes) <= 1.5 * mean
-
-
-def test_placement_ids_hit_every_partition_once(spark):
-    from tierline.operators.ranged import aligned_ids
-
-    for n in (1, 7, 16):
-        ids = aligned_ids(spark, n)
-        got = spark.createDataFrame([(v,) for v in ids], "v int").select(
-            F.pmod(F.hash("v"), F.lit(n)).alias("p")).collect()
-        assert [r["p"] for r in got] == list(range(n))
+    sizes = [r["count"] for r in ranged(skewed, ["k", "id"], [], 6).groupBy("_tl_bucket").count().collect()]
+    assert len(sizes) == 6 and max(sizes) <= 1.5 * sum(sizes) / 6
 
 
-def test_many_cuts_stay_compiled_and_exact(spark):
-    # Thousands of cuts: the stepwise search must agree with a direct count of cuts below the key.
-    df = spark.range(0, 20000).select((F.col("id") * 7919 % 20000).alias("k"),
-                                      F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 5).alias("v"))
-    cuts = sample_cuts(df, ["v", "k"], 3000)
-    assert len(cuts) > 1000
-    got = with_bucket(df, ["v", "k"], cuts, "b")
-    lits = spark.createDataFrame([(None if c[0] is None else int(c[0]), int(c[1])) for c in cuts], "cv long, ck long")
-    expect = (df.join(lits, F.struct("v", "k") > F.struct(F.col("cv").alias("v"), F.col("ck").alias("k")), "left")
-                .groupBy("v", "k").agg(F.count("ck").alias("b")))
-    assert sorted(got.select("v", "k", "b").collect(), key=repr) == sorted(expect.collect(), key=repr)
+def test_bucket_count_rises_with_rows_without_a_cap():
+    assert [bucket_count(n) for n in (0, 2_000_000, 2_000_001, 10**11)] == [1, 1, 2, 50_000]
 
 
 def test_salted_inner_join_and_explicit_hot_keys(spark, skewed):
     dim = spark.range(0, 60).select(F.col("id").cast("int").alias("dk"), (F.col("id") % 7).alias("p"))
     plain = skewed.join(dim, skewed["k"] == dim["dk"], "inner").select("id", "p")
-    hot = spark.createDataFrame([(7, 0.34), (3, 0.02)], "k int, _tl_share double")
-    salted = joins.salted_join(skewed, dim, [("k", "dk")], "inner", salts=10, hot=hot).select("id", "p")
+    hot = spark.createDataFrame([(7, 5), (3, 2)], "k int, _tl_n int")
+    salted = joins.salted_join(skewed, dim, [("k", "dk")], "inner", hot=hot).select("id", "p")
     assert sorted(salted.collect()) == sorted(plain.collect())
 
 
@@ -132,42 +152,20 @@ def test_shuffle_partitions_parsing(spark):
         spark.conf.set("spark.sql.shuffle.partitions", saved)
 
 
-def test_each_bucket_is_one_partition(spark, skewed):
-    from tierline.operators.ranged import _place_buckets
-
-    cuts = sample_cuts(skewed, ["k", "id"], 6)
-    placed = _place_buckets(with_bucket(skewed, ["k", "id"], cuts, "_tl_bucket"), len(cuts) + 1)
-    per_partition = (placed.select(F.spark_partition_id().alias("pid"), "_tl_bucket").distinct()
-                     .groupBy("pid").agg(F.count(F.lit(1)).alias("n_buckets"), F.min("_tl_bucket").alias("b")))
-    rows = per_partition.collect()
-    assert all(r["n_buckets"] == 1 for r in rows)
-    assert sorted(r["pid"] for r in rows) == sorted(r["b"] for r in rows)
-
-
 def test_global_lead_without_groups(skewed):
     expect = skewed.withColumn("nx", F.lead("v").over(Window.orderBy(F.col("v").asc_nulls_first(), "id")))
-    got = lead_in_group(skewed, [], ["v", "id"], "v", "nx", n_buckets=5)
+    got = lead_in_group(skewed, [], ["v", "id"], "v", "nx", rows_per_bucket=600)
     assert sorted(got.select("id", "nx").collect()) == sorted(expect.select("id", "nx").collect())
 
 
-def test_bucket_search_over_mixed_types_matches_brute_force(spark):
-    saved = spark.conf.get("spark.sql.session.timeZone")
-    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-    try:
-        df = spark.range(0, 600).select(
-            F.when(F.col("id") % 11 == 0, None).otherwise(
-                F.timestamp_seconds(F.lit(1_600_000_000) + (F.col("id") % 37) * 86_399 + F.col("id") / 1000)).alias("ts"),
-            F.date_add(F.lit("1999-12-30").cast("date"), (F.col("id") % 5).cast("int")).alias("d"),
-            F.when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("é-"), (F.col("id") % 13).cast("string"))).alias("s"),
-            (F.col("id") / 7.0).alias("x"))
-        cols = ["ts", "d", "s", "x"]
-        cuts = sample_cuts(df, cols, 12)
-        assert len(cuts) >= 8
-        got = with_bucket(df, cols, cuts, "b").select(*cols, "b")
-        cut_df = spark.createDataFrame([tuple(c) for c in cuts], "ts string, d string, s string, x string").select(
-            *[F.col(c).cast(t).alias(f"c_{c}") for c, t in zip(cols, ["timestamp", "date", "string", "double"])])
-        below = F.struct(*[F.col(c) for c in cols]) > F.struct(*[F.col(f"c_{c}").alias(c) for c in cols])
-        expect = (df.join(cut_df, below, "left").groupBy(*cols).agg(F.count("c_d").alias("b")))
-        assert sorted(got.collect(), key=repr) == sorted(expect.collect(), key=repr)
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", saved)
+def test_dense_key_over_mixed_types_and_ties(spark):
+    df = spark.range(0, 600).select(
+        F.when(F.col("id") % 11 == 0, None).otherwise(F.timestamp_seconds(F.lit(1_600_000_000) + F.col("id") % 37)).alias("ts"),
+        F.date_add(F.lit("1999-12-30").cast("date"), (F.col("id") % 5).cast("int")).alias("d"),
+        F.when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("é-"), (F.col("id") % 13).cast("string"))).alias("s"),
+        F.col("id"))
+    order = [F.col(c).asc_nulls_first() for c in ("ts", "d", "s", "id")]
+    expect = df.withColumn("k", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    got = dense_key(df, ["ts", "d"], "k", rows_per_bucket=50, tie_cols=["s", "id"])
+    assert sorted(got.collect(), key=repr) == sorted(expect.collect(), key=repr)
+    assert dense_key(df.limit(0), ["ts"], "k", rows_per_bucket=50).count() == 0

@@ -80,8 +80,8 @@ def test_t2_bucketed_equals_window(spark):
     data = [(i, "AC-HE-HOT" if i % 3 else f"CL-SO-K{i % 7}", f"n{i}", i, "M",
              None if i % 17 == 0 else TS(2000 + i % 20, 1 + i % 12, 1), None) for i in range(300)]
     df = spark.createDataFrame(data, BRONZE["crm_prd_info"])
-    plain = silver.clean_crm_products(df, n_buckets=1)
-    bucketed = silver.clean_crm_products(df, n_buckets=6)
+    plain = silver.clean_crm_products(df)
+    bucketed = silver.clean_crm_products(df, rows_per_bucket=2)
     assert rows(plain, ["prd_id"]) == rows(bucketed, ["prd_id"])
 
 

@@ -49,22 +49,24 @@ def main() -> None:
         "o_orderdate")
     customers = read_table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
 
-    def run(group: str, df) -> None:
-        spark.sparkContext.setJobGroup(group, group)
-        df.write.format("noop").mode("overwrite").save()
+    def run(group: str, build) -> None:
+        spark.sparkContext.setJobGroup(group, group)  # before building: some operators write tables
+        build().write.format("noop").mode("overwrite").save()
 
+    n = orders.count()
+    per = -(-n // 16)
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    run("lead: plain window", orders.withColumn("nx", F.lead("o_orderdate").over(w)))
-    run("lead: range buckets", lead_in_group(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"],
-                                             "o_orderdate", "nx", n_buckets=16))
-    run("key: global window", orders.withColumn("k", F.row_number().over(Window.orderBy("o_orderdate", "o_orderkey"))))
-    run("key: range buckets", dense_key(orders, ["o_orderdate", "o_orderkey"], "k", n_buckets=16))
-    run("latest per key: window rn=1", latest_per_key(orders, "o_custkey", [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]))
-    run("join: plain shuffle join", orders.join(customers, orders["o_custkey"] == customers["c_custkey"], "left"))
-    run("join: salted shuffle join", joins.salted_join(orders, customers, [("o_custkey", "c_custkey")], "left"))
+    run("lead: plain window", lambda: orders.withColumn("nx", F.lead("o_orderdate").over(w)))
+    run("lead: range buckets", lambda: lead_in_group(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"],
+                                             "o_orderdate", "nx", rows_per_bucket=per, n_rows=n))
+    run("key: global window", lambda: orders.withColumn("k", F.row_number().over(Window.orderBy("o_orderdate", "o_orderkey"))))
+    run("key: range buckets", lambda: dense_key(orders, ["o_orderdate", "o_orderkey"], "k", rows_per_bucket=per, n_rows=n))
+    run("latest per key: window rn=1", lambda: latest_per_key(orders, "o_custkey", [F.col("o_orderdate").desc(), F.col("o_orderkey").desc()]))
+    run("join: plain shuffle join", lambda: orders.join(customers, orders["o_custkey"] == customers["c_custkey"], "left"))
+    run("join: salted shuffle join", lambda: joins.salted_join(orders, customers, [("o_custkey", "c_custkey")], "left"))
     evens = customers.filter(F.col("c_custkey") % 2 == 0)
-    run("not in: plain anti join", orders.join(evens, orders["o_custkey"] == evens["c_custkey"], "left_anti"))
-    run("not in: exact, salted", joins.not_in(orders, "o_custkey", evens, "c_custkey", max_rows=10))
+    run("not in: plain anti join", lambda: orders.join(evens, orders["o_custkey"] == evens["c_custkey"], "left_anti"))
+    run("not in: exact, salted", lambda: joins.not_in(orders, "o_custkey", evens, "c_custkey", max_rows=10))
     spark.stop()
 
     stage_group: dict[int, str] = {}
