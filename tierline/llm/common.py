@@ -86,12 +86,12 @@ def join_spread(left: DataFrame, right: DataFrame, keys: Sequence[str], weight:
 
     Keys that hold more than 1/256 of ``total`` go by broadcast, at most 256 rows by construction,
     so a key with a third of all rows is never shuffled to one task; the others go by a plain
-    shuffle join. ``how`` is ``inner`` or ``left``; ``weight`` is dropped.
+    sort-merge join, at every size. ``how`` is ``inner`` or ``left``; ``weight`` is dropped.
     """
     limit = max(total // HOT_KEYS, 1)
     keys = list(keys)
     hot = F.broadcast(right.filter(F.col(weight) > limit).drop(weight))
-    rest = right.filter(F.col(weight) <= limit).drop(weight)
+    rest = right.filter(F.col(weight) <= limit).drop(weight).hint("merge")
     a = left.join(hot, keys, "inner")
     b = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(rest, keys, how)
     return a.unionByName(b)
