@@ -119,7 +119,7 @@ def test_passages_on_edge_cases(spark):
                         (32, p + " middle words " + p, "en", "s"), (33, "la " * 80, "en", "s"), (34, "x " + "la " * 70, "en", "s")]
     spans = repeated_passages(table(spark, rows)).collect()
     got = {(r["doc_id"], r["src_doc_id"]) for r in spans}
-    assert got == {(9, 8), (31, 30), (32, 30), (34, 33)}
+    assert got == {(8, 8), (9, 8), (31, 30), (32, 30), (34, 33)}  # 8 repeats itself every 977 words
     assert repeated_passages(table(spark, [])).count() == 0
 
 

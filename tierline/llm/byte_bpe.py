@@ -22,7 +22,6 @@ import base64
 import hashlib
 import heapq
 import sys
-import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -68,17 +67,17 @@ def _automaton() -> tuple[np.ndarray, np.ndarray]:
 
 @lru_cache(1)
 def _classes() -> np.ndarray:
-    """Class of every code point. White space is the Unicode property White_Space (fixed values)."""
+    """Class of every code point, by the Unicode tables of the tiktoken library: of the text of all code
+    points, an encoding whose pattern is one class returns just the bytes of that class."""
+    import tiktoken
+
     table = np.full(sys.maxunicode + 1, OTHER, np.uint8)
-    for c in range(sys.maxunicode + 1):
-        kind = unicodedata.category(chr(c))[0]
-        if kind == "L":
-            table[c] = LETTER
-        elif kind == "N":
-            table[c] = NUMBER
-    for a, b in ((0x09, 0x0D), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
-                 (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)):
-        table[a:b + 1] = SPACE
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
+        probe = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks={bytes([b]): b for b in range(256)},
+                                  special_tokens={})
+        found = bytes(probe.encode_ordinary(every)).decode()
+        table[np.frombuffer(found.encode("utf-32-le"), np.uint32)] = kind
     return table
 
 
