@@ -97,6 +97,53 @@ def join_spread(left: DataFrame, right: DataFrame, keys: Sequence[str], weight:
     return a.unionByName(b)
 
 
+def block_units(rows: DataFrame, group: str, own: str, weight: Column, limit: int) -> DataFrame:
+    """Cut the pairs to compare in each group into units of bounded size.
+
+    Every own row of a group must meet every other row of it, own or not; rows that are not own need
+    not meet each other. Both kinds are cut by a hash of ``rep`` into blocks of about ``limit`` weight,
+    and each row is sent once to every pair of blocks it takes part in: columns ``kind``, ``i``,
+    ``j`` name the unit with ``group``, ``left`` its side (a unit without right rows compares its
+    left rows with each other). Groups without own rows vanish.
+    """
+    parts = rows.groupBy(group).agg(
+        F.greatest(F.lit(1), F.ceil(F.sum(F.when(F.col(own), weight)) / limit)).cast("int").alias("_no"),
+        F.coalesce(F.ceil(F.sum(F.when(~F.col(own), weight)) / limit), F.lit(0)).cast("int").alias("_nv"),
+        F.count_if(own).alias("_own"), F.count(F.lit(1)).alias("_rows"))
+    cut = join_spread(rows, parts.filter("_own > 0").drop("_own"), [group], "_rows", max(rows.count(), 1))
+    part = F.pmod(F.xxhash64("rep"), F.when(F.col(own), F.col("_no")).otherwise(F.greatest("_nv", F.lit(1))))
+    cut = cut.withColumn("_part", part.cast("int"))
+
+    def units(first, last, kind: int, mine_first: bool, left: bool):
+        part, none = F.col("_part"), F.array().cast("array<int>")
+        return F.transform(F.when(first <= last, F.sequence(first, last)).otherwise(none), lambda o: F.struct(
+            F.lit(kind).alias("kind"), (part if mine_first else o).alias("i"), (o if mine_first else part).alias("j"),
+            F.lit(left).alias("left")))
+
+    zero = F.lit(0)
+    mine = F.concat(units(F.col("_part"), F.col("_no") - 1, 0, True, True),  # block i with j >= i
+                    units(zero, F.col("_part") - 1, 0, False, False),        # as block j with i < j
+                    units(zero, F.col("_nv") - 1, 1, True, True))            # with every block of the others
+    sent = cut.withColumn("_u", F.explode(F.when(F.col(own), mine).otherwise(
+        units(zero, F.col("_no") - 1, 1, False, False))))
+    return sent.select(*rows.columns, "_u.kind", "_u.i", "_u.j", "_u.left")
+
+
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest member of each node's group, for links a-b among nodes 0..n-1."""
+    root = np.arange(n)
+    while True:
+        low = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, root[a], low)
+        np.minimum.at(new, root[b], low)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, root):
+            return root
+        root = new
+
+
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts end to end and their n+1 offsets; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):

@@ -11,10 +11,11 @@ from tierline.llm.common import join_spread, written
 def connected_components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``edges(a, b)``; component is its smallest node.
 
-    Each round points every node at the neighbour (or itself) that comes first in a seeded order
-    of that round, renames the links by it and drops those that became loops. Every component loses
-    a constant share of its nodes a round in expectation, whatever its shape, so the rounds grow
-    with the logarithm of the longest chain. A hub with very many links is one key of an aggregate
+    Each round points every node at the neighbour (or itself) that comes first in an order of that
+    round, renames the links by it and drops those that became loops. The first order is that of the
+    nodes, which ends groups linked to their smallest member at once; later orders are seeded and
+    random, so every component loses a constant share of its nodes a round in expectation, whatever
+    its shape, and the rounds grow with the logarithm of the longest chain. A hub with very many links is one key of an aggregate
     that combines before the shuffle, and its links are renamed by a broadcast of hubs alone.
     Loops, repeated links and nulls (dropped) are allowed; no links give an empty table.
     """
@@ -27,12 +28,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
         def order(c: str):
-            return F.struct(F.xxhash64(c, F.lit(turn)).alias("r"), F.col(c).alias("v"))
+            seeded = F.xxhash64(c, F.lit(turn)) if turn else F.lit(0).cast("long")
+            return F.struct(seeded.alias("r"), F.col(c).alias("v"))
 
         step = written(both.groupBy(F.col("a").alias("at"))
                        .agg(F.min(order("b")).alias("m"), F.count(F.lit(1)).alias("n"))
-                       .select("at", F.least("m", F.struct(F.xxhash64("at", F.lit(turn)).alias("r"), F.col("at").alias("v")))["v"].alias("to"), "n"),
-                       "contract")
+                       .select("at", F.least("m", order("at"))["v"].alias("to"), "n"), "contract")
         sums = step.agg(F.sum("n")).first()[0]
         end = step.select(F.col("at").alias("a"), F.col("to").alias("ta"), "n")
         other = step.select(F.col("at").alias("b"), F.col("to").alias("tb"), "n")

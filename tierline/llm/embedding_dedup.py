@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import join_spread, ship_package, written
+from tierline.llm.common import block_units, join_spread, roots, ship_package, written
 from tierline.llm.components import connected_components
 
 MIN_COSINE = 0.9
@@ -80,22 +80,6 @@ def _visits(batches, centres: np.ndarray, dim: int, reach: float):
                                           pa.array(np.concatenate(home))], [*batch.schema.names, "cell", "home"])
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest member of each node's group, for links a-b among nodes 0..n-1."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[a], root[b])
-        new = root.copy()
-        np.minimum.at(new, root[a], low)
-        np.minimum.at(new, root[b], low)
-        new = new[new]
-        while not np.array_equal(new, new[new]):
-            new = new[new]
-        if np.array_equal(new, root):
-            return root
-        root = new
-
-
 def _unit(table: pa.Table, threshold: float) -> pa.Table:
     """Links of one unit: the rows of the left block against the right ones (or among themselves)."""
     dim = len(table["embedding"][0])
@@ -118,7 +102,7 @@ def _unit(table: pa.Table, threshold: float) -> pa.Table:
         pairs.append((i[sure], j[sure]))
     a, b = (np.concatenate(p) for p in zip(*pairs)) if pairs else (np.zeros(0, int), np.zeros(0, int))
     links = np.bincount(a, weights=mult[b], minlength=len(rep)) + np.bincount(b, weights=mult[a], minlength=len(rep))
-    root = rep[_roots(len(rep), a, b)]
+    root = rep[roots(len(rep), a, b)]
     hit = links > 0
     return pa.table({"rep": rep[hit], "links": links[hit].astype(np.int64), "root": root[hit]})
 
@@ -155,28 +139,8 @@ def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, cell_vector
     placed = written(classes.select("rep", "mult", "embedding").mapInArrow(
         lambda it: _visits(it, centres, dim, reach), f"rep long, mult long, embedding {kind}, cell long, home boolean"),
         "vector-cells")
-    # blocks: each cell's own vectors and its visitors, each cut by a hash into parts of bounded size
-    parts = placed.groupBy("cell").agg(
-        F.greatest(F.lit(1), F.ceil(F.count_if("home") / block_vectors)).cast("int").alias("nh"),
-        F.ceil(F.count_if(~F.col("home")) / block_vectors).cast("int").alias("nv"),
-        F.count_if("home").alias("own"))
-    cut = placed.join(F.broadcast(parts.filter("own > 0")), "cell")  # at most MAX_CELLS cells and one a length
-    part = F.pmod(F.xxhash64("rep"), F.when(F.col("home"), F.col("nh")).otherwise(F.greatest("nv", F.lit(1))))
-    cut = cut.withColumn("part", part.cast("int"))
-
-    def units(first, last, kind, mine_first: bool, left: bool):
-        i, j = (lambda o: (F.col("part"), o)) if mine_first else (lambda o: (o, F.col("part"))), None
-        return F.transform(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>")),
-                           lambda o: F.struct(F.lit(kind).alias("kind"), i(o)[0].alias("i"), i(o)[1].alias("j"),
-                                              F.lit(left).alias("left")))
-
-    zero = F.lit(0)
-    own_units = F.concat(units(F.col("part"), F.col("nh") - 1, 0, True, True),       # block i with j >= i
-                         units(zero, F.col("part") - 1, 0, False, False),            # as block j with i < j
-                         units(zero, F.col("nv") - 1, 1, True, True))                # with every visiting block
-    sent = cut.withColumn("u", F.explode(F.when(F.col("home"), own_units).otherwise(
-        units(zero, F.col("nh") - 1, 1, False, False))))
-    links = sent.select("rep", "mult", "embedding", "cell", "u.kind", "u.i", "u.j", "u.left").groupBy(
+    sent = block_units(placed, "cell", "home", F.lit(1), block_vectors)
+    links = sent.select("rep", "mult", "embedding", "cell", "kind", "i", "j", "left").groupBy(
         "cell", "kind", "i", "j").applyInArrow(lambda t: _unit(t, min_cosine), "rep long, links long, root long")
     links = written(links, "vector-links")
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"))

@@ -11,8 +11,11 @@ expanded into pairs:
 1. texts with equal shingle sets are one class from the start;
 2. every member of a bucket is compared with the bucket's first member on full sets: as many
    comparisons as members, however large the bucket;
-3. members of a bucket that are in different components after that are compared with each other,
-   where the signatures agree enough for a link to be possible (see ``min_agree``).
+3. members that are in another component than their bucket's largest one after that meet all members
+   of the bucket. In buckets of at most ``SMALL_BUCKET`` members these are pairs, where the
+   signatures agree enough for a link to be possible (see ``min_agree``). In larger buckets they are
+   units of bounded size that count all overlaps of their sets at once and return one link per
+   document: per stray, work in proportion to how it differs from what the unit has in common.
 
 So two documents that share a bucket are either compared or known to be connected already.
 """
@@ -24,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import join_spread, mix64, pieces, ship_package, utf8, written
+from tierline.llm.common import (
+    block_units, join_spread, mix64, pieces, ragged, roots, ship_package, utf8, written)
 from tierline.llm.components import connected_components
 from tierline.llm.words import word_hashes
 
@@ -33,6 +37,8 @@ PERCENT = 80
 BANDS = 32
 BAND_ROWS = 4
 PIECE_BYTES = 2 << 20
+SMALL_BUCKET = 8
+UNIT_SHINGLES = 1 << 20
 
 
 def _s(x: np.ndarray) -> np.ndarray:
@@ -158,6 +164,63 @@ def _possible(batches, min_agree: int):
             yield pa.RecordBatch.from_arrays([part["a"].filter(yes), part["b"].filter(yes)], ["a", "b"])
 
 
+def overlaps(sets: list[np.ndarray]):
+    """A function of a set's number that gives the sizes of its intersections with all sets.
+
+    Shingles in more than half of the sets are counted by the sets that lack them, so that near copies
+    of one text cost as much as they differ.
+    """
+    m, sizes = len(sets), np.array([len(x) for x in sets])
+    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(m), sizes)
+    counts = np.bincount(ids)
+    common = counts * 2 > m
+    place = np.cumsum(common) - 1
+    has = np.zeros((int(common.sum()), m), bool)
+    often = common[ids]
+    has[place[ids[often]], owner[often]] = True
+    lacking, lacks = np.nonzero(~has)
+    some = ~often & (counts[ids] > 1)
+    feature = np.concatenate([lacking, len(has) + ids[some]])
+    row = np.concatenate([lacks, owner[some]])
+    order = np.argsort(feature, kind="stable")
+    feature, row = feature[order], row[order]
+    first = np.flatnonzero(np.concatenate([[True], feature[1:] != feature[:-1]])) if len(feature) else np.zeros(0, int)
+    length = np.diff(np.append(first, len(feature)))
+    posting = np.repeat(np.arange(len(first)), length)
+    by_row = np.argsort(row, kind="stable")
+    cut = np.searchsorted(row[by_row], np.arange(m + 1))
+    missing = np.bincount(lacks, minlength=m)
+
+    def of(i: int) -> np.ndarray:
+        mine = posting[by_row[cut[i]:cut[i + 1]]]
+        shared = np.bincount(row[ragged(first[mine], length[mine])], minlength=m)
+        return len(has) - missing[i] - missing + shared
+
+    return of
+
+
+def _unit(table: pa.Table, percent: int) -> pa.Table:
+    """Links of one unit as one link per document to the first of its local group."""
+    table = table.take(pa.array(np.argsort(np.asarray(table["rep"]), kind="stable")))
+    rep, left = np.asarray(table["rep"]), np.asarray(table["left"])
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]
+    sizes = np.array([len(x) for x in sets])
+    others = np.ones(len(rep), bool) if left.all() else ~left
+    of = overlaps(sets)
+    a, b = [], []
+    for i in np.flatnonzero(left):
+        both = of(i)
+        hit = others & (100 * both >= percent * (sizes[i] + sizes - both))
+        hit[i] = False
+        j = np.flatnonzero(hit)
+        a.append(np.full(len(j), i))
+        b.append(j)
+    root = roots(len(rep), np.concatenate(a), np.concatenate(b)) if a else np.arange(len(rep))
+    hit = root != np.arange(len(rep))
+    return pa.table({"a": rep[root[hit]], "b": rep[hit]})
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bands: int = BANDS,
                     band_rows: int = BAND_ROWS) -> DataFrame:
     """Group ``docs(doc_id, text)`` whose sets of ``words``-word shingles have Jaccard >= percent/100.
@@ -183,13 +246,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     in_bands = written(classes.select("rep", "sig").mapInArrow(lambda it: _bands(it, bands, band_rows), "rep long, bucket long"),
                        "minhash-bands")
     firsts = in_bands.groupBy("bucket").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("w")).filter("w > 1")
-    firsts = written(firsts, "minhash-buckets")
+    firsts = written(firsts.withColumn("size", F.col("w")), "minhash-buckets")
     n_classes = max(classes.count(), 1)
     members = written(join_spread(in_bands, firsts, ["bucket"], "w", n_classes), "minhash-members")
     stars = written(members.filter("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(),
                     "minhash-stars")
     met = stars.select(F.col("a").alias("rep")).union(stars.select(F.col("b").alias("rep"))).distinct()
-    sets = base.join(met, base["doc_id"] == met["rep"], "left_semi").mapInArrow(
+    sets = base.join(met.hint("merge"), base["doc_id"] == met["rep"], "left_semi").mapInArrow(
         lambda it: _sets(it, words), "rep long, shingles binary")
     sets = written(sets.groupBy("rep").agg(F.min("shingles").alias("shingles")), "minhash-sets")
 
@@ -198,24 +261,42 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         n = max(pairs.count(), 1)
         x = uses.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
         y = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
-        both = join_spread(pairs.join(y, "b"), x, ["a"], "w", n)
+        both = join_spread(pairs.join(y.hint("merge"), "b"), x, ["a"], "w", n)
         return written(both.select("a", "b", "x", "y").mapInArrow(lambda it: _confirm(it, percent), "a long, b long"), name)
 
     links = confirmed(stars, "minhash-links")
     comps = connected_components(links)
     comps = written(comps.select(F.col("node").alias("rep"), "component"), "minhash-components")
-    placed = members.join(comps, "rep", "left").select(
-        "bucket", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    apart = written(placed.join(mixed.select("bucket"), "bucket", "left_semi").join(
-        classes.select("rep", "sig", "n_shingles"), "rep"), "minhash-apart")
-    left = apart.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("sig").alias("sx"), F.col("n_shingles").alias("na"))
-    right = apart.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("sig").alias("sy"), F.col("n_shingles").alias("nb"))
-    rest = left.join(right, "bucket").filter("a < b and ca <> cb and 100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
-    rest = rest.select("a", "b", "sx", "sy").mapInArrow(lambda it: _possible(it, min_agree), "a long, b long").distinct()
-    rest = written(rest.join(stars, ["a", "b"], "left_anti"), "minhash-rest")
+    # Buckets that still hold several components. Of any pair across components one is outside the
+    # bucket's largest component, so only those few meet all members.
+    placed = members.join(comps.hint("merge"), "rep", "left").select(
+        "bucket", "size", "rep", F.coalesce("component", "rep").alias("component"))
+    parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    largest = parts.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"),
+                                          F.count(F.lit(1)).alias("parts"), F.sum("n").alias("w")).filter("parts > 1")
+    apart = join_spread(placed, largest.select("bucket", "main", "w"), ["bucket"], "w", n_classes)
+    apart = written(apart.join(classes.select("rep", "sig", "n_shingles").hint("merge"), "rep"), "minhash-apart")
+    # small buckets: pairs of a stray and any member
+    small = apart.filter(F.col("size") <= SMALL_BUCKET)
+    left = small.filter("component <> main").select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"),
+                                                    F.col("sig").alias("sx"), F.col("n_shingles").alias("na"))
+    right = small.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb"), "main",
+                         F.col("sig").alias("sy"), F.col("n_shingles").alias("nb"))
+    rest = left.join(right.hint("merge"), "bucket").filter(
+        "ca <> cb and (cb = main or a < b) and 100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
+    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                       "sx", "sy").mapInArrow(lambda it: _possible(it, min_agree), "a long, b long").distinct()
+    rest = written(rest.join(stars.hint("merge"), ["a", "b"], "left_anti"), "minhash-rest")
     more = confirmed(rest, "minhash-links")
-    final = connected_components(links.unionByName(more))
+    # large buckets: strays of one main component meet its members and each other in units
+    large = apart.filter(F.col("size") > SMALL_BUCKET).groupBy("main", "rep").agg(
+        F.first("n_shingles").alias("n_shingles"), F.bool_or(F.col("component") != F.col("main")).alias("stray"))
+    sent = block_units(written(large, "minhash-strays"), "main", "stray", F.col("n_shingles"), UNIT_SHINGLES)
+    uses = sent.groupBy("rep").agg(F.count(F.lit(1)).alias("w"))
+    units = join_spread(sent, sets.join(uses.hint("merge"), "rep"), ["rep"], "w", max(sent.count(), 1))
+    units = units.select("main", "kind", "i", "j", "rep", "left", "shingles").groupBy("main", "kind", "i", "j")
+    spread = written(units.applyInArrow(lambda t: _unit(t, percent), "a long, b long"), "minhash-links")
+    final = connected_components(links.unionByName(more).unionByName(spread))
     named = classes.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
         "set_key", "n_shingles", F.coalesce("component", "rep").alias("component_id"), F.col("n").alias("w"))
     out = join_spread(linked.select("doc_id", "n_shingles", "set_key"), named, ["set_key", "n_shingles"], "w", total)
