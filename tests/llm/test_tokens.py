@@ -146,6 +146,20 @@ def test_colliding_slices_are_found_by_decoding(byte_tokenizer, monkeypatch):
     check(["many words that collide in three bits of hash, and more of them"], byte_tokenizer)
 
 
+def test_long_documents_are_encoded_in_parts(spark, byte_tokenizer, monkeypatch):
+    rng = random.Random(5)
+    words = ["it's", "x", "word", "\n\n", "'ll", "  ", "é", "12", "!?", "\t"]
+    text = " ".join(rng.choice(words) for _ in range(4000))
+    data, offsets = utf8(pa.array([text, "", text[:50]]))
+    parts = byte_bpe.cut_long(data, np.unique(offsets), 500)
+    assert len(parts) > 20 and np.diff(parts).max() <= 500
+    monkeypatch.setattr(byte_bpe, "PIECE_BYTES", 500)
+    out = next(byte_bpe._encode_batches([pa.array([text, "", None, text[:50]])], BYTE_BPE, True)).to_pylist()
+    for row, t in zip(out, [text, "", "", text[:50]]):
+        assert np.frombuffer(row["token_ids"], "<u4").tolist() == byte_tokenizer.encode_ordinary(t)
+        assert row["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest()
+
+
 def test_documents_round_trip(spark, byte_tokenizer):
     rows = ROWS + read_documents(SF_SMOKE)
     got = encode_documents(table(spark, rows), BYTE_BPE, with_ids=True).collect()

@@ -331,28 +331,50 @@ class Encoder:
         return self.ranks.bytes[ragged(self.ranks.offsets[ids], self.ranks.lengths[ids])]
 
 
+def cut_long(data: np.ndarray, offsets: np.ndarray, limit: int) -> np.ndarray:
+    """``offsets`` with cuts inside documents longer than ``limit`` bytes, each before an ASCII white
+    space that follows ink: a match begins there whatever stands before, so the parts encode as the whole."""
+    extra = []
+    for d in np.flatnonzero(np.diff(offsets) > limit):
+        at, end = int(offsets[d]), int(offsets[d + 1])
+        while end - at > limit:
+            window = data[at + limit // 2:at + limit]
+            white = (window == 32) | ((window >= 9) & (window <= 13))
+            ink = (data[at + limit // 2 - 1:at + limit - 1] > 32) & (data[at + limit // 2 - 1:at + limit - 1] < 128)
+            found = np.flatnonzero(white & ink)
+            at = at + limit // 2 + int(found[-1]) if len(found) else at + limit
+            if len(found):
+                extra.append(at)
+    return np.union1d(offsets, np.array(extra, np.int64)) if extra else offsets
+
+
 def _encode_batches(arrays, path: str, with_ids: bool):
     encoder = Encoder(path)
     for texts in arrays:
         data, offsets = utf8(texts)
-        n, ids_sha, text_sha, blobs = [], [], [], []
-        for a, b in pieces(offsets, PIECE_BYTES):
-            part, cut = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+        # a document is one part or, if it is long, several; an empty one has none
+        parts = cut_long(data, np.unique(offsets), PIECE_BYTES)
+        owner = np.searchsorted(offsets, parts[:-1], "right") - 1
+        n = np.zeros(len(offsets) - 1, np.int64)
+        ids_sha = [hashlib.sha256() for _ in n]
+        text_sha = [hashlib.sha256() for _ in n]
+        blobs = [bytearray() for _ in n] if with_ids else []
+        for a, b in pieces(parts, PIECE_BYTES):
+            part, cut = data[parts[a]:parts[b]], parts[a:b + 1] - parts[a]
             ids, places, first = encoder.encode(part, cut)
-            back = encoder.decode(ids)
+            back = memoryview(encoder.decode(ids).tobytes())
             raw = memoryview(ids.astype("<u4").tobytes())
-            back = memoryview(back.tobytes())
-            for d in range(b - a):
-                blob = raw[4 * first[d]:4 * first[d + 1]]
-                n.append(int(first[d + 1] - first[d]))
-                ids_sha.append(hashlib.sha256(blob).hexdigest())
-                text_sha.append(hashlib.sha256(back[cut[d]:cut[d + 1]]).hexdigest())
+            for k, d in enumerate(owner[a:b].tolist()):
+                blob = raw[4 * first[k]:4 * first[k + 1]]
+                n[d] += first[k + 1] - first[k]
+                ids_sha[d].update(blob)
+                text_sha[d].update(back[cut[k]:cut[k + 1]])
                 if with_ids:
-                    blobs.append(bytes(blob))
-        columns = {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()),
-                   "decoded_sha256": pa.array(text_sha, pa.string())}
+                    blobs[d] += blob
+        columns = {"n_tokens": pa.array(n), "ids_sha256": pa.array([h.hexdigest() for h in ids_sha], pa.string()),
+                   "decoded_sha256": pa.array([h.hexdigest() for h in text_sha], pa.string())}
         if with_ids:
-            columns["token_ids"] = pa.array(blobs, pa.binary())
+            columns["token_ids"] = pa.array([bytes(x) for x in blobs], pa.binary())
         yield pa.StructArray.from_arrays(list(columns.values()), list(columns))
 
 
