@@ -64,7 +64,7 @@ def dedup_lines(docs: DataFrame, run: int = RUN) -> DataFrame:
     rows, starts = repeated_lines(docs, run)
     starts = written(starts, "line-starts")
     base = docs.select("doc_id", "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
-    hit = starts.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), "starts")
+    hit = starts.select(F.col("doc_id").alias("_id"), F.col("row_key").alias("_key"), "starts").hint("merge")
     out = base.join(hit, base["row_key"].eqNullSafe(hit["_key"]) & base["doc_id"].eqNullSafe(hit["_id"]), "left")
     gone = F.array_sort(F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, s + (run - 1))))))
     out = out.select("doc_id", "text", gone.alias("gone")).select(
