@@ -108,8 +108,9 @@ def chain(x: np.ndarray, y: np.ndarray, max_gap: int = MAX_GAP) -> list[np.ndarr
     return out
 
 
-def _chain_batches(batches, max_gap: int):
-    """Chains of two anchors or more (and runs of one word), from anchors sorted by (doc_id, src, word)."""
+def _chain_batches(batches, max_gap: int, min_span: int):
+    """Chains that span ``min_span`` words or more (and those of periodic text), from anchors sorted
+    by (doc_id, src, word)."""
     held = None
 
     def chains(t: pa.Table) -> pa.RecordBatch:
@@ -125,8 +126,9 @@ def _chain_batches(batches, max_gap: int):
             lone = np.sort([part[0] for part in parts if len(part) == 1]).astype(int)
             run = np.flatnonzero((np.diff(y[lone]) == 0) & (np.diff(x[lone]) == 1))
             runs = set(lone[run[np.diff(run, prepend=-2) > 1]].tolist())
+            again = len(np.unique(y)) < len(y)  # text of a short period: its seeds stand once at the origin
             for part in parts:
-                if len(part) > 1 or int(part[0]) in runs:
+                if x[part[-1]] - x[part[0]] >= min_span or int(part[0]) in runs or again and len(part) > 1:
                     rows["doc_id"].append(int(doc[a]))
                     rows["src"].append(int(src[a]))
                     rows["xs"].append(x[part].astype(np.int32).tobytes())
@@ -207,12 +209,15 @@ def _hash_text(text: pa.Scalar) -> np.ndarray:
 
 def _align_batches(batches, k: int, min_words: int, min_identity: float):
     for batch in batches:
-        rows = []
+        rows, last, v = [], None, None
         for i in range(batch.num_rows):
             doc, src = batch["doc_id"][i].as_py(), batch["src"][i].as_py()
             xs = np.frombuffer(batch["xs"][i].as_buffer(), np.int32)
             ys = np.frombuffer(batch["ys"][i].as_buffer(), np.int32)
-            u, v = _hash_text(batch["text"][i]), _hash_text(batch["src_text"][i])
+            text = batch["src_text"][i]
+            if last is None or not text.equals(last):  # joined rows of one origin follow each other
+                last, v = text, _hash_text(text)
+            u = _hash_text(batch["text"][i])
             if xs[-1] + k > len(u) or ys[-1] + k > len(v):
                 continue  # the chain belongs to another row of the same id
             x0, x1, y0, y1, matched = align(u, v, xs, ys, k)
@@ -246,13 +251,18 @@ def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_wor
     origins = written(origins.select("h", F.col("o.doc_id").alias("src"), F.col("o.word").alias("src_word"), "w"), "origins")
     total = max(found.count(), 1)
     anchors = join_spread(found, origins, ["h"], "w", total).filter("doc_id <> src or word <> src_word")
+    # the first and last seed of an exact passage stand within a window of its ends
+    span = max(1, min_words - 2 * (k + window))
     chained = written(anchors.select("doc_id", "src", "word", "src_word").repartition("doc_id")
                       .sortWithinPartitions("doc_id", "src", "word")
-                      .mapInArrow(lambda it: _chain_batches(it, max_gap), "doc_id long, src long, xs binary, ys binary"), "chains")
-    # origins of many chains are hot: their text goes to the chains by join_spread
+                      .mapInArrow(lambda it: _chain_batches(it, max_gap, span),
+                                  "doc_id long, src long, xs binary, ys binary"), "chains")
+    # the texts of all documents with a chain, once; origins of many chains are hot and go by join_spread
+    needed = chained.select("doc_id").union(chained.select("src")).distinct()
+    texts = written(base.join(needed.hint("merge"), "doc_id", "left_semi"), "passage-texts")
     uses = chained.groupBy("src").agg(F.count(F.lit(1)).alias("w"))
-    src_text = base.select(F.col("doc_id").alias("src"), F.col("text").alias("src_text")).join(uses, "src")
-    pairs = join_spread(chained.join(base, "doc_id"), src_text, ["src"], "w", max(chained.count(), 1))
+    src_text = texts.select(F.col("doc_id").alias("src"), F.col("text").alias("src_text")).join(uses.hint("merge"), "src")
+    pairs = join_spread(chained.join(texts.hint("merge"), "doc_id"), src_text, ["src"], "w", max(chained.count(), 1))
     return written(pairs.select("doc_id", "src", "xs", "ys", "text", "src_text").mapInArrow(
         lambda it: _align_batches(it, k, min_words, min_identity),
         ", ".join(f"{c} long" for c in _SPAN_NAMES)), "passages").distinct()
