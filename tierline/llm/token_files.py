@@ -24,6 +24,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,8 @@ from tierline.session import scratch_path
 END_ID = 2
 FRAME_BYTES = 1 << 20
 FILE_BYTES = 64 << 20
-PIECE_BYTES = 4 << 20
-CACHE_WORDS = 1 << 19
+PIECE_BYTES = 2 << 20
+CACHE_WORDS = 1 << 18
 LEVEL = 3
 
 # Fixed values of the format.
@@ -106,9 +107,39 @@ class SeekableReader:
         return np.frombuffer(self.frame(k), "<u4")[at:at + int(index[2, i])]
 
 
+_LETTER, _PUNCT, _OTHER = 1, 2, 0
+_KIND = np.zeros(256, np.uint8)
+_KIND[65:91] = _KIND[97:123] = _LETTER
+_KIND[[b for b in range(33, 127) if chr(b) not in "'" and not chr(b).isalnum()]] = _PUNCT
+
+
+def plain_units(data: np.ndarray, offsets: np.ndarray):
+    """Words cut where a letter meets ASCII punctuation: starts, ends, whether a unit is plain (letters
+    alone or punctuation alone), and per document its first unit (n+1).
+
+    Letters are A-Z, a-z and the two-byte letters of Latin-1; the apostrophe, digits and all else are
+    neither, so nothing is cut beside them. The tokenizer cuts at all these places too.
+    """
+    starts, ends, _ = word_spans(data, offsets)
+    kind = _KIND[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3) if len(data) else np.zeros(0, int)
+    tail = data[lead + 1]
+    lead = lead[(tail >= 0x80) & (tail <= 0xBF) & (tail != 0x97) & (tail != 0xB7)]
+    kind[lead] = kind[lead + 1] = _LETTER
+    inner = np.flatnonzero((kind[1:] * kind[:-1]) == _LETTER * _PUNCT) + 1 if len(data) else np.zeros(0, int)
+    starts = np.sort(np.concatenate([starts, np.setdiff1d(inner, starts, assume_unique=True)]))
+    ends = np.sort(np.concatenate([ends, np.setdiff1d(inner, ends, assume_unique=True)]))
+    other = np.concatenate([[0], np.cumsum(kind == _OTHER)])
+    return starts, ends, other[ends] == other[starts], np.searchsorted(starts, offsets)
+
+
 class WordEncoder:
-    """Ids of whole texts by a tokenizer whose pre-tokenizer never joins across white space: each
-    distinct word is encoded once (at most ``CACHE_WORDS`` are kept from batch to batch)."""
+    """Ids of whole texts by a tokenizer whose pre-tokenizer never joins across white space, nor a
+    letter with punctuation: each distinct unit is encoded once by the library (at most ``CACHE_WORDS``
+    are kept from batch to batch). Plain units are encoded many in one text and told apart by the
+    tokens that end a word."""
+
+    JOINED = 512
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -116,24 +147,44 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.keys, self.from_, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = self._library(texts)
+        counts = np.array([len(x) for x in lists], np.int64)
+        return np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum())), counts
+
+    def _joined(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lists = self._library([" ".join(texts[i:i + self.JOINED]) for i in range(0, len(texts), self.JOINED)])
+        ids = np.concatenate([np.array(x, np.uint32) for x in lists]) if lists else np.zeros(0, np.uint32)
+        last = np.flatnonzero(self.ends_word[ids])
+        if len(last) != len(texts):
+            return self._each(texts)
+        return ids, np.diff(last, prepend=-1)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text's begin (n+1)."""
-        starts, ends, first = word_spans(data, offsets)
+        starts, ends, plain, first = plain_units(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        keys, at, which = np.unique(slice_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        # the tokenizer lower-cases, so A-Z may be folded
+        keys, at, which = np.unique(slice_hashes(data, starts, ends, fold_case=True), return_index=True, return_inverse=True)
         slot = np.searchsorted(self.keys, keys)
         known = self.keys[np.minimum(slot, len(self.keys) - 1)] == keys if len(self.keys) else np.zeros(len(keys), bool)
         new = np.flatnonzero(~known)
+        new = new[np.argsort(~plain[at[new]], kind="stable")]  # plain ones first
         raw = data.tobytes()
-        found = self.tokenizer.encode_batch_fast(
-            [raw[s:e].decode() for s, e in zip(starts[at[new]].tolist(), ends[at[new]].tolist())], add_special_tokens=False)
-        lists = [x.ids for x in found]
-        counts = np.array([len(x) for x in lists], np.int64)
-        ids = np.fromiter((i for x in lists for i in x), np.uint32, int(counts.sum()))
+        texts = [raw[s:e].decode() for s, e in zip(starts[at[new]].tolist(), ends[at[new]].tolist())]
+        cut = int(plain[at[new]].sum())
+        parts = self._joined(texts[:cut]), self._each(texts[cut:])
+        ids, counts = (np.concatenate(x) for x in zip(*parts))
         table = np.concatenate([self.ids, ids])
         from_, count = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
         from_[known], count[known] = self.from_[slot[known]], self.counts[slot[known]]
@@ -147,6 +198,12 @@ class WordEncoder:
         return table[ragged(from_[which], per)], np.append(np.cumsum(per) - per, per.sum())[first]
 
 
+@lru_cache(2)
+def encoder_of(path: str) -> WordEncoder:
+    """One encoder a Python worker, so that its units serve the tasks that follow."""
+    return WordEncoder(path)
+
+
 def _write_files(batches, folder: str, make_encoder: Callable, end_id: int, frame_bytes: int, file_bytes: int):
     """Write this task's documents (ascending) as files; one manifest row a file."""
     fs, root = open_folder(folder)
@@ -223,7 +280,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str | None = None
     ordered = base.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first())
     manifest = written(ordered.mapInArrow(
-        lambda it: _write_files(it, folder, lambda: WordEncoder(tokenizer_path), end_id, frame_bytes, file_bytes),
+        lambda it: _write_files(it, folder, lambda: encoder_of(tokenizer_path), end_id, frame_bytes, file_bytes),
         "path string, first_id long, n_docs long, n_tokens long"), "token-manifest")
     # one row a file, so the window's single task holds a few bytes for every file_bytes of tokens
     order = Window.orderBy("first_id", "path")
