@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from tierline.llm.common import pieces, ragged, ship_package, utf8
 from tierline.llm.words import slice_hashes
 
-PIECE_BYTES = 2 << 20
-CACHE_SLICES = 1 << 19
+PIECE_BYTES = 1 << 20
+CACHE_SLICES = 1 << 18
 LONG_SLICE = 256
 BLOCK = 64
 

@@ -33,11 +33,17 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 
 _shipped: set[str] = set()
+# Arrow batches to and from the Python workers: each is held by the JVM and by the worker.
+BATCH_BYTES = 16 << 20
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers (``addPyFile``), once an application."""
+    """Send this package to the Python workers (``addPyFile``), once an application, and keep the
+    session's Arrow batches within ``BATCH_BYTES`` unless it has a setting of its own."""
     sc = spark.sparkContext
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, f"{BATCH_BYTES}b")
     if sc.applicationId in _shipped:
         return
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

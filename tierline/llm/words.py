@@ -10,7 +10,7 @@ import numpy as np
 
 from tierline.llm.common import mix64
 
-SEGMENT = 2 << 20
+SEGMENT = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
