@@ -38,7 +38,7 @@ BANDS = 32
 BAND_ROWS = 4
 PIECE_BYTES = 2 << 20
 SMALL_BUCKET = 8
-UNIT_SHINGLES = 1 << 20
+UNIT_SHINGLES = 1 << 18
 
 
 def _s(x: np.ndarray) -> np.ndarray:
