@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tierline.llm.common import join_spread, mix64, pieces, ship_package, utf8, written
 from tierline.llm.words import word_hashes, word_spans
+from tierline.session import shuffle_partitions
 
 K = 5
 WINDOW = 12
@@ -29,7 +30,7 @@ MIN_IDENTITY = 0.8
 MAX_GAP = 100
 GAIN, GAP_COST = 5.0, 0.05
 DROP = 8
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 
 def seeds(data: np.ndarray, offsets: np.ndarray, k: int, window: int):
@@ -253,7 +254,9 @@ def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_wor
     anchors = join_spread(found, origins, ["h"], "w", total).filter("doc_id <> src or word <> src_word")
     # the first and last seed of an exact passage stand within a window of its ends
     span = max(1, min_words - 2 * (k + window))
-    chained = written(anchors.select("doc_id", "src", "word", "src_word").repartition("doc_id")
+    # a fixed number of parts: anchors are few bytes but much work, and would be coalesced by size
+    parts = shuffle_partitions(docs.sparkSession)
+    chained = written(anchors.select("doc_id", "src", "word", "src_word").repartition(parts, "doc_id")
                       .sortWithinPartitions("doc_id", "src", "word")
                       .mapInArrow(lambda it: _chain_batches(it, max_gap, span),
                                   "doc_id long, src long, xs binary, ys binary"), "chains")
