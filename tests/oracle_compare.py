@@ -8,7 +8,8 @@ import math
 
 import duckdb
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
+          "pages", "benchmark", "labels", "conversations")
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
