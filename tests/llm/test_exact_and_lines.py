@@ -16,9 +16,7 @@ from tierline.llm.queries import ORACLE_SQL, op1_exact_dedup, op8_line_dedup
 
 
 def duck_documents(sf):
-    con = duck(sf)
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{sf}/documents.parquet')")
-    return con
+    return duck(sf)
 
 
 def groups(rows):

@@ -21,6 +21,7 @@ def duck_of(rows):
     import pyarrow as pa
 
     con = duck(SF_SMOKE)
+    con.execute("DROP VIEW documents")
     con.register("documents", pa.table({
         "doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string()),
         "source": pa.array([r[3] for r in rows], pa.string())}))
@@ -68,7 +69,6 @@ def test_mixture_on_edge_cases_matches_sql(spark):
 
 def test_mixture_matches_sql_on_the_driver_table(spark):
     con = duck(SF_SMALL)
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF_SMALL}/documents.parquet')")
     ok, message = compare(op4_source_mixing(spark, SF_SMALL), con, ORACLE_SQL["op4_source_mixing"])
     assert ok, message
 
