@@ -49,6 +49,12 @@ def test_edge_cases(spark):
             assert (r["lang_pred"] == "und") == (not letters) and (letters or r["score"] == 0)
 
 
+@pytest.mark.parametrize("parts", [1, 3, 40])
+def test_languages_without_any_gram_in_a_part(spark, parts):
+    docs = table(spark, [(4, "", "xx", "s"), (5, " ", "yy", "s"), *EDGE_ROWS]).repartition(parts)
+    assert {r["lang_pred"] for r in identify(docs).collect()} <= {"und", "en", "de", "xx", "yy"}
+
+
 def test_nothing_learned_and_empty_table(spark):
     rows = [(0, "some text", None, "s"), (1, "other text", None, "s")]
     assert {(r["lang_pred"], r["score"]) for r in identify(table(spark, rows)).collect()} == {("und", 0.0)}

@@ -68,9 +68,12 @@ def _count(batches):
                 sums[name] += np.bincount(g[lang == k], minlength=GRAMS)
     for name, count in sums.items():
         full = np.flatnonzero(count)
-        yield pa.RecordBatch.from_pydict({"lang": [name] * len(full), "gram": full.astype(np.int32), "n": count[full]})
         if not len(full):  # a language of texts without grams is still a learned value
-            yield pa.RecordBatch.from_pydict({"lang": [name], "gram": np.zeros(1, np.int32), "n": np.zeros(1, np.int64)})
+            full = np.zeros(1, int)
+        yield pa.RecordBatch.from_pydict({"lang": [name] * len(full), "gram": full, "n": count[full]}, schema=_COUNTS)
+
+
+_COUNTS = pa.schema([("lang", pa.string()), ("gram", pa.int32()), ("n", pa.int64())])
 
 
 class LanguageModel:
