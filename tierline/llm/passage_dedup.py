@@ -123,10 +123,10 @@ def _chain_batches(batches, max_gap: int, min_span: int):
                 continue
             x, y = word[a:b], src_word[a:b]
             parts = chain(x, y, max_gap)
-            # a run of one word repeats one seed at one origin; its first anchor stands for the run
+            # periodic text repeats a seed that has one origin; its first anchor stands for the stretch
             lone = np.sort([part[0] for part in parts if len(part) == 1]).astype(int)
-            run = np.flatnonzero((np.diff(y[lone]) == 0) & (np.diff(x[lone]) == 1))
-            runs = set(lone[run[np.diff(run, prepend=-2) > 1]].tolist())
+            same = np.append(False, (np.diff(y[lone]) == 0) & (np.diff(x[lone]) <= max_gap))
+            runs = set(lone[np.flatnonzero(~same[:-1] & same[1:])].tolist()) if len(lone) else set()
             again = len(np.unique(y)) < len(y)  # text of a short period: its seeds stand once at the origin
             for part in parts:
                 if x[part[-1]] - x[part[0]] >= min_span or int(part[0]) in runs or again and len(part) > 1:
