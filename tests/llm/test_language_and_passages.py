@@ -172,3 +172,28 @@ def test_align_counts_equal_words_around_edits():
     v = np.concatenate([u[:40], np.array([777], np.uint64), u[43:]])
     x0, x1, y0, y1, matched = align(u, v, np.array([10, 60]), np.array([10, 58]))
     assert (x0, x1, y0, y1, matched) == (0, 100, 0, 98, 97)
+
+
+def test_passages_with_an_edit_every_ten_words(spark):
+    """Many have a single seed or seeds close together; each is found."""
+    rng = random.Random(11)
+    rows, need = [], set()
+    for i in range(60):
+        p = prose(rng, 55 + i % 6)
+        copy = [f"new{rng.randrange(10**6)}" if j % 10 == 9 else w for j, w in enumerate(p)]
+        rows += [(i, " ".join(prose(rng, 40) + p + prose(rng, 40)), "en", "s"),
+                 (1000 + i, " ".join(prose(rng, 30) + copy + prose(rng, 30)), "en", "s")]
+        need.add((1000 + i, i))
+    got = {(r["doc_id"], r["src_doc_id"]) for r in repeated_passages(table(spark, rows)).collect()}
+    assert got == need
+
+
+def test_a_lone_seed_is_aligned(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(30):  # runs of four equal words but for one of seven: a single run holds seeds
+        p = prose(rng, 60)
+        copy = [f"new{rng.randrange(10**6)}" if j % 5 == 4 and j not in (29, 34) else w for j, w in enumerate(p)]
+        rows += [(i, " ".join(p), "en", "s"), (1000 + i, " ".join(copy), "en", "s")]
+    got = {(r["doc_id"], r["src_doc_id"]) for r in repeated_passages(table(spark, rows)).collect()}
+    assert got == {(1000 + i, i) for i in range(30)}

@@ -31,6 +31,7 @@ MAX_GAP = 100
 GAIN, GAP_COST = 5.0, 0.05
 DROP = 8
 PIECE_BYTES = 1 << 20
+CONTEXT = 16
 
 
 def seeds(data: np.ndarray, offsets: np.ndarray, k: int, window: int):
@@ -109,33 +110,29 @@ def chain(x: np.ndarray, y: np.ndarray, max_gap: int = MAX_GAP) -> list[np.ndarr
     return out
 
 
-def _chain_batches(batches, max_gap: int, min_span: int):
-    """Chains that span ``min_span`` words or more (and those of periodic text), from anchors sorted
-    by (doc_id, src, word)."""
+def _chain_batches(batches, max_gap: int, min_words: int, k: int):
+    """One row a pair of documents with all its chains end to end (``lens`` anchors each), from anchors
+    sorted by (doc_id, src, word). ``sure``: goes to alignment without a look at its surroundings."""
     held = None
 
     def chains(t: pa.Table) -> pa.RecordBatch:
         doc, src, word, src_word = (np.asarray(t[c]) for c in ("doc_id", "src", "word", "src_word"))
         cuts = np.flatnonzero((doc[1:] != doc[:-1]) | (src[1:] != src[:-1])) + 1
-        rows = {"doc_id": [], "src": [], "xs": [], "ys": []}
+        rows = {"doc_id": [], "src": [], "xs": [], "ys": [], "lens": [], "sure": []}
         for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(doc)]):
-            if b - a < 2:
-                continue
             x, y = word[a:b], src_word[a:b]
-            parts = chain(x, y, max_gap)
-            # periodic text repeats a seed that has one origin; its first anchor stands for the stretch
-            lone = np.sort([part[0] for part in parts if len(part) == 1]).astype(int)
-            same = np.append(False, (np.diff(y[lone]) == 0) & (np.diff(x[lone]) <= max_gap))
-            runs = set(lone[np.flatnonzero(~same[:-1] & same[1:])].tolist()) if len(lone) else set()
-            again = len(np.unique(y)) < len(y)  # text of a short period: its seeds stand once at the origin
-            for part in parts:
-                if x[part[-1]] - x[part[0]] >= min_span or int(part[0]) in runs or again and len(part) > 1:
-                    rows["doc_id"].append(int(doc[a]))
-                    rows["src"].append(int(src[a]))
-                    rows["xs"].append(x[part].astype(np.int32).tobytes())
-                    rows["ys"].append(y[part].astype(np.int32).tobytes())
+            parts = [np.zeros(1, int)] if b - a == 1 else sorted(chain(x, y, max_gap), key=lambda part: x[part[0]])
+            order = np.concatenate(parts)
+            rows["doc_id"].append(int(doc[a]))
+            rows["src"].append(int(src[a]))
+            rows["xs"].append(x[order].astype(np.int32).tobytes())
+            rows["ys"].append(y[order].astype(np.int32).tobytes())
+            rows["lens"].append(np.array([len(part) for part in parts], np.int32).tobytes())
+            rows["sure"].append(bool(doc[a] == src[a] or len(set(y.tolist())) < b - a
+                                     or max(x[part[-1]] - x[part[0]] for part in parts) + 2 * k > min_words // 2))
         return pa.RecordBatch.from_pydict(rows, schema=pa.schema([
-            ("doc_id", pa.int64()), ("src", pa.int64()), ("xs", pa.binary()), ("ys", pa.binary())]))
+            ("doc_id", pa.int64()), ("src", pa.int64()), ("xs", pa.binary()), ("ys", pa.binary()),
+            ("lens", pa.binary()), ("sure", pa.bool_())]))
 
     for batch in batches:
         t = pa.Table.from_batches([batch])
@@ -208,28 +205,91 @@ def _hash_text(text: pa.Scalar) -> np.ndarray:
     return word_hashes(data, np.array([0, len(data)]))[0]
 
 
+def _ints(batch: pa.RecordBatch, name: str, i: int) -> np.ndarray:
+    return np.frombuffer(batch[name][i].as_buffer(), np.int32)
+
+
+def _around(words: np.ndarray, begin: np.ndarray, end: np.ndarray, pad: int) -> np.ndarray:
+    """16 bits of each of the ``CONTEXT`` words before ``begin`` (nearest first) and from ``end`` on."""
+    step = np.arange(CONTEXT)
+    at = np.concatenate([begin[:, None] - 1 - step, end[:, None] + step], 1)
+    return np.where((at >= 0) & (at < len(words)), words[np.clip(at, 0, len(words) - 1)] & np.uint64(0xFFFE), np.uint64(pad)).astype(np.uint16)
+
+
+def _context_batches(batches, k: int):
+    """Adds what stands around each chain in its own document."""
+    for batch in batches:
+        out, keep, last, u = [], [], None, None
+        for i in range(batch.num_rows):
+            text, xs, lens = batch["text"][i], _ints(batch, "xs", i), _ints(batch, "lens", i)
+            if last is None or not text.equals(last):
+                last, u = text, _hash_text(text)
+            if xs.max() + k <= len(u):  # else the chains belong to another row of the same id
+                ends = np.cumsum(lens)
+                out.append(_around(u, xs[ends - lens], xs[ends - 1] + k, 1).tobytes())
+                keep.append(i)
+        kept = batch.select(["doc_id", "src", "xs", "ys", "lens"]).take(pa.array(keep, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(out, pa.binary())], [*kept.schema.names, "around"])
+
+
+def reach(same: np.ndarray, drop: int = DROP) -> np.ndarray:
+    """``_extend`` on every row; rows that may go on beyond the last column count as very long."""
+    s = np.cumsum(np.where(same, 1, -1), 1)
+    best = np.maximum.accumulate(np.maximum(s, 0), 1)
+    over = best - s > drop
+    ended = over.any(1)
+    s = np.where(np.maximum.accumulate(over, 1), -1, s)
+    return np.where(ended, np.where(s.max(1) > 0, s.argmax(1) + 1, 0), 1 << 20)
+
+
+def _candidate_batches(batches, k: int, min_words: int):
+    """The pairs with a chain whose ends can be extended to ``min_words`` words."""
+    for batch in batches:
+        keep, last, v = [], None, None
+        for i in range(batch.num_rows):
+            text, xs, ys, lens = batch["src_text"][i], *(_ints(batch, c, i) for c in ("xs", "ys", "lens"))
+            if last is None or not text.equals(last):  # joined rows of one origin follow each other
+                last, v = text, _hash_text(text)
+            if ys.max() + k > len(v):
+                continue
+            ends = np.cumsum(lens)
+            mine = np.frombuffer(batch["around"][i].as_buffer(), np.uint16).reshape(-1, 2 * CONTEXT)
+            same = mine == _around(v, ys[ends - lens], ys[ends - 1] + k, 3)
+            n = np.maximum(xs[ends - 1] - xs[ends - lens], ys[ends - 1] - ys[ends - lens]) + k
+            if (reach(same[:, :CONTEXT]) + reach(same[:, CONTEXT:]) + n >= min_words).any():
+                keep.append(i)
+        yield batch.select(["doc_id", "src", "xs", "ys", "lens"]).take(pa.array(keep, pa.int64()))
+
+
 def _align_batches(batches, k: int, min_words: int, min_identity: float):
     for batch in batches:
         rows, last, v = [], None, None
         for i in range(batch.num_rows):
             doc, src = batch["doc_id"][i].as_py(), batch["src"][i].as_py()
-            xs = np.frombuffer(batch["xs"][i].as_buffer(), np.int32)
-            ys = np.frombuffer(batch["ys"][i].as_buffer(), np.int32)
+            xs, ys, lens = (_ints(batch, c, i) for c in ("xs", "ys", "lens"))
             text = batch["src_text"][i]
             if last is None or not text.equals(last):  # joined rows of one origin follow each other
                 last, v = text, _hash_text(text)
             u = _hash_text(batch["text"][i])
-            if xs[-1] + k > len(u) or ys[-1] + k > len(v):
-                continue  # the chain belongs to another row of the same id
-            x0, x1, y0, y1, matched = align(u, v, xs, ys, k)
-            if doc == src and y1 > x0:  # a document that repeats itself: the two ranges must not overlap
-                continue
-            if x1 - x0 >= min_words and matched >= min_identity * max(x1 - x0, y1 - y0):
-                rows.append((doc, x0, x1 - x0, src, y0, y1 - y0, matched))
+            if xs.max() + k > len(u) or ys.max() + k > len(v):
+                continue  # the chains belong to another row of the same id
+            again = np.isin(ys, np.flatnonzero(np.bincount(ys) > 1))  # periodic text: seeds with one origin
+            done = -1  # where the last passage found ends
+            ends = np.cumsum(lens)
+            for a, b in zip((ends - lens).tolist(), ends.tolist()):
+                if again[a:b].all() and xs[b - 1] + min_words <= done:
+                    continue  # a stretch that is covered; what may reach beyond its end is aligned
+                x0, x1, y0, y1, matched = align(u, v, xs[a:b], ys[a:b], k)
+                if doc == src and y1 > x0:  # a document that repeats itself: the two ranges must not overlap
+                    continue
+                if x1 - x0 >= min_words and matched >= min_identity * max(x1 - x0, y1 - y0):
+                    rows.append((doc, x0, x1 - x0, src, y0, y1 - y0, matched))
+                    done = max(done, x1)
         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], pa.int64()) for c in range(7)], _SPAN_NAMES)
 
 
 _SPAN_NAMES = ["doc_id", "start_word", "n_words", "src_doc_id", "src_start_word", "src_n_words", "matched_words"]
+_PAIR = "doc_id long, src long, xs binary, ys binary, lens binary"
 
 
 def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_words: int = MIN_WORDS,
@@ -252,21 +312,27 @@ def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_wor
     origins = written(origins.select("h", F.col("o.doc_id").alias("src"), F.col("o.word").alias("src_word"), "w"), "origins")
     total = max(found.count(), 1)
     anchors = join_spread(found, origins, ["h"], "w", total).filter("doc_id <> src or word <> src_word")
-    # the first and last seed of an exact passage stand within a window of its ends
-    span = max(1, min_words - 2 * (k + window))
     # a fixed number of parts: anchors are few bytes but much work, and would be coalesced by size
     parts = shuffle_partitions(docs.sparkSession)
     chained = written(anchors.select("doc_id", "src", "word", "src_word").repartition(parts, "doc_id")
                       .sortWithinPartitions("doc_id", "src", "word")
-                      .mapInArrow(lambda it: _chain_batches(it, max_gap, span),
-                                  "doc_id long, src long, xs binary, ys binary"), "chains")
+                      .mapInArrow(lambda it: _chain_batches(it, max_gap, min_words, k), f"{_PAIR}, sure boolean"), "chains")
+    # Short chains, lone anchors included, are looked at with a few words around them; those that can
+    # reach min_words go on with the others.
+    short = chained.filter("not sure").drop("sure")
+    own = short.join(base.hint("merge"), "doc_id").mapInArrow(lambda it: _context_batches(it, k), f"{_PAIR}, around binary")
+    uses = short.groupBy("src").agg(F.count(F.lit(1)).alias("w"))
+    src_text = base.select(F.col("doc_id").alias("src"), F.col("text").alias("src_text")).join(uses.hint("merge"), "src")
+    grown = join_spread(own, src_text, ["src"], "w", max(short.count(), 1)).select(
+        "doc_id", "src", "xs", "ys", "lens", "around", "src_text").mapInArrow(lambda it: _candidate_batches(it, k, min_words), _PAIR)
+    chained = chained.filter("sure").drop("sure").unionByName(written(grown, "short-chains").distinct())
     # the texts of all documents with a chain, once; origins of many chains are hot and go by join_spread
     needed = chained.select("doc_id").union(chained.select("src")).distinct()
     texts = written(base.join(needed.hint("merge"), "doc_id", "left_semi"), "passage-texts")
     uses = chained.groupBy("src").agg(F.count(F.lit(1)).alias("w"))
     src_text = texts.select(F.col("doc_id").alias("src"), F.col("text").alias("src_text")).join(uses.hint("merge"), "src")
     pairs = join_spread(chained.join(texts.hint("merge"), "doc_id"), src_text, ["src"], "w", max(chained.count(), 1))
-    return written(pairs.select("doc_id", "src", "xs", "ys", "text", "src_text").mapInArrow(
+    return written(pairs.select("doc_id", "src", "xs", "ys", "lens", "text", "src_text").mapInArrow(
         lambda it: _align_batches(it, k, min_words, min_identity),
         ", ".join(f"{c} long" for c in _SPAN_NAMES)), "passages").distinct()
 
