@@ -197,3 +197,19 @@ def test_a_lone_seed_is_aligned(spark):
         rows += [(i, " ".join(p), "en", "s"), (1000 + i, " ".join(copy), "en", "s")]
     got = {(r["doc_id"], r["src_doc_id"]) for r in repeated_passages(table(spark, rows)).collect()}
     assert got == {(1000 + i, i) for i in range(30)}
+
+
+def test_recall_at_lower_identity(spark):
+    """Share of random edited passages found, by identity; words replaced at random places."""
+    rng = random.Random(14)
+    for identity, n, least in [(0.9, 60, 0.99), (0.85, 60, 0.9), (0.85, 100, 0.98), (0.82, 100, 0.95)]:
+        rows = []
+        for i in range(200):
+            p = prose(rng, n)
+            copy = list(p)
+            for j in rng.sample(range(n), n - int(n * identity + 0.999)):
+                copy[j] = "new"
+            rows += [(i, " ".join(p), "en", "s"), (1000 + i, " ".join(copy), "en", "s")]
+        got = {r["doc_id"] for r in repeated_passages(table(spark, rows)).collect()}
+        print("recall", identity, n, len(got) / 200)
+        assert len(got) >= least * 200, (identity, n, len(got))

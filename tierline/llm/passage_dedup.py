@@ -1,8 +1,8 @@
 """Repeated passages: shared k-mer seeds, collinear chains by a Fenwick tree, and alignment.
 
-1. Seeds. Every window of ``window`` consecutive word k-mers selects its smallest hash, so two texts
-   that share ``k + window - 1`` words in a row share a seed. A seed's first position in the corpus,
-   in order of (doc_id, word), is its origin; every later one is an anchor (document, word) -> (origin
+1. Seeds. Every word k-mer is a seed (with ``window`` > 1 the smallest hash of that many consecutive
+   ones), so two texts that share ``k + window - 1`` words in a row share a seed. A seed's first position in
+   the corpus, in order of (doc_id, word), is its origin; every later one is an anchor (document, word) -> (origin
    document, origin word). A passage that a third of all documents share thus makes one anchor a seed
    and document, not pairs of documents.
 2. Chains. The anchors between two documents are chained in order: f(i) = gain + max over earlier
@@ -16,15 +16,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import join_spread, mix64, pieces, ship_package, utf8, written
+from tierline.llm.common import HOT_KEYS, join_spread, mix64, pieces, ship_package, utf8, written
 from tierline.llm.words import word_hashes, word_spans
 from tierline.session import shuffle_partitions
 
 K = 5
-WINDOW = 12
+WINDOW = 1
 MIN_WORDS = 50
 MIN_IDENTITY = 0.8
 MAX_GAP = 100
@@ -32,6 +32,8 @@ GAIN, GAP_COST = 5.0, 0.05
 DROP = 8
 PIECE_BYTES = 1 << 20
 CONTEXT = 16
+HOT_SAMPLE = 32
+ROUNDS, ROUND_BYTES = 6, 16 << 20
 
 
 def seeds(data: np.ndarray, offsets: np.ndarray, k: int, window: int):
@@ -46,6 +48,8 @@ def seeds(data: np.ndarray, offsets: np.ndarray, k: int, window: int):
     h = words[at]
     for j in range(1, k):
         h = mix64(h * np.uint64(0x9FB21C651E98DF25) + words[at + j])
+    if window == 1:
+        return h, doc, at - first[:-1][doc]
     view = np.lib.stride_tricks.sliding_window_view(h, window)
     inside = doc[:len(view)] == doc[window - 1:]
     chosen = np.empty(len(view), np.int64)
@@ -55,16 +59,99 @@ def seeds(data: np.ndarray, offsets: np.ndarray, k: int, window: int):
     return h[chosen], doc[chosen], chosen - begin[doc[chosen]]
 
 
-def _seed_batches(batches, k: int, window: int):
+def _seed_batches(batches, k: int, window: int, part: int = 0, parts: int = 1):
+    """The seeds whose hash falls to ``part`` of ``parts``."""
     for batch in batches:
         data, offsets = utf8(batch["text"])
         ids = np.asarray(batch["doc_id"])
         for a, b in pieces(offsets, PIECE_BYTES):
             h, doc, word = seeds(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], k, window)
+            if parts > 1:
+                mine = np.flatnonzero(h % np.uint64(parts) == part)
+                h, doc, word = h[mine], doc[mine], word[mine]
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[a:b][doc], pa.int64()),
                                               pa.array(word.astype(np.int32))], ["h", "doc_id", "word"])
 
 
+def _ranked(found: DataFrame) -> DataFrame:
+    """``found(h, doc_id, word)`` with the first place of ``h``, without the ``h`` that stand once. One
+    shuffle and running windows, so no key is held; a key of very many rows is for ``_anchors``."""
+    order = Window.partitionBy("h").orderBy("doc_id", "word")
+    first = F.first(F.struct("doc_id", "word")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (found.select("h", "doc_id", "word", first.alias("o"), F.lead("h").over(order).isNotNull().alias("more"))
+            .filter("more or o.doc_id <> doc_id or o.word <> word")
+            .select("h", "doc_id", "word", F.col("o.doc_id").alias("src"), F.col("o.word").alias("src_word")))
+
+
+def _hot(sample: DataFrame) -> list[tuple[int]]:
+    """Keys with much of the rows, as seen in ``sample``: at most ``2 * HOT_KEYS``."""
+    limit = max(sample.count() // (2 * HOT_KEYS), 64)
+    return [(r["h"],) for r in sample.groupBy("h").count().filter(F.col("count") > limit).collect()]
+
+
+def _anchors(found: DataFrame, hot: list[tuple[int]]) -> DataFrame:
+    """``_ranked``, but the ``hot`` keys go by aggregate and broadcast."""
+    if not hot:
+        return _ranked(found)
+    keys = F.broadcast(found.sparkSession.createDataFrame(hot, "h long"))
+    mine = found.join(keys, "h", "left_semi")
+    first = written(mine.groupBy("h").agg(F.min(F.struct("doc_id", "word")).alias("o")), "hot-origins")
+    placed = mine.join(F.broadcast(first), "h").select(
+        "h", "doc_id", "word", F.col("o.doc_id").alias("src"), F.col("o.word").alias("src_word"))
+    return _ranked(found.join(keys, "h", "left_anti")).unionByName(placed)
+
+
+def _seed_anchors(base: DataFrame, k: int, window: int) -> DataFrame:
+    """All seeds that stand twice, with their origins. The seeds are dealt by hash to rounds that read the
+    texts again, so the disk holds the shuffle of one round at a time."""
+    def found(rows: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
+        return rows.mapInArrow(lambda it: _seed_batches(it, k, window, part, parts), "h long, doc_id long, word int")
+
+    hot = _hot(found(base.filter(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SAMPLE)) == 0)))
+    size = base.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    rounds = min(ROUNDS, 1 + size // ROUND_BYTES)
+    out = written(_anchors(found(base, 0, rounds), hot), "seeds")
+    for part in range(1, rounds):
+        out = out.unionByName(written(_anchors(found(base, part, rounds), hot), "seeds"))
+    return out
+
+
+def _whole_documents(batches):
+    """Tables of whole documents from batches in order of doc_id."""
+    held = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        if held is not None:
+            t = pa.concat_tables([held, t])
+        if not t.num_rows:
+            continue
+        doc = np.asarray(t["doc_id"])  # the last document may go on in the next batch
+        cut = int(np.searchsorted(doc, doc[-1], "left")) if doc[0] != doc[-1] else 0
+        if cut:
+            yield t.slice(0, cut)
+        held = t.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
+def _place_batches(batches, k: int):
+    """Anchors from all repeated seeds in order of (doc_id, word), thinned: of a run on one diagonal every
+    k-th and the last, which cover the same words."""
+    for t in _whole_documents(batches):
+        doc, word, src, src_word = (np.asarray(t[c]) for c in ("doc_id", "word", "src", "src_word"))
+        link = _links(doc, word) & (src[1:] == src[:-1]) & (src_word[1:] == src_word[:-1] + 1)
+        begins = np.flatnonzero(np.append(True, ~link))
+        step = np.arange(len(doc)) - np.repeat(begins, np.diff(np.append(begins, len(doc))))
+        keep = ((step % k == 0) | np.append(~link, True)) & ((src != doc) | (src_word != word))
+        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (doc, src, word, src_word)],
+                                         ["doc_id", "src", "word", "src_word"])
+
+
+def _links(doc: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """Whether the next row is the next word of the same document."""
+    return (doc[1:] == doc[:-1]) & (word[1:] == word[:-1] + 1)
+
+
 def chain(x: np.ndarray, y: np.ndarray, max_gap: int = MAX_GAP) -> list[np.ndarray]:
     """The chains among anchors (x ascending), best first, as index arrays; each anchor is in one."""
     n = len(x)
@@ -113,7 +200,6 @@ def chain(x: np.ndarray, y: np.ndarray, max_gap: int = MAX_GAP) -> list[np.ndarr
 def _chain_batches(batches, max_gap: int, min_words: int, k: int):
     """One row a pair of documents with all its chains end to end (``lens`` anchors each), from anchors
     sorted by (doc_id, src, word). ``sure``: goes to alignment without a look at its surroundings."""
-    held = None
 
     def chains(t: pa.Table) -> pa.RecordBatch:
         doc, src, word, src_word = (np.asarray(t[c]) for c in ("doc_id", "src", "word", "src_word"))
@@ -134,19 +220,8 @@ def _chain_batches(batches, max_gap: int, min_words: int, k: int):
             ("doc_id", pa.int64()), ("src", pa.int64()), ("xs", pa.binary()), ("ys", pa.binary()),
             ("lens", pa.binary()), ("sure", pa.bool_())]))
 
-    for batch in batches:
-        t = pa.Table.from_batches([batch])
-        if held is not None:
-            t = pa.concat_tables([held, t])
-        if not t.num_rows:
-            continue
-        doc = np.asarray(t["doc_id"])  # the last document may go on in the next batch
-        cut = int(np.searchsorted(doc, doc[-1], "left")) if doc[0] != doc[-1] else 0
-        if cut:
-            yield chains(t.slice(0, cut))
-        held = t.slice(cut)
-    if held is not None and held.num_rows:
-        yield chains(held)
+    for t in _whole_documents(batches):
+        yield chains(t)
 
 
 def common_subsequence(a: list, b: list) -> int:
@@ -289,6 +364,7 @@ def _align_batches(batches, k: int, min_words: int, min_identity: float):
 
 
 _SPAN_NAMES = ["doc_id", "start_word", "n_words", "src_doc_id", "src_start_word", "src_n_words", "matched_words"]
+_ANCHOR = "doc_id long, src long, word int, src_word int"
 _PAIR = "doc_id long, src long, xs binary, ys binary, lens binary"
 
 
@@ -307,14 +383,11 @@ def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_wor
     if k + window - 1 > min_words:
         raise ValueError("windows must fit into a passage")
     base = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
-    found = written(base.mapInArrow(lambda it: _seed_batches(it, k, window), "h long, doc_id long, word int"), "seeds")
-    origins = found.groupBy("h").agg(F.min(F.struct("doc_id", "word")).alias("o"), F.count(F.lit(1)).alias("w")).filter("w > 1")
-    origins = written(origins.select("h", F.col("o.doc_id").alias("src"), F.col("o.word").alias("src_word"), "w"), "origins")
-    total = max(found.count(), 1)
-    anchors = join_spread(found, origins, ["h"], "w", total).filter("doc_id <> src or word <> src_word")
     # a fixed number of parts: anchors are few bytes but much work, and would be coalesced by size
     parts = shuffle_partitions(docs.sparkSession)
-    chained = written(anchors.select("doc_id", "src", "word", "src_word").repartition(parts, "doc_id")
+    anchors = written(_seed_anchors(base, k, window).repartition(parts, "doc_id").sortWithinPartitions("doc_id", "word")
+                      .mapInArrow(lambda it: _place_batches(it, k), _ANCHOR), "anchors")
+    chained = written(anchors.repartition(parts, "doc_id")
                       .sortWithinPartitions("doc_id", "src", "word")
                       .mapInArrow(lambda it: _chain_batches(it, max_gap, min_words, k), f"{_PAIR}, sure boolean"), "chains")
     # Short chains, lone anchors included, are looked at with a few words around them; those that can
