@@ -213,3 +213,12 @@ def test_recall_at_lower_identity(spark):
         got = {r["doc_id"] for r in repeated_passages(table(spark, rows)).collect()}
         print("recall", identity, n, len(got) / 200)
         assert len(got) >= least * 200, (identity, n, len(got))
+
+
+@pytest.mark.parametrize("a, b", [(45, 45), (30, 30), (40, 20)])
+def test_a_passage_whose_parts_stand_in_other_documents(spark, a, b):
+    rng = random.Random(13)
+    x, y = prose(rng, a), prose(rng, b)
+    rows = [(i, " ".join(prose(rng, 20) + p + prose(rng, 20)), "en", "s") for i, p in enumerate([x, y, x + y, x + y])]
+    got = [r for r in repeated_passages(table(spark, rows)).collect() if (r["doc_id"], r["src_doc_id"]) == (3, 2)]
+    assert len(got) == 1 and got[0]["start_word"] == 20 and got[0]["n_words"] == a + b == got[0]["matched_words"]

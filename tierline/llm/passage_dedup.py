@@ -5,6 +5,8 @@
    the corpus, in order of (doc_id, word), is its origin; every later one is an anchor (document, word) -> (origin
    document, origin word). A passage that a third of all documents share thus makes one anchor a seed
    and document, not pairs of documents.
+   Windows of ``min_words`` words whose seeds have scattered origins get a first place and anchors too, so
+   an exact passage is tied to the document that has it whole.
 2. Chains. The anchors between two documents are chained in order: f(i) = gain + max over earlier
    anchors j of f(j) - cost * (gaps on both sides). The gap cost is linear, so the best j is a prefix
    maximum over origin words, kept in a Fenwick tree.
@@ -134,15 +136,51 @@ def _whole_documents(batches):
         yield held
 
 
-def _place_batches(batches, k: int):
-    """Anchors from all repeated seeds in order of (doc_id, word), thinned: of a run on one diagonal every
-    k-th and the last, which cover the same words."""
+def _place_batches(batches, k: int, min_words: int):
+    """From all repeated seeds in order of (doc_id, word), two kinds of rows.
+
+    Anchors (``h`` null), thinned: of a run on one diagonal every k-th and the last, which cover the same
+    words. And the hashes of windows of ``min_words`` words whose seeds all stand twice but don't have
+    their origins side by side: such a window may have a first place of its own, which no seed tells. (Where
+    the origins are side by side, the whole window stands there.)
+    """
+    size = max(min_words - k, 0) + 1  # seeds in a window
     for t in _whole_documents(batches):
-        doc, word, src, src_word = (np.asarray(t[c]) for c in ("doc_id", "word", "src", "src_word"))
-        link = _links(doc, word) & (src[1:] == src[:-1]) & (src_word[1:] == src_word[:-1] + 1)
+        h, doc, word, src, src_word = (np.asarray(t[c]) for c in ("h", "doc_id", "word", "src", "src_word"))
+        next_word = _links(doc, word)
+        link = next_word & (src[1:] == src[:-1]) & (src_word[1:] == src_word[:-1] + 1)
         begins = np.flatnonzero(np.append(True, ~link))
         step = np.arange(len(doc)) - np.repeat(begins, np.diff(np.append(begins, len(doc))))
         keep = ((step % k == 0) | np.append(~link, True)) & ((src != doc) | (src_word != word))
+        out = [np.zeros(int(keep.sum()), np.int64), *(c[keep] for c in (doc, src, word, src_word))]
+        null = np.ones(len(out[0]), bool)
+        lone = np.append(True, doc[1:] != doc[:-1]) | np.append(True, word[1:] != word[:-1])
+        d, w, g = doc[lone], word[lone], h[lone].view(np.uint64)  # rows that repeat an id: one seed a word
+        if len(d) >= size:
+            s, o = src[lone], src_word[lone]
+            next_word = _links(d, w)
+            breaks = np.concatenate([[0], np.cumsum(~next_word)])
+            turns = np.concatenate([[0], np.cumsum(~(next_word & (s[1:] == s[:-1]) & (o[1:] == o[:-1] + 1)))])
+            n = len(d) - size + 1
+            at = np.flatnonzero((breaks[size - 1:] == breaks[:n]) & (turns[size - 1:] != turns[:n]))
+            window = np.zeros(len(at), np.uint64)
+            for j in [*range(0, size - 1, k), size - 1]:
+                window = mix64(window * np.uint64(0x9FB21C651E98DF25) + g[at + j])
+            none = np.zeros(len(at), np.int64)
+            out = [np.concatenate(x) for x in zip(out, (window.view(np.int64), d[at], none, w[at], none.astype(np.int32)))]
+            null = np.append(null, np.zeros(len(at), bool))
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], mask=null), *(pa.array(c) for c in out[1:])],
+                                         ["h", "doc_id", "src", "word", "src_word"])
+
+
+def _thin_batches(batches, step: int):
+    """Of window anchors in a run on one diagonal the first, every ``step``-th and the last."""
+    for t in _whole_documents(batches):
+        doc, src, word, src_word = (np.asarray(t[c]) for c in ("doc_id", "src", "word", "src_word"))
+        link = _links(doc, word) & (src[1:] == src[:-1]) & (src_word[1:] == src_word[:-1] + 1)
+        begins = np.flatnonzero(np.append(True, ~link))
+        at = np.arange(len(doc)) - np.repeat(begins, np.diff(np.append(begins, len(doc))))
+        keep = (at % max(step, 1) == 0) | np.append(~link, True)
         yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (doc, src, word, src_word)],
                                          ["doc_id", "src", "word", "src_word"])
 
@@ -385,9 +423,16 @@ def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_wor
     base = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
     # a fixed number of parts: anchors are few bytes but much work, and would be coalesced by size
     parts = shuffle_partitions(docs.sparkSession)
-    anchors = written(_seed_anchors(base, k, window).repartition(parts, "doc_id").sortWithinPartitions("doc_id", "word")
-                      .mapInArrow(lambda it: _place_batches(it, k), _ANCHOR), "anchors")
-    chained = written(anchors.repartition(parts, "doc_id")
+    placed = written(_seed_anchors(base, k, window).repartition(parts, "doc_id").sortWithinPartitions("doc_id", "word", "h")
+                     .mapInArrow(lambda it: _place_batches(it, k, min_words), f"h long, {_ANCHOR}"), "anchors")
+    windows = placed.filter("h is not null").select("h", "doc_id", "word")
+    ranked = _anchors(windows, _hot(windows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(HOT_SAMPLE)) == 0))).filter(
+        "src <> doc_id or src_word <> word")
+    names = ["doc_id", "src", "word", "src_word"]
+    anchors = placed.filter("h is null").select(*names).unionByName(
+        ranked.select(*names).repartition(parts, "doc_id").sortWithinPartitions("doc_id", "word")
+        .mapInArrow(lambda it: _thin_batches(it, min_words - k), _ANCHOR))
+    chained = written(anchors.distinct().repartition(parts, "doc_id")
                       .sortWithinPartitions("doc_id", "src", "word")
                       .mapInArrow(lambda it: _chain_batches(it, max_gap, min_words, k), f"{_PAIR}, sure boolean"), "chains")
     # Short chains, lone anchors included, are looked at with a few words around them; those that can
