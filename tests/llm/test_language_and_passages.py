@@ -222,3 +222,12 @@ def test_a_passage_whose_parts_stand_in_other_documents(spark, a, b):
     rows = [(i, " ".join(prose(rng, 20) + p + prose(rng, 20)), "en", "s") for i, p in enumerate([x, y, x + y, x + y])]
     got = [r for r in repeated_passages(table(spark, rows)).collect() if (r["doc_id"], r["src_doc_id"]) == (3, 2)]
     assert len(got) == 1 and got[0]["start_word"] == 20 and got[0]["n_words"] == a + b == got[0]["matched_words"]
+
+
+@pytest.mark.parametrize("copies", [2, 3, 5])
+def test_copies_side_by_side(spark, copies):
+    p = prose(random.Random(15), 60)
+    spans = repeated_passages(table(spark, [(1, " ".join(p * copies), "en", "s")])).collect()
+    gone = {j for r in spans for j in range(r["start_word"], r["start_word"] + r["n_words"])}
+    assert gone == set(range(60, 60 * copies))
+    assert all(r["src_start_word"] + r["src_n_words"] <= r["start_word"] for r in spans)

@@ -286,9 +286,17 @@ def _extend(same: np.ndarray, drop: int) -> int:
     return best + 1 if len(s) and s[best] > 0 else 0
 
 
-def align(u: np.ndarray, v: np.ndarray, xs: np.ndarray, ys: np.ndarray, k: int = K, drop: int = DROP):
-    """The passage around a chain: its range in ``u``, its range in ``v``, and the aligned words."""
+def align(u: np.ndarray, v: np.ndarray, xs: np.ndarray, ys: np.ndarray, k: int = K, drop: int = DROP,
+          apart: bool = False):
+    """The passage around a chain: its range in ``u``, its range in ``v``, and the aligned words. ``apart``:
+    both are one text, and the range in ``v`` ends where the one in ``u`` begins, or before."""
     x0, y0 = int(xs[0]), int(ys[0])
+    if apart:
+        v = v[:x0]
+        fit = ys + k <= x0
+        xs, ys = xs[fit], ys[fit]
+        if not len(xs):
+            return x0, x0, y0, y0, 0
     x, y, matched = x0, y0, 0
     for a, b in zip(xs.tolist(), ys.tolist()):
         if a < x or b < y:  # overlaps what is aligned already
@@ -307,7 +315,7 @@ def align(u: np.ndarray, v: np.ndarray, xs: np.ndarray, ys: np.ndarray, k: int =
     same = u[x:x + n] == v[y:y + n]
     n = _extend(same, drop)
     x, y, matched = x + n, y + n, matched + int(same[:n].sum())
-    n = min(x0, y0)
+    n = min(x0, y0, x0 - y if apart else x0)
     same = (u[x0 - n:x0] == v[y0 - n:y0])[::-1]
     n = _extend(same, drop)
     return x0 - n, x, y0 - n, y, matched + int(same[:n].sum())
@@ -392,9 +400,8 @@ def _align_batches(batches, k: int, min_words: int, min_identity: float):
             for a, b in zip((ends - lens).tolist(), ends.tolist()):
                 if again[a:b].all() and xs[b - 1] + min_words <= done:
                     continue  # a stretch that is covered; what may reach beyond its end is aligned
-                x0, x1, y0, y1, matched = align(u, v, xs[a:b], ys[a:b], k)
-                if doc == src and y1 > x0:  # a document that repeats itself: the two ranges must not overlap
-                    continue
+                # in a document that repeats itself the two ranges must not overlap
+                x0, x1, y0, y1, matched = align(u, v, xs[a:b], ys[a:b], k, apart=doc == src)
                 if x1 - x0 >= min_words and matched >= min_identity * max(x1 - x0, y1 - y0):
                     rows.append((doc, x0, x1 - x0, src, y0, y1 - y0, matched))
                     done = max(done, x1)
