@@ -98,6 +98,18 @@ def test_one_document_is_read_by_its_frame_alone(spark, word_tokenizer):
         hurt.frame(1)
 
 
+def test_added_tokens_are_those_of_the_library_by_default(spark, tmp_path):
+    from tierline.llm.queries import op6_token_files
+
+    texts = ["hello <|endoftext|> world", "<|startoftext|>a<|endoftext|>", "x<|ENDOFTEXT|>y it's", "<|endoftext", "|> plain, text",
+             "<|endoftext|>" * 3, None, "", "a <|endoftext|>\n\n b", *TRICKY]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    table(spark, rows).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, op6_token_files(spark, str(tmp_path)).collect()), key=lambda r: r[1])
+    assert got == expected_files(rows, Tokenizer.from_file(WORD_BPE))
+    assert 49407 in Tokenizer.from_file(WORD_BPE).encode(texts[0], add_special_tokens=False).ids
+
+
 def test_files_of_an_empty_table(spark):
     assert read_digests(write_tokens(table(spark, []), WORD_BPE)).count() == 0
 

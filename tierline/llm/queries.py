@@ -47,7 +47,7 @@ def op5_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_digests(write_tokens(_documents(spark, sf_dir), public_tokenizers.path(WORD_BPE)))
+    return read_digests(write_tokens(_documents(spark, sf_dir), public_tokenizers.path(WORD_BPE), added_tokens=True))
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -137,16 +137,20 @@ class WordEncoder:
     """Ids of whole texts by a tokenizer whose pre-tokenizer never joins across white space, nor a
     letter with punctuation: each distinct unit is encoded once by the library (at most ``CACHE_WORDS``
     are kept from batch to batch). Plain units are encoded many in one text and told apart by the
-    tokens that end a word."""
+    tokens that end a word. With ``added`` the tokenizer's added tokens (``<|endoftext|>``) stand for
+    themselves as the library has it by default, and texts that contain one go to the library whole;
+    without, they are text like any other."""
 
     JOINED = 512
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        # the tokenizer may look for them after it lower-cased the text
+        self.added = [t.content.encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -169,8 +173,38 @@ class WordEncoder:
             return self._each(texts)
         return ids, np.diff(last, prepend=-1)
 
+    def _with_added(self, data: np.ndarray, offsets: np.ndarray) -> list[int]:
+        """The texts that contain an added token."""
+        raw = data.tobytes().lower() if self.added else b""
+        found = set()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                d = int(np.searchsorted(offsets, at, "right")) - 1
+                if at + len(token) <= offsets[d + 1]:
+                    found.add(d)
+                at = raw.find(token, at + 1)
+        return sorted(found)
+
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts end to end, and where each text's begin (n+1)."""
+        whole = self._with_added(data, offsets)
+        if not whole:
+            return self._encode(data, offsets)
+        lists = self._library([data[offsets[d]:offsets[d + 1]].tobytes().decode() for d in whole])
+        parts, sizes, a = [], [], 0
+        for d, ids in zip([*whole, len(offsets) - 1], [*lists, None]):
+            if d > a:  # the texts between
+                between, first = self._encode(data[offsets[a]:offsets[d]], offsets[a:d + 1] - offsets[a])
+                parts.append(between)
+                sizes.append(np.diff(first))
+            if ids is not None:
+                parts.append(np.array(ids, np.uint32))
+                sizes.append(np.array([len(ids)]))
+            a = d + 1
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, ends, plain, first = plain_units(data, offsets)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
@@ -199,9 +233,9 @@ class WordEncoder:
 
 
 @lru_cache(2)
-def encoder_of(path: str) -> WordEncoder:
+def encoder_of(path: str, added: bool = False) -> WordEncoder:
     """One encoder a Python worker, so that its units serve the tasks that follow."""
-    return WordEncoder(path)
+    return WordEncoder(path, added)
 
 
 def _write_files(batches, folder: str, make_encoder: Callable, end_id: int, frame_bytes: int, file_bytes: int):
@@ -263,11 +297,13 @@ _MANIFEST = pa.schema([("path", pa.string()), ("first_id", pa.int64()), ("n_docs
 
 
 def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_id: int = END_ID,
-                 frame_bytes: int = FRAME_BYTES, file_bytes: int = FILE_BYTES) -> DataFrame:
+                 frame_bytes: int = FRAME_BYTES, file_bytes: int = FILE_BYTES, added_tokens: bool = False) -> DataFrame:
     """Encode ``docs(doc_id, text)`` into files below ``folder`` and return their manifest: path,
     file number in doc_id order, start (tokens of all files before), first_id, n_docs, n_tokens.
 
-    Every document is its ids (none for a null or empty text) and ``end_id``. Null ids come first
+    Every document is its ids (none for a null or empty text) and ``end_id``. ``added_tokens``: an added
+    token of the tokenizer in a text, like ``<|endoftext|>``, is that token (the library's default), else
+    it is encoded as text. Null ids come first
     and stand as the smallest int64; rows that repeat an id stand side by side. Other columns are not read. An
     empty table gives an empty manifest and no file.
     """
@@ -280,7 +316,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str | None = None
     ordered = base.repartitionByRange(parts, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
         F.col("doc_id").asc_nulls_first())
     manifest = written(ordered.mapInArrow(
-        lambda it: _write_files(it, folder, lambda: encoder_of(tokenizer_path), end_id, frame_bytes, file_bytes),
+        lambda it: _write_files(it, folder, lambda: encoder_of(tokenizer_path, added_tokens), end_id, frame_bytes, file_bytes),
         "path string, first_id long, n_docs long, n_tokens long"), "token-manifest")
     # one row a file, so the window's single task holds a few bytes for every file_bytes of tokens
     order = Window.orderBy("first_id", "path")
