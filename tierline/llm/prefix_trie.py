@@ -116,9 +116,9 @@ def _prefixes(rows: DataFrame, place: str, values: list[str], deepest: int, band
     here = rows.select("*", *[F.bit_xor(v).over(inside).alias(f"p_{v}") for v in values])
     if deepest < band:
         return here.drop("_block")
-    totals = rows.groupBy("conv_id", "_block").agg(*[F.bit_xor(v).alias(v) for v in values])
-    above = _prefixes(totals, "_block", values, deepest // band, band)
-    above = above.select("conv_id", (F.col("_block") + 1).alias("_block"), *[F.col(f"p_{v}").alias(f"_{v}") for v in values])
+    totals = rows.groupBy("conv_id", F.col("_block").alias("_at")).agg(*[F.bit_xor(v).alias(v) for v in values])
+    above = _prefixes(totals, "_at", values, deepest // band, band)
+    above = above.select("conv_id", (F.col("_at") + 1).alias("_block"), *[F.col(f"p_{v}").alias(f"_{v}") for v in values])
     later = here.filter("_block > 0").join(above, ["conv_id", "_block"]).select(
         *[(F.col(f"p_{c[2:]}").bitwiseXOR(F.col(f"_{c[2:]}")).alias(c) if c in [f"p_{v}" for v in values] else F.col(c))
           for c in here.columns])
