@@ -240,15 +240,26 @@ def test_partitioned_publish_prunes_files(spark):
     assert "PartitionFilters: [isnotnull(order_date" in plan and "2020-01-03" in plan
 
 
-def test_partitioned_publish_bounds_the_files(spark):
-    from tierline.plans.catalog import FILES_PER_VALUE
-
+def test_partitioned_publish_bounds_the_files_and_spreads_a_hot_value(spark):
     wh = _wh(spark)
     days = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 40).cast("int"))
-    df = spark.range(0, 20_000, 1, 64).select("id", F.when(F.col("id") % 3 != 0, days).alias("d"))   # a third NULL
-    refresh(wh, "gold", "fact", df, partition_by=("d",))
-    files = wh.read("gold", "fact").inputFiles()
-    assert wh.read("gold", "fact").count() == 20_000 and len(files) <= 41 * FILES_PER_VALUE
+    df = spark.range(0, 20_000, 1, 64).select(
+        F.when(F.col("id") % 3 != 0, F.col("id")).alias("id"), F.when(F.col("id") % 3 != 0, days).alias("d"))
+    keys = ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        spark.conf.set(keys[0], "false")
+        spark.conf.set(keys[1], "24")
+        refresh(wh, "gold", "fact", df, partition_by=("d",))     # a third of the rows are one row, without a date
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    table = wh.read("gold", "fact")
+    assert table.count() == 20_000 and len(table.inputFiles()) <= 41 + 24
+    hot = table.filter("d IS NULL").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in hot) == 6_667 and 7 <= len(hot) <= 10      # a third of 24 tasks
+    assert max(r["count"] for r in hot) < 2 * 20_000 / 24
+    assert sorted(table.collect(), key=repr) == sorted(df.collect(), key=repr)
 
 
 def test_many_partition_values_warn(spark, monkeypatch):
@@ -394,3 +405,144 @@ def test_bronze_load_counts_rows_with_extra_or_missing_fields(spark):
     (_, layer, table, rows, bad, _, status, _), = audit.rows
     assert (layer, table, rows, bad, status) == ("bronze", "erp_loc_a101", 3, 2, "ok")
     assert wh.read("bronze", "erp_loc_a101").count() == 3      # bad rows are kept, with NULLs
+
+
+def _star(wh, sources_of="gold"):
+    frames = wh.read_together(sources_of)
+    return {t: sorted(f.collect(), key=repr) for t, f in frames.items()}
+
+
+def _wrong_orders(wh, before):
+    """Orders whose customer key leads to another customer than it did."""
+    fact, cust = wh.read("gold", "fact_sales"), wh.read("gold", "dim_customers")
+    now = {(r["order_number"], r["customer_id"]) for r in fact.join(cust, "customer_key").collect()}
+    return len(now - before)
+
+
+def test_a_failed_gold_load_leaves_the_star_as_it_was(spark, monkeypatch):
+    from tierline.operators import gold
+    from tierline.plans.layers import run_layers
+
+    sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "src"))
+    wh = _wh(spark)
+    run_all(wh, sources, as_of="2026-01-01")
+    star, versions = _star(wh), wh.generation("gold")
+    orders = {(r["order_number"], r["customer_id"]) for r in wh.read("gold", "fact_sales").join(
+        wh.read("gold", "dim_customers"), "customer_key").collect()}
+    delete_where(wh, "silver", "crm_cust_info", F.col("cst_id") < 20)     # every later customer key moves
+    seen = {}
+
+    def broken(*args, **kwargs):
+        seen.update(_star(wh))                                            # a reader while the fact is built
+        raise RuntimeError("no fact")
+
+    with monkeypatch.context() as m:
+        m.setattr(gold, "fact_sales", broken)
+        with pytest.raises(RuntimeError, match="no fact"):
+            run_layers(wh, ("gold",))
+    assert seen == star and _star(wh) == star and wh.generation("gold") == versions
+    assert _wrong_orders(wh, orders) == 0
+    for table in star:                                                    # the unpublished versions are gone
+        assert f"{wh.name('gold', wh._physical_versions('gold', table)[-1][1])}" == versions[table]
+        assert sorted(wh.read("gold", table).collect(), key=repr) == star[table]
+    audit = {r["table_name"]: r["status"] for r in spark.table(f"{wh.db('audit')}.load_audit").filter("layer = 'gold'").collect()
+             if r["status"] != "ok"}
+    assert audit == {"dim_customers": "dropped", "dim_products": "dropped", "fact_sales": "failed", "(layer)": "failed"}
+    run_layers(wh, ("gold",))
+    assert wh.read("gold", "dim_customers").filter("customer_id < 20").count() == 0 and wh.generation("gold") != versions
+
+
+def test_publishing_together_undoes_what_it_began(spark, monkeypatch):
+    wh = _wh(spark)
+    first = {t: wh.write_version("gold", t, spark.range(3)) for t in ("a", "b")}
+    wh.publish_together("gold", first)
+    second = {t: wh.write_version("gold", t, spark.range(5)) for t in ("a", "b", "c")}
+    repoint, calls = wh._repoint, []
+
+    def failing(layer, table, *args):
+        calls.append(table)
+        if table == "c":
+            raise RuntimeError("metastore away")
+        repoint(layer, table, *args)
+
+    monkeypatch.setattr(wh, "_repoint", failing)
+    with pytest.raises(RuntimeError, match="metastore away"):
+        wh.publish_together("gold", second)
+    assert calls == ["a", "b", "c"] and wh.generation("gold") == first
+    assert wh.read("gold", "a").count() == wh.read("gold", "b").count() == 3 and not wh.exists("gold", "c")
+    assert wh.versions("gold", "a") == [1] and wh.versions("gold", "c") == []
+    monkeypatch.undo()
+    refresh(wh, "gold", "b", spark.range(7))                              # a later refresh of one table alone
+    assert {t: f.count() for t, f in wh.read_together("gold").items()} == {"a": 3, "b": 7}
+    wh.drop_table("gold", "b")
+    assert list(wh.read_together("gold")) == ["a"]
+    wh.drop_table("gold", "a")
+    assert wh.read_together("gold") == {} and not wh.exists("gold", "generation")
+
+
+def test_an_append_repeated_under_its_run_id_adds_nothing(spark, monkeypatch):
+    from tierline.plans import catalog
+
+    wh = _wh(spark)
+    schema = SILVER["erp_loc_a101"]
+    rows = spark.createDataFrame([("AW1", "Germany"), ("AW2", None)], schema)
+    refresh(wh, "silver", "t", rows, audit_column=True, schema=schema)
+    assert append(wh, "silver", "t", rows, "it's run 1") and not append(wh, "silver", "t", rows, "it's run 1")
+    assert append(wh, "silver", "t", rows, "run 2") and wh.appended_runs("silver", "t") == ["it's run 1", "run 2"]
+    out = wh.read("silver", "t")
+    assert out.count() == 6 and out.filter(F.col("dwh_create_date").isNull()).count() == 0
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH|exceeds"):
+        append(wh, "silver", "t", spark.createDataFrame([("y" * 51, None)], schema), "run 3")
+    assert wh.appended_runs("silver", "t") == ["it's run 1", "run 2"] and wh.read("silver", "t").count() == 6
+    delete_where(wh, "silver", "t", F.col("cntry").isNull())              # one version again, its runs still known
+    assert wh.read("silver", "t").count() == 3 and not append(wh, "silver", "t", rows, "run 2")
+    monkeypatch.setattr(catalog, "MAX_PARTS", 2)
+    for i in range(4):
+        append(wh, "silver", "t", rows, f"more {i}")
+    assert wh.read("silver", "t").count() == 11 and len(wh.appended_runs("silver", "t")) == 6
+    refresh(wh, "silver", "t", rows, audit_column=True, schema=schema)
+    assert wh.appended_runs("silver", "t") == [] and wh.read("silver", "t").count() == 2
+    refresh(wh, "silver", "t", rows, audit_column=True, schema=schema)
+    wh.drop_table("silver", "t")
+    assert not spark.catalog.listTables(wh.db("silver"), pattern="t__*")
+
+
+def test_an_append_run_that_stopped_halfway_is_completed(spark, monkeypatch):
+    from tierline.plans import layers
+
+    sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "src"))
+    wh = _wh(spark)
+    layers.run_layers(wh, ("bronze", "silver"), sources, as_of="2026-01-01")
+    before = {t: wh.read("silver", t).count() for t in SILVER}
+    plain = layers.append
+
+    def failing(wh, layer, table, *args):
+        if table == "erp_loc_a101":
+            raise RuntimeError("stopped")
+        return plain(wh, layer, table, *args)
+
+    monkeypatch.setattr(layers, "append", failing)
+    with pytest.raises(RuntimeError, match="stopped"):
+        layers.run_layers(wh, ("append",), as_of="2026-01-01", run_id="night")
+    monkeypatch.undo()
+    layers.run_layers(wh, ("append",), as_of="2026-01-01", run_id="night")
+    after = {t: wh.read("silver", t).count() for t in SILVER}
+    ids = wh.read("bronze", "crm_cust_info").select("cst_id").distinct().count()
+    assert after.pop("crm_cust_info") == before.pop("crm_cust_info") + ids
+    assert after == {t: 2 * n for t, n in before.items()}
+
+
+def test_rejected_rows_are_kept_with_their_file(spark):
+    from tierline.plans.layers import RunAudit, load_bronze
+    from tierline.sources.schemas import SOURCE_FILES
+
+    root = scratch_path(spark, "ragged-src")
+    _write_text(f"{root}/{SOURCE_FILES['erp_loc_a101']}", "CID,CNTRY\nAW-1,Germany\nAW-2,United,States\nAW-3\n" + "y" * 50 + ",a,b\n")
+    wh = _wh(spark)
+    load_bronze(wh, root, RunAudit(), tables=("erp_loc_a101",))
+    assert wh.read("bronze", "erp_loc_a101").columns == ["cid", "cntry"]
+    rejects = wh.read("bronze", "erp_loc_a101_rejects").collect()
+    assert {r["_raw"] for r in rejects} == {"AW-2,United,States", "AW-3", "y" * 50 + ",a,b"}
+    assert all(r["_file"].endswith("LOC_A101.csv") for r in rejects)
+    wh.drop_table("bronze", "erp_loc_a101")
+    assert not wh.exists("bronze", "erp_loc_a101_rejects")

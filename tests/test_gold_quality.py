@@ -96,3 +96,29 @@ def test_cheap_predicates_match_their_definitions(spark):
     s = spark.createDataFrame([(v,) for v in ["a", " a", "a ", " ", "", "a b", None, "\ta"]], "s string")
     diff = s.filter(~has_outer_spaces("s").eqNullSafe(F.col("s") != F.trim("s"))).collect()
     assert diff == []
+
+
+def test_fanout_of_a_key_repeated_on_both_sides_is_a_product(spark):
+    import time
+
+    from tierline.operators import quality
+
+    n = 100_000
+    cust = spark.createDataFrame([(1, "A"), (1, "B"), (2, "B"), (3, None), (4, "C"), (5, "D"), (None, "E"), (None, "F")], "cst_id int, cst_key string")
+    many = spark.range(n).select(F.lit("A").alias("cid"))
+    az = many.unionByName(spark.createDataFrame([("B",), ("D",), (None,), (None,)], "cid string"))
+    loc = many.unionByName(spark.createDataFrame([("C",), ("D",), ("D",), (None,)], "cid string"))
+    start = time.perf_counter()
+    got = {r["customer_id"]: r["n_rows"] for r in quality.customer_fanout(cust, az, loc).collect()}
+    assert got == {1: n * n + 1, 5: 2, None: 2} and time.perf_counter() - start < 60
+
+
+def test_gender_matrix_joins_distinct_pairs(spark):
+    from tierline.operators import quality
+
+    cust = spark.createDataFrame([("A", "Male"), ("A", "Male"), ("B", "n/a"), (None, "n/a"), ("C", None), ("D", "Female")],
+                                 "cst_key string, cst_gndr string")
+    az = spark.createDataFrame([("A", "Female"), ("A", "n/a"), ("B", "Male"), (None, "Male"), ("C", None)], "cid string, gen string")
+    got = {tuple(r) for r in quality.gender_matrix(cust, az).collect()}
+    assert got == {("Male", "Female", "Male"), ("Male", "n/a", "Male"), ("n/a", "Male", "Male"), ("n/a", None, "n/a"),
+                   (None, None, "n/a"), ("Female", None, "Female")}

@@ -45,6 +45,16 @@ def test_lead_in_group_equals_window(skewed):
         assert sorted(got.select("id", "nx").collect()) == sorted(expect.select("id", "nx").collect())
 
 
+def test_lead_heads_in_many_levels_and_nothing_broadcast(skewed):
+    w = Window.partitionBy("k").orderBy(F.col("v").asc_nulls_first(), "id")
+    expect = skewed.withColumn("nx", F.lead("v").over(w))
+    for fan in (2, 3, 50):
+        got = lead_in_group(skewed, ["k"], ["v", "id"], "v", "nx", rows_per_bucket=40, fan=fan)
+        assert sorted(got.select("id", "nx").collect()) == sorted(expect.select("id", "nx").collect())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "broadcast" not in plan.lower()
+
+
 def test_salted_join_equals_plain_join(spark, skewed):
     dim = spark.range(0, 100).select(F.col("id").cast("int").alias("dk"), (F.col("id") * 10).alias("payload"))
     plain = skewed.join(dim, skewed["k"] == dim["dk"], "left").select("id", "payload")

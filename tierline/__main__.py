@@ -45,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
             p.add_argument("--no-sizing", action="store_true", help="keep the session's partition settings")
         if "gold" in layers:
             p.add_argument("--partition-fact-by", default="", help="comma-separated fact columns, e.g. order_date")
+    sub.choices["append"].add_argument("--run-id", help="name of the run: repeating it appends nothing twice")
     sub.choices["run"].add_argument("--verify", action="store_true", help="count the post-load checks into the audit")
     q = sub.add_parser("quality", help="count every data-quality rule on the published bronze tables")
     q.add_argument("--warehouse")
@@ -61,7 +62,7 @@ def main(argv: list[str] | None = None) -> int:
     parts = tuple(c for c in getattr(args, "partition_fact_by", "").split(",") if c)
     layers = STEPS[args.command] + (("check",) if getattr(args, "verify", False) else ())
     audit = run_layers(wh, layers, getattr(args, "sources", None), as_of=args.as_of, fact_partition_by=parts,
-                       sizing=not getattr(args, "no_sizing", False))
+                       sizing=not getattr(args, "no_sizing", False), run_id=getattr(args, "run_id", None))
     _print(audit.orderBy("layer", "table_name"))
     return 0
 

@@ -99,12 +99,14 @@ def dim_products(prd: DataFrame, cat: DataFrame, rows_per_bucket: int | None = N
 
 
 def fact_sales(sales: DataFrame, dim_prod: DataFrame, dim_cust: DataFrame, prod_stats: Stats | None = None,
-               cust_stats: Stats | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+               cust_stats: Stats | None = None, max_rows: int = BROADCAST_MAX_ROWS,
+               fixed_order: bool = False) -> DataFrame:
     """Sales with surrogate keys looked up on the natural keys; unmatched -> NULL key, row kept.
 
     Each dimension's lookup columns are broadcast when their measured size (or ``prod_stats`` /
     ``cust_stats``, when known) fits, otherwise joined by a salted shuffle join. For that the sales are
-    numbered and their hot keys counted once, on the base rows, before either join.
+    numbered and their hot keys counted once, on the base rows, before either join. ``fixed_order``: the
+    sales come from a scan without a shuffle, so they need not be written to be numbered.
     """
     prod = dim_prod.select(F.col("product_number").alias("_tl_pn"), F.col("product_key"))
     cust = dim_cust.select(F.col("customer_id").alias("_tl_cid"), F.col("customer_key"))
@@ -112,7 +114,7 @@ def fact_sales(sales: DataFrame, dim_prod: DataFrame, dim_cust: DataFrame, prod_
         prod_stats, cust_stats = measure_all([prod, cust])
     lookups = [(prod, ("sls_prd_key", "_tl_pn"), prod_stats), (cust, ("sls_cust_id", "_tl_cid"), cust_stats)]
     salted = [not fits_broadcast(stats, max_rows) for _, _, stats in lookups]
-    base = with_row_id(sales) if any(salted) else sales
+    base = with_row_id(sales, fixed_order) if any(salted) else sales
     hot = [hot_keys(base, [pair[0]]) if s else None for (_, pair, _), s in zip(lookups, salted)]
     out = base
     for (side, pair, stats), keys in zip(lookups, hot):

@@ -13,7 +13,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -41,15 +40,14 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     return F.broadcast(df) if fits_broadcast(stats or measure(df), max_rows, max_bytes) else None
 
 
-def with_row_id(df: DataFrame) -> DataFrame:
+def with_row_id(df: DataFrame, fixed_order: bool = False) -> DataFrame:
     """``df`` with a row number in ``ROW_ID`` (unique, increasing inside a task's rows).
 
-    A recomputed task must give its rows the same numbers, so rows that come out of a shuffle (in
-    no fixed order) are written and reread first; rows of a scan are numbered as they are.
+    A recomputed task must give its rows the same numbers. ``fixed_order`` says that it does: the rows come
+    from a scan by projections, filters and broadcast joins alone. All others are written and reread first.
     """
-    if re.search(r"(?<!Broadcast)Exchange", df._jdf.queryExecution().executedPlan().toString()):
-        df = stage(df, "rows").df
-    return df.withColumn(ROW_ID, F.monotonically_increasing_id())
+    rows = df if fixed_order else stage(df, "rows").df
+    return rows.withColumn(ROW_ID, F.monotonically_increasing_id())
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -80,12 +78,13 @@ def _on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) ->
 
 
 def salted_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str = "left",
-                hot: DataFrame | None = None) -> DataFrame:
+                hot: DataFrame | None = None, fixed_order: bool = False) -> DataFrame:
     """Shuffle join of ``left`` (big, maybe skewed) with ``right`` on ``pairs`` (left, right keys).
 
     ``how`` is ``left``, ``inner`` or ``left_anti``. Output columns: ``left``'s then ``right``'s
     (right-side names must not repeat left-side names). ``hot`` (keys and ``_tl_n`` salts each)
-    overrides the counted hot keys. ``left`` may bring a ``ROW_ID`` of its base rows; it stays.
+    overrides the counted hot keys. ``left`` may bring a ``ROW_ID`` of its base rows; it stays, otherwise
+    its rows are numbered here (``fixed_order`` as in ``with_row_id``).
     """
     lkeys = [lk for lk, _ in pairs]
     rkeys = [rk for _, rk in pairs]
@@ -93,7 +92,7 @@ def salted_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
         hot = hot_keys(left, lkeys)
     columns = left.columns
     if ROW_ID not in columns:
-        left = with_row_id(left)
+        left = with_row_id(left, fixed_order)
     any_null = F.lit(False)
     for k in lkeys:
         any_null = any_null | F.col(k).isNull()

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from tierline.functions import codes
 from tierline.functions.expressions import has_eight_digits, has_outer_spaces, map_code
-from tierline.operators.gold import customers_joined, integrated_gender, products_joined
+from tierline.operators.gold import integrated_gender
 from tierline.operators.joins import BROADCAST_MAX_ROWS, lookup_join, not_in
 from tierline.operators.silver import repaired_price, repaired_sales
-from tierline.staging import measure_all, stage
+from tierline.staging import Stats, measure_all, stage
 
 
 def _any(preds: Sequence[Column]) -> Column:
@@ -41,14 +41,32 @@ def duplicate_keys(df: DataFrame, keys: str | Sequence[str], include_null: bool
     return counted.filter(cond)
 
 
+def _fanout(rows: DataFrame, key: str, joins: Sequence[tuple[str, DataFrame, str]], name: str) -> DataFrame:
+    """Values of ``key`` that appear more than once after left joins of ``rows`` with each (column, side, side
+    column), with their counts, from multiplicities alone.
+
+    A row appears once for every combination of its partners: the product of its key's counts on the
+    sides (1 where there is none). Sides shrink to the keys that repeat, counted with a map-side combine,
+    so the joined rows are never made and a side without repeated keys costs no join to speak of.
+    """
+    times, out = F.lit(1).cast("bigint"), rows.select(F.col(key).alias(name), *[F.col(c) for c, _, _ in joins])
+    for i, (column, side, side_column) in enumerate(joins):
+        repeated = stage(side.filter(F.col(side_column).isNotNull()).groupBy(F.col(side_column).alias(f"_tl_k{i}"))
+                         .agg(F.count(F.lit(1)).alias(f"_tl_n{i}")).filter(F.col(f"_tl_n{i}") > 1), "fanout")
+        out = lookup_join(out, repeated.df, [(column, f"_tl_k{i}")], stats=repeated.stats)
+        times = times * F.coalesce(f"_tl_n{i}", F.lit(1))
+    return out.groupBy(name).agg(F.sum(times).alias("n_rows")).filter(F.col("n_rows") > 1)
+
+
 def customer_fanout(cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame) -> DataFrame:
     """Q12: customers that appear more than once after the dimension's joins."""
-    return duplicate_keys(customers_joined(cust, erp_cust, erp_loc), "customer_id", include_null=False)
+    return _fanout(cust, "cst_id", [("cst_key", erp_cust.select("cid"), "cid"),
+                                    ("cst_key", erp_loc.select("cid"), "cid")], "customer_id")
 
 
 def product_fanout(prd: DataFrame, cat: DataFrame) -> DataFrame:
     """Q14: current products that appear more than once after the category join."""
-    return duplicate_keys(products_joined(prd, cat), "product_number", include_null=False)
+    return _fanout(prd.filter(F.col("prd_end_dt").isNull()), "prd_key", [("cat_id", cat.select("id"), "id")], "product_number")
 
 
 # ---- row predicates (Q2, Q3, Q5, Q6, Q7, Q9) -------------------------------------------------
@@ -154,35 +172,42 @@ def location_orphans(erp_loc: DataFrame, cust: DataFrame, max_rows: int = BROADC
     return not_in(cleaned, "cid", cust, "cst_key", max_rows=max_rows)
 
 
-def gender_matrix(cust: DataFrame, erp_cust: DataFrame, erp_loc: DataFrame) -> DataFrame:
-    """Q13: distinct (CRM gender, ERP gender, integrated gender) after the dimension's joins."""
-    ca = erp_cust.select(F.col("cid").alias("_tl_ca_cid"), F.col("gen").alias("_tl_gen"))
-    la = erp_loc.select(F.col("cid").alias("_tl_la_cid"))
-    size_ca, size_la = measure_all([ca, la])
-    joined = lookup_join(lookup_join(cust, ca, [("cst_key", "_tl_ca_cid")], stats=size_ca),
-                         la, [("cst_key", "_tl_la_cid")], stats=size_la)
+def gender_matrix(cust: DataFrame, erp_cust: DataFrame) -> DataFrame:
+    """Q13: distinct (CRM gender, ERP gender, integrated gender) after the dimension's joins.
+
+    Each side is reduced to its distinct (key, gender) pairs before the join, so what is joined grows with
+    the distinct keys. The location join adds rows but no combinations and is left out.
+    """
+    people = cust.select("cst_key", "cst_gndr").distinct()
+    records = stage(erp_cust.filter(F.col("cid").isNotNull()).select(
+        F.col("cid").alias("_tl_ca_cid"), F.col("gen").alias("_tl_gen")).distinct(), "genders")
+    joined = lookup_join(people, records.df, [("cst_key", "_tl_ca_cid")], stats=records.stats)
     return joined.select(
         F.col("cst_gndr"), F.col("_tl_gen").alias("gen"),
         integrated_gender(F.col("cst_gndr"), F.col("_tl_gen")).alias("new_gen")).distinct()
 
 
-def fk_integrity(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame) -> DataFrame:
+def fk_integrity(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame, cust_stats: Stats | None = None,
+                 prod_stats: Stats | None = None) -> DataFrame:
     """Q15: fact rows whose product or customer key finds no dimension row.
 
     Output: the fact's columns, then the dimensions' columns prefixed ``cust_`` and ``prod_``. Only the
     dimensions' keys meet the whole fact; the violators are written, and the wide columns are
-    attached to those rows alone.
+    attached to those rows alone. ``cust_stats`` / ``prod_stats``: the dimensions' sizes, when known.
     """
     ck = dim_cust.select(F.col("customer_key").alias("_tl_ck"))
     pk = dim_prod.select(F.col("product_key").alias("_tl_pk"))
-    size_c, size_p = measure_all([ck, pk])
+    if cust_stats is None or prod_stats is None:
+        cust_stats, prod_stats = measure_all([dim_cust, dim_prod])
+    # a key column: two numbers of eight bytes a row
+    size_c, size_p = (Stats(s.rows, 16 * s.rows) for s in (cust_stats, prod_stats))
     found = lookup_join(lookup_join(fact, ck, [("customer_key", "_tl_ck")], stats=size_c),
                         pk, [("product_key", "_tl_pk")], stats=size_p)
     bad = stage(found.filter(F.col("_tl_ck").isNull() | F.col("_tl_pk").isNull()).select(*fact.columns), "fk-violators").df
     c = dim_cust.select(*[F.col(x).alias(f"cust_{x}") for x in dim_cust.columns])
     p = dim_prod.select(*[F.col(x).alias(f"prod_{x}") for x in dim_prod.columns])
-    with_c = lookup_join(bad, c, [("customer_key", "cust_customer_key")], "left")
-    return lookup_join(with_c, p, [("product_key", "prod_product_key")], "left")
+    with_c = lookup_join(bad, c, [("customer_key", "cust_customer_key")], "left", stats=cust_stats)
+    return lookup_join(with_c, p, [("product_key", "prod_product_key")], "left", stats=prod_stats)
 
 
 # ---- one pass per table --------------------------------------------------------------------

@@ -8,8 +8,10 @@ contiguous ranges of about ``rows_per_bucket`` rows, however many that takes:
    with its partition (the bucket) and its place in it;
 2. the tagged rows are written once below ``spark.checkpoint.dir``, so buckets and places are fixed
    and a lost task is recomputed from files;
-3. buckets are stitched by a table of one row per bucket (row offsets for keys, head rows for
-   ``lead``). No cut points pass the driver and no literals enter the plan.
+3. buckets are stitched by a table of one row per bucket (row offsets) for keys; for ``lead`` each run of
+   rows borrows the first row of the next one, found level by level over runs, buckets and blocks of
+   buckets, so nothing is broadcast and no task holds more than ``FAN`` heads. No cut points pass the
+   driver and no literals enter the plan.
 
 Range columns must be (nearly) unique, otherwise one value that holds many rows stays in one bucket.
 Ordering is ascending with NULLs first, like Spark's default and the source system's.
@@ -28,6 +30,8 @@ from tierline.session import scratch_path
 ROWS_PER_BUCKET = 2_000_000
 
 RUNS_PER_BUCKET = 32
+# Heads of buckets (then of blocks of buckets, and so on) that one task orders.
+FAN = 1024
 
 _ID, _BUCKET, _PLACE, _RUN = "_tl_id", "_tl_bucket", "_tl_place", "_tl_run"
 _PLACE_BITS = 33  # monotonically_increasing_id: partition number above, row number below
@@ -76,17 +80,33 @@ def dense_key(df: DataFrame, order_cols: Sequence[str], key_name: str, rows_per_
             .select(*df.columns, key_name))
 
 
+def _next_heads(heads: DataFrame, n: int, fan: int) -> DataFrame:
+    """``(at, next)`` for ``heads(at, head)``: the head that follows in order of ``at`` (0..n-1, with gaps).
+
+    Heads are ordered in blocks of ``fan`` places; only the last head of a block looks further, to the
+    first head of the next block, which is the same question one level up.
+    """
+    if n <= fan:
+        return heads.select("at", F.lead("head").over(Window.orderBy("at")).alias("next"))
+    block = F.floor(F.col("at") / fan)
+    inner = heads.withColumn("block", block).withColumn("next", F.lead("head").over(Window.partitionBy("block").orderBy("at")))
+    firsts = heads.groupBy(block.alias("at")).agg(F.min_by("head", "at").alias("head"))
+    above = _next_heads(firsts, math.ceil(n / fan), fan).select(F.col("at").alias("block"), F.col("next").alias("_tl_after"))
+    return inner.join(above, "block", "left").select("at", F.coalesce("next", "_tl_after").alias("next"))
+
+
 def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                   value_col: str, out_col: str, rows_per_bucket: int | None = None,
-                  n_rows: int | None = None) -> DataFrame:
+                  n_rows: int | None = None, fan: int | None = None) -> DataFrame:
     """``lead(value_col) over (partition by group_cols order by order_cols)`` without hot groups.
 
     Ranges are cut on ``group_cols + order_cols``, so a group that holds a third of all rows is
     spread over a third of the buckets, and each bucket into runs of its rows. Inside a (run, group) the
     window gives the next row. A group can only continue into the next run at that run's first row, so
-    the last row of a (run, group) takes the value of the next run's head when the head belongs to the
-    same group. The heads, one row per ``rows_per_bucket / 32`` rows, are broadcast. ``n_rows`` as in
-    ``dense_key``.
+    every run takes along a copy of the row that heads the next run, behind its own rows; the window then
+    reads it where the group continues, and the copies go. Heads (one row per ``rows_per_bucket / 32`` rows)
+    find their successors in ordered blocks of at most ``fan`` (``_next_heads``); none are broadcast.
+    ``n_rows`` as in ``dense_key``.
     """
     full = list(group_cols) + list(order_cols)
     n_rows = df.count() if n_rows is None else n_rows
@@ -98,18 +118,15 @@ def lead_in_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     # Runs of a bucket's rows: small enough that hashing them to tasks comes out even.
     size = max(1, math.ceil((rows_per_bucket or ROWS_PER_BUCKET) / RUNS_PER_BUCKET))
     placed = ranged(df, full, (), n_buckets).withColumn(_RUN, F.floor(F.col(_PLACE) / size))
-    w = Window.partitionBy(_BUCKET, _RUN, *group_cols).orderBy(_PLACE)
-    inner = (placed.withColumn(out_col, F.lead(value_col).over(w))
-             .withColumn("_tl_last", F.lead(F.lit(1)).over(w).isNull()))
-    heads = placed.filter(F.col(_PLACE) % size == 0).select(
-        _BUCKET, _RUN, F.struct(*[F.col(c) for c in group_cols], F.col(value_col).alias("_tl_v")).alias("_tl_head"))
-    following = heads.select(F.col(_BUCKET).alias("_tl_b"), F.col(_RUN).alias("_tl_r"),
-                             F.lead("_tl_head").over(Window.orderBy(_BUCKET, _RUN)).alias("_tl_next_head"))
-    joined = inner.join(F.broadcast(following), (inner[_BUCKET] == following["_tl_b"])
-                        & (inner[_RUN] == following["_tl_r"]), "left")
-    same_group = F.lit(True)  # no group columns: one global order, every head continues it
-    for c in group_cols:
-        same_group = same_group & F.col(c).eqNullSafe(F.col(f"_tl_next_head.{c}"))
-    carried = F.when(same_group, F.col("_tl_next_head._tl_v"))
-    return (joined.withColumn(out_col, F.when(F.col("_tl_last"), carried).otherwise(F.col(out_col)))
+    taken = list(dict.fromkeys([*group_cols, value_col]))
+    heads = placed.filter(F.col(_PLACE) % size == 0).select(_BUCKET, _RUN, F.struct(*taken).alias("head"))
+    firsts = heads.filter(F.col(_RUN) == 0).select(F.col(_BUCKET).alias("at"), "head")
+    after = _next_heads(firsts, n_buckets, fan or FAN).select(F.col("at").alias(_BUCKET), "next")
+    inside = F.lead("head").over(Window.partitionBy(_BUCKET).orderBy(_RUN))
+    borrowed = (heads.withColumn("_tl_inside", inside).join(after, _BUCKET)
+                .select(_BUCKET, _RUN, F.coalesce("_tl_inside", "next").alias("head")).filter("head IS NOT NULL")
+                .select("head.*", _BUCKET, _RUN, F.lit(None).cast("bigint").alias(_PLACE)))
+    rows = placed.unionByName(borrowed, allowMissingColumns=True)
+    w = Window.partitionBy(_BUCKET, _RUN, *group_cols).orderBy(F.col(_PLACE).asc_nulls_last())
+    return (rows.withColumn(out_col, F.lead(value_col).over(w)).filter(F.col(_PLACE).isNotNull())
             .select(*df.columns, out_col))

@@ -5,6 +5,14 @@ A published name is a view over a versioned Parquet table (``name__v0003_<run>``
 next version in full and only then repoints the view, so a failed load leaves the previous data
 readable (a truncate-then-load or an in-place overwrite would leave an empty or broken table). Created,
 refreshed and appended tables are all of this one kind, so every operation works on every name.
+
+Tables that belong together (the star schema) are written first, all of them, and then published by
+``publish_together``: their views are repointed one after the other, undone if one fails, and the view
+``<layer>.generation`` names the versions that belong together. It is replaced by one statement, so
+``read_together`` sees all tables of one generation whatever happens in between.
+
+An append may carry a run id. Its rows are then a table of their own, joined to the view by the one
+statement that also notes the run in the view's properties: a repeated run adds nothing.
 """
 
 from __future__ import annotations
@@ -13,14 +21,24 @@ import re
 import uuid
 import warnings
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierline.operators.joins import ROW_ID
 from tierline.session import shared_dir
-from tierline.sources.schemas import table_ddl
+from tierline.sources.schemas import REJECT_COLUMNS, table_ddl
+from tierline.staging import stage
 
 LAYERS = ("bronze", "silver", "gold")
+GENERATION = "generation"
+REJECTS = "_rejects"
+# Appended runs of a name beyond this many are folded into one version.
+MAX_PARTS = 32
+_RUNS = "tierline.runs"
 _VERSION = re.compile(r"^(?P<name>.+)__v(?P<n>\d+)(_[0-9a-f]+)?$")
+_SOURCE = re.compile(r"FROM (`[^`]+`\.`[^`]+`)")
 
 
 def _insert_by_name(spark: SparkSession, target: str, df: DataFrame) -> None:
@@ -34,21 +52,22 @@ def _insert_by_name(spark: SparkSession, target: str, df: DataFrame) -> None:
         spark.catalog.dropTempView(view)
 
 
-FILES_PER_VALUE = 8
 MAX_PARTITION_VALUES = 10_000
 
 
 def _spread(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
-    """Rows of one partition value in at most ``FILES_PER_VALUE`` files: without this every task writes
-    a file for every value it meets. A hot value (such as all NULL dates) is spread by the salt."""
+    """Rows ranged by partition value and row number, so every task writes about as many rows as any other
+    whatever the values weigh: a value with a third of all rows (such as NULL dates) is a third of the
+    ranges, even if its rows are equal, and rare values share one. There are at most as many files as
+    values and tasks together. The rows are written once before, so their numbers hold."""
     if not partition_by:
         return df
-    values = df.agg(F.approx_count_distinct(F.struct(*partition_by))).first()[0]
+    rows = stage(df, "partitioned").df.withColumn(ROW_ID, F.monotonically_increasing_id())
+    values = rows.agg(F.approx_count_distinct(F.struct(*partition_by))).first()[0]
     if values > MAX_PARTITION_VALUES:
         warnings.warn(f"partitioning by {', '.join(partition_by)} makes about {values} folders; a coarser "
                       "column (such as the month) prunes nearly as well", stacklevel=3)
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(FILES_PER_VALUE))
-    return df.repartition(*partition_by, salt)
+    return rows.repartitionByRange(*partition_by, ROW_ID).drop(ROW_ID)
 
 
 class Warehouse:
@@ -81,11 +100,16 @@ class Warehouse:
         if not self.spark.catalog.databaseExists(self.db(layer)):
             return
         self.drop_view(layer, table)
+        self.drop_view(layer, table + REJECTS)
+        self._set_generation(layer, {k: v for k, v in self.generation(layer).items() if k != table})
         for _, physical in self._physical_versions(layer, table):
             self._drop_physical(layer, physical)
 
     def _drop_physical(self, layer: str, physical: str) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, physical)}")
+        """Drop a version and the runs appended to it."""
+        parts = self.spark.catalog.listTables(self.db(layer), pattern=f"{physical}_p_*")
+        for name in [physical, *(t.name for t in parts)]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, name)}")
 
     def drop_view(self, layer: str, view: str) -> None:
         self.spark.sql(f"DROP VIEW IF EXISTS {self.name(layer, view)}")
@@ -106,18 +130,49 @@ class Warehouse:
         self.publish_view(layer, table, f"SELECT * FROM {target}")
         return self.name(layer, table)
 
-    def current(self, layer: str, table: str) -> str:
-        """The versioned table behind a published name."""
+    def _view_text(self, layer: str, table: str) -> str:
         rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}").collect()
-        text = next(r[1] for r in rows if r[0] == "View Text")
-        return text.removeprefix("SELECT * FROM ")
+        return next(r[1] for r in rows if r[0] == "View Text")
+
+    def current(self, layer: str, table: str) -> str:
+        """The versioned table behind a published name (its first, if runs were appended)."""
+        return _SOURCE.search(self._view_text(layer, table)).group(1)
+
+    def append(self, layer: str, table: str, df: DataFrame, run_id: str | None = None) -> bool:
+        """Append ``df`` to the published name by column name; columns not given take their defaults.
+
+        Without ``run_id`` the rows are inserted into the version behind the name: its files become visible
+        when the job commits, running readers keep the files they listed, and a failed insert leaves
+        the table as it was. With ``run_id`` they become a table of their own that one statement adds
+        to the view together with the run's name; a run that is there already adds nothing. Returns whether
+        the rows were appended.
+        """
+        if run_id is None:
+            _insert_by_name(self.spark, self.current(layer, table), df)
+            self.spark.catalog.refreshTable(self.name(layer, table))
+            return True
+        runs = self.appended_runs(layer, table)
+        if run_id in runs:
+            return False
+        text = self._view_text(layer, table)
+        sources = _SOURCE.findall(text)
+        part = f"{sources[0][:-1]}_p_{uuid.uuid4().hex[:12]}`"  # named after its version, dropped with it
+        try:
+            self.spark.sql(f"CREATE TABLE {part} LIKE {sources[0]} USING parquet")
+            _insert_by_name(self.spark, part, df)
+            columns = text[len("SELECT "):text.index(" FROM ")]
+            self.publish_view(layer, table, f"{text} UNION ALL SELECT {columns} FROM {part}", [*runs, run_id])
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {part}")
+            raise
+        if len(sources) >= MAX_PARTS:
+            self.publish(layer, table, self.read(layer, table), like=sources[0], runs=[*runs, run_id])
+        return True
 
-    def append(self, layer: str, table: str, df: DataFrame) -> None:
-        """``INSERT INTO`` the version behind the published name, by column name. The files of the insert
-        become visible when its job commits; running readers keep the files they listed, and a
-        failed insert leaves the table as it was."""
-        _insert_by_name(self.spark, self.current(layer, table), df)
-        self.spark.catalog.refreshTable(self.name(layer, table))
+    def appended_runs(self, layer: str, table: str) -> list[str]:
+        """Ids of the runs appended to a name since its last refresh."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}").collect()
+        return next((r["value"].split("\n") for r in rows if r["key"] == _RUNS), [])
 
     def _next_version(self, layer: str, table: str) -> str:
         existing = self._physical_versions(layer, table)
@@ -140,20 +195,20 @@ class Warehouse:
         """Version numbers of ``table`` that exist as tables, oldest first."""
         return [n for n, _ in self._physical_versions(layer, table)]
 
-    def publish(self, layer: str, table: str, df: DataFrame, schema=None, with_audit: bool = False,
-                partition_by: tuple[str, ...] = (), analyze: bool = False, like: str | None = None) -> str:
-        """Write ``df`` as the next version of ``table`` and repoint the view ``layer.table``.
+    def write_version(self, layer: str, table: str, df: DataFrame, schema=None, with_audit: bool = False,
+                      partition_by: tuple[str, ...] = (), analyze: bool = False, like: str | None = None,
+                      rejects: bool = False) -> str:
+        """Write ``df`` as the next version of ``table`` without publishing it; a failed write drops it.
 
         With ``schema`` the version is first created as a typed table (``VARCHAR(50)`` strings,
         optional defaulted audit column) and filled by ``INSERT INTO t (cols) SELECT``, so types,
-        string limits and defaults are enforced by the table; ``like`` names a version whose
-        definition is taken over instead. A failed write drops its own version
-        and leaves the view on the previous one. ``partition_by`` (untyped path) writes one folder
-        per value, so filters on those columns prune files. ``analyze`` records row count and size
-        in the catalog (``ANALYZE TABLE``), so later plans over the table know its exact size.
+        string limits and defaults are enforced by the table; with ``rejects`` it also holds the raw text and
+        file of rows that did not parse. ``like`` names a version whose definition is taken over
+        instead. ``partition_by`` (untyped path) writes one folder per value, so filters on those columns
+        prune files. ``analyze`` records row count and size in the catalog (``ANALYZE TABLE``), so later
+        plans over the table know its exact size.
         """
         self.ensure_namespace(layer)
-        existing = self._physical_versions(layer, table)
         target = self._next_version(layer, table)
         try:
             if like is not None:
@@ -165,26 +220,99 @@ class Warehouse:
                     writer = writer.partitionBy(*partition_by)
                 writer.saveAsTable(target)
             else:
-                self.spark.sql(table_ddl(target, schema, with_audit=with_audit))
+                self.spark.sql(table_ddl(target, schema, with_audit=with_audit, with_rejects=rejects))
                 _insert_by_name(self.spark, target, df)
             if analyze:
                 self.spark.sql(f"ANALYZE TABLE {target} COMPUTE STATISTICS")
         except Exception:
             self.spark.sql(f"DROP TABLE IF EXISTS {target}")
             raise
-        self.publish_view(layer, table, f"SELECT * FROM {target}")
-        for _, old in existing[: max(0, len(existing) + 1 - self.keep_versions)]:
-            self._drop_physical(layer, old)
         return target
 
-    def publish_view(self, layer: str, view: str, select_sql: str) -> str:
+    def publish(self, layer: str, table: str, df: DataFrame, runs: Sequence[str] = (), **write) -> str:
+        """``write_version``, then repoint the view ``layer.table``; on failure the view stays where it was."""
+        target = self.write_version(layer, table, df, **write)
+        columns = None
+        if write.get("rejects"):
+            columns = write["schema"].fieldNames()
+            raw = ", ".join(f"`{c}`" for c in REJECT_COLUMNS)
+            self.publish_view(layer, table + REJECTS,
+                              f"SELECT {raw} FROM {target} WHERE `{REJECT_COLUMNS[0]}` IS NOT NULL")
+        self._repoint(layer, table, target, columns, runs)
+        generation = self.generation(layer)
+        if table in generation:
+            self._set_generation(layer, {**generation, table: target})
+        self._drop_old(layer, table, target)
+        return target
+
+    def _repoint(self, layer: str, table: str, target: str, columns: Sequence[str] | None = None,
+                 runs: Sequence[str] = ()) -> None:
+        chosen = "*" if columns is None else ", ".join(f"`{c}`" for c in columns)
+        self.publish_view(layer, table, f"SELECT {chosen} FROM {target}", runs)
+
+    def _drop_old(self, layer: str, table: str, target: str) -> None:
+        """Drop the versions beyond ``keep_versions``, each with the runs appended to it."""
+        kept = [(n, t) for n, t in self._physical_versions(layer, table) if self.name(layer, t) != target]
+        for _, old in kept[: max(0, len(kept) + 1 - self.keep_versions)]:
+            self._drop_physical(layer, old)
+
+    def publish_together(self, layer: str, targets: Mapping[str, str]) -> None:
+        """Publish written versions (table name to version) as one generation.
+
+        Views are repointed last of all, when every version is complete; if one of these statements fails, those
+        before it are undone and the unpublished versions are dropped. The generation is named by one
+        statement at the end, the moment from which ``read_together`` reads the new versions.
+        """
+        before = {t: self._view_text(layer, t) if self.exists(layer, t) else None for t in targets}
+        done: list[str] = []
+        try:
+            for table, target in targets.items():
+                done.append(table)
+                self._repoint(layer, table, target)
+            self._set_generation(layer, {**self.generation(layer), **targets})
+        except Exception:
+            for table in done:
+                if before[table] is None:
+                    self.drop_view(layer, table)
+                else:
+                    self.publish_view(layer, table, before[table])
+            self.drop_versions(layer, targets.values())
+            raise
+        for table, target in targets.items():
+            self._drop_old(layer, table, target)
+
+    def drop_versions(self, layer: str, targets) -> None:
+        """Drop written versions that were not published."""
+        for target in targets:
+            self.spark.sql(f"DROP TABLE IF EXISTS {target}")
+
+    def generation(self, layer: str) -> dict[str, str]:
+        """Table name to version of the tables that were published together."""
+        if not self.exists(layer, GENERATION):
+            return {}
+        return {r["table_name"]: r["version"] for r in self.read(layer, GENERATION).collect()}
+
+    def _set_generation(self, layer: str, versions: Mapping[str, str]) -> None:
+        if not versions:
+            self.drop_view(layer, GENERATION)
+            return
+        rows = ", ".join(f"('{t}', '{v}')" for t, v in versions.items())
+        self.publish_view(layer, GENERATION, f"SELECT * FROM VALUES {rows} AS g(table_name, version)")
+
+    def publish_view(self, layer: str, view: str, select_sql: str, runs: Sequence[str] = ()) -> str:
         self.ensure_namespace(layer)
-        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, view)} AS {select_sql}")
+        ids = "\n".join(runs).replace("\\", "\\\\").replace("'", "\\'")
+        noted = f" TBLPROPERTIES ('{_RUNS}' = '{ids}')" if runs else ""
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, view)}{noted} AS {select_sql}")
         return self.name(layer, view)
 
     # ---- S10 ----
     def read(self, layer: str, table: str) -> DataFrame:
         return self.spark.table(f"{self.db(layer)}.{table}")
 
+    def read_together(self, layer: str) -> dict[str, DataFrame]:
+        """The tables of the layer's current generation, all of one publication."""
+        return {t: self.spark.table(v) for t, v in self.generation(layer).items()}
+
     def exists(self, layer: str, table: str) -> bool:
         return self.spark.catalog.tableExists(f"{self.db(layer)}.{table}")

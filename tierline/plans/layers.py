@@ -24,8 +24,8 @@ from tierline.operators.ranged import bucket_count
 from tierline.plans.catalog import Warehouse
 from tierline.plans.sinks import append, refresh
 from tierline.session import apply_scale_conf, path_bytes, run_concurrently, shuffle_partitions
-from tierline.sources.delimited import CORRUPT_COLUMN, read_extract
-from tierline.sources.schemas import BRONZE, SILVER, SOURCE_FILES, STRING_LIMIT
+from tierline.sources.delimited import read_extract, with_rejects
+from tierline.sources.schemas import BRONZE, REJECT_COLUMNS, SILVER, SOURCE_FILES, STRING_LIMIT
 from tierline.staging import Stats, stage
 
 # Independent tables of one layer are submitted concurrently by this many driver threads.
@@ -63,35 +63,38 @@ class RunAudit:
 def _write_observed(wh: Warehouse, audit: RunAudit, layer: str, table: str,
                     df: DataFrame | Callable[[], DataFrame], bad: Column | None = None,
                     audit_column: bool = False, drop: tuple[str, ...] = (), schema=None,
-                    partition_by: tuple[str, ...] = (), analyze: bool = False) -> None:
+                    partition_by: tuple[str, ...] = (), analyze: bool = False, rejects: bool = False,
+                    publish: bool = True) -> str:
     """Publish ``df`` (or the frame ``df()`` builds) while counting its rows and bad rows in the
-    same job; ``drop`` lists helper columns used only by ``bad`` (removed before the write)."""
+    same job; ``drop`` lists helper columns used only by ``bad`` (removed before the write). Returns the
+    version written; with ``publish=False`` it is not published yet."""
     obs = Observation(f"{layer}_{table}_{uuid.uuid4().hex[:8]}")
     bad_expr = F.count_if(F.coalesce(bad, F.lit(False))) if bad is not None else F.lit(0).cast("bigint")
     start = time.perf_counter()
     try:
         frame = df() if callable(df) else df
         observed = frame.observe(obs, F.count(F.lit(1)).alias("rows"), bad_expr.alias("bad_rows"))
-        refresh(wh, layer, table, observed.drop(*drop), audit_column=audit_column, schema=schema,
-                partition_by=partition_by, analyze=analyze)
+        target = refresh(wh, layer, table, observed.drop(*drop), audit_column=audit_column, schema=schema,
+                         partition_by=partition_by, analyze=analyze, rejects=rejects, publish=publish)
     except Exception as exc:  # recorded, then raised: the run stops here
         audit.record(layer, table, None, None, time.perf_counter() - start, "failed", str(exc))
         raise
     metrics = obs.get
     audit.record(layer, table, int(metrics["rows"]), int(metrics["bad_rows"]), time.perf_counter() - start)
+    return target
 
 
 def load_bronze(wh: Warehouse, source_root: str, audit: RunAudit, tables=tuple(BRONZE),
                 max_workers: int = LOAD_THREADS) -> None:
     """O1: each extract read with its fixed schema and published as a bronze table (full refresh).
-    Bad rows = rows that did not parse (kept with NULLs, raw text counted)."""
+    Bad rows = rows that did not parse: kept with NULLs and counted, and shown with their raw text and
+    file by the view ``<table>_rejects``, all written by the same pass."""
     spark = wh.spark
 
     def step(table: str) -> Callable[[], None]:
         path = f"{source_root.rstrip('/')}/{SOURCE_FILES[table]}"
-        return lambda: _write_observed(wh, audit, "bronze", table, lambda: read_extract(spark, path, BRONZE[table]),
-                                       bad=F.col(CORRUPT_COLUMN).isNotNull(), drop=(CORRUPT_COLUMN,),
-                                       schema=BRONZE[table])
+        return lambda: _write_observed(wh, audit, "bronze", table, lambda: with_rejects(read_extract(spark, path, BRONZE[table])),
+                                       bad=F.col(REJECT_COLUMNS[0]).isNotNull(), schema=BRONZE[table], rejects=True)
 
     run_concurrently([step(t) for t in tables], max_workers)
 
@@ -99,7 +102,7 @@ def load_bronze(wh: Warehouse, source_root: str, audit: RunAudit, tables=tuple(B
 def _observed_rows(audit: RunAudit | None, layer: str) -> dict[str, int]:
     if audit is None:
         return {}
-    return {r[2]: r[3] for r in audit.rows if r[1] == layer and r[6] == "ok" and r[3] is not None}
+    return {r[2]: r[3] for r in list(audit.rows) if r[1] == layer and r[6] == "ok" and r[3] is not None}
 
 
 def silver_frames(wh: Warehouse, as_of=None, audit: RunAudit | None = None,
@@ -146,7 +149,9 @@ def load_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int = L
 def append_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int = LOAD_THREADS) -> None:
     """S3 for all six tables: the cleaned bronze rows are appended by column name to the silver tables
     that ``load_silver`` fills and gold reads (created when missing, ``dwh_create_date`` filled by its
-    default). Customers use the append variant of T1, which keeps one row for the NULL id group."""
+    default). Customers use the append variant of T1, which keeps one row for the NULL id group. The
+    rows are noted under the audit's run id: repeating that run appends only to tables that it has not
+    reached (the others are recorded with 0 rows and status ``skipped``)."""
     frames = silver_frames(wh, as_of, drop_null_ids=False)
 
     def step(table: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
@@ -157,7 +162,10 @@ def append_silver(wh: Warehouse, audit: RunAudit, as_of=None, max_workers: int =
                     wh.create_table("silver", table, SILVER[table], with_audit=True, replace=False)
                 obs = Observation(f"append_{table}_{uuid.uuid4().hex[:8]}")
                 rows = build().select(*SILVER[table].fieldNames()).observe(obs, F.count(F.lit(1)).alias("rows"))
-                append(wh, "silver", table, rows)
+                if audit.run_id in wh.appended_runs("silver", table):
+                    audit.record("append", table, 0, 0, time.perf_counter() - start, "skipped")
+                    return
+                append(wh, "silver", table, rows, audit.run_id)
             except Exception as exc:
                 audit.record("append", table, None, None, time.perf_counter() - start, "failed", str(exc))
                 raise
@@ -173,11 +181,13 @@ def _silver(wh: Warehouse, table: str) -> DataFrame:
 
 def load_gold(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS,
               fact_partition_by: tuple[str, ...] = ()) -> None:
-    """O3: dimensions first, then the fact over the published dimensions, so surrogate keys are
-    computed once and shared. Row counts that the writes observed size the buckets and the lookups, so
-    nothing is counted again. ``fact_partition_by`` (e.g. ``("order_date",)``) writes the fact in
-    one folder per value for partition pruning."""
+    """O3: dimensions first, then the fact over these dimensions, so surrogate keys are computed once
+    and shared; all three are published together at the end (``Warehouse.publish_together``). Until then,
+    and after a failure, readers find the previous star, whose keys fit each other. Row counts that the
+    writes observed size the buckets and the lookups, so nothing is counted again. ``fact_partition_by``
+    (e.g. ``("order_date",)``) writes the fact in one folder per value for partition pruning."""
     silver_rows = _observed_rows(audit, "silver")
+    recorded, versions = len(audit.rows), {}
 
     def dimension(table: str, source: str, build: Callable[[], DataFrame], order: list[str], unique: list[str],
                   key: str) -> Callable[[], None]:
@@ -187,28 +197,37 @@ def load_gold(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS,
                 return gold.with_surrogate_key(build(), order, unique, key, n_rows=rows)
             joined = stage(build(), table)  # cut the lineage: the key step reads the joined rows twice
             return gold.with_surrogate_key(joined.df, order, unique, key, n_rows=joined.stats.rows)
-        # Dimensions get catalog statistics: exact sizes for every later plan that joins them.
-        return lambda: _write_observed(wh, audit, "gold", table, frame, analyze=True)
 
-    run_concurrently([
-        dimension("dim_customers", "crm_cust_info", lambda: gold.customers_joined(
-            _silver(wh, "crm_cust_info"), _silver(wh, "erp_cust_az12"), _silver(wh, "erp_loc_a101")),
-            gold.CUSTOMER_ORDER, gold.CUSTOMER_ID, "customer_key"),
-        dimension("dim_products", "crm_prd_info", lambda: gold.products_joined(
-            _silver(wh, "crm_prd_info"), _silver(wh, "erp_px_cat_g1v2")),
-            gold.PRODUCT_ORDER, gold.PRODUCT_ID, "product_key"),
-    ], max_workers)
+        def run() -> None:
+            # Dimensions get catalog statistics: exact sizes for every later plan that joins them.
+            versions[table] = _write_observed(wh, audit, "gold", table, frame, analyze=True, publish=False)
+        return run
 
     def fact() -> DataFrame:
         # The dimension writes observed their exact row counts, and table strings have a limit.
         sizes = {t: Stats(n, n * LOOKUP_ROW_BYTES) for t, n in _observed_rows(audit, "gold").items()}
-        return gold.fact_sales(_silver(wh, "crm_sales_details"), wh.read("gold", "dim_products"),
-                               wh.read("gold", "dim_customers"), prod_stats=sizes["dim_products"],
-                               cust_stats=sizes["dim_customers"])
+        return gold.fact_sales(_silver(wh, "crm_sales_details"), wh.spark.table(versions["dim_products"]),
+                               wh.spark.table(versions["dim_customers"]), prod_stats=sizes["dim_products"],
+                               cust_stats=sizes["dim_customers"], fixed_order=True)
 
-    _write_observed(wh, audit, "gold", "fact_sales", fact,
-                    bad=F.col("product_key").isNull() | F.col("customer_key").isNull(),
-                    partition_by=tuple(fact_partition_by))
+    try:
+        run_concurrently([
+            dimension("dim_customers", "crm_cust_info", lambda: gold.customers_joined(
+                _silver(wh, "crm_cust_info"), _silver(wh, "erp_cust_az12"), _silver(wh, "erp_loc_a101")),
+                gold.CUSTOMER_ORDER, gold.CUSTOMER_ID, "customer_key"),
+            dimension("dim_products", "crm_prd_info", lambda: gold.products_joined(
+                _silver(wh, "crm_prd_info"), _silver(wh, "erp_px_cat_g1v2")),
+                gold.PRODUCT_ORDER, gold.PRODUCT_ID, "product_key"),
+        ], max_workers)
+        versions["fact_sales"] = _write_observed(
+            wh, audit, "gold", "fact_sales", fact, bad=F.col("product_key").isNull() | F.col("customer_key").isNull(),
+            partition_by=tuple(fact_partition_by), publish=False)
+        wh.publish_together("gold", versions)
+    except Exception:
+        wh.drop_versions("gold", versions.values())
+        # what was written but never published
+        audit.rows[recorded:] = [(*r[:6], "dropped", r[7]) if r[6] == "ok" else r for r in audit.rows[recorded:]]
+        raise
 
 
 def verify_load(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS) -> None:
@@ -218,13 +237,14 @@ def verify_load(wh: Warehouse, audit: RunAudit, max_workers: int = LOAD_THREADS)
     fact rows without a dimension row (Q15). Informational: nothing is raised."""
     from tierline.operators import quality
 
+    star = wh.read_together("gold")
     checks = {
         "silver_customer_duplicates": lambda: quality.duplicate_keys(_silver(wh, "crm_cust_info"), "cst_id"),
         "customer_fanout": lambda: quality.customer_fanout(
             _silver(wh, "crm_cust_info"), _silver(wh, "erp_cust_az12"), _silver(wh, "erp_loc_a101")),
         "product_fanout": lambda: quality.product_fanout(_silver(wh, "crm_prd_info"), _silver(wh, "erp_px_cat_g1v2")),
         "fact_without_dimension": lambda: quality.fk_integrity(
-            wh.read("gold", "fact_sales"), wh.read("gold", "dim_customers"), wh.read("gold", "dim_products")),
+            star["fact_sales"], star["dim_customers"], star["dim_products"]),
     }
 
     def step(name: str, build: Callable[[], DataFrame]) -> Callable[[], None]:
@@ -249,13 +269,14 @@ def write_audit(wh: Warehouse, audit: RunAudit) -> DataFrame:
 
 def run_layers(wh: Warehouse, layers: tuple[str, ...], source_root: str | None = None, as_of=None,
                on_layer_done: Callable[[str], None] | None = None, fact_partition_by: tuple[str, ...] = (),
-               sizing: bool = True) -> DataFrame:
+               sizing: bool = True, run_id: str | None = None) -> DataFrame:
     """The named steps in order (``bronze``, ``silver``, ``gold``, ``append``, ``check``), each with its own
-    audit row. The audit is written even when a step fails, then the error is raised. With
+    audit row. ``run_id`` names the run (default: a new id); appending under the id of an earlier run adds
+    only what that run did not. The audit is written even when a step fails, then the error is raised. With
     ``sizing`` shuffle and scan partitions follow the size of the extracts during the run (never
     fewer than the session's own)."""
     spark = wh.spark
-    audit = RunAudit()
+    audit = RunAudit(run_id) if run_id else RunAudit()
     steps = {
         "bronze": lambda: load_bronze(wh, source_root, audit),
         "silver": lambda: load_silver(wh, audit, as_of=as_of),

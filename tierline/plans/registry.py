@@ -197,10 +197,10 @@ def q_latest_order_per_customer(spark, sf):
 
 
 def q_order_validity_ranges(spark, sf):
-    """T2's ``lead`` on native orders, range-bucketed."""
+    """T2's ``lead`` on native orders, range-bucketed, heads in two levels."""
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     nxt = lead_in_group(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate",
-                        "next_orderdate", rows_per_bucket=SMALL_BUCKET)
+                        "next_orderdate", rows_per_bucket=SMALL_BUCKET, fan=2)
     return nxt.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("valid_from"),
                       day_before("next_orderdate").alias("valid_to"))
 
@@ -368,7 +368,7 @@ def q_dq_customer_fanout(spark, sf):
 
 def q_dq_gender_matrix(spark, sf):
     """Q13: CRM gender x ERP gender -> integrated gender."""
-    return quality.gender_matrix(s_cust(spark, sf), s_az(spark, sf), s_loc(spark, sf))
+    return quality.gender_matrix(s_cust(spark, sf), s_az(spark, sf))
 
 
 def q_dq_product_fanout(spark, sf):
@@ -381,7 +381,7 @@ def q_dq_product_fanout(spark, sf):
 def q_dq_fk_integrity(spark, sf):
     """Q15 with the seeded defect (customers that the sales don't refer to)."""
     dp, dc = _staged_dims(spark, sf, cust=_seeded_customers(spark, sf))
-    return quality.fk_integrity(_fact(spark, sf, dp, dc), dc.df, dp.df)
+    return quality.fk_integrity(_fact(spark, sf, dp, dc), dc.df, dp.df, cust_stats=dc.stats, prod_stats=dp.stats)
 
 
 def q_dq_summary_one_pass(spark, sf):
@@ -464,11 +464,30 @@ def stage_extracts(spark, sf, root: str) -> str:
     return root
 
 
-def _pipeline(spark, sf, layers):
+def _pipeline(spark, sf, layers, run_id=None):
     """The named layer steps over staged extracts: the warehouse and its audit rows."""
     wh = _wh(spark, "run")
     sources = stage_extracts(spark, sf, scratch_path(spark, "sources"))
-    return wh, run_layers(wh, layers, sources, as_of=FIXED_AS_OF)
+    return wh, run_layers(wh, layers, sources, as_of=FIXED_AS_OF, run_id=run_id)
+
+
+def q_bronze_rejects(spark, sf):
+    """Rows of the staged sales extract that don't parse, with their raw text and file."""
+    wh, _ = _pipeline(spark, sf, ("bronze",))
+    rejects = wh.read("bronze", "crm_sales_details_rejects")
+    return rejects.select(F.col("_raw").alias("raw"), F.col("_file").contains("sales_details.csv").alias("from_sales"))
+
+
+def q_silver_append_repeat(spark, sf):
+    """S3: a run appended twice counts once; the contents of all six silver tables, as text."""
+    wh, _ = _pipeline(spark, sf, ("bronze", "silver", "append"), run_id="first")
+    run_layers(wh, ("append",), as_of=FIXED_AS_OF, run_id="first")
+    out = None
+    for t in SILVER:
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in SILVER[t].fieldNames()]
+        rows = wh.read("silver", t).select(F.lit(t).alias("table_name"), F.concat_ws("|", *cells).alias("row_text"))
+        out = rows if out is None else out.unionByName(rows)
+    return out.groupBy("table_name", "row_text").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_silver_append_all(spark, sf):
@@ -563,6 +582,8 @@ QUERIES: dict[str, Query] = {
     "catalog_views": q_catalog_views,
     "silver_append_all": q_silver_append_all,
     "silver_append_gold": q_silver_append_gold,
+    "silver_append_repeat": q_silver_append_repeat,
+    "bronze_rejects": q_bronze_rejects,
     "pipeline_dim_customers": q_pipeline_dim_customers,
     "pipeline_dim_products": q_pipeline_dim_products,
     "pipeline_fact_sales": q_pipeline_fact_sales,

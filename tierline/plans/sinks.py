@@ -8,30 +8,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.plans.catalog import Warehouse
-from tierline.sources.schemas import AUDIT_COLUMN
+from tierline.sources.schemas import AUDIT_COLUMN, REJECT_COLUMNS
 
 
 def refresh(wh: Warehouse, layer: str, table: str, df: DataFrame, audit_column: bool = False,
             schema: T.StructType | None = None, partition_by: tuple[str, ...] = (),
-            analyze: bool = False) -> str:
+            analyze: bool = False, rejects: bool = False, publish: bool = True) -> str:
     """Replace the contents of ``layer.table`` with ``df`` (new version, then view repoint).
 
     With ``schema`` the version is a typed table (S5: ``VARCHAR(50)`` strings; with
-    ``audit_column`` a ``dwh_create_date DEFAULT current_timestamp()`` column filled by default, S4).
-    Without it, ``audit_column`` adds ``dwh_create_date = current_timestamp()`` to the rows.
+    ``audit_column`` a ``dwh_create_date DEFAULT current_timestamp()`` column filled by default, S4; with
+    ``rejects`` the raw text and file of rows that did not parse, shown by ``<table>_rejects``).
+    Without it, ``audit_column`` adds ``dwh_create_date = current_timestamp()`` to the rows. With
+    ``publish=False`` the version is written only, for ``Warehouse.publish_together``.
     """
+    write = wh.publish if publish else wh.write_version
     if schema is not None:
-        return wh.publish(layer, table, df.select(*schema.fieldNames()), schema=schema, with_audit=audit_column,
-                          analyze=analyze)
+        columns = [*schema.fieldNames(), *(REJECT_COLUMNS if rejects else ())]
+        return write(layer, table, df.select(*columns), schema=schema, with_audit=audit_column, analyze=analyze,
+                     rejects=rejects)
     if audit_column:
         df = df.withColumn(AUDIT_COLUMN, F.current_timestamp())
-    return wh.publish(layer, table, df, partition_by=partition_by, analyze=analyze)
+    return write(layer, table, df, partition_by=partition_by, analyze=analyze)
 
 
-def append(wh: Warehouse, layer: str, table: str, df: DataFrame) -> None:
+def append(wh: Warehouse, layer: str, table: str, df: DataFrame, run_id: str | None = None) -> bool:
     """S3: ``INSERT INTO layer.table (df's columns) SELECT ...``; columns not given (such as the
-    silver audit column) take their declared defaults."""
-    wh.append(layer, table, df)
+    silver audit column) take their declared defaults. With ``run_id`` a repeated append of the same run
+    adds nothing (returns False)."""
+    return wh.append(layer, table, df, run_id)
 
 
 def delete_where(wh: Warehouse, layer: str, table: str, predicate: Column) -> str:
@@ -41,4 +46,4 @@ def delete_where(wh: Warehouse, layer: str, table: str, predicate: Column) -> st
     so the kept rows become the next version, of the same definition, and the view is repointed.
     """
     kept = wh.read(layer, table).filter(~F.coalesce(predicate, F.lit(False)))
-    return wh.publish(layer, table, kept, like=wh.current(layer, table))
+    return wh.publish(layer, table, kept, like=wh.current(layer, table), runs=wh.appended_runs(layer, table))

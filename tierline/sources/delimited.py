@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierline.sources.schemas import REJECT_COLUMNS
+
 CORRUPT_COLUMN = "_corrupt_record"
 
 _READ_OPTIONS = {
@@ -45,6 +47,15 @@ def read_extract(spark: SparkSession, path: str, schema: T.StructType,
     return spark.read.schema(read_schema).options(**opts).csv(path)
 
 
+def with_rejects(extract: DataFrame) -> DataFrame:
+    """``read_extract``'s frame with ``REJECT_COLUMNS`` in place of the corrupt-record column: the raw text
+    and the file of a row that did not parse."""
+    raw, file = REJECT_COLUMNS
+    bad = F.col(CORRUPT_COLUMN)
+    return (extract.withColumn(file, F.when(bad.isNotNull(), F.col("_metadata.file_path"))).withColumn(raw, bad)
+            .drop(CORRUPT_COLUMN))
+
+
 def write_extract(df: DataFrame, path: str) -> None:
     """Write ``df`` as extract part files in the same format (used to stage test sources).
 

@@ -69,11 +69,18 @@ def _sql_type(dt: T.DataType) -> str:
     return dt.simpleString().upper()
 
 
+# Raw text and file of a row that did not parse; NULL in all other rows.
+REJECT_COLUMNS = ("_raw", "_file")
+
+
 def table_ddl(qualified_name: str, schema: T.StructType, with_audit: bool = False,
-              location: str | None = None) -> str:
-    """``CREATE TABLE`` text with 50-character strings and, for silver, a defaulted audit column."""
+              location: str | None = None, with_rejects: bool = False) -> str:
+    """``CREATE TABLE`` text with 50-character strings and, for silver, a defaulted audit column; with
+    ``with_rejects`` the columns of rows that did not parse."""
     cols = [f"{f.name} {_sql_type(f.dataType)}" for f in schema.fields]
     if with_audit:
         cols.append(f"{AUDIT_COLUMN} TIMESTAMP DEFAULT current_timestamp()")
+    if with_rejects:
+        cols += [f"{c} STRING" for c in REJECT_COLUMNS]
     loc = f" LOCATION '{location}'" if location else ""
     return f"CREATE TABLE {qualified_name} ({', '.join(cols)}) USING parquet{loc}"
