@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tierline.operators import joins
+from tierline.operators.absence import absent_rows, filter_words, may_contain, not_in
 from tierline.operators.ranged import bucket_count, dense_key, lead_in_group, ranged
 from tierline.staging import measure, stage
 
@@ -130,9 +131,28 @@ def test_not_in_sql_semantics(spark, skewed):
     for name, right in cases.items():
         right.createOrReplaceTempView("r_t")
         expect = spark.sql("select id from l_t where k not in (select rk from r_t)")
-        for max_rows in (1_000_000, 5):  # broadcast path and salted shuffle path
-            got = joins.not_in(skewed, "k", right, "rk", max_rows=max_rows).select("id")
-            assert sorted(got.collect()) == sorted(expect.collect()), (name, max_rows)
+        for max_rows, salted in ((1_000_000, False), (5, True), (5, False)):  # broadcast, salted shuffle, filter
+            got = not_in(skewed, "k", right, "rk", max_rows=max_rows, salted=salted).select("id")
+            assert sorted(got.collect()) == sorted(expect.collect()), (name, max_rows, salted)
+
+
+def test_a_filter_misses_no_key_and_few_others_pass(spark):
+    keys = spark.range(0, 20_000).select((F.col("id") * 3).alias("k")).unionByName(spark.createDataFrame([(None,)], "k long"))
+    words = filter_words(keys, "k", bits=1 << 18)
+    assert len(words.first()["words"]) == (1 << 18) // 64
+    asked = spark.range(0, 60_000).select("id", may_contain(words.scalar(), F.col("id"), 1 << 18).alias("hit"))
+    counts = {(r["third"], r["hit"]): r["count"] for r in
+              asked.groupBy((F.col("id") % 3 == 0).alias("third"), "hit").count().collect()}
+    assert counts[True, True] == 20_000 and (True, False) not in counts and counts[False, True] < 2_000
+
+
+def test_absent_rows_are_exact_even_when_every_key_passes_the_filter(spark, skewed):
+    a = spark.range(0, 60).select(F.col("id").cast("int").alias("rk")).unionByName(spark.createDataFrame([(3,), (None,)], "rk int"))
+    b = spark.range(0, 9).select(F.col("id").alias("rv"))
+    expect = [r["id"] for r in skewed.collect() if r["k"] is None or r["k"] >= 60 or r["v"] is None or r["v"] >= 9]
+    for bits in (64, 1 << 20):
+        got = absent_rows(skewed, [("k", a, "rk"), ("v", b, "rv")], bits=bits)
+        assert got.columns == skewed.columns and sorted(r["id"] for r in got.collect()) == expect
 
 
 def test_buckets_are_balanced_under_a_hot_key(skewed):

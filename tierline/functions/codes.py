@@ -15,6 +15,9 @@ PRODUCT_LINE = {"M": "Mountain", "R": "Road", "S": "Other Sales", "T": "Touring"
 ERP_GENDER = {"F": "Female", "FEMALE": "Female", "M": "Male", "MALE": "Male"}
 COUNTRY = {"DE": "Germany", "US": "United States", "USA": "United States"}
 
+# Compares as the source system does: case-insensitive, blind to trailing spaces.
+SOURCE_COLLATION = "UTF8_LCASE_RTRIM"
+
 # Prefix stripped from ERP customer ids; separator removed from location ids;
 # category id = first 5 characters of the product key with '-' -> '_'; product number starts at
 # character 7; earliest plausible birth date.

@@ -1,4 +1,4 @@
-"""Joins that hold up under skew: checked broadcasts, salted shuffle joins, exact ``NOT IN``.
+"""Joins that hold up under skew: checked broadcasts and salted shuffle joins.
 
 * A side is broadcast only when its measured rows and bytes are within the bounds.
 * Otherwise the join shuffles on (key, salt). Keys that hold more than half a shuffle partition's
@@ -6,9 +6,6 @@
   spread over salts in proportion to their count, and their small-side rows copied once per salt of
   that key. NULL keys, which never match, are spread the same way. The salt is a row number, so equal
   rows get different salts. Every row is kept; nothing is sampled away.
-* ``NOT IN (subquery)`` is null-aware: an empty subquery keeps every row, a NULL in it keeps none,
-  otherwise it is an anti join of the non-null keys (Spark alone would plan a nested-loop join once
-  the subquery is too large to broadcast).
 """
 
 from __future__ import annotations
@@ -122,17 +119,3 @@ def lookup_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
     if small is not None:
         return left.join(small, _on(left, right, pairs), how)
     return salted_join(left, right, pairs, how, hot=hot)
-
-
-def not_in(left: DataFrame, left_col: str, right: DataFrame, right_col: str,
-           max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of ``left`` where ``left_col NOT IN (SELECT right_col FROM right)``, SQL semantics.
-
-    The subquery is evaluated once: its distinct keys are written with their size."""
-    keys = stage(right.select(F.col(right_col).alias("_tl_key")).distinct(), "not-in-keys")
-    if keys.stats.rows == 0:
-        return left
-    if not keys.df.filter(F.col("_tl_key").isNull()).isEmpty():
-        return left.filter(F.lit(False))
-    return lookup_join(left.filter(F.col(left_col).isNotNull()), keys.df, [(left_col, "_tl_key")],
-                       "left_anti", max_rows=max_rows, stats=keys.stats)

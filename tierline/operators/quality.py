@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tierline.functions import codes
 from tierline.functions.expressions import has_eight_digits, has_outer_spaces, map_code
 from tierline.operators.gold import integrated_gender
-from tierline.operators.joins import BROADCAST_MAX_ROWS, lookup_join, not_in
+from tierline.operators.absence import absent_rows, not_in
+from tierline.operators.joins import BROADCAST_MAX_ROWS, fits_broadcast, lookup_join
 from tierline.operators.silver import repaired_price, repaired_sales
 from tierline.staging import Stats, measure_all, stage
 
@@ -75,8 +76,11 @@ def is_null(cols: Sequence[str]) -> Column:
     return _any([F.col(c).isNull() for c in cols])
 
 
-def has_spaces(cols: Sequence[str]) -> Column:
-    """Leading or trailing spaces (the source system's collation would only see leading ones)."""
+def has_spaces(cols: Sequence[str], collation: str | None = None) -> Column:
+    """Leading or trailing spaces. With a ``collation`` the value is compared with its trimmed form under
+    it: ``codes.SOURCE_COLLATION`` does not see trailing spaces, as in the source system."""
+    if collation is not None:
+        return _any([F.collate(F.col(c), collation) != F.trim(c) for c in cols])
     return _any([has_outer_spaces(c) for c in cols])
 
 
@@ -106,9 +110,10 @@ def null_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.filter(is_null(cols))
 
 
-def spaced_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Q3: whole rows in which any of ``cols`` has leading or trailing spaces."""
-    return df.filter(has_spaces(cols))
+def spaced_rows(df: DataFrame, cols: Sequence[str], collation: str | None = None) -> DataFrame:
+    """Q3: whole rows in which any of ``cols`` has leading or trailing spaces (``collation`` as in
+    ``has_spaces``)."""
+    return df.filter(has_spaces(cols, collation))
 
 
 def domain(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
@@ -163,13 +168,15 @@ def code_preview(df: DataFrame, c: str, mapping: Mapping[str, str]) -> DataFrame
 
 # ---- Q11, Q13, Q15: cross-table checks -----------------------------------------------------
 
-def location_orphans(erp_loc: DataFrame, cust: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def location_orphans(erp_loc: DataFrame, cust: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                     salted: bool = False) -> DataFrame:
     """Q11: location ids (with '-' removed) that are ``NOT IN`` the silver customer keys.
 
-    SQL semantics: a NULL customer key makes the answer empty; no customers keeps every row.
+    SQL semantics: a NULL customer key makes the answer empty; no customers keeps every row. ``max_rows`` and
+    ``salted`` as in ``absence.not_in``.
     """
     cleaned = erp_loc.select(F.replace(F.col("cid"), F.lit("-"), F.lit("")).alias("cid"), "cntry")
-    return not_in(cleaned, "cid", cust, "cst_key", max_rows=max_rows)
+    return not_in(cleaned, "cid", cust, "cst_key", max_rows=max_rows, salted=salted)
 
 
 def gender_matrix(cust: DataFrame, erp_cust: DataFrame) -> DataFrame:
@@ -188,12 +195,13 @@ def gender_matrix(cust: DataFrame, erp_cust: DataFrame) -> DataFrame:
 
 
 def fk_integrity(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame, cust_stats: Stats | None = None,
-                 prod_stats: Stats | None = None) -> DataFrame:
+                 prod_stats: Stats | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Q15: fact rows whose product or customer key finds no dimension row.
 
     Output: the fact's columns, then the dimensions' columns prefixed ``cust_`` and ``prod_``. Only the
-    dimensions' keys meet the whole fact; the violators are written, and the wide columns are
-    attached to those rows alone. ``cust_stats`` / ``prod_stats``: the dimensions' sizes, when known.
+    dimensions' keys meet the whole fact: by broadcast if both are within the bounds, otherwise by Bloom
+    filters and lookups of distinct keys (``absence.absent_rows``). The violators are written, and the wide
+    columns are attached to those rows alone. ``cust_stats`` / ``prod_stats``: the dimensions' sizes, when known.
     """
     ck = dim_cust.select(F.col("customer_key").alias("_tl_ck"))
     pk = dim_prod.select(F.col("product_key").alias("_tl_pk"))
@@ -201,9 +209,13 @@ def fk_integrity(fact: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame, cust
         cust_stats, prod_stats = measure_all([dim_cust, dim_prod])
     # a key column: two numbers of eight bytes a row
     size_c, size_p = (Stats(s.rows, 16 * s.rows) for s in (cust_stats, prod_stats))
-    found = lookup_join(lookup_join(fact, ck, [("customer_key", "_tl_ck")], stats=size_c),
-                        pk, [("product_key", "_tl_pk")], stats=size_p)
-    bad = stage(found.filter(F.col("_tl_ck").isNull() | F.col("_tl_pk").isNull()).select(*fact.columns), "fk-violators").df
+    if fits_broadcast(size_c, max_rows) and fits_broadcast(size_p, max_rows):
+        found = lookup_join(lookup_join(fact, ck, [("customer_key", "_tl_ck")], stats=size_c),
+                            pk, [("product_key", "_tl_pk")], stats=size_p)
+        bad = found.filter(F.col("_tl_ck").isNull() | F.col("_tl_pk").isNull()).select(*fact.columns)
+    else:
+        bad = absent_rows(fact, [("customer_key", ck, "_tl_ck"), ("product_key", pk, "_tl_pk")])
+    bad = stage(bad, "fk-violators").df
     c = dim_cust.select(*[F.col(x).alias(f"cust_{x}") for x in dim_cust.columns])
     p = dim_prod.select(*[F.col(x).alias(f"prod_{x}") for x in dim_prod.columns])
     with_c = lookup_join(bad, c, [("customer_key", "cust_customer_key")], "left", stats=cust_stats)

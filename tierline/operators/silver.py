@@ -131,10 +131,13 @@ def clean_erp_customers(df: DataFrame, as_of: str | Column | None = None,
         map_code("gen", gender_codes).alias("gen"))
 
 
-def clean_erp_locations(df: DataFrame, country_codes: Mapping[str, str] = codes.COUNTRY) -> DataFrame:
-    """T5: remove '-' from the id; country codes to names, blank or NULL -> 'n/a', else trimmed."""
+def clean_erp_locations(df: DataFrame, country_codes: Mapping[str, str] = codes.COUNTRY,
+                        collation: str | None = None) -> DataFrame:
+    """T5: remove '-' from the id; country codes to names, blank or NULL -> 'n/a', else trimmed. With a
+    ``collation`` (such as ``codes.SOURCE_COLLATION``) codes are compared under it."""
     cntry = F.trim("cntry")
-    named = map_code("cntry", country_codes, default=None, normalize=F.trim)
+    code = cntry if collation is None else F.collate(cntry, collation)
+    named = map_code("cntry", country_codes, default=None, normalize=lambda _: code)
     return df.select(
         F.replace(F.col("cid"), F.lit(codes.LOCATION_ID_SEPARATOR), F.lit("")).alias("cid"),
         F.when(named.isNotNull(), named)

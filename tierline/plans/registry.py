@@ -347,6 +347,12 @@ def q_dq_orphans_not_in(spark, sf):
 
 def q_dq_orphans_not_in_salted(spark, sf):
     """Q11 by a salted shuffle join, as for a subquery too large to broadcast."""
+    return quality.location_orphans(_bronze(spark, sf, "erp_loc_a101"), _seeded_customers(spark, sf), max_rows=0,
+                                    salted=True)
+
+
+def q_dq_orphans_not_in_filter(spark, sf):
+    """Q11 by a Bloom filter of the customer keys, as for a subquery too large to broadcast."""
     return quality.location_orphans(_bronze(spark, sf, "erp_loc_a101"), _seeded_customers(spark, sf), max_rows=0)
 
 
@@ -384,6 +390,26 @@ def q_dq_fk_integrity(spark, sf):
     return quality.fk_integrity(_fact(spark, sf, dp, dc), dc.df, dp.df, cust_stats=dc.stats, prod_stats=dp.stats)
 
 
+def q_dq_fk_integrity_filter(spark, sf):
+    """Q15 by Bloom filters of both dimensions' keys, as for dimensions too large to broadcast."""
+    dp, dc = _staged_dims(spark, sf, cust=_seeded_customers(spark, sf))
+    return quality.fk_integrity(_fact(spark, sf, dp, dc), dc.df, dp.df, cust_stats=dc.stats, prod_stats=dp.stats,
+                                max_rows=0)
+
+
+def q_dq_spaces_source_collation(spark, sf):
+    """Q3 as the source system's collation sees it: leading spaces only."""
+    return quality.spaced_rows(_bronze(spark, sf, "crm_cust_info"), ["cst_firstname", "cst_lastname"],
+                               codes.SOURCE_COLLATION)
+
+
+def q_silver_erp_loc_a101_collated(spark, sf):
+    """T5 with codes compared under the source system's collation (the seeded defect: lower-case countries)."""
+    loc = _bronze(spark, sf, "erp_loc_a101")
+    seeded = loc.withColumn("cntry", F.when(F.col("cid").endswith("3"), F.lower("cntry")).otherwise(F.col("cntry")))
+    return silver.clean_erp_locations(seeded, collation=codes.SOURCE_COLLATION)
+
+
 def q_dq_summary_one_pass(spark, sf):
     """Q2 Q3 Q5 Q6 Q7 Q8 Q9 counted in one pass per bronze table."""
     bronze = {t: _bronze(spark, sf, t) for t in ("crm_cust_info", "crm_prd_info", "crm_sales_details",
@@ -569,11 +595,15 @@ QUERIES: dict[str, Query] = {
     "dq_gender_map": q_dq_gender_map,
     "dq_orphans_not_in": q_dq_orphans_not_in,
     "dq_orphans_not_in_salted": q_dq_orphans_not_in_salted,
+    "dq_orphans_not_in_filter": q_dq_orphans_not_in_filter,
     "dq_orphans_not_in_null": q_dq_orphans_not_in_null,
     "dq_customer_fanout": q_dq_customer_fanout,
     "dq_gender_matrix": q_dq_gender_matrix,
     "dq_product_fanout": q_dq_product_fanout,
     "dq_fk_integrity": q_dq_fk_integrity,
+    "dq_fk_integrity_filter": q_dq_fk_integrity_filter,
+    "dq_spaces_source_collation": q_dq_spaces_source_collation,
+    "silver_erp_loc_a101_collated": q_silver_erp_loc_a101_collated,
     "dq_summary_one_pass": q_dq_summary_one_pass,
     "bronze_csv_load": q_bronze_csv_load,
     "bronze_refresh_twice": q_bronze_refresh_twice,
