@@ -199,3 +199,33 @@ def test_dense_key_over_mixed_types_and_ties(spark):
     got = dense_key(df, ["ts", "d"], "k", rows_per_bucket=50, tie_cols=["s", "id"])
     assert sorted(got.collect(), key=repr) == sorted(expect.collect(), key=repr)
     assert dense_key(df.limit(0), ["ts"], "k", rows_per_bucket=50).count() == 0
+
+
+def test_bucketed_tables_join_without_an_exchange(spark):
+    import uuid
+
+    from tierline.operators import gold
+    from tierline.plans.catalog import Warehouse
+    from tierline.session import scratch_path
+
+    wh = Warehouse(spark, root=scratch_path(spark, "bucketed-wh"), prefix=f"b{uuid.uuid4().hex[:6]}_")
+    sales = spark.range(0, 4000).select(
+        F.concat(F.lit("S"), F.col("id")).alias("sls_ord_num"), (F.col("id") % 9).cast("string").alias("sls_prd_key"),
+        F.when(F.col("id") % 17 != 0, F.col("id") % 500).cast("int").alias("sls_cust_id"),
+        *[F.lit(None).cast("date").alias(f"sls_{c}_dt") for c in ("order", "ship", "due")],
+        *[F.lit(1).alias(f"sls_{c}") for c in ("sales", "quantity", "price")])
+    cust = spark.range(0, 400).select(F.col("id").cast("int").alias("customer_id"), (F.col("id") + 1).alias("customer_key"))
+    prod = spark.range(0, 7).select(F.col("id").cast("string").alias("product_number"), (F.col("id") + 1).alias("product_key"))
+    saved = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for hot in (False, True):
+            rows = sales.withColumn("sls_cust_id", F.when(F.col("sls_prd_key") < "4", 7).otherwise(F.col("sls_cust_id"))) if hot else sales
+            wh.publish("silver", "sales", rows, bucket_by=(8, "sls_cust_id"))
+            wh.publish("gold", "cust", cust, bucket_by=(8, "customer_id"))
+            got = gold.fact_sales_bucketed(wh.read("silver", "sales"), prod, wh.read("gold", "cust"))
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert ("SortMergeJoin" in plan) is not hot and plan.count("Exchange hashpartitioning") == 0
+            assert sorted(got.collect(), key=repr) == sorted(gold.fact_sales(rows, prod, cust).collect(), key=repr)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", saved)

@@ -119,7 +119,27 @@ def fact_sales(sales: DataFrame, dim_prod: DataFrame, dim_cust: DataFrame, prod_
     out = base
     for (side, pair, stats), keys in zip(lookups, hot):
         out = lookup_join(out, side, [pair], "left", max_rows=max_rows, stats=stats, hot=keys)
-    return out.drop(ROW_ID).select(
+    return _fact_columns(out)
+
+
+def fact_sales_bucketed(sales: DataFrame, dim_prod: DataFrame, dim_cust: DataFrame, prod_stats: Stats | None = None,
+                        cust_stats: Stats | None = None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """G3 over tables bucketed alike, the sales on ``sls_cust_id`` and the customers on ``customer_id``.
+
+    Customers are joined bucket by bucket, without a shuffle of either side. A customer with more than half a
+    bucket's fair share of the sales would make one task too long; if there is one (counted inside the
+    buckets), the customers are looked up as in ``fact_sales``. Products are looked up as there.
+    """
+    if not hot_keys(sales, ["sls_cust_id"]).isEmpty():
+        return fact_sales(sales, dim_prod, dim_cust, prod_stats, cust_stats, max_rows)
+    cust = dim_cust.select(F.col("customer_id").alias("_tl_cid"), F.col("customer_key"))
+    prod = dim_prod.select(F.col("product_number").alias("_tl_pn"), F.col("product_key"))
+    joined = sales.join(cust.hint("merge"), sales["sls_cust_id"] == cust["_tl_cid"], "left")
+    return _fact_columns(lookup_join(joined, prod, [("sls_prd_key", "_tl_pn")], "left", max_rows=max_rows, stats=prod_stats))
+
+
+def _fact_columns(found: DataFrame) -> DataFrame:
+    return found.select(
         F.col("sls_ord_num").alias("order_number"),
         F.col("product_key"),
         F.col("customer_key"),

@@ -197,7 +197,7 @@ class Warehouse:
 
     def write_version(self, layer: str, table: str, df: DataFrame, schema=None, with_audit: bool = False,
                       partition_by: tuple[str, ...] = (), analyze: bool = False, like: str | None = None,
-                      rejects: bool = False) -> str:
+                      rejects: bool = False, bucket_by: tuple[int, str] | None = None) -> str:
         """Write ``df`` as the next version of ``table`` without publishing it; a failed write drops it.
 
         With ``schema`` the version is first created as a typed table (``VARCHAR(50)`` strings,
@@ -205,7 +205,8 @@ class Warehouse:
         string limits and defaults are enforced by the table; with ``rejects`` it also holds the raw text and
         file of rows that did not parse. ``like`` names a version whose definition is taken over
         instead. ``partition_by`` (untyped path) writes one folder per value, so filters on those columns
-        prune files. ``analyze`` records row count and size in the catalog (``ANALYZE TABLE``), so later
+        prune files. ``bucket_by`` (number of buckets, column; untyped path) writes the rows hashed and sorted by
+        that column, so that joins of tables bucketed alike need no shuffle. ``analyze`` records row count and size in the catalog (``ANALYZE TABLE``), so later
         plans over the table know its exact size.
         """
         self.ensure_namespace(layer)
@@ -215,7 +216,10 @@ class Warehouse:
                 self.spark.sql(f"CREATE TABLE {target} LIKE {like} USING parquet")
                 _insert_by_name(self.spark, target, df)
             elif schema is None:
-                writer = _spread(df, partition_by).write.format("parquet").mode("errorifexists")
+                rows = df.repartition(*bucket_by) if bucket_by else _spread(df, partition_by)  # one file a bucket
+                writer = rows.write.format("parquet").mode("errorifexists")
+                if bucket_by:
+                    writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
                 if partition_by:
                     writer = writer.partitionBy(*partition_by)
                 writer.saveAsTable(target)

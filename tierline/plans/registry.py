@@ -33,6 +33,9 @@ from tierline.staging import Staged, stage
 # buckets grows with the rows.
 SMALL_BUCKET = 4_000
 
+# Buckets of the bucketed tables; on a cluster about the number of shuffle partitions.
+BUCKETS = 16
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -173,6 +176,16 @@ def q_fact_sales_salted(spark, sf):
     return _fact(spark, sf, *_staged_dims(spark, sf), max_rows=0)
 
 
+def q_fact_sales_bucketed(spark, sf):
+    """G3 with sales and customers in tables bucketed by customer."""
+    prod, cust = _staged_dims(spark, sf)
+    wh = _wh(spark, "bucketed")
+    wh.publish("silver", "crm_sales_details", s_sales(spark, sf), bucket_by=(BUCKETS, "sls_cust_id"))
+    wh.publish("gold", "dim_customers", cust.df, bucket_by=(BUCKETS, "customer_id"))
+    return gold.fact_sales_bucketed(wh.read("silver", "crm_sales_details"), prod.df, wh.read("gold", "dim_customers"),
+                                    prod_stats=prod.stats, cust_stats=cust.stats)
+
+
 def q_sales_star(spark, sf):
     """The fact joined back to both dimensions: revenue lines with product and customer context."""
     prod, cust = _staged_dims(spark, sf)
@@ -570,6 +583,7 @@ QUERIES: dict[str, Query] = {
     "dim_products_bucketed": q_dim_products_bucketed,
     "fact_sales": q_fact_sales,
     "fact_sales_salted": q_fact_sales_salted,
+    "fact_sales_bucketed": q_fact_sales_bucketed,
     "sales_star": q_sales_star,
     "latest_order_per_customer": q_latest_order_per_customer,
     "order_validity_ranges": q_order_validity_ranges,
