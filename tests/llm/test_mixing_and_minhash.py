@@ -154,6 +154,34 @@ def test_one_large_group_makes_comparisons_in_proportion(spark):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_an_id_with_two_texts_keeps_both(spark):
+    rng = random.Random(4)
+    a, b = ([f"{x}{i}" for i in range(60)] for x in "ab")
+    rows = [(3, " ".join(a), "en", "s"), (7, edited(rng, a, 1), "en", "s"), (7, " ".join(b), "en", "s"),
+            (9, "  ".join(b), "en", "s"), (9, "  ".join(b), "en", "s")]
+    got = sorted(tuple(r) for r in near_duplicates(table(spark, rows)).collect())
+    assert [(r[0], r[2], r[3]) for r in got] == [(3, 3, True), (7, 3, False), (7, 7, True), (9, 7, False), (9, 7, False)]
+    kept = {(r["doc_id"], r["text"]) for r in drop_near_duplicates(table(spark, rows)).collect()}
+    assert kept == {(3, " ".join(a)), (7, " ".join(b))}
+
+
+def test_a_unit_of_many_linked_sets_holds_no_list_of_its_pairs():
+    import resource
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tierline.llm.minhash import _unit
+
+    n, common = 6_000, np.arange(40, dtype=np.uint64) * np.uint64(7919)
+    sets = [np.sort(np.append(common, np.uint64(10 ** 9 + i))).tobytes() for i in range(n)]
+    t = pa.table({"rep": pa.array(range(n), pa.int64()), "left": [True] * n, "shingles": pa.array(sets, pa.binary())})
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    got = _unit(t, 80)
+    assert got.num_rows == n - 1 and set(got["a"].to_pylist()) == {0}
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 400 << 10      # kilobytes
+
+
 def test_drop_near_duplicates_keeps_columns(spark):
     docs = table(spark, near_rows())
     got = drop_near_duplicates(docs)

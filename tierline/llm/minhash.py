@@ -15,9 +15,11 @@ expanded into pairs:
    of the bucket. In buckets of at most ``SMALL_BUCKET`` members these are pairs, where the
    signatures agree enough for a link to be possible (see ``min_agree``). In larger buckets they are
    units of bounded size that count all overlaps of their sets at once and return one link per
-   document: per stray, work in proportion to how it differs from what the unit has in common.
+   document: per stray, work in proportion to how it differs from what the unit has in common. Links
+   found here join components, which are contracted before they are connected.
 
-So two documents that share a bucket are either compared or known to be connected already.
+A class of equal sets has a key of its own; documents are named by their ids only in the result, so an id that
+repeats with different texts stands in each of its classes. So two documents that share a bucket are either compared or known to be connected already.
 """
 
 from __future__ import annotations
@@ -39,6 +41,9 @@ BAND_ROWS = 4
 PIECE_BYTES = 2 << 20
 SMALL_BUCKET = 8
 UNIT_SHINGLES = 1 << 18
+# What a member weighs in a unit beside its shingles: at most 1,024 members a block, however short.
+MEMBER_WEIGHT = 256
+PAIRS_AT_ONCE = 1 << 20
 
 
 def _s(x: np.ndarray) -> np.ndarray:
@@ -113,8 +118,9 @@ def _sign(batches, words: int, size: int):
                     keys[i] = np.array([np.bitwise_xor.reduce(x), x.sum(dtype=np.uint64),
                                         mix64(x * np.uint64(0xD1342543DE82EF95)).sum(dtype=np.uint64)]).tobytes()
                     sigs[i] = s.tobytes()
-            yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(a, b - a), pa.array(n), pa.array(keys, pa.binary()),
-                                              pa.array(sigs, pa.binary())], ["doc_id", "n_shingles", "set_key", "sig"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(a, b - a), batch["text_hash"].slice(a, b - a), pa.array(n),
+                                              pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())],
+                                             ["doc_id", "text_hash", "n_shingles", "set_key", "sig"])
 
 
 def _bands(batches, bands: int, rows: int):
@@ -133,7 +139,7 @@ def _bands(batches, bands: int, rows: int):
 def _sets(batches, words: int):
     for batch in batches:
         for a, b, sets in shingle_sets(batch["text"], words):
-            yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(a, b - a),
+            yield pa.RecordBatch.from_arrays([batch["rep"].slice(a, b - a),
                                               pa.array([x.tobytes() for x in sets], pa.binary())], ["rep", "shingles"])
 
 
@@ -208,7 +214,11 @@ def _unit(table: pa.Table, percent: int) -> pa.Table:
     sizes = np.array([len(x) for x in sets])
     others = np.ones(len(rep), bool) if left.all() else ~left
     of = overlaps(sets)
-    a, b = [], []
+    root, a, b, held = np.arange(len(rep)), [], [], 0
+
+    def joined() -> np.ndarray:  # the forest so far and the links found since
+        return roots(len(rep), np.concatenate([np.arange(len(rep)), *a]), np.concatenate([root, *b]))
+
     for i in np.flatnonzero(left):
         both = of(i)
         hit = others & (100 * both >= percent * (sizes[i] + sizes - both))
@@ -216,7 +226,10 @@ def _unit(table: pa.Table, percent: int) -> pa.Table:
         j = np.flatnonzero(hit)
         a.append(np.full(len(j), i))
         b.append(j)
-    root = roots(len(rep), np.concatenate(a), np.concatenate(b)) if a else np.arange(len(rep))
+        held += len(j)
+        if held > PAIRS_AT_ONCE:
+            root, a, b, held = joined(), [], [], 0
+    root = joined()
     hit = root != np.arange(len(rep))
     return pa.table({"a": rep[root[hit]], "b": rep[hit]})
 
@@ -228,21 +241,29 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     One row per input row: doc_id, n_shingles, component_id, kept. Words are ``[^\\x20\\x09-\\x0D]+``
     with A-Z lower-cased; a shorter text is one shingle; a null, empty or blank text has no shingles
     and links with nothing. A null id links with nothing, keeps a null ``component_id`` and is kept.
-    Rows that repeat an id are one document with the shingles of the row found first by text order.
-    Other columns are not read. An empty table gives an empty result.
+    Rows that repeat an id are rows of their own: each is in the component of its own text, and is kept if its
+    id is that component's smallest. Texts of any length are read whole. Other columns are not read. An
+    empty table gives an empty result.
     """
+    return _classified(docs, words, percent, bands, band_rows).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _classified(docs: DataFrame, words: int, percent: int, bands: int, band_rows: int) -> DataFrame:
+    """``near_duplicates`` with the columns ``text_hash`` and ``group``, the component's key."""
     ship_package(docs.sparkSession)
     size = bands * band_rows
     # Agreements of a pair with Jaccard j follow a binomial around j * K: 6 deviations below are enough.
     j = percent / 100
     min_agree = max(1, int(size * j - 6 * (size * j * (1 - j)) ** 0.5))
-    base = docs.select("doc_id", "text")
+    base = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     rows = written(base.mapInArrow(lambda it: _sign(it, words, size),
-                                   "doc_id long, n_shingles long, set_key binary, sig binary"), "minhash-rows")
+                                   "doc_id long, text_hash long, n_shingles long, set_key binary, sig binary"), "minhash-rows")
     total = max(rows.count(), 1)
     linked = rows.filter("n_shingles > 0 and doc_id is not null")
+    # Numbered as they are written: the number is the class's key. ``of`` is one of its rows.
     classes = written(linked.groupBy("set_key", "n_shingles").agg(
-        F.min("doc_id").alias("rep"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n")), "minhash-classes")
+        F.min(F.struct("doc_id", "text_hash")).alias("of"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n"))
+        .withColumn("rep", F.monotonically_increasing_id()), "minhash-classes")
     in_bands = written(classes.select("rep", "sig").mapInArrow(lambda it: _bands(it, bands, band_rows), "rep long, bucket long"),
                        "minhash-bands")
     firsts = in_bands.groupBy("bucket").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("w")).filter("w > 1")
@@ -252,7 +273,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     stars = written(members.filter("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b")).distinct(),
                     "minhash-stars")
     met = stars.select(F.col("a").alias("rep")).union(stars.select(F.col("b").alias("rep"))).distinct()
-    sets = base.join(met.hint("merge"), base["doc_id"] == met["rep"], "left_semi").mapInArrow(
+    # one text of every class that met another; copies of a text go by the broadcast of the classes with very many
+    texts = classes.join(met.hint("merge"), "rep").select("of.*", "rep", "n")
+    sets = join_spread(base, texts, ["doc_id", "text_hash"], "n", total).select("rep", "text").mapInArrow(
         lambda it: _sets(it, words), "rep long, shingles binary")
     sets = written(sets.groupBy("rep").agg(F.min("shingles").alias("shingles")), "minhash-sets")
 
@@ -291,21 +314,40 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # large buckets: strays of one main component meet its members and each other in units
     large = apart.filter(F.col("size") > SMALL_BUCKET).groupBy("main", "rep").agg(
         F.first("n_shingles").alias("n_shingles"), F.bool_or(F.col("component") != F.col("main")).alias("stray"))
-    sent = block_units(written(large, "minhash-strays"), "main", "stray", F.col("n_shingles"), UNIT_SHINGLES)
+    sent = block_units(written(large, "minhash-strays"), "main", "stray", F.col("n_shingles") + MEMBER_WEIGHT, UNIT_SHINGLES)
     uses = sent.groupBy("rep").agg(F.count(F.lit(1)).alias("w"))
     units = join_spread(sent, sets.join(uses.hint("merge"), "rep"), ["rep"], "w", max(sent.count(), 1))
     units = units.select("main", "kind", "i", "j", "rep", "left", "shingles").groupBy("main", "kind", "i", "j")
     spread = written(units.applyInArrow(lambda t: _unit(t, percent), "a long, b long"), "minhash-links")
-    final = connected_components(links.unionByName(more).unionByName(spread))
-    named = classes.join(final.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "set_key", "n_shingles", F.coalesce("component", "rep").alias("component_id"), F.col("n").alias("w"))
-    out = join_spread(linked.select("doc_id", "n_shingles", "set_key"), named, ["set_key", "n_shingles"], "w", total)
-    out = out.select("doc_id", "n_shingles", "component_id").unionByName(
-        rows.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    # links between components: these are the nodes now
+    found = more.unionByName(spread)
+    for end in ("a", "b"):
+        found = found.join(comps.select(F.col("rep").alias(end), F.col("component").alias("_c")).hint("merge"), end, "left").withColumn(
+            end, F.coalesce("_c", end)).drop("_c")
+    final = connected_components(found).select(F.col("node").alias("group"), F.col("component").alias("_to"))
+    grouped = classes.join(comps.hint("merge"), "rep", "left").withColumn("group", F.coalesce("component", "rep"))
+    n_comps = grouped.groupBy("group").agg(F.min("of.doc_id").alias("first"), F.count(F.lit(1)).alias("w"))
+    n_comps = n_comps.join(final.hint("merge"), "group", "left").withColumn("to", F.coalesce("_to", "group"))
+    least = n_comps.groupBy("to").agg(F.min("first").alias("component_id"))
+    where = written(n_comps.join(least.hint("merge"), "to").select("group", "to", "component_id", "w"), "minhash-groups")
+    named = join_spread(grouped.select("set_key", "n_shingles", "n", "group"), where, ["group"], "w", n_classes).select(
+        "set_key", "n_shingles", "component_id", F.col("to").alias("group"), F.col("n").alias("w"))
+    out = join_spread(linked.select("doc_id", "text_hash", "n_shingles", "set_key"), named, ["set_key", "n_shingles"], "w", total)
+    out = out.select("doc_id", "text_hash", "n_shingles", "component_id", "group").unionByName(
+        rows.filter("n_shingles = 0 or doc_id is null").select(
+            "doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("group")))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` with one row of every group (the smallest id); columns as they were."""
-    keep = near_duplicates(docs, **params).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_kept_id")), "left_semi")
+def drop_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bands: int = BANDS,
+                         band_rows: int = BAND_ROWS) -> DataFrame:
+    """``docs`` with one document of every group (the smallest id); columns as they were.
+
+    A row stays if its id and text are those of a kept row of ``near_duplicates``: of an id with several texts
+    each stays or goes by its own group, equal rows stay or go together, rows with a null id and rows without
+    words stay. Texts of any length are read whole; an empty table stays empty.
+    """
+    keep = _classified(docs, words, percent, bands, band_rows).filter("kept").select(
+        F.col("doc_id").alias("_tl_kept_id"), F.col("text_hash").alias("_tl_kept_text")).distinct()
+    return docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_tl_kept_id"))
+                     & (F.xxhash64(docs["text"]) == F.col("_tl_kept_text")), "left_semi")
