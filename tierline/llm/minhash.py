@@ -260,10 +260,12 @@ def _classified(docs: DataFrame, words: int, percent: int, bands: int, band_rows
                                    "doc_id long, text_hash long, n_shingles long, set_key binary, sig binary"), "minhash-rows")
     total = max(rows.count(), 1)
     linked = rows.filter("n_shingles > 0 and doc_id is not null")
-    # Numbered as they are written: the number is the class's key. ``of`` is one of its rows.
+    # Numbered in order of their smallest ids as they are written: the number is the class's key. ``of`` is one of
+    # its rows. The order makes the first document of a group the one that most others are compared with.
     classes = written(linked.groupBy("set_key", "n_shingles").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("of"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n"))
-        .withColumn("rep", F.monotonically_increasing_id()), "minhash-classes")
+        .repartitionByRange("of").sortWithinPartitions("of").withColumn("rep", F.monotonically_increasing_id()),
+        "minhash-classes")
     in_bands = written(classes.select("rep", "sig").mapInArrow(lambda it: _bands(it, bands, band_rows), "rep long, bucket long"),
                        "minhash-bands")
     firsts = in_bands.groupBy("bucket").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("w")).filter("w > 1")
@@ -292,8 +294,8 @@ def _classified(docs: DataFrame, words: int, percent: int, bands: int, band_rows
     comps = written(comps.select(F.col("node").alias("rep"), "component"), "minhash-components")
     # Buckets that still hold several components. Of any pair across components one is outside the
     # bucket's largest component, so only those few meet all members.
-    placed = members.join(comps.hint("merge"), "rep", "left").select(
-        "bucket", "size", "rep", F.coalesce("component", "rep").alias("component"))
+    placed = written(members.join(comps.hint("merge"), "rep", "left").select(
+        "bucket", "size", "rep", F.coalesce("component", "rep").alias("component")), "minhash-placed")
     parts = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = parts.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"),
                                           F.count(F.lit(1)).alias("parts"), F.sum("n").alias("w")).filter("parts > 1")
