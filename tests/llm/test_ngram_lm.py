@@ -105,3 +105,17 @@ def test_no_training_rows_and_empty_table(spark):
     row = score_documents(table(spark, [(held, "a b", "en", "s")])).first()
     assert (row["n_known"], row["train_tokens"], row["base_score"], row["score"]) == (0, 0, 0.0, 0.0)
     assert score_documents(table(spark, [])).count() == 0
+
+
+def test_totals_beyond_four_bytes_are_exact():
+    import numpy as np
+    import pyarrow as pa
+
+    from tierline.llm.ngram_lm import _answers, unpacked
+
+    keys = np.array([5, 9], np.uint64).tobytes()
+    t = pa.table({"shard": [0, 0], "chunk": [0, 1], "k": pa.array([1, 1], pa.int32()), "keys": pa.array([keys, keys], pa.binary()),
+                  "counts": pa.array([np.array([3_000_000_000, 1], np.uint32).tobytes()] * 2, pa.binary())})
+    got = _answers(t)
+    assert [unpacked(x).tolist() for x in got["totals"].to_pylist()[:2]] == [[6_000_000_000, 2]] * 2
+    assert got["n"].to_pylist()[-1] == 6_000_000_002

@@ -147,12 +147,22 @@ def _owner(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
+def packed(totals: np.ndarray) -> bytes:
+    """Totals in four bytes each, or in eight if one of them needs that; the first byte tells which."""
+    wide = 8 if len(totals) and int(totals.max()) >> 32 else 4
+    return bytes([wide]) + totals.astype(f"<u{wide}").tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 def _answers(shard: pa.Table) -> pa.Table:
     """Sum a shard's counts; answer every chunk in its own key order. One row more holds the sums."""
     keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in shard["keys"]]
     counts = [np.frombuffer(x.as_buffer(), np.uint32) for x in shard["counts"]]
     distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(at, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.uint32)
+    totals = np.bincount(at, weights=np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
     answers = np.split(totals[at], np.cumsum([len(x) for x in keys])[:-1])
     first = shard["k"][0].as_py() == 1
     sums = [int(totals.sum(dtype=np.int64)), int((totals > 0).sum()), int((totals == 1).sum())] if first else [0, 0, 0]
@@ -160,7 +170,7 @@ def _answers(shard: pa.Table) -> pa.Table:
     return pa.table({
         "chunk": pa.array([*shard["chunk"].to_pylist(), -1], pa.int64()),
         "shard": pa.array([*shard["shard"].to_pylist(), -1], pa.int64()),
-        "totals": pa.array([*(x.tobytes() for x in answers), b""], pa.binary()),
+        "totals": pa.array([*(packed(x) for x in answers), b""], pa.binary()),
         "n": pa.array([0] * n + sums[:1], pa.int64()), "v": pa.array([0] * n + sums[1:2], pa.int64()),
         "n1": pa.array([0] * n + sums[2:], pa.int64())})
 
@@ -171,7 +181,7 @@ def _scores(docs: pa.Table, answers: pa.Table, order: int, shards: int, n: int,
     by_order: list[list[tuple[int, bytes]]] = [[] for _ in range(order)]
     for s, x in zip(answers["shard"].to_pylist(), answers["totals"].to_pylist()):
         by_order[s // shards].append((s, x))
-    totals = [np.frombuffer(b"".join(x for _, x in sorted(part)), np.uint32) for part in by_order]
+    totals = [np.concatenate([np.zeros(0, np.int64), *(unpacked(x) for _, x in sorted(part))]) for part in by_order]
     score = BackoffAutomaton(grams, totals, n, n1, n_docs, strength).scores()
     c = totals[0][grams.ids[0]]
     floor = math.log10(n + 0.5 * (v + 1))
