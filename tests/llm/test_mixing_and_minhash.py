@@ -73,6 +73,23 @@ def test_mixture_matches_sql_on_the_driver_table(spark):
     assert ok, message
 
 
+def test_rows_that_share_an_id_are_taken_one_by_one(spark):
+    """100 rows of 10 words without ids, or with one id, equal or not, against a target of 700 words."""
+    other = [(1000 + i, "w " * 10, "en", "b") for i in range(5)]
+    for doc_id in (None, 7):
+        for text in ("w " * 10, None):
+            rows = [(doc_id, text or f"v{i} " * 10, "en", "a") for i in range(100)] + [(2000 + i, "x " * 10, "en", "c") for i in range(100)] + other
+            docs = table(spark, rows)
+            got = mixture(docs, range_rows=16)
+            taken = {r["target"]: r["t"] for r in got.groupBy("target").agg({"taken": "sum"}).withColumnRenamed("sum(taken)", "t").collect()}
+            assert all(abs(t - n) <= 5 for t, n in taken.items()), taken
+            ok, message = compare(got.drop("row_key"), duck_of(rows), mixture_sql())
+            assert ok, message
+            copies = Counter(r["source"] for r in mixed_documents(docs).select("source").collect())
+            plan = got.collect()
+            assert 10 * sum(copies.values()) == sum(r["taken"] for r in plan)
+
+
 def test_mixed_documents_repeat_rows_as_taken(spark):
     rows = [r for r in EDGE_ROWS if r[0] is not None and r[0] != 7]
     docs = table(spark, rows)

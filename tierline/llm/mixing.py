@@ -7,23 +7,26 @@ W those sources' weights. Only R and W reach the driver.
 
 Repetitions: with e = target / size, every document of a source is taken floor(e) times, and the
 documents first in a seeded order once more, until the rest of the target is met to the nearest
-document. The order is cut into hash buckets with running sums over buckets, so that a source with a
-third of all rows is many small groups.
+document. The order is by seeded hashes of id and text, then by row, so rows that share an id or are
+equal are counted one by one. It is cut into ranges of bounded size with running sums over ranges, so that
+a source with a third of all rows, or a row repeated that often, is many small groups.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierline.llm.common import written
-from tierline.operators.ranged import dense_key
+from tierline.operators.ranged import dense_key, ranged
 
 WEIGHTS = (1, 2, 3)
 MAX_EPOCHS = 3
 SEED = 11
 WORD = r"[^\x20\x09-\x0D]+"
-BUCKET_DIGITS = 3
+RANGE_ROWS = 1 << 16
 
 _SOURCE = ["no_source", "src"]
 
@@ -47,22 +50,24 @@ def water_level(sources: DataFrame, max_epochs: int) -> tuple[int, int]:
 
 
 def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
-            seed: int = SEED) -> DataFrame:
+            seed: int = SEED, range_rows: int = RANGE_ROWS) -> DataFrame:
     """How many words the mix takes of each row of ``docs(doc_id, text, source)``.
 
     One row per input row: doc_id, size, source_size, target, taken, and row_key (a hash of the
     row's doc_id, source and text). A document's size is its number of words; a null text has 0.
     Sources in code-point order, null last, weigh ``weights`` in turn; a null source is a source of
-    its own. A source without words has target 0. Rows of one id, source and text are taken alike.
-    Other columns are not read; an empty table gives an empty result; the same rows and seed give
-    the same mix.
+    its own. A source without words has target 0. Rows that share an id are taken one by one, in the order of
+    a hash of their text; of equal rows some may be taken once more than others. Texts of any length are read
+    whole. Other columns are not read; an empty table gives an empty result; the same rows and seed
+    give the same mix.
     """
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
+    order = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
+                           F.md5(F.coalesce("text", F.lit("")).cast("binary"))).cast("binary"))
     rows = written(docs.select(
         "doc_id", F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("src"),
-        size.alias("size"), order.alias("order"), F.xxhash64("doc_id", "source", "text").alias("row_key"))
-        .withColumn("bucket", F.substring("order", 1, BUCKET_DIGITS)), "mix-rows")
+        size.alias("size"), order.alias("order"), F.xxhash64("doc_id", "source", "text").alias("row_key"),
+        F.monotonically_increasing_id().alias("row")), "mix-rows")
     sources = written(dense_key(rows.groupBy(*_SOURCE).agg(F.sum("size").alias("size")), _SOURCE, "place")
                       .withColumn("weight", F.element_at(F.array(*map(F.lit, weights)),
                                                          ((F.col("place") - 1) % len(weights) + 1).cast("int"))
@@ -80,14 +85,14 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int
             .withColumn("rest", F.when(capped | (F.col("size") == 0), F.lit(0).cast("decimal(38,0)"))
                         .otherwise(((share - F.col("whole") * wide) * 2).cast("decimal(38,0)")))
             .select(*_SOURCE, F.col("size").alias("source_size"), "whole", "target", "rest"))
-    buckets = rows.groupBy(*_SOURCE, "bucket").agg(F.sum("size").alias("words"))
-    before = F.coalesce(F.sum("words").over(Window.partitionBy(*_SOURCE).orderBy("bucket")
+    ranges = ranged(rows, [*_SOURCE, "order", "row"], (), max(1, math.ceil(rows.count() / range_rows)))
+    ranges = ranges.withColumnRenamed("_tl_bucket", "range").withColumnRenamed("_tl_place", "place")
+    words = ranges.groupBy(*_SOURCE, "range").agg(F.sum("size").alias("words"))
+    before = F.coalesce(F.sum("words").over(Window.partitionBy(*_SOURCE).orderBy("range")
                                             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    buckets = buckets.withColumn("below", before).drop("words").join(plan, _SOURCE)
-    here = Window.partitionBy(*_SOURCE, "bucket").orderBy("order")
-    ahead = (F.col("below") + F.sum("size").over(here)  # up to and with the rows of the same order value
-             - F.sum("size").over(Window.partitionBy(*_SOURCE, "bucket", "order")))
-    out = rows.join(buckets, [*_SOURCE, "bucket"]).withColumn("ahead", ahead)
+    words = words.withColumn("below", before).drop("words").join(plan, _SOURCE)
+    here = Window.partitionBy(*_SOURCE, "range").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    out = ranges.join(words, [*_SOURCE, "range"]).withColumn("ahead", F.col("below") + F.coalesce(F.sum("size").over(here), F.lit(0)))
     fits = _big("rest") >= (_big("ahead") * 2 + _big("size")) * F.lit(over)
     times = F.col("whole") + F.when(fits & (F.col("size") > 0) & (F.col("whole") < max_epochs), 1).otherwise(0)
     return out.select("doc_id", "size", "source_size", "target", (times * F.col("size")).cast("long").alias("taken"),
@@ -95,11 +100,33 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int
 
 
 def mixed_documents(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` with every row repeated as often as the mix takes it (rows not taken go)."""
-    plan = mixture(docs, **params).filter("taken > 0").select(
-        F.col("row_key").alias("_row_key"), (F.col("taken") / F.col("size")).cast("int").alias("_times")).distinct()
-    joined = docs.join(plan, F.xxhash64(docs["doc_id"], docs["source"], docs["text"]) == F.col("_row_key"))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    """``docs`` with every row repeated as often as the mix takes it (rows not taken go).
+
+    Rows are found by id, source and a hash of all three columns. Where only some of equal rows are taken once
+    more (at most one group of equal rows a source), they are numbered and the first ones are. Rows without
+    words go; texts of any length are read whole; an empty table stays empty.
+    """
+    key = F.xxhash64("doc_id", "source", "text")
+    plan = written(mixture(docs, **params).filter("size > 0").groupBy("row_key").agg(
+        F.min(F.col("taken") / F.col("size")).cast("int").alias("least"), F.count(F.lit(1)).alias("n"),
+        F.sum(F.col("taken") / F.col("size")).cast("long").alias("all")), "mix-plan")
+    plan = plan.withColumn("more", F.col("all") - F.col("n") * F.col("least"))
+    names = dict(zip(("row_key", "least", "more"), ("_tl_row_key", "_tl_least", "_tl_more")))
+    alike = plan.filter("more = 0 or n = 1").select(*[F.col(c).alias(x) for c, x in names.items()])
+    apart = plan.filter("more > 0 and n > 1").select(*[F.col(c).alias(x) for c, x in names.items()])
+    keyed = docs.withColumn("_tl_key", key)
+    even = keyed.join(alike, F.col("_tl_key") == F.col("_tl_row_key")).withColumn(
+        "_tl_times", F.col("_tl_least") + F.col("_tl_more"))
+    some = keyed.join(F.broadcast(apart), F.col("_tl_key") == F.col("_tl_row_key"))
+    some = written(some.withColumn("_tl_id", F.monotonically_increasing_id()), "mix-equal")
+    numbered = dense_key(some.select("_tl_key", "_tl_id"), ["_tl_key", "_tl_id"], "_tl_no")
+    first = numbered.groupBy("_tl_key").agg(F.min("_tl_no").alias("_tl_first"))
+    numbered = numbered.join(F.broadcast(first), "_tl_key").select("_tl_id", (F.col("_tl_no") - F.col("_tl_first")).alias("_tl_no"))
+    some = some.join(numbered, "_tl_id").withColumn(
+        "_tl_times", F.col("_tl_least") + F.when(F.col("_tl_no") < F.col("_tl_more"), 1).otherwise(0))
+    columns = [*docs.columns, "_tl_times"]
+    taken = even.select(*columns).unionByName(some.select(*columns)).filter("_tl_times > 0")
+    return taken.withColumn("_tl_copy", F.explode(F.sequence(F.lit(1), F.col("_tl_times").cast("int")))).select(*docs.columns)
 
 
 def mixture_sql(weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = SEED) -> str:
@@ -110,7 +137,7 @@ def mixture_sql(weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS
         f" WHEN {i} THEN {w}" for i, w in enumerate(weights)) + " END"
     return f"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::HUGEINT AS size,
-                  md5('{seed}:' || coalesce(doc_id::VARCHAR, '')) AS ord FROM documents),
+                  md5('{seed}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS ord FROM documents),
 s AS (SELECT source, sum(size)::HUGEINT AS size, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM d GROUP BY source),
 w AS (SELECT *, ({weight})::HUGEINT AS weight FROM s),
 r AS (SELECT *, row_number() OVER (ORDER BY size * (6 // weight), place) AS k FROM w),
@@ -122,7 +149,7 @@ p AS (SELECT w.source, w.size AS source_size, w.weight * f.lft AS share, f.ovr A
              {max_epochs} * w.size * f.ovr < w.weight * f.lft AS capped FROM w, f),
 q AS (SELECT *, CASE WHEN capped THEN {max_epochs} WHEN source_size = 0 THEN 0 ELSE share // (ovr * source_size) END AS whole FROM p),
 t AS (SELECT d.doc_id, d.size, q.*, coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ord
-             RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) - sum(d.size) OVER (PARTITION BY d.source, d.ord) AS ahead
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
       FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
 SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size,
        CASE WHEN capped THEN ({max_epochs} * source_size)::DOUBLE ELSE share::DOUBLE / ovr::DOUBLE END AS target,
