@@ -104,6 +104,6 @@ def exact_groups(docs: DataFrame, bucket_entries: int = BUCKET_ENTRIES, hash_bit
 def drop_copies(docs: DataFrame, **params) -> DataFrame:
     """``docs`` without the rows whose text another row keeps; columns as they were."""
     keep = exact_groups(docs, **params).filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
+        F.col("doc_id").alias("_tl_kept_id"), F.col("text_sha256").alias("_tl_kept_sha"))
     sha = F.sha2(lower_ascii(F.coalesce(docs["text"], F.lit(""))), 256)
-    return docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_kept_id")) & (sha == F.col("_kept_sha")), "left_semi")
+    return docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_tl_kept_id")) & (sha == F.col("_tl_kept_sha")), "left_semi")

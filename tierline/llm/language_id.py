@@ -200,7 +200,13 @@ def identify(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT) -> DataFrame
 
 
 def keep_identified(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT) -> DataFrame:
-    """``docs`` without the rows whose language can't be told (``und``); columns as they were."""
+    """``docs`` without the rows whose language can't be told (``und``); columns as they were, but a null
+    ``lang`` becomes the predicted language.
+
+    Rows without text or letters go, however often they repeat; texts of any length are read whole; equal rows
+    stay or go together. If no row teaches a language, none can be told and all go. An empty table stays empty.
+    """
     model = learn(docs.filter(~(fold(F.col("doc_id"), held_out[0]) == held_out[1])))
-    marked = docs.withColumn("_language", labelled(F.col("text"), model, docs.sparkSession))
-    return marked.filter(F.col("_language.lang_pred") != UNKNOWN).select(*docs.columns)
+    told = labelled(F.col("text"), model, docs.sparkSession)
+    marked = docs.withColumn("_tl_language", told).filter(F.col("_tl_language.lang_pred") != UNKNOWN)
+    return marked.select(*[F.coalesce("lang", "_tl_language.lang_pred").alias(c) if c == "lang" else F.col(c) for c in docs.columns])
