@@ -21,7 +21,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tierline.operators import joins  # noqa: E402
+from tierline.operators import joins
+from tierline.operators.absence import not_in  # noqa: E402
 from tierline.operators.ranged import dense_key, lead_in_group  # noqa: E402
 from tierline.operators.silver import latest_per_key  # noqa: E402
 from tierline.sources.fixtures import read_table  # noqa: E402
@@ -66,7 +67,7 @@ def main() -> None:
     run("join: salted shuffle join", lambda: joins.salted_join(orders, customers, [("o_custkey", "c_custkey")], "left"))
     evens = customers.filter(F.col("c_custkey") % 2 == 0)
     run("not in: plain anti join", lambda: orders.join(evens, orders["o_custkey"] == evens["c_custkey"], "left_anti"))
-    run("not in: exact, salted", lambda: joins.not_in(orders, "o_custkey", evens, "c_custkey", max_rows=10))
+    run("not in: exact, salted", lambda: not_in(orders, "o_custkey", evens, "c_custkey", max_rows=10, salted=True))
     spark.stop()
 
     stage_group: dict[int, str] = {}
