@@ -231,3 +231,15 @@ def test_copies_side_by_side(spark, copies):
     gone = {j for r in spans for j in range(r["start_word"], r["start_word"] + r["n_words"])}
     assert gone == set(range(60, 60 * copies))
     assert all(r["src_start_word"] + r["src_n_words"] <= r["start_word"] for r in spans)
+
+
+def test_passages_do_not_depend_on_buckets_units_or_margin(spark):
+    """Small buckets, a source at many places and words too few at first: the same rows."""
+    rng = random.Random(16)
+    x = prose(rng, 700)
+    rows = planted()[0][:40] + [(100 + i, " ".join(prose(rng, 20) + x + prose(rng, 20)), "en", "s") for i in range(4)]
+    rows.append((200, " ".join(x[:60] + [f"new{i}" for i in range(3)] + x[60:500]), "en", "s"))
+    docs = table(spark, rows)
+    want = {tuple(r) for r in repeated_passages(docs).collect()}
+    assert want == {tuple(r) for r in repeated_passages(docs, bucket_bytes=2000, unit=1, margin=0).collect()}
+    assert {r[0] for r in want} >= {101, 102, 103, 200}
