@@ -243,3 +243,18 @@ def test_passages_do_not_depend_on_buckets_units_or_margin(spark):
     want = {tuple(r) for r in repeated_passages(docs).collect()}
     assert want == {tuple(r) for r in repeated_passages(docs, bucket_bytes=2000, unit=1, margin=0).collect()}
     assert {r[0] for r in want} >= {101, 102, 103, 200}
+
+
+def test_hot_seeds_get_the_same_first_places(spark, monkeypatch):
+    """Seeds of more rows than a bound take the way by aggregate; here nearly all shared ones do."""
+    from tierline.llm import passage_dedup
+
+    rng = random.Random(17)
+    x, y = prose(rng, 70), prose(rng, 35)
+    rows = [(i, " ".join(prose(rng, 20) + x + prose(rng, 5)), "en", "s") for i in range(20)]
+    rows += [(100 + i, " ".join(prose(rng, 20) + y + x[:40] + prose(rng, 5)), "en", "s") for i in range(20)]
+    docs = table(spark, rows)
+    want = {tuple(r) for r in repeated_passages(docs).collect()}
+    monkeypatch.setattr(passage_dedup, "HOT_SAMPLE", 1)
+    monkeypatch.setattr(passage_dedup, "HOT_SEEDS", 4)
+    assert want and want == {tuple(r) for r in repeated_passages(docs).collect()}
