@@ -29,6 +29,39 @@ def binary(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
                                  [None, pa.py_buffer((cuts * width).astype(np.int32)), pa.py_buffer(data)])
 
 
+TIGHT = ("doc_id", "word")  # columns that nearly ascend in a bucket: stored as differences, byte plane by byte plane
+
+
+def squeezed(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """``binary`` of the differences within each row, first all lowest bytes, then all second ones: the high
+    bytes are runs of zeros, which the shuffle's compression takes away."""
+    width = data.itemsize
+    delta = np.diff(data, prepend=data[:1] * 0)
+    delta[cuts[:-1]] = data[cuts[:-1]]
+    planes = np.empty((len(data), width), np.uint8)
+    flat, raw = planes.reshape(-1), np.ascontiguousarray(delta).view(np.uint8).reshape(-1, width)
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        flat[a * width:b * width] = raw[a:b].T.ravel()
+    return binary(planes, cuts)
+
+
+def unsqueezed(column: pa.Array, a: int, b: int, dtype) -> np.ndarray:
+    """The elements of rows ``a`` to ``b`` of a squeezed column, end to end."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset + a:column.offset + b + 1].tolist()
+    width, out = np.dtype(dtype).itemsize, [np.zeros(0, dtype)]
+    for p, q in zip(at[:-1], at[1:]):
+        if q > p:
+            planes = np.frombuffer(data, np.uint8)[p:q].reshape(width, -1)
+            out.append(np.cumsum(np.ascontiguousarray(planes.T).view(dtype).ravel(), dtype=dtype))
+    return np.concatenate(out)
+
+
+def column_values(batch: pa.RecordBatch, name: str, a: int, b: int, dtype) -> np.ndarray:
+    """Rows ``a`` to ``b`` of a column that ``pack`` made."""
+    return (unsqueezed if name in TIGHT else values)(batch[name], a, b, dtype)
+
+
 def pack(bucket: np.ndarray, columns: dict[str, np.ndarray | None]) -> pa.RecordBatch:
     """One row a bucket with its part of every column; None gives empty values."""
     small = len(bucket) and int(bucket.max()) < 65536  # numpy sorts 16-bit keys by radix
@@ -36,8 +69,11 @@ def pack(bucket: np.ndarray, columns: dict[str, np.ndarray | None]) -> pa.Record
     b = bucket[order]
     cuts = np.concatenate([np.flatnonzero(np.append(True, b[1:] != b[:-1])), [len(b)]]) if len(b) else np.zeros(1, int)
     arrays = [pa.array(b[cuts[:-1]], pa.int32())]
-    for c in columns.values():
-        arrays.append(binary(np.zeros(0, np.uint8), np.zeros(len(cuts), int)) if c is None else binary(c[order], cuts))
+    for name, c in columns.items():
+        if c is None:
+            arrays.append(binary(np.zeros(0, np.uint8), np.zeros(len(cuts), int)))
+        else:
+            arrays.append((squeezed if name in TIGHT else binary)(c[order], cuts))
     return pa.RecordBatch.from_arrays(arrays, ["bucket", *columns])
 
 
@@ -68,7 +104,7 @@ def unpack(batches: Iterator[pa.RecordBatch], columns: dict[str, type]) -> Itera
                 yield now, [np.concatenate(c) for c in zip(*held)]
                 held = []
             now = int(b[s])
-            held.append([values(batch[name], s, e, dtype) for name, dtype in columns.items()])
+            held.append([column_values(batch, name, s, e, dtype) for name, dtype in columns.items()])
     if held:
         yield now, [np.concatenate(c) for c in zip(*held)]
 

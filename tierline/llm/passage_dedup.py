@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.blocks import binary, bucket_of, dealt, pack, sizes, unpack, values
+from tierline.llm.blocks import binary, bucket_of, column_values, dealt, pack, sizes, unpack, values
 from tierline.llm.common import mix64, pieces, ship_package, utf8, written
 from tierline.llm.words import word_hashes, word_spans
 from tierline.session import shuffle_partitions
@@ -101,7 +101,7 @@ def _text_seeds(batches, k: int, window: int):
 def _window_seeds(batches, sample: int = 1):
     """The same of packed window hashes, or of a ``sample``-th of the documents."""
     for batch in batches:
-        h, doc, word = (values(batch[c], 0, batch.num_rows, t) for c, t in _KEYED.items())
+        h, doc, word = (column_values(batch, c, 0, batch.num_rows, t) for c, t in _KEYED.items())
         if sample > 1:
             mine = bucket_of(doc, sample) == 0
             h, doc, word = h[mine], doc[mine], word[mine]
