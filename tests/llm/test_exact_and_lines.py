@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections import defaultdict
 
 import pytest
@@ -66,16 +67,20 @@ def test_exact_empty_table(spark):
     assert exact_groups(empty).count() == 0 and drop_copies(empty).count() == 0
 
 
-def lines_by_hand(rows, run):
-    """Place windows in order of (doc_id, line); a later equal window marks its lines."""
+def lines_by_hand(rows, run, words):
+    """Place runs that count in order of (doc_id, line); a later equal run marks its lines."""
     first, gone = {}, defaultdict(set)
     order = sorted(((doc_id is not None, doc_id or 0), doc_id, text) for doc_id, text, *_ in rows if text is not None)
     for key, _, text in order:
         lines = text.split("\n")
-        for i in range(len(lines) - run + 1):
-            place = (key, i)
-            if first.setdefault(tuple(lines[i:i + run]), place) != place:
-                gone[(key, text)].update(range(i, i + run))
+        for i in range(len(lines)):
+            for n in range(1, run + 1):
+                part = tuple(lines[i:i + n])
+                if len(part) < n or n < run and sum(len(re.findall(r"[^\x20\x09-\x0D]+", x)) for x in part) < words:
+                    continue
+                place = (key, i)
+                if first.setdefault(part, place) != place:
+                    gone[(key, text)].update(range(i, i + n))
     out = []
     for doc_id, text, *_ in rows:
         if text is None:
@@ -87,16 +92,28 @@ def lines_by_hand(rows, run):
     return sorted(out, key=str)
 
 
+LONG_LINE = "one line of exactly ten words that stands in two"
 LINE_ROWS = EDGE_ROWS + [
     (20, "p\nq\nr\ns\nt", "en", "a"), (21, "0\np\nq\nr\ns\nt\n1", "en", "a"), (22, "r\ns\nt\nx\np\nq", "en", "a"),
     (23, "m\nm\nm\nm\nm", "en", "a"), (24, "\n\n\n\n", "en", "a"), (None, "p\nq\nr", "en", "a"), (25, "p\nq", "en", "a"),
+    (30, LONG_LINE, "en", "a"), (31, f"u\n{LONG_LINE}\nv", "en", "a"), (32, f"{LONG_LINE}\nv", "en", "a"),
+    (33, "five words stand in here\nand five more of them", "en", "a"),
+    (34, "x y\nfive words stand in here\nand five more of them\nx y", "en", "a"),
+    (35, "five words stand in here\nx y\nand five more of them", "en", "a"),
 ]
 
 
-@pytest.mark.parametrize("run", [2, 3])
-def test_lines_on_edge_cases(spark, run):
-    got = dedup_lines(table(spark, LINE_ROWS), run).collect()
-    assert sorted(map(tuple, got), key=str) == lines_by_hand(LINE_ROWS, run)
+@pytest.mark.parametrize("run, words", [(1, 4), (2, 10), (3, 10), (3, 4), (4, 6), (3, 10**6)])
+def test_lines_on_edge_cases(spark, run, words):
+    got = dedup_lines(table(spark, LINE_ROWS), run, words).collect()
+    assert sorted(map(tuple, got), key=str) == lines_by_hand(LINE_ROWS, run, words)
+
+
+def test_a_long_line_is_a_run_by_itself_and_short_ones_are_not(spark):
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(table(spark, LINE_ROWS)).collect()}
+    assert got[30] == LONG_LINE and got[31] == "u\nv" and got[32] == ""
+    assert got[33].count("\n") == 1 and got[34] == "x y\nx y" and got[35].count("\n") == 2  # ten words in two lines
+    assert got[25] == "p\nq"
 
 
 def test_lines_match_sql(spark):
