@@ -8,9 +8,11 @@ from collections import defaultdict
 
 import pytest
 from llm_fixtures import EDGE_ROWS, LOWER, table
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, SF_SMOKE
 from oracle_compare import compare, duck
+from tierline.llm import exact_dedup
 from tierline.llm.exact_dedup import build_directory, drop_copies, exact_groups, with_bucket
 from tierline.llm.line_dedup import dedup_lines, dedup_lines_sql
 from tierline.llm.queries import ORACLE_SQL, op1_exact_dedup, op8_line_dedup
@@ -43,13 +45,35 @@ def test_exact_groups_match_sql(spark):
     assert ok, message
 
 
-def test_directory_doubles_until_buckets_fit_and_covers_all_entries(spark):
+def test_directory_doubles_until_buckets_fit_and_covers_all_entries(spark, monkeypatch):
     entries = spark.range(5000).selectExpr("xxhash64(id) AS h").union(spark.range(300).selectExpr("id AS h"))
-    directory, depth = build_directory(entries, 64)
-    sizes = [(r["bits"], r["entries"]) for r in directory.collect()]
-    assert depth > 6 and max(n for _, n in sizes) <= 64 and sum(n for _, n in sizes) == 5300
-    assert len({b for b, _ in sizes}) > 1  # only overfull buckets split
-    assert with_bucket(entries, directory, depth).count() == 5300
+    entries = entries.withColumn("n", F.lit(2))
+    directory = build_directory(entries, 64).cache()
+    sizes = [(r["bits"], r["prefix"], r["entries"], r["rows"]) for r in directory.collect()]
+    assert max(b for b, *_ in sizes) > 6 and max(n for _, _, n, _ in sizes) <= 64
+    assert sum(n for _, _, n, _ in sizes) == 5300 and sum(w for *_, w in sizes) == 10600
+    assert len({b for b, *_ in sizes}) > 1  # only overfull buckets split
+    # a bucket that fits was split only because its parent did not fit
+    hashes = [r["h"] % 2**64 for r in entries.select("h").collect()]
+    for bits, prefix, *_ in sizes:
+        assert bits and sum(h >> (65 - bits) == prefix >> 1 for h in hashes) > 64
+    for bound in (1 << 18, 0):  # broadcast, and shuffled
+        monkeypatch.setattr(exact_dedup, "DIRECTORY_BROADCAST", bound)
+        placed = with_bucket(entries, directory, 10600)
+        inside = placed.join(directory.selectExpr("shiftleft(prefix, 64 - bits) AS bucket", "bits", "prefix"), "bucket")
+        assert inside.count() == 5300
+        assert inside.filter("shiftrightunsigned(h, 64 - bits) <> prefix").count() == 0
+
+
+def test_rows_that_the_directory_sends_to_another_bucket_find_no_entry(spark, monkeypatch):
+    real, calls = exact_dedup.with_bucket, []
+
+    def wrong(rows, directory, total):  # the index is right, the rows' lookups are not
+        calls.append(1)
+        return real(rows, directory, total).withColumn("bucket", F.col("bucket") + (0 if len(calls) == 1 else 1))
+
+    monkeypatch.setattr(exact_dedup, "with_bucket", wrong)
+    assert exact_groups(table(spark, EDGE_ROWS), bucket_entries=2).count() == 0
 
 
 def test_drop_copies_keeps_one_row_of_a_group_and_the_columns(spark):
