@@ -182,7 +182,8 @@ def labelled(text: Column, model: LanguageModel, spark) -> Column:
                                              ["lang_pred", "score"])
 
     run.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, "struct<lang_pred:string,score:double>")(text)
+    # so marked, a filter on the result is not pushed below it, which would run the model twice a document
+    return F.arrow_udf(run, "struct<lang_pred:string,score:double>").asNondeterministic()(text)
 
 
 def identify(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT) -> DataFrame:
