@@ -258,3 +258,8 @@ def test_hot_seeds_get_the_same_first_places(spark, monkeypatch):
     monkeypatch.setattr(passage_dedup, "HOT_SAMPLE", 1)
     monkeypatch.setattr(passage_dedup, "HOT_SEEDS", 4)
     assert want and want == {tuple(r) for r in repeated_passages(docs).collect()}
+
+
+def test_the_pipeline_stage_runs_the_model_once_a_document(spark):
+    got = keep_identified(table(spark, EDGE_ROWS))
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
