@@ -179,6 +179,38 @@ def test_append_silver_reaches_gold(spark):
     assert wh.read("gold", "dim_customers").filter("customer_id is null").count() > 0
 
 
+def test_a_fact_that_fans_out_is_kept_as_lines_and_keys(spark):
+    from tierline.operators import gold
+    from tierline.plans.layers import run_layers
+
+    sources = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "src"))
+    wh = _wh(spark)
+    run_layers(wh, ("bronze", "silver", "append"), sources)
+    audit = run_layers(wh, ("gold",), fact_partition_by=("order_date",)).filter("table_name = 'fact_sales'").first()
+    fact, sales = wh.read("gold", "fact_sales"), wh.read("silver", "crm_sales_details").drop("dwh_create_date")
+    expect = gold.fact_sales(sales, wh.read("gold", "dim_products"), wh.read("gold", "dim_customers"))
+    assert fact.dtypes == expect.dtypes
+    assert fact.exceptAll(expect).isEmpty() and expect.exceptAll(fact).isEmpty()
+    bad = fact.filter("product_key IS NULL OR customer_key IS NULL").count()
+    assert (audit["rows"], audit["bad_rows"], audit["status"]) == (fact.count(), bad, "ok")
+
+    def tables():
+        return [t.name for t in spark.catalog.listTables(wh.db("gold"), pattern="fact_sales__v*") if t.tableType != "VIEW"]
+
+    stored = sum(spark.table(wh.name("gold", t)).count() for t in tables())
+    keys = wh.read("gold", "dim_products").count() + wh.read("gold", "dim_customers").count()
+    assert fact.count() > 4 * sales.count() and stored == sales.count() + keys
+    n = fact.count()
+    for run_id in (None, "again"):                                        # rows of either kind go beside the join
+        append(wh, "gold", "fact_sales", fact.limit(3)) if run_id is None else wh.append("gold", "fact_sales", fact.limit(3), run_id)
+    assert wh.read("gold", "fact_sales").count() == n + 6 and wh.appended_runs("gold", "fact_sales") == ["again"]
+    for _ in range(3):
+        run_layers(wh, ("gold",))
+    assert wh.read("gold", "fact_sales").count() == n and len(wh.versions("gold", "fact_sales")) == wh.keep_versions
+    wh.drop_table("gold", "fact_sales")
+    assert tables() == [] and wh.versions("gold", "fact_sales") == []
+
+
 def test_append_creates_missing_tables(spark):
     from tierline.plans.layers import run_layers
 
