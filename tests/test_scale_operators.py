@@ -229,3 +229,32 @@ def test_bucketed_tables_join_without_an_exchange(spark):
             assert sorted(got.collect(), key=repr) == sorted(gold.fact_sales(rows, prod, cust).collect(), key=repr)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", saved)
+
+
+def test_absent_rows_scans_its_rows_twice_whatever_the_checks(spark, monkeypatch):
+    from tierline.operators import absence
+
+    left = stage(spark.range(0, 4000).select(
+        "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 400).alias("a"),
+        F.when(F.col("id") % 50 == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 130)).alias("b")), "left").df
+    files = set(left.inputFiles())
+    a, b = spark.range(0, 390).toDF("a_key"), spark.range(0, 120).select(F.concat(F.lit("k"), "id").alias("b_key"))
+    expect = sorted(r["id"] for r in left.collect() if r["a"] >= 390 or r["b"] is None or int(r["b"][1:]) >= 120)
+    scans, write = [], absence.stage
+
+    def counted(df, name):
+        scans.extend([name] if files & set(df.inputFiles()) else [])
+        return write(df, name)
+
+    monkeypatch.setattr(absence, "stage", counted)
+    for bits in (64, 1 << 12, 1 << 23):                   # every key passes by chance, some, none
+        scans.clear()
+        got = absent_rows(left, [("a", a, "a_key"), ("b", b, "b_key")], bits=bits)
+        assert sorted(r["id"] for r in got.collect()) == expect and got.columns == left.columns
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert len(scans) == 1 and "Union" not in plan    # the keys asked for, and the rows
+    # chance keys beyond a broadcast: the rows that miss a bit stay out of the salted join
+    monkeypatch.setattr(absence, "fits_broadcast", lambda stats: False)
+    monkeypatch.setattr(joins, "checked_broadcast", lambda *args, **kwargs: None)
+    got = absent_rows(left, [("a", a, "a_key"), ("b", b, "b_key")], bits=64)
+    assert sorted(r["id"] for r in got.collect()) == expect
