@@ -539,6 +539,26 @@ def test_an_append_repeated_under_its_run_id_adds_nothing(spark, monkeypatch):
     assert not spark.catalog.listTables(wh.db("silver"), pattern="t__*")
 
 
+def test_a_repeated_append_packs_what_it_writes_and_shuffles_texts_alone(spark, monkeypatch):
+    from tierline.plans import registry
+    from tierline.session import path_bytes
+    from tierline.sources import delimited
+
+    out = registry.q_silver_append_repeat(spark, SF_SMOKE)
+    assert all(f.endswith(".zstd.parquet") for f in out.inputFiles())               # loaded and appended rows
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(" in plan and "hashpartitioning(table_name" not in plan
+
+    monkeypatch.setattr(delimited, "ROWS_PER_FILE", 500)
+    root = stage_extracts(spark, SF_SMOKE, scratch_path(spark, "src"))
+    files = [os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    assert path_bytes(spark, root) > 3 * sum(map(os.path.getsize, files))            # sized by their text
+    sales = [f for f in files if "sales_details" in f]
+    rows = registry._bronze(spark, SF_SMOKE, "crm_sales_details").count()
+    assert len(sales) >= rows / 500 and all(spark.read.text(f).count() <= 501 for f in sales)
+
+
 def test_an_append_run_that_stopped_halfway_is_completed(spark, monkeypatch):
     from tierline.plans import layers
 
