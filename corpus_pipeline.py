@@ -16,15 +16,19 @@ import public_tokenizers  # noqa: E402
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
 from tierline.llm.byte_bpe import encode_documents  # noqa: E402
-from tierline.llm.common import written  # noqa: E402
+from tierline.llm.common import bound_batches, written  # noqa: E402
 from tierline.llm.exact_dedup import drop_copies  # noqa: E402
 from tierline.llm.language_id import keep_identified  # noqa: E402
 from tierline.llm.minhash import drop_near_duplicates  # noqa: E402
 from tierline.llm.mixing import mixed_documents  # noqa: E402
 
+# Arrow batches: the JVM and the Python workers of an executor hold each of them, beside what the other stages left.
+BATCH_BYTES = 4 << 20
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a recognisable language (no text, no letter) go."""
+    bound_batches(spark, BATCH_BYTES)
     return keep_identified(docs)
 
 
@@ -35,6 +39,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five-word shingles, similarity 0.8) one document stays."""
+    bound_batches(spark, BATCH_BYTES)
     return drop_near_duplicates(docs, words=5)
 
 
@@ -45,6 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row, with digests of the ids and of the decoded bytes."""
+    bound_batches(spark, BATCH_BYTES)
     return encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), with_ids=True)
 
 

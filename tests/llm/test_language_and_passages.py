@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import EDGE_ROWS, read_documents, remainder, table, words
 
 from conftest import SF_SMALL, SF_SMOKE
-from tierline.llm.language_id import identify, keep_identified
+from tierline.llm.language_id import GRAMS, LanguageModel, _tell, identify, keep_identified
 from tierline.llm.passage_dedup import align, chain, common_subsequence, cut_passages, repeated_passages
 
 
@@ -20,6 +22,20 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_memory_of_a_batch_is_that_of_its_pieces():
+    rng = random.Random(3)
+    model = LanguageModel(list("abcd"), np.random.default_rng(3).integers(0, 1000, (GRAMS, 4)).astype(float))
+    texts = pa.array(["".join(rng.choices("abcdefgh ", k=4096)) for _ in range(768)])
+    tracemalloc.start()
+    try:
+        rows = next(_tell([texts], model))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(rows) == len(texts) and peak < 24 << 20
+    assert rows.slice(700).to_pylist() == next(_tell([texts.slice(700)], model)).to_pylist()
+
+
 def test_prediction_sees_only_the_text(spark):
     rows = read_documents(SF_SMOKE)
     held = [r for r in rows if remainder(r[0], 4) == 2]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import base64
+import subprocess
+import sys
 
 import numpy as np
 import public_tokenizers as P
@@ -29,6 +31,39 @@ def test_every_query_returns_a_row_for_every_input_row(spark):
             assert query(spark, SF_SMOKE).count() == counts["embeddings" if name.startswith("op3_") else "documents"], name
 
 
+def test_pipeline_bounds_its_batches_and_keeps_a_setting(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, docs = spark.conf.get(key, None), spark.read.parquet(f"{SF_SMOKE}/documents.parquet")
+    try:
+        for at in (0, 2, 4):
+            spark.conf.unset(key)
+            corpus_pipeline.STAGES[at][1](spark, docs, SF_SMOKE)
+            assert spark.conf.get(key) == f"{4 << 20}b"
+        spark.conf.set(key, "1000000b")
+        corpus_pipeline.STAGES[4][1](spark, docs, SF_SMOKE)
+        assert spark.conf.get(key) == "1000000b"
+    finally:
+        spark.conf.unset(key)
+        if before is not None:
+            spark.conf.set(key, before)
+
+
+def test_worker_gives_freed_memory_back():
+    code = """
+import re
+from tierline.llm.common import freeing
+def mb():
+    return int(re.search(r"Anonymous:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+held = [bytearray(b"x" * 60_000) for _ in range(3000)]
+del held[:-1]  # the last one keeps the top of the heap
+kept = mb()
+assert list(freeing(iter([1, 2]))) == [1, 2]
+print(kept - mb())
+"""
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=corpus_pipeline.__file__.rsplit("/", 1)[0])
+    assert float(run.stdout) > 100
+
+
 def stages_by_hand(rows):
     """All stages but the mix in plain Python."""
     rows = [r for r in rows if any(c.isalpha() for c in r[1] or "")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -172,6 +173,16 @@ def test_long_documents_are_encoded_in_parts(spark, byte_tokenizer, monkeypatch)
         assert row["decoded_sha256"] == hashlib.sha256(t.encode()).hexdigest()
 
 
+def test_class_table_takes_little_memory():
+    byte_bpe._classes.cache_clear()
+    tracemalloc.start()
+    try:
+        byte_bpe._classes()
+        assert tracemalloc.get_traced_memory()[1] < 40 << 20
+    finally:
+        tracemalloc.stop()
+
+
 def test_documents_round_trip(spark, byte_tokenizer):
     rows = ROWS + read_documents(SF_SMOKE)
     got = encode_documents(table(spark, rows), BYTE_BPE, with_ids=True).collect()

@@ -30,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import pieces, ragged, ship_package, utf8
+from tierline.llm.common import freeing, pieces, ragged, ship_package, utf8
 from tierline.llm.words import slice_hashes
 
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 CACHE_SLICES = 1 << 18
 LONG_SLICE = 256
 BLOCK = 64
@@ -72,7 +72,8 @@ def _classes() -> np.ndarray:
     import tiktoken
 
     table = np.full(sys.maxunicode + 1, OTHER, np.uint8)
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]))
+    points = np.arange(sys.maxunicode + 1, dtype="<u4")
+    every = points[(points < 0xD800) | (points > 0xDFFF)].tobytes().decode("utf-32-le")  # no list of a million strings
     for kind, pattern in ((LETTER, r"\p{L}"), (NUMBER, r"\p{N}"), (SPACE, r"\s")):
         probe = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks={bytes([b]): b for b in range(256)},
                                   special_tokens={})
@@ -384,7 +385,7 @@ def encoded(text: Column, rank_path: str, with_ids: bool = False) -> Column:
     kind = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string" + (",token_ids:binary" if with_ids else "") + ">"
 
     def run(arrays):
-        return _encode_batches(arrays, rank_path, with_ids)
+        return freeing(_encode_batches(arrays, rank_path, with_ids))
 
     run.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, kind)(text)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -37,13 +38,28 @@ _shipped: set[str] = set()
 BATCH_BYTES = 16 << 20
 
 
+def bound_batches(spark: SparkSession, limit: int) -> None:
+    """Keep the session's Arrow batches within ``limit`` bytes unless it has a setting of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, f"{limit}b")
+
+
+def freeing(batches: Iterator) -> Iterator:
+    """``batches``; when a task has had them all, its worker gives back to the machine what is free. Workers
+    stay for later tasks, and their executor needs the memory meanwhile."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers (``addPyFile``), once an application, and keep the
     session's Arrow batches within ``BATCH_BYTES`` unless it has a setting of its own."""
     sc = spark.sparkContext
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if spark.conf.get(key, None) is None:
-        spark.conf.set(key, f"{BATCH_BYTES}b")
+    bound_batches(spark, BATCH_BYTES)
     if sc.applicationId in _shipped:
         return
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))

@@ -19,14 +19,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import fold, pieces, ship_package, utf8
+from tierline.llm.common import fold, freeing, pieces, ship_package, utf8
 
 GRAMS = 1 << 16
 SMOOTHING = 0.5
 PENALTY = 3.0
 ROUNDS = 10
 HELD_OUT = (4, 2)
-PIECE_BYTES = 1 << 20
+# The grams of a piece are held with numbers for every language.
+PIECE_BYTES = 1 << 18
 UNKNOWN = "und"
 
 _LETTERS = np.zeros(256, bool)
@@ -90,7 +91,7 @@ def learn(docs: DataFrame) -> LanguageModel:
     """Count the 3-grams of all rows of ``docs(text, lang)`` whose lang is not null. Only sums a
     language and gram (at most ``GRAMS`` a language) reach the driver."""
     ship_package(docs.sparkSession)
-    rows = docs.filter("lang is not null").select("text", "lang").mapInArrow(_count, "lang string, gram int, n long")
+    rows = docs.filter("lang is not null").select("text", "lang").mapInArrow(lambda it: freeing(_count(it)), "lang string, gram int, n long")
     got = rows.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(set(got["lang"].to_pylist()))
     counts = np.zeros((GRAMS, len(langs)))
@@ -158,6 +159,22 @@ def _has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return yes
 
 
+def _tell(arrays, m: LanguageModel):
+    for texts in arrays:
+        data, offsets = utf8(texts)
+        langs, scores = [], []
+        for a, b in pieces(offsets, PIECE_BYTES):
+            part, cut = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+            pi, letters = mixtures(m, part, cut), _has_letter(part, cut)
+            best = pi.argmax(1) if m.langs else np.zeros(b - a, int)
+            for d in range(b - a):
+                sure = letters[d] and len(m.langs) > 0
+                langs.append(m.langs[best[d]] if sure else UNKNOWN)
+                scores.append(min(1.0, float(pi[d, best[d]])) if sure else 0.0)
+        yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                                         ["lang_pred", "score"])
+
+
 def labelled(text: Column, model: LanguageModel, spark) -> Column:
     """A struct (lang_pred, score) for each text: the language with the largest proportion of its
     mixture (the first in code-point order on ties), or ``und`` with score 0 if the text is null or
@@ -166,20 +183,7 @@ def labelled(text: Column, model: LanguageModel, spark) -> Column:
     shared = spark.sparkContext.broadcast(model)
 
     def run(arrays):
-        m = shared.value
-        for texts in arrays:
-            data, offsets = utf8(texts)
-            langs, scores = [], []
-            for a, b in pieces(offsets, PIECE_BYTES):
-                part, cut = data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
-                pi, letters = mixtures(m, part, cut), _has_letter(part, cut)
-                best = pi.argmax(1) if m.langs else np.zeros(b - a, int)
-                for d in range(b - a):
-                    sure = letters[d] and len(m.langs) > 0
-                    langs.append(m.langs[best[d]] if sure else UNKNOWN)
-                    scores.append(min(1.0, float(pi[d, best[d]])) if sure else 0.0)
-            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
-                                             ["lang_pred", "score"])
+        return freeing(_tell(arrays, shared.value))
 
     run.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
     # so marked, a filter on the result is not pushed below it, which would run the model twice a document

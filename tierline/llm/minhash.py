@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.llm.common import (
-    block_units, join_spread, mix64, pieces, ragged, roots, ship_package, utf8, written)
+    block_units, freeing, join_spread, mix64, pieces, ragged, roots, ship_package, utf8, written)
 from tierline.llm.components import connected_components
 from tierline.llm.words import word_hashes
 
@@ -256,7 +256,7 @@ def _classified(docs: DataFrame, words: int, percent: int, bands: int, band_rows
     j = percent / 100
     min_agree = max(1, int(size * j - 6 * (size * j * (1 - j)) ** 0.5))
     base = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    rows = written(base.mapInArrow(lambda it: _sign(it, words, size),
+    rows = written(base.mapInArrow(lambda it: freeing(_sign(it, words, size)),
                                    "doc_id long, text_hash long, n_shingles long, set_key binary, sig binary"), "minhash-rows")
     total = max(rows.count(), 1)
     linked = rows.filter("n_shingles > 0 and doc_id is not null")
@@ -266,7 +266,7 @@ def _classified(docs: DataFrame, words: int, percent: int, bands: int, band_rows
         F.min(F.struct("doc_id", "text_hash")).alias("of"), F.first("sig").alias("sig"), F.count(F.lit(1)).alias("n"))
         .repartitionByRange("of").sortWithinPartitions("of").withColumn("rep", F.monotonically_increasing_id()),
         "minhash-classes")
-    in_bands = written(classes.select("rep", "sig").mapInArrow(lambda it: _bands(it, bands, band_rows), "rep long, bucket long"),
+    in_bands = written(classes.select("rep", "sig").mapInArrow(lambda it: freeing(_bands(it, bands, band_rows)), "rep long, bucket long"),
                        "minhash-bands")
     firsts = in_bands.groupBy("bucket").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("w")).filter("w > 1")
     firsts = written(firsts.withColumn("size", F.col("w")), "minhash-buckets")
@@ -278,7 +278,7 @@ def _classified(docs: DataFrame, words: int, percent: int, bands: int, band_rows
     # one text of every class that met another; copies of a text go by the broadcast of the classes with very many
     texts = classes.join(met.hint("merge"), "rep").select("of.*", "rep", "n")
     sets = join_spread(base, texts, ["doc_id", "text_hash"], "n", total).select("rep", "text").mapInArrow(
-        lambda it: _sets(it, words), "rep long, shingles binary")
+        lambda it: freeing(_sets(it, words)), "rep long, shingles binary")
     sets = written(sets.groupBy("rep").agg(F.min("shingles").alias("shingles")), "minhash-sets")
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
@@ -287,7 +287,7 @@ def _classified(docs: DataFrame, words: int, percent: int, bands: int, band_rows
         x = uses.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x")), "a")
         y = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
         both = join_spread(pairs.join(y.hint("merge"), "b"), x, ["a"], "w", n)
-        return written(both.select("a", "b", "x", "y").mapInArrow(lambda it: _confirm(it, percent), "a long, b long"), name)
+        return written(both.select("a", "b", "x", "y").mapInArrow(lambda it: freeing(_confirm(it, percent)), "a long, b long"), name)
 
     links = confirmed(stars, "minhash-links")
     comps = connected_components(links)
@@ -310,7 +310,7 @@ def _classified(docs: DataFrame, words: int, percent: int, bands: int, band_rows
     rest = left.join(right.hint("merge"), "bucket").filter(
         "ca <> cb and (cb = main or a < b) and 100 * least(na, nb) >= %d * greatest(na, nb)" % percent)
     rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                       "sx", "sy").mapInArrow(lambda it: _possible(it, min_agree), "a long, b long").distinct()
+                       "sx", "sy").mapInArrow(lambda it: freeing(_possible(it, min_agree)), "a long, b long").distinct()
     rest = written(rest.join(stars.hint("merge"), ["a", "b"], "left_anti"), "minhash-rest")
     more = confirmed(rest, "minhash-links")
     # large buckets: strays of one main component meet its members and each other in units
