@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import math
+import threading
+from contextlib import suppress
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import components
 
 from conftest import SF_SMOKE
+from tierline.llm import embedding_dedup
 from tierline.llm.embedding_dedup import near_vectors, spherical_kmeans
 
 
@@ -68,3 +73,76 @@ def test_centres_are_unit_vectors():
     x = np.random.default_rng(1).normal(size=(50, 4))
     c = spherical_kmeans(x / np.linalg.norm(x, axis=1, keepdims=True), 7)
     assert c.shape == (7, 4) and np.allclose(np.linalg.norm(c, axis=1), 1)
+
+
+def test_disk_follows_the_vectors_not_the_pairs_to_compare(spark):
+    """Vectors without structure: all cells meet, but the shuffles on the way don't hold each vector many times for that."""
+    vectors = np.random.default_rng(2).normal(size=(4000, 32)).astype(np.float32)
+    df = frame(spark, [(i, v.tolist()) for i, v in enumerate(vectors)]).coalesce(2)
+    local = [Path(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()]
+
+    def shuffles():
+        found = {}
+        for f in (f for d in local for f in d.rglob("shuffle_*.data")):
+            with suppress(OSError):  # it goes with its job
+                found[f] = f.stat().st_size
+        return found
+
+    before, most, done = shuffles(), [0], threading.Event()
+
+    def watch():
+        while not done.wait(0.02):
+            most.append(sum(size for f, size in shuffles().items() if f not in before))
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        assert near_vectors(df, cell_vectors=100).count() == len(vectors)
+    finally:
+        done.set()
+        watcher.join()
+    assert max(most) < 6 * vectors.nbytes, max(most) / vectors.nbytes
+
+
+def by_products(x, t=0.9):
+    x = x.astype(float)
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = x @ x.T >= t
+    np.fill_diagonal(hit, False)
+    comp = components(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.nonzero(hit))])
+    return [(i, int(hit[i].sum()), comp[i], comp[i] == i) for i in range(len(x))]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_wide_vectors_large_groups_and_cells_apart(spark, kind):
+    """The ways through a product: few pairs pass the leading components, or most do; cells far apart are skipped."""
+    rng = np.random.default_rng(8)
+    near = rng.normal(size=64) + rng.normal(scale=0.4, size=(700, 64))  # most pairs close to the threshold
+    apart = np.repeat(3 * np.eye(64)[:4], 150, axis=0) + rng.normal(scale=0.05, size=(600, 64))
+    flat = np.concatenate([rng.normal(size=(300, 3)), np.zeros((300, 61))], axis=1) + 1e-3
+    x = np.concatenate([rng.normal(size=(900, 64)), near, apart, flat])
+    x = x[rng.permutation(len(x))].astype(np.float32 if kind == "float" else np.float64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], f"vec_id long, embedding array<{kind}>")
+    want = by_products(x)
+    assert sum(r[1] for r in want) > 200_000
+    for params in ({"cell_vectors": 100, "block_vectors": 300}, {}):
+        assert sorted(map(tuple, near_vectors(df, **params).collect())) == want
+
+
+def test_links_are_counted_whole_when_the_pairs_held_run_over(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "HELD_LINKS", 1000)
+    rng = np.random.default_rng(4)
+    x = np.concatenate([c + rng.normal(scale=0.2, size=(40, 8)) for c in rng.normal(size=(6, 8))]).astype(np.float32)
+    want = by_products(x)
+    block = [embedding_dedup._pack(pa.table({"rep": np.arange(len(x))[s], "mult": np.ones(len(x[s]), int), "embedding": list(x[s]),
+                                             "d": pa.array([8] * len(x[s]), pa.int32()), "cell": pa.array([0] * len(x[s]), pa.int32()),
+                                             "no": np.zeros(len(x[s]), int)}), x[:1] / np.linalg.norm(x[0]), 0.45)
+             for s in (slice(0, 130), slice(130, 240))]
+    block = [b.rename_columns([f"a_{c}" for c in b.column_names]).combine_chunks().to_batches()[0] for b in block]
+    centre = (x[:1] / np.linalg.norm(x[0])).astype(float)
+    a, b = (embedding_dedup._Block(t, 0, "a_", np.float32, centre, None) for t in block)
+    links = np.zeros(len(x), int)
+    for one, other in ((a, a), (b, b), (a, b)):
+        out = embedding_dedup._meet(one, other, centre, 0.45, 0.9)
+        np.add.at(links, np.asarray(out["rep"]), np.asarray(out["links"]))
+    assert links.tolist() == [r[1] for r in want]

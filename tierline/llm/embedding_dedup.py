@@ -1,16 +1,20 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products, one kept per group.
 
-Cells only decide where pairs meet, never whether: for unit vectors, cosine >= t means a distance
-of at most r = sqrt(2 - 2t). If y lies in cell B (closer to centre c_B than to c_A), then any x
-linked to y has (c_A - c_B) . x <= r |c_A - c_B|. So every vector visits, beside its own cell A, each
-later cell B whose bisecting plane it is within r of, and no link is lost whatever the centres are.
-Clustered data visit few cells; data without any structure visit most of them, and then cost what
-comparing all pairs costs.
-
-Cells are cut into blocks of bounded size and every pair of blocks is a unit of work of its own, so
-a cell with a third of all vectors is spread over many tasks. Equal vectors are one class from the
-start. A unit returns per vector its number of links and one link to the first member of its local
-group, never the pairs.
+Vectors lie in blocks of bounded size in the order of their cells, one packed row a block. Blocks meet in a
+product of the block table with itself, each pair once, so a vector is stored and shuffled a fixed number
+of times, however many others it must be compared with: the work may be quadratic, the disk isn't.
+
+Cells only decide which pairs need no product, never whether they are linked: for unit vectors, cosine >= t
+means a distance of at most r = sqrt(2 - 2t). If x lies in cell A and y in cell B, their distances from
+the plane between the centres add up to r at most, or they are no link. Blocks whose cells are out of reach of each
+other don't meet, and within a pair of blocks each two cells compare the vectors near their plane only.
+Clustered data skip most pairs so; data without any structure skip none, and then cost what comparing all
+pairs costs.
+
+A product takes the leading components first: with the basis fitted on the sample, x . y is at most the product of
+the first components plus that of the lengths of the rests (Cauchy-Schwarz). What passes is computed whole in
+double precision. Equal vectors are one class from the start. A pair of blocks returns per vector its number of links
+and one link to the first member of its local group, never the pairs.
 """
 
 from __future__ import annotations
@@ -19,28 +23,43 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import block_units, join_spread, roots, ship_package, written
+from tierline.llm.common import freeing, join_spread, roots, ship_package, written
 from tierline.llm.components import connected_components
 
 MIN_COSINE = 0.9
 CELL_VECTORS = 2048
 MAX_CELLS = 4096
 SAMPLE_VECTORS = 16384
-BLOCK_VECTORS = 2048
+BLOCK_VECTORS = 1024  # at least, if they fit BLOCK_BYTES; more for larger tables
+BLOCK_BYTES = 4 << 20
+SIDE_BYTES = 48 << 20  # of blocks that a task of the product holds at once
+BASIS_VECTORS = 1024
+HELD_LINKS = 1 << 20
+KINDS = {"array<float>": np.float32, "array<double>": np.float64}
 ROUNDS = 8
 
 
-def unit_rows(vectors: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
-    """Vectors of ``dim`` components each as rows of unit length, in double precision."""
+def unit_length(x: np.ndarray) -> np.ndarray:
+    """The rows of ``x`` at unit length, in double precision."""
+    x = x.astype(np.float64)
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # so that no square overflows or vanishes
+    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+
+
+def raw_rows(vectors: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+    """Vectors of ``dim`` components each as rows."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
         vectors = pa.concat_arrays(vectors.chunks) if isinstance(vectors, pa.ChunkedArray) else vectors
-    x = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), dim)
-    x = x / np.abs(x).max(axis=1, keepdims=True)  # so that no square overflows or vanishes
-    return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), dim)
+
+
+def unit_rows(vectors: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+    """Vectors of ``dim`` components each as rows of unit length, in double precision."""
+    return unit_length(raw_rows(vectors, dim))
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 7) -> np.ndarray:
@@ -57,92 +76,270 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS, seed: int = 7)
     return centres
 
 
-def _visits(batches, centres: np.ndarray, dim: int, reach: float):
-    """Each vector's own cell and the later cells it must visit. Other lengths: a cell a length."""
-    gaps = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0)) if len(centres) else None
+def _heads(x: np.ndarray, basis: np.ndarray | None) -> np.ndarray:
+    """The unit rows' components along ``basis`` and the length of the rest: their products bound the rows' own."""
+    if basis is None:
+        return x.astype(np.float32)
+    head = x @ basis
+    rest = np.sqrt(np.maximum(1 - np.einsum("ij,ij->i", head, head), 0))
+    return np.concatenate([head, rest[:, None]], axis=1).astype(np.float32)
+
+
+def fit_basis(x: np.ndarray, threshold: float) -> np.ndarray | None:
+    """The fewest leading directions of the unit rows ``x`` by which few pairs of them pass that aren't
+    linked; None if that takes most of them. It decides the amount of work only."""
+    dim, x = x.shape[1], x[:BASIS_VECTORS]
+    if len(x) < 2:
+        return None
+    directions = np.linalg.svd(x, full_matrices=False)[2].T
+    linked = np.count_nonzero(x @ x.T >= threshold)
+    for h in range(7, min(directions.shape[1], dim * 3 // 4), 8):
+        heads = _heads(x, directions[:, :h])
+        if np.count_nonzero(heads @ heads.T >= threshold) - linked <= 1e-5 * len(x) ** 2:
+            return np.ascontiguousarray(directions[:, :h])
+    return None
+
+
+def _gaps(centres: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Distances of ``some`` of the centres to all."""
+    return np.sqrt(np.maximum(2 - 2 * centres[some] @ centres.T, 0))
+
+
+def _place(batches, centres: np.ndarray, dim: int):
+    """Each vector's cell: the nearest centre's. Vectors of another length: minus their length."""
     for batch in batches:
-        lengths = np.asarray(batch["embedding"].value_lengths())
-        rows, cells, home = [np.flatnonzero(lengths != dim)], [-lengths[lengths != dim].astype(np.int64)], None
+        lengths = np.asarray(batch["embedding"].value_lengths()).astype(np.int32)
+        cell = -lengths
         same = np.flatnonzero(lengths == dim)
-        home = [np.ones(len(rows[0]), bool)]
-        if len(same):
-            dots = unit_rows(batch["embedding"].take(pa.array(same)), dim) @ centres.T
-            own = dots.argmax(1)
-            near = dots[np.arange(len(own)), own][:, None] - dots <= reach * gaps[own] + 1e-9
-            near &= np.arange(len(centres)) > own[:, None]
-            at, other = np.nonzero(near)
-            rows += [same, same[at]]
-            cells += [own, other]
-            home += [np.ones(len(same), bool), np.zeros(len(at), bool)]
-        rows = np.concatenate(rows)
-        out = batch.take(pa.array(rows))
-        yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.concatenate(cells).astype(np.int64)),
-                                          pa.array(np.concatenate(home))], [*batch.schema.names, "cell", "home"])
-
-
-def _unit(table: pa.Table, threshold: float) -> pa.Table:
-    """Links of one unit: the rows of the left block against the right ones (or among themselves)."""
-    dim = len(table["embedding"][0])
-    order = np.argsort(np.asarray(table["rep"]), kind="stable")
-    table = table.take(pa.array(order))
-    rep, mult, left = (np.asarray(table[c]) for c in ("rep", "mult", "left"))
-    x = unit_rows(table["embedding"], dim)
-    within = bool(left.all())
-    rows = np.flatnonzero(left)
-    cols = rows if within else np.flatnonzero(~left)
-    x32, y32 = x[rows].astype(np.float32), x[cols].astype(np.float32)
-    pairs = []
+        for a in range(0, len(same), 4096):
+            at = same[a:a + 4096]
+            cell[at] = (unit_rows(batch["embedding"].take(pa.array(at)), dim) @ centres.T).argmax(1)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lengths), pa.array(cell)],
+                                         [*batch.schema.names, "d", "cell"])
+
+
+def _pack(table: pa.Table, centres: np.ndarray, reach: float) -> pa.Table:
+    """One block's vectors in the order of their cells as one row, with its cells and those within reach."""
+    cell, rep = np.asarray(table["cell"]), np.asarray(table["rep"])
+    order = np.lexsort((rep, cell))
+    cell, rep, mult = cell[order], rep[order], np.asarray(table["mult"])[order]
+    dim = table["d"][0].as_py()
+    raw = np.ascontiguousarray(raw_rows(table["embedding"], dim)[order])
+    cells, starts = np.unique(cell, return_index=True)
+    visits = cells
+    if cells[0] >= 0:
+        x, least = unit_length(raw), np.full(len(centres), False)
+        for c, gaps, a, b in zip(cells, _gaps(centres, cells), starts, [*starts[1:], len(cell)]):
+            for s in range(a, b, 1024):
+                dots = x[s:min(s + 1024, b)] @ centres.T
+                least |= (dots[:, c][:, None] - dots).min(0) <= reach * gaps + 1e-9
+        visits = np.flatnonzero(least)
+    one = {"no": table["no"][0].as_py(), "d": dim, "cells": cells.tolist(), "visits": visits.tolist(),
+           "rep": rep.astype(np.int64).tobytes(), "mult": mult.astype(np.int64).tobytes(),
+           "cell": cell.astype(np.int32).tobytes(), "x": raw.tobytes()}
+    return pa.table({k: pa.array([v], _BLOCK.field(k).type) for k, v in one.items()})
+
+
+_BLOCK = pa.schema([("no", pa.int64()), ("d", pa.int32()), ("cells", pa.list_(pa.int32())), ("visits", pa.list_(pa.int32())),
+                    ("rep", pa.binary()), ("mult", pa.binary()), ("cell", pa.binary()), ("x", pa.binary())])
+_BLOCK_DDL = "no long, d int, cells array<int>, visits array<int>, rep binary, mult binary, cell binary, x binary"
+
+
+class _Block:
+    """A packed row, ready for products."""
+
+    def __init__(self, batch: pa.RecordBatch, row: int, side: str, kind, centres: np.ndarray, basis):
+        def values(name, dtype):
+            return np.frombuffer(batch[side + name][row].as_buffer(), dtype)
+
+        self.rep, self.mult, cell = values("rep", np.int64), values("mult", np.int64), values("cell", np.int32)
+        self.x = unit_length(values("x", kind).reshape(len(cell), -1))
+        self.cells, starts = np.unique(cell, return_index=True)
+        self.cuts = [*starts.tolist(), len(cell)]
+        self.placed = bool(self.cells[0] >= 0)
+        self.heads = _heads(self.x, basis if self.placed else None)
+        self.own = np.einsum("ij,ij->i", self.x, centres[cell]) if self.placed else None
+
+
+def _true(hit: np.ndarray) -> np.ndarray:
+    """Flat places of the few true ones, eight at a time."""
+    flat = hit.ravel()
+    even = len(flat) // 8 * 8
+    at = np.flatnonzero(flat[:even].view(np.uint64))
+    some, bit = np.nonzero(flat[:even].reshape(-1, 8)[at])
+    return np.concatenate([at[some] * 8 + bit, np.flatnonzero(flat[even:]) + even])
+
+
+class _Links:
+    """Links found in a pair of blocks: their number for each vector, and groups instead of the pairs."""
+
+    def __init__(self, a: _Block, b: _Block):
+        self.shift = 0 if a is b else len(a.rep)  # of b's rows behind a's
+        self.rep, self.mult = (a.rep, a.mult) if a is b else (np.concatenate([a.rep, b.rep]), np.concatenate([a.mult, b.mult]))
+        self.count = np.zeros(len(self.rep))
+        self.edges, self.held, self.n = (np.zeros(0, int), np.zeros(0, int)), [], 0
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        if len(i):
+            self.held.append((i, j + self.shift))
+            self.n += len(i)
+            if self.n > HELD_LINKS:
+                self.flush()
+
+    def flush(self) -> None:
+        if self.held:
+            i, j = (np.concatenate(p) for p in zip(*self.held))
+            for at, to in ((i, j), (j, i)):
+                self.count += np.bincount(at, weights=self.mult[to], minlength=len(self.rep))
+            root = roots(len(self.rep), np.concatenate([self.edges[0], i]), np.concatenate([self.edges[1], j]))
+            moved = np.flatnonzero(root != np.arange(len(root)))
+            self.edges, self.held, self.n = (moved, root[moved]), [], 0
+
+    def result(self) -> pa.RecordBatch:
+        self.flush()
+        order = np.argsort(self.rep, kind="stable")
+        rank = np.empty_like(order)
+        rank[order] = np.arange(len(order))
+        root = self.rep[order][roots(len(rank), rank[self.edges[0]], rank[self.edges[1]])][rank]
+        hit = self.count > 0
+        return pa.RecordBatch.from_arrays([pa.array(self.rep[hit]), pa.array(self.count[hit].astype(np.int64)),
+                                           pa.array(root[hit])], ["rep", "links", "root"])
+
+
+def _compare(a: _Block, b: _Block, rows: np.ndarray, cols: np.ndarray, threshold: float, links: _Links) -> None:
+    """Add the links of a's ``rows`` with b's ``cols``; of one block, those of a row with later columns."""
+    slack = 1e-4 + 2e-7 * a.x.shape[1]  # above what single precision loses
+    left, right = a.heads[rows], np.ascontiguousarray(b.heads[cols].T)
     for s in range(0, len(rows), 512):
-        i, j = np.nonzero(x32[s:s + 512] @ y32.T >= np.float32(threshold - 1e-4))
-        i, j = rows[i + s], cols[j]
-        if within:
-            i, j = i[i < j], j[i < j]
-        sure = np.concatenate([np.einsum("ij,ij->i", x[i[a:a + 8192]], x[j[a:a + 8192]]) >= threshold
-                               for a in range(0, len(i), 8192)] or [np.zeros(0, bool)])
-        pairs.append((i[sure], j[sure]))
-    a, b = (np.concatenate(p) for p in zip(*pairs)) if pairs else (np.zeros(0, int), np.zeros(0, int))
-    links = np.bincount(a, weights=mult[b], minlength=len(rep)) + np.bincount(b, weights=mult[a], minlength=len(rep))
-    root = rep[roots(len(rep), a, b)]
-    hit = links > 0
-    return pa.table({"rep": rep[hit], "links": links[hit].astype(np.int64), "root": root[hit]})
+        for u in range(0, len(cols), 1024):
+            r, c = rows[s:s + 512], cols[u:u + 1024]
+            if a is b and c[-1] <= r[0]:
+                continue
+            at = _true(left[s:s + 512] @ right[:, u:u + 1024] >= np.float32(threshold - slack))
+            if not len(at):
+                continue
+            if len(at) > len(r) * len(c) // 64:  # many pass: whole products of all, and doubles for the close ones only
+                whole = a.x[r].astype(np.float32) @ b.x[c].astype(np.float32).T
+                sure = np.nonzero(whole >= np.float32(threshold + slack))
+                near = np.nonzero((whole >= np.float32(threshold - slack)) & (whole < np.float32(threshold + slack)))
+            else:
+                sure, near = None, np.divmod(at, len(c))
+            for pair, certain in ((sure, True), (near, False)):
+                if pair is None:
+                    continue
+                i, j = r[pair[0]], c[pair[1]]
+                if a is b:
+                    i, j = i[i < j], j[i < j]
+                if not certain:
+                    ok = np.concatenate([np.einsum("ij,ij->i", a.x[i[k:k + 8192]], b.x[j[k:k + 8192]]) >= threshold
+                                         for k in range(0, len(i), 8192)] or [np.zeros(0, bool)])
+                    i, j = i[ok], j[ok]
+                links.add(i, j)
+
+
+def _meet(a: _Block, b: _Block, centres: np.ndarray, reach: float, threshold: float) -> pa.RecordBatch:
+    """Links between two blocks, or within one: each two cells compare what is near the plane between them."""
+    links = _Links(a, b)
+    if a.placed:
+        gaps = _gaps(centres, a.cells)
+        to_b, to_a = a.x @ centres[b.cells].T, b.x @ centres[a.cells].T
+    for m, p in enumerate(a.cells):
+        rows = np.arange(a.cuts[m], a.cuts[m + 1])
+        for k, q in enumerate(b.cells):
+            if a is b and k < m:
+                continue
+            cols = np.arange(b.cuts[k], b.cuts[k + 1])
+            if p == q:
+                _compare(a, b, rows, cols, threshold, links)
+                continue
+            far_a = a.own[rows] - to_b[rows, k]  # distances from the plane, times that of the centres
+            far_b = b.own[cols] - to_a[cols, m]
+            most = reach * gaps[m, q] + 1e-9
+            some, others = rows[far_a <= most - far_b.min()], cols[far_b <= most - far_a.min()]
+            if len(some) and len(others):
+                _compare(a, b, some, others, threshold, links)
+    return links.result()
+
+
+def _products(batches, kind, centres: np.ndarray, basis, reach: float, threshold: float):
+    """Links of each pair of blocks; a block in several pairs running is made ready once."""
+    ready: dict[tuple, _Block] = {}
+    for batch in batches:
+        for row in range(batch.num_rows):
+            keys = [(batch["a_d"][row].as_py(), batch[f"{s}_no"][row].as_py()) for s in "ab"]
+            ready = {k: ready[k] for k in keys if k in ready}
+            for side, key in zip("ab", keys):
+                if key not in ready:
+                    ready[key] = _Block(batch, row, f"{side}_", kind, centres, basis)
+            yield _meet(ready[keys[0]], ready[keys[1]], centres, reach, threshold)
 
 
 def near_vectors(vectors: DataFrame, min_cosine: float = MIN_COSINE, cell_vectors: int = CELL_VECTORS,
-                 block_vectors: int = BLOCK_VECTORS, sample_vectors: int = SAMPLE_VECTORS) -> DataFrame:
+                 block_vectors: int | None = None, sample_vectors: int = SAMPLE_VECTORS) -> DataFrame:
     """Link the vectors of ``vectors(vec_id, embedding)`` with cosine >= ``min_cosine``; exact.
 
     One row per input row: vec_id, n_links, component_id, kept. Vectors that are null, empty, all
     zero or hold a null or non-finite component link with nothing, as do vectors of different
     lengths with each other. A null id keeps a null ``component_id``, links with nothing and is kept.
-    An id that repeats stands for its rows' links together. The centres are fitted on at most
-    ``sample_vectors`` vectors (those with the smallest hash of their id); they decide the amount of
-    work only. Other columns are not read. An empty table gives an empty result.
+    An id that repeats stands for its rows' links together. The centres and the basis are fitted on at most
+    ``sample_vectors`` distinct vectors (those with the smallest hash); they decide the amount of
+    work only. ``block_vectors`` is about how many vectors a block has (unset: by their number and size).
+    Other columns are not read. An empty table gives an empty result.
     """
-    ship_package(vectors.sparkSession)
+    spark = vectors.sparkSession
+    ship_package(spark)
     x = F.col("embedding")
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     fine = F.coalesce((F.size(x) > 0) & ~bad & F.exists(x, lambda v: v != 0) & F.col("vec_id").isNotNull(), F.lit(False))
-    base = vectors.select("vec_id", F.when(fine, x).alias("embedding"))
+    ddl = dict(vectors.dtypes)["embedding"]
+    ddl = ddl if ddl in KINDS else "array<double>"
+    kind = KINDS[ddl]
+    base = vectors.select("vec_id", F.when(fine, x).cast(ddl).alias("embedding"))
     base = base.withColumn("k1", F.xxhash64("embedding")).withColumn("k2", F.hash("embedding"))
-    rows = written(base.select("vec_id", F.col("embedding").isNotNull().alias("fine"), "k1", "k2"), "vectors")
-    classes = written(base.filter("embedding is not null").groupBy("k1", "k2", "embedding")
-                      .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("mult")), "vector-classes")
-    n, total = classes.count(), max(rows.count(), 1)
-    dims = classes.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").first()
+    rows = written(base.select("vec_id", F.col("embedding").isNotNull().alias("fine"), F.size("embedding").alias("d"), "k1", "k2"),
+                   "vectors")
+    base = base.filter("embedding is not null")
+    hashes = written(rows.filter("fine").select("d", "k1", "k2").distinct(), "vector-hashes")
+    n, total = hashes.count(), max(rows.count(), 1)
+    dims = hashes.groupBy("d").count().orderBy(F.desc("count"), "d").first()
     dim = dims["d"] if dims else 1
-    sample = (classes.filter(F.size("embedding") == dim).orderBy(F.xxhash64("rep"), "rep").limit(sample_vectors)
+    picked = (hashes.filter(F.col("d") == dim).orderBy(F.xxhash64("k1", "k2"), "k1", "k2").limit(sample_vectors)
+              .select("k1", "k2"))
+    sample = (base.filter(F.size("embedding") == dim).join(F.broadcast(picked), ["k1", "k2"], "left_semi")
+              .groupBy("k1", "k2").agg(F.min("embedding").alias("embedding")).orderBy(F.xxhash64("k1", "k2"), "k1", "k2")
               .select("embedding").toArrow())
+    fitted = unit_rows(sample["embedding"], dim) if sample.num_rows else np.zeros((0, dim))
     k = min(MAX_CELLS, max(1, math.ceil(n / cell_vectors)))
-    centres = spherical_kmeans(unit_rows(sample["embedding"], dim), k) if sample.num_rows else np.zeros((0, dim))
+    centres = spherical_kmeans(fitted, k) if len(fitted) else fitted
+    basis = fit_basis(fitted, min_cosine)
     reach = math.sqrt(max(2 - 2 * min_cosine, 0)) + 1e-9
-    kind = dict(classes.dtypes)["embedding"]
-    placed = written(classes.select("rep", "mult", "embedding").mapInArrow(
-        lambda it: _visits(it, centres, dim, reach), f"rep long, mult long, embedding {kind}, cell long, home boolean"),
-        "vector-cells")
-    sent = block_units(placed, "cell", "home", F.lit(1), block_vectors)
-    links = sent.select("rep", "mult", "embedding", "cell", "kind", "i", "j", "left").groupBy(
-        "cell", "kind", "i", "j").applyInArrow(lambda t: _unit(t, min_cosine), "rep long, links long, root long")
-    links = written(links, "vector-links")
+
+    classes = written(base.groupBy("k1", "k2", "embedding").agg(F.min("vec_id").cast("long").alias("rep"), F.count(F.lit(1)).alias("mult"))
+                      .mapInArrow(lambda it: _place(it, centres, dim),
+                                  f"k1 long, k2 int, embedding {ddl}, rep long, mult long, d int, cell int"), "vector-classes")
+    limit = block_vectors or max(BLOCK_VECTORS, math.ceil(n / 16))
+    size = F.greatest(F.lit(1), F.least(F.lit(limit), F.floor(F.lit(BLOCK_BYTES) / (F.col("d") * np.dtype(kind).itemsize))))
+    cells = classes.groupBy("d", "cell").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("d").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
+    cells = cells.select("d", "cell", "_n", F.coalesce(before, F.lit(0)).alias("_from"), size.alias("_size"))
+    place = F.col("_from") + F.pmod(F.xxhash64("rep"), F.col("_n"))  # in the order of cells; large cells are cut by hash
+    blocks = written(classes.join(F.broadcast(cells), ["d", "cell"])
+                     .select("rep", "mult", "embedding", "d", "cell", F.floor(place / F.col("_size")).alias("no"))
+                     .groupBy("d", "no").applyInArrow(lambda t: _pack(t, centres, reach), _BLOCK_DDL), "vector-blocks")
+    count, held = blocks.agg(F.count(F.lit(1)), F.sum(F.octet_length("x"))).first()
+    parts = max(1, min(count, max(8, math.ceil((held or 0) / SIDE_BYTES),
+                                  math.ceil(2 * math.sqrt(spark.sparkContext.defaultParallelism)))))
+    dealt = blocks.repartitionById(parts, F.pmod(F.col("no") + F.col("d"), F.lit(parts)).cast("int"))
+    a, b = (dealt.select(*(F.col(c).alias(f"{side}_{c}") for c in blocks.columns)) for side in "ab")
+    even = (F.col("a_no") + F.col("b_no")) % 2 == 0
+    once = F.when(even, F.col("a_no") <= F.col("b_no")).otherwise(F.col("a_no") > F.col("b_no"))
+    near = F.arrays_overlap("a_visits", "b_cells") & F.arrays_overlap("b_visits", "a_cells")
+    pairs = a.join(b.hint("shuffle_replicate_nl"), (F.col("a_d") == F.col("b_d")) & once & near)
+    needed = [f"{s}_{c}" for s in "ab" for c in ("no", "d", "rep", "mult", "cell", "x")]
+    links = written(pairs.select(*needed).mapInArrow(
+        lambda it: freeing(_products(it, kind, centres, basis, reach, min_cosine)), "rep long, links long, root long"),
+        "vector-links")
+
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
     comps = connected_components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     known = (classes.select("k1", "k2", "rep", "mult").join(counts, "rep", "left")
