@@ -7,7 +7,7 @@ of times, however many others it must be compared with: the work may be quadrati
 Cells only decide which pairs need no product, never whether they are linked: for unit vectors, cosine >= t
 means a distance of at most r = sqrt(2 - 2t). If x lies in cell A and y in cell B, their distances from
 the plane between the centres add up to r at most, or they are no link. Blocks whose cells are out of reach of each
-other don't meet, and within a pair of blocks each two cells compare the vectors near their plane only.
+other don't meet, and within a pair of blocks neither do such cells, nor vectors far from the plane between two.
 Clustered data skip most pairs so; data without any structure skip none, and then cost what comparing all
 pairs costs.
 
@@ -26,11 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import freeing, join_spread, roots, ship_package, written
+from tierline.llm.common import freeing, join_spread, ragged, roots, ship_package, written
 from tierline.llm.components import connected_components
 
 MIN_COSINE = 0.9
-CELL_VECTORS = 2048
+CELL_VECTORS = 256
 MAX_CELLS = 4096
 SAMPLE_VECTORS = 16384
 BLOCK_VECTORS = 1024  # at least, if they fit BLOCK_BYTES; more for larger tables
@@ -38,6 +38,7 @@ BLOCK_BYTES = 4 << 20
 SIDE_BYTES = 48 << 20  # of blocks that a task of the product holds at once
 BASIS_VECTORS = 1024
 HELD_LINKS = 1 << 20
+TILE = (512, 1024)  # vectors of a product: its scores stay in the processor's cache
 KINDS = {"array<float>": np.float32, "array<double>": np.float64}
 ROUNDS = 8
 
@@ -88,14 +89,15 @@ def _heads(x: np.ndarray, basis: np.ndarray | None) -> np.ndarray:
 def fit_basis(x: np.ndarray, threshold: float) -> np.ndarray | None:
     """The fewest leading directions of the unit rows ``x`` by which few pairs of them pass that aren't
     linked; None if that takes most of them. It decides the amount of work only."""
-    dim, x = x.shape[1], x[:BASIS_VECTORS]
+    dim = x.shape[1]
     if len(x) < 2:
         return None
-    directions = np.linalg.svd(x, full_matrices=False)[2].T
-    linked = np.count_nonzero(x @ x.T >= threshold)
+    directions = np.linalg.svd(x[:BASIS_VECTORS], full_matrices=False)[2].T
+    others = x[-BASIS_VECTORS:]  # tried on those, as directions suit the rows they are fitted on better than the rest
+    linked = np.count_nonzero(others @ others.T >= threshold)
     for h in range(7, min(directions.shape[1], dim * 3 // 4), 8):
-        heads = _heads(x, directions[:, :h])
-        if np.count_nonzero(heads @ heads.T >= threshold) - linked <= 1e-5 * len(x) ** 2:
+        heads = _heads(others, directions[:, :h])
+        if np.count_nonzero(heads @ heads.T >= threshold) - linked <= 2e-6 * len(others) ** 2:
             return np.ascontiguousarray(directions[:, :h])
     return None
 
@@ -155,15 +157,22 @@ class _Block:
         self.rep, self.mult, cell = values("rep", np.int64), values("mult", np.int64), values("cell", np.int32)
         self.x = unit_length(values("x", kind).reshape(len(cell), -1))
         self.cells, starts = np.unique(cell, return_index=True)
-        self.cuts = [*starts.tolist(), len(cell)]
+        self.cuts = np.append(starts, len(cell))
         self.placed = bool(self.cells[0] >= 0)
         self.heads = _heads(self.x, basis if self.placed else None)
+        self.turned = np.ascontiguousarray(self.heads.T)
         self.own = np.einsum("ij,ij->i", self.x, centres[cell]) if self.placed else None
 
 
-def _true(hit: np.ndarray) -> np.ndarray:
-    """Flat places of the few true ones, eight at a time."""
-    flat = hit.ravel()
+def _some(values: np.ndarray, at: np.ndarray, axis: int = 0) -> np.ndarray:
+    """The ``values`` at ascending places along ``axis``; not copied if those run on."""
+    if at[-1] - at[0] + 1 == len(at):
+        return values[at[0]:at[-1] + 1] if axis == 0 else values[:, at[0]:at[-1] + 1]
+    return np.take(values, at, axis)
+
+
+def _true(flat: np.ndarray) -> np.ndarray:
+    """Places of the few true ones, eight at a time."""
     even = len(flat) // 8 * 8
     at = np.flatnonzero(flat[:even].view(np.uint64))
     some, bit = np.nonzero(flat[:even].reshape(-1, 8)[at])
@@ -209,13 +218,17 @@ class _Links:
 def _compare(a: _Block, b: _Block, rows: np.ndarray, cols: np.ndarray, threshold: float, links: _Links) -> None:
     """Add the links of a's ``rows`` with b's ``cols``; of one block, those of a row with later columns."""
     slack = 1e-4 + 2e-7 * a.x.shape[1]  # above what single precision loses
-    left, right = a.heads[rows], np.ascontiguousarray(b.heads[cols].T)
-    for s in range(0, len(rows), 512):
-        for u in range(0, len(cols), 1024):
-            r, c = rows[s:s + 512], cols[u:u + 1024]
+    left, right = _some(a.heads, rows), _some(b.turned, cols, 1)
+    scores = np.empty(min(len(rows), TILE[0]) * min(len(cols), TILE[1]), np.float32)
+    passed = np.empty(len(scores), bool)
+    for s in range(0, len(rows), TILE[0]):
+        for u in range(0, len(cols), TILE[1]):
+            r, c = rows[s:s + TILE[0]], cols[u:u + TILE[1]]
             if a is b and c[-1] <= r[0]:
                 continue
-            at = _true(left[s:s + 512] @ right[:, u:u + 1024] >= np.float32(threshold - slack))
+            tile = scores[:len(r) * len(c)].reshape(len(r), len(c))
+            np.matmul(left[s:s + TILE[0]], right[:, u:u + TILE[1]], out=tile)
+            at = _true(np.greater_equal(tile.ravel(), np.float32(threshold - slack), out=passed[:tile.size]))
             if not len(at):
                 continue
             if len(at) > len(r) * len(c) // 64:  # many pass: whole products of all, and doubles for the close ones only
@@ -238,26 +251,36 @@ def _compare(a: _Block, b: _Block, rows: np.ndarray, cols: np.ndarray, threshold
 
 
 def _meet(a: _Block, b: _Block, centres: np.ndarray, reach: float, threshold: float) -> pa.RecordBatch:
-    """Links between two blocks, or within one: each two cells compare what is near the plane between them."""
+    """Links between two blocks, or within one: each cell of one with those of the other within reach. Where that leaves
+    under a quarter of two cells' pairs, only the vectors near the plane between them are compared."""
     links = _Links(a, b)
-    if a.placed:
-        gaps = _gaps(centres, a.cells)
-        to_b, to_a = a.x @ centres[b.cells].T, b.x @ centres[a.cells].T
-    for m, p in enumerate(a.cells):
-        rows = np.arange(a.cuts[m], a.cuts[m + 1])
-        for k, q in enumerate(b.cells):
-            if a is b and k < m:
-                continue
-            cols = np.arange(b.cuts[k], b.cuts[k + 1])
-            if p == q:
-                _compare(a, b, rows, cols, threshold, links)
-                continue
-            far_a = a.own[rows] - to_b[rows, k]  # distances from the plane, times that of the centres
-            far_b = b.own[cols] - to_a[cols, m]
-            most = reach * gaps[m, q] + 1e-9
-            some, others = rows[far_a <= most - far_b.min()], cols[far_b <= most - far_a.min()]
-            if len(some) and len(others):
-                _compare(a, b, some, others, threshold, links)
+    if not a.placed:  # all of one length, which is their cell
+        _compare(a, b, np.arange(len(a.rep)), np.arange(len(b.rep)), threshold, links)
+        return links.result()
+    far_a = a.own[:, None] - a.x @ centres[b.cells].T  # distances from the planes, times those of the centres
+    far_b = b.own[:, None] - b.x @ centres[a.cells].T
+    least_a, least_b = np.minimum.reduceat(far_a, a.cuts[:-1]), np.minimum.reduceat(far_b, b.cuts[:-1]).T
+    most = reach * _gaps(centres, a.cells)[:, b.cells] + 1e-9
+    same = a.cells[:, None] == b.cells
+    meet = (least_a + least_b <= most) | same
+    if a is b:
+        meet = np.triu(meet)
+    in_a, in_b = np.diff(a.cuts), np.diff(b.cuts)
+    near_a, near_b = far_a <= np.repeat(most - least_b, in_a, axis=0), far_b <= np.repeat((most - least_a).T, in_b, axis=0)
+    left = np.add.reduceat(near_a, a.cuts[:-1], dtype=int) * np.add.reduceat(near_b, b.cuts[:-1], dtype=int).T
+    few = meet & ~same & (4 * left < in_a[:, None] * in_b)
+    whole, m = meet & ~few, 0
+    while m < len(a.cells):
+        end = m + 1
+        while end < len(a.cells) and np.array_equal(whole[end], whole[m]):  # cells that meet the same others go together
+            end += 1
+        to = np.flatnonzero(whole[m])
+        if len(to):
+            _compare(a, b, np.arange(a.cuts[m], a.cuts[end]), ragged(b.cuts[to], in_b[to]), threshold, links)
+        m = end
+    for m, k in zip(*np.nonzero(few & (left > 0))):
+        rows, cols = np.arange(a.cuts[m], a.cuts[m + 1]), np.arange(b.cuts[k], b.cuts[k + 1])
+        _compare(a, b, rows[near_a[rows, k]], cols[near_b[cols, m]], threshold, links)
     return links.result()
 
 
